@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Aggregates per scan in `per_column`: wide enough to amortise the scan, small enough for codegen.
-COLUMNS_PER_SCAN = 64
+# Aggregates per scan in `per_column`: above about 60 the generated method is too long for the JIT
+# compiler and a scan gets several times slower.
+AGGREGATES_PER_SCAN = 40
 
 
 def col(name: str) -> Column:
@@ -74,27 +75,37 @@ def chunks(items: Sequence[str], size: int) -> Iterator[Sequence[str]]:
         yield items[start : start + size]
 
 
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def per_column(
-    df: DataFrame,
-    columns: Sequence[str],
-    stats: dict[str, Callable[[str], Column]],
-    by: Sequence[str] = (),
+    df: DataFrame, columns: Sequence[str], stats: dict[str, str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Aggregates of many columns as a long frame `by..., n_rows, col, <stats>`.
 
-    Each chunk of columns is one wide aggregation over a scan of just those columns: partial
+    `stats` maps a name to SQL text in which `{c}` stands for the column. Each chunk of
+    columns is one wide aggregation over a scan of just those columns: partial
     aggregates leave one row per task and group, so nothing but those rows is shuffled,
     however the group sizes are skewed.
     """
     frames = []
-    for chunk in chunks(columns, COLUMNS_PER_SCAN):
+    for chunk in chunks(columns, max(1, AGGREGATES_PER_SCAN // len(stats))):
         aggregates = [
-            make(name).alias(f"s{i}_{stat}") for i, name in enumerate(chunk) for stat, make in stats.items()
-        ]
-        wide = df.groupBy(*[col(b) for b in by]).agg(F.count(F.lit(1)).alias("n_rows"), *aggregates)
-        entries = [
-            F.struct(F.lit(name).alias("col"), *[F.col(f"s{i}_{stat}").alias(stat) for stat in stats])
+            F.expr(f"{text.format(c=sql_name(name))} AS s{i}_{stat}")
             for i, name in enumerate(chunk)
+            for stat, text in stats.items()
         ]
-        frames.append(wide.select(*[col(b) for b in by], "n_rows", F.inline(F.array(*entries))))
+        wide = df.groupBy(*[col(b) for b in by]).agg(F.expr("count(1) AS n_rows"), *aggregates)
+        entries = ", ".join(
+            f"struct({sql_text(name)} AS col, " + ", ".join(f"s{i}_{stat} AS {stat}" for stat in stats) + ")"
+            for i, name in enumerate(chunk)
+        )
+        frames.append(wide.selectExpr(*[sql_name(b) for b in by], "n_rows", f"inline(array({entries}))"))
     return reduce(DataFrame.union, frames)

@@ -152,9 +152,9 @@ def scale_stats(train: DataFrame, columns: Sequence[str]) -> DataFrame:
         train,
         columns,
         {
-            "n_values": lambda c: F.count(col(c)),
-            "mean": lambda c: F.avg(col(c).cast("double")),
-            "std": lambda c: F.stddev_pop(col(c).cast("double")),
+            "n_values": "count({c})",
+            "mean": "avg(CAST({c} AS DOUBLE))",
+            "std": "stddev_pop(CAST({c} AS DOUBLE))",
         },
     )
 

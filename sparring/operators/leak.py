@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparring.functions.columns import categorical_columns, col, numeric_columns, per_column, require_column
+from sparring.functions.columns import (
+    NUMBER_PATTERN,
+    categorical_columns,
+    col,
+    numeric_columns,
+    per_column,
+    require_column,
+)
 from sparring.operators.profile import (
     EXACT_ROWS,
     category_profile,
@@ -22,6 +29,7 @@ from sparring.operators.profile import (
     uniqueness,
 )
 from sparring.operators.task import CLASSIFICATION, check_task
+from sparring.session import local_frame
 
 # Rule names in the order in which they are tried.
 RULES = (
@@ -53,80 +61,80 @@ class LeakThresholds:
 FINDINGS = "col string, rule string, stat double, reason string"
 
 
-def class_gate(train: DataFrame, target: str, task: str, max_classes: int = 50) -> bool:
-    """The per-class rules apply to classification targets with at most `max_classes` classes."""
+def class_counts(train: DataFrame, target: str, task: str, max_classes: int = 50) -> dict | None:
+    """Rows per class if the per-class rules apply: classification with at most `max_classes` classes."""
     if check_task(task) != CLASSIFICATION:
-        return False
-    return train.select(col(target)).distinct().limit(max_classes + 1).count() <= max_classes
+        return None
+    rows = train.groupBy(col(target)).count().limit(max_classes + 1).collect()
+    return {r[0]: r[1] for r in rows} if len(rows) <= max_classes else None
+
 
+def _may_be_numeric(classes: dict | None) -> bool:
+    """Whether a target with these classes has a value that reads as a number."""
+    return classes is None or any(not isinstance(c, str) or re.match(NUMBER_PATTERN, c) for c in classes)
 
-def _findings(frame: DataFrame, rule: str, trips: Column, stat: Column, reason: Column) -> DataFrame:
-    return frame.where(trips).select(
-        "col", F.lit(rule).alias("rule"), stat.cast("double").alias("stat"), reason.alias("reason")
+
+def _findings(frame: DataFrame, rule: str, trips: str, stat: str, reason: str) -> DataFrame:
+    """Rows of `frame` that trip a rule; the arguments after `rule` are SQL text."""
+    return frame.where(trips).selectExpr(
+        "col", f"'{rule}' AS rule", f"CAST({stat} AS DOUBLE) AS stat", f"{reason} AS reason"
     )
 
 
-def id_like(train: DataFrame, columns: Sequence[str], t: LeakThresholds = LeakThresholds()) -> DataFrame:
-    frac = F.col("unique_frac")
-    stats = uniqueness(train, columns, t.unique, t.exact_rows)
-    return _findings(stats, RULES[0], frac >= t.unique, frac, F.format_string("id_like (high_unique_frac=%.3f)", frac))
+def id_like(
+    train: DataFrame, columns: Sequence[str], t: LeakThresholds = LeakThresholds(), n_rows: int | None = None
+) -> DataFrame:
+    stats = uniqueness(train, columns, t.unique, t.exact_rows, n_rows)
+    reason = "format_string('id_like (high_unique_frac=%.3f)', unique_frac)"
+    return _findings(stats, RULES[0], f"unique_frac >= {t.unique}D", "unique_frac", reason)
 
 
 def presence_diff(gaps: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
-    gap = F.col("presence_gap")
-    reason = F.format_string("presence_diff (nonnull_frac_diff=%.3f)", gap)
-    return _findings(gaps, RULES[1], gap > t.presence_diff, gap, reason)
+    reason = "format_string('presence_diff (nonnull_frac_diff=%.3f)', presence_gap)"
+    return _findings(gaps, RULES[1], f"presence_gap > {t.presence_diff}D", "presence_gap", reason)
 
 
 def constant_overall(moments: DataFrame) -> DataFrame:
-    constant = (F.col("n_target") > 0) & ((F.col("n_values") == 0) | (F.col("low") == F.col("high")))
-    return _findings(moments, RULES[2], constant, F.lit(None), F.lit("constant_overall"))
+    constant = "n_target > 0 AND (n_values = 0 OR low = high)"
+    return _findings(moments, RULES[2], constant, "NULL", "'constant_overall'")
 
 
 def high_corr(moments: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
-    size = F.abs("corr")
-    return _findings(moments, RULES[3], size >= t.corr, size, F.format_string("high_corr (corr=%.3f)", size))
+    reason = "format_string('high_corr (corr=%.3f)', abs(corr))"
+    return _findings(moments, RULES[3], f"abs(corr) >= {t.corr}D", "abs(corr)", reason)
 
 
 def constant_within_class(train: DataFrame, target: str, gaps: DataFrame) -> DataFrame:
     """The distinct counts per class are only taken for the columns that the gaps name."""
-    names = [r["col"] for r in gaps.where(F.col("mixed_constancy")).select("col").collect()]
+    names = [r["col"] for r in gaps.where("mixed_constancy").select("col").collect()]
     if not names:
-        return train.sparkSession.createDataFrame([], FINDINGS)
+        return local_frame(train.sparkSession, [], FINDINGS)
     counts = per_column(
         train.withColumnRenamed(target, "stratum"),
         names,
-        {"n_unique": lambda c: F.count_distinct(col(c)) + F.max(col(c).isNull().cast("long"))},
+        {"n_unique": "count(DISTINCT {c}) + max(CAST({c} IS NULL AS LONG))"},
         by=["stratum"],
     )
-    pairs = F.array_sort(F.collect_list(F.struct("stratum", "n_unique")))
-    quote = F.lit("'" if isinstance(train.schema[target].dataType, T.StringType) else "")
-    text = F.transform(
-        pairs,
-        lambda p: F.concat(quote, p["stratum"].cast("string"), quote, F.lit(": "), p["n_unique"].cast("string")),
-    )
-    reason = F.concat(F.lit("constant_within_class (per_class_nunique={"), F.array_join(text, ", "), F.lit("})"))
-    listed = counts.groupBy("col").agg(reason.alias("reason"))
-    return _findings(listed, RULES[4], F.lit(True), F.lit(1.0), F.col("reason"))
+    quote = "\\'" if isinstance(train.schema[target].dataType, T.StringType) else ""
+    pairs = f"concat('{quote}', CAST(p.stratum AS STRING), '{quote}: ', CAST(p.n_unique AS STRING))"
+    text = f"array_join(transform(array_sort(collect_list(struct(stratum, n_unique))), p -> {pairs}), ', ')"
+    reason = f"concat('constant_within_class (per_class_nunique={{', {text}, '}})') AS reason"
+    return _findings(counts.groupBy("col").agg(F.expr(reason)), RULES[4], "true", "1.0", "reason")
 
 
 def zero_fraction_diff(gaps: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
-    gap = F.col("zero_gap")
-    reason = F.format_string("zero_fraction_diff (zero_frac_diff=%.3f)", gap)
-    return _findings(gaps, RULES[5], gap >= t.zero_diff, gap, reason)
+    reason = "format_string('zero_fraction_diff (zero_frac_diff=%.3f)', zero_gap)"
+    return _findings(gaps, RULES[5], f"zero_gap >= {t.zero_diff}D", "zero_gap", reason)
 
 
 def min_value_presence_diff(minimum_gaps: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
-    gap = F.col("minimum_gap")
     limit = t.zero_diff if t.minimum_diff is None else t.minimum_diff
-    reason = F.format_string("min_value_presence_diff (min_fraction_diff=%.3f)", gap)
-    return _findings(minimum_gaps, RULES[6], gap >= limit, gap, reason)
+    reason = "format_string('min_value_presence_diff (min_fraction_diff=%.3f)', minimum_gap)"
+    return _findings(minimum_gaps, RULES[6], f"minimum_gap >= {limit}D", "minimum_gap", reason)
 
 
 def cat_single_target(profile: DataFrame) -> DataFrame:
-    return _findings(
-        single_target_columns(profile), RULES[7], F.col("n_mixed") == 0, F.lit(None), F.lit(RULES[7])
-    )
+    return _findings(single_target_columns(profile), RULES[7], "n_mixed = 0", "NULL", f"'{RULES[7]}'")
 
 
 def leak_report(
@@ -138,8 +146,8 @@ def leak_report(
 ) -> DataFrame:
     """`col, rule, stat, reason` of every column to drop, each under the first rule it meets.
 
-    ID-like columns are found first and left out of the later passes, which then only shuffle
-    per-class rows and the categories of columns with repeated values.
+    A column that a rule names is left out of the later passes. ID-like columns go first, so the later
+    passes only shuffle per-class rows and the categories of columns with repeated values.
     """
     require_column(train, target)
     spark = train.sparkSession
@@ -149,38 +157,39 @@ def leak_report(
     categorical = [c for c in categorical_columns(train) if c in columns]
     checked = [c for c in columns if c in categorical or (c in numeric and t.id_like_numeric)]
 
-    found = id_like(train, checked, t).collect() if checked else []
-    dropped = {r["col"] for r in found}
-    numeric = [c for c in numeric if c not in dropped]
-    categorical = [c for c in categorical if c not in dropped]
-    frames = [spark.createDataFrame(found, FINDINGS)]
-    gate = class_gate(train, target, task, t.max_classes)
-
-    if numeric:
-        moments = numeric_moments(train, target, numeric)
-        frames += [constant_overall(moments), high_corr(moments, t)]
-    if gate and (numeric or categorical):
-        gaps = class_gaps(class_profile(train, target, numeric, categorical))
-        frames.append(presence_diff(gaps, t))
-        if numeric:
-            frames += [
-                constant_within_class(train, target, gaps),
-                zero_fraction_diff(gaps, t),
-                min_value_presence_diff(own_minimum_gaps(train, target, numeric), t),
-            ]
-    if gate and categorical:
-        frames.append(cat_single_target(category_profile(train, categorical, target)))
-
-    first = Window.partitionBy("col").orderBy("place")
-    place = F.array_position(F.array(*[F.lit(r) for r in RULES]), F.col("rule"))
-    return (
-        reduce(DataFrame.union, frames)
-        .withColumn("place", place)
-        .withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") == 1)
-        .select("col", "rule", "stat", "reason")
-        .orderBy("col")
-    )
+    classes = class_counts(train, target, task, t.max_classes)
+    n_rows = train.count() if classes is None else sum(classes.values())
+    found: list[Row] = []
+
+    def left(names: Sequence[str]) -> list[str]:
+        return [c for c in names if c not in {r["col"] for r in found}]
+
+    def apply(*rules: DataFrame) -> None:
+        """Collect a few findings per column; a column keeps the first rule that names it."""
+        for rule in rules:
+            found.extend(r for r in rule.collect() if r["col"] in left([r["col"]]))
+
+    def collected(stats: DataFrame) -> DataFrame:
+        """One row per column, computed once for all the rules that read it."""
+        return local_frame(spark, [tuple(r) for r in stats.collect()], stats.schema)
+
+    if checked:
+        apply(id_like(train, checked, t, n_rows))
+    gaps = None
+    if classes is not None and (left(numeric) or left(categorical)):
+        gaps = collected(class_gaps(class_profile(train, target, left(numeric), left(categorical))))
+        apply(presence_diff(gaps, t))
+    if left(numeric) and _may_be_numeric(classes):
+        moments = collected(numeric_moments(train, target, left(numeric)))
+        apply(constant_overall(moments), high_corr(moments, t))
+    if gaps is not None and left(numeric):
+        apply(constant_within_class(train, target, gaps.where(col("col").isin(left(numeric)))))
+        apply(zero_fraction_diff(gaps.where(col("col").isin(left(numeric))), t))
+    if gaps is not None and left(numeric):
+        apply(min_value_presence_diff(own_minimum_gaps(train, target, left(numeric)), t))
+    if classes is not None and left(categorical):
+        apply(cat_single_target(category_profile(train, left(categorical), target)))
+    return local_frame(spark, [tuple(r) for r in sorted(found, key=lambda r: r["col"])], FINDINGS)
 
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

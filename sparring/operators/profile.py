@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparring.functions.columns import col, per_column, to_number
+from sparring.functions.columns import col, per_column, sql_name, to_number
+from sparring.session import local_frame
 
 # Up to this many rows distinct values are always counted exactly.
 EXACT_ROWS = 10_000_000
@@ -15,47 +16,32 @@ SKETCH_ERROR = 0.01
 # A sketch is trusted when it is at least this far (relatively) from the threshold: ten standard errors.
 SKETCH_BAND = 0.1
 
+HAS_NULL = "CAST(count_if({c} IS NULL) > 0 AS LONG)"
+
 
 def uniqueness(
-    rows: DataFrame, columns: Sequence[str], threshold: float, exact_rows: int = EXACT_ROWS
+    rows: DataFrame, columns: Sequence[str], threshold: float, exact_rows: int = EXACT_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """`col, n_rows, n_unique, unique_frac`, NULL counting as one value.
 
     On large inputs a sketch decides the clear cases and exact counting, which shuffles every
     distinct value, is kept for columns near the threshold.
     """
-    n_rows = rows.count()
     doubtful = list(columns)
     frames = []
-    if n_rows > exact_rows:
-        sketch = per_column(
-            rows,
-            columns,
-            {
-                "n_values": lambda c: F.approx_count_distinct(col(c), SKETCH_ERROR),
-                "has_null": lambda c: F.count_if(col(c).isNull()) > 0,
-            },
-        ).withColumn("n_unique", F.col("n_values") + F.col("has_null").cast("long"))
-        near = F.abs(F.col("n_unique") / F.col("n_rows") - threshold) <= SKETCH_BAND * threshold
-        estimates = sketch.withColumn("near", near).collect()
+    if (rows.count() if n_rows is None else n_rows) > exact_rows:
+        sketch = per_column(rows, columns, {"n_unique": f"approx_count_distinct({{c}}, {SKETCH_ERROR}) + {HAS_NULL}"})
+        near = f"abs(n_unique / n_rows - {threshold}) <= {SKETCH_BAND * threshold} AS near"
+        estimates = sketch.selectExpr("*", near).collect()
         doubtful = [r["col"] for r in estimates if r["near"]]
         clear = [(r["n_rows"], r["col"], r["n_unique"]) for r in estimates if not r["near"]]
         if clear:
-            frames.append(rows.sparkSession.createDataFrame(clear, "n_rows long, col string, n_unique long"))
+            frames.append(local_frame(rows.sparkSession, clear, "n_rows long, col string, n_unique long"))
     if doubtful:
-        exact = per_column(
-            rows,
-            doubtful,
-            {
-                "n_values": lambda c: F.count_distinct(col(c)),
-                "has_null": lambda c: F.count_if(col(c).isNull()) > 0,
-            },
-        )
-        frames.append(
-            exact.select("n_rows", "col", (F.col("n_values") + F.col("has_null").cast("long")).alias("n_unique"))
-        )
+        frames.append(per_column(rows, doubtful, {"n_unique": f"count(DISTINCT {{c}}) + {HAS_NULL}"}))
     counted = frames[0] if len(frames) == 1 else frames[0].union(frames[1])
-    return counted.select("col", "n_rows", "n_unique", (F.col("n_unique") / F.col("n_rows")).alias("unique_frac"))
+    return counted.selectExpr("col", "n_rows", "n_unique", "n_unique / n_rows AS unique_frac")
 
 
 def numeric_moments(rows: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
@@ -64,26 +50,22 @@ def numeric_moments(rows: DataFrame, target: str, columns: Sequence[str]) -> Dat
     The correlation uses the rows where both sides are present and is NULL, not an error, when
     either side is constant there.
     """
-    y = to_number(rows, target)
-    numbered = rows.withColumn("__y", y)
-    both = lambda c: col(c).isNotNull() & F.col("__y").isNotNull()
     stats = per_column(
-        numbered,
+        rows.withColumn("__y", to_number(rows, target)),
         columns,
         {
-            "n_values": lambda c: F.count(col(c)),
-            "low": lambda c: F.min(col(c)).cast("double"),
-            "high": lambda c: F.max(col(c)).cast("double"),
-            "n_target": lambda c: F.count(F.col("__y")),
-            "covariance": lambda c: F.covar_pop(col(c).cast("double"), F.col("__y")),
-            "var_x": lambda c: F.var_pop(F.when(both(c), col(c).cast("double"))),
-            "var_y": lambda c: F.var_pop(F.when(both(c), F.col("__y"))),
+            "n_values": "count({c})",
+            "low": "CAST(min({c}) AS DOUBLE)",
+            "high": "CAST(max({c}) AS DOUBLE)",
+            "n_target": "count(__y)",
+            "covariance": "covar_pop(CAST({c} AS DOUBLE), __y)",
+            "var_x": "var_pop(CASE WHEN __y IS NOT NULL THEN CAST({c} AS DOUBLE) END)",
+            "var_y": "var_pop(CASE WHEN {c} IS NOT NULL THEN __y END)",
         },
     )
-    scale = F.sqrt(F.col("var_x")) * F.sqrt(F.col("var_y"))
-    return stats.select(
+    return stats.selectExpr(
         "col", "n_rows", "n_values", "low", "high", "n_target",
-        F.try_divide("covariance", scale).alias("corr"),
+        "try_divide(covariance, sqrt(var_x) * sqrt(var_y)) AS corr",
     )
 
 
@@ -97,43 +79,25 @@ def class_profile(rows: DataFrame, target: str, numeric: Sequence[str], other: S
     labelled = rows.withColumnRenamed(target, "stratum")
     frames = []
     if numeric:
-        stats = per_column(
-            labelled,
-            numeric,
-            {
-                "present": lambda c: F.count(col(c)),
-                "zeros": lambda c: F.count_if(col(c) == 0),
-                "low": lambda c: F.min(col(c)).cast("double"),
-                "high": lambda c: F.max(col(c)).cast("double"),
-            },
-            by=["stratum"],
-        )
-        one_value = (F.col("present") == F.col("n_rows")) & (F.col("low") == F.col("high"))
-        constant = (F.col("present") == 0) | one_value
-        frames.append(stats.select("col", "stratum", "n_rows", "present", "zeros", constant.alias("constant")))
+        stats = {
+            "present": "count({c})",
+            "zeros": "count_if({c} = 0)",
+            "constant": "count({c}) = 0 OR (count({c}) = count(1) AND min({c}) = max({c}))",
+        }
+        frames.append(per_column(labelled, numeric, stats, by=["stratum"]))
     if other:
-        stats = per_column(labelled, other, {"present": lambda c: F.count(col(c))}, by=["stratum"])
-        unknown = F.lit(None)
-        frames.append(
-            stats.select(
-                "col", "stratum", "n_rows", "present",
-                unknown.cast("long").alias("zeros"), unknown.cast("boolean").alias("constant"),
-            )
-        )
-    return frames[0] if len(frames) == 1 else frames[0].union(frames[1])
+        stats = {"present": "count({c})", "zeros": "CAST(NULL AS LONG)", "constant": "CAST(NULL AS BOOLEAN)"}
+        frames.append(per_column(labelled, other, stats, by=["stratum"]))
+    profile = frames[0] if len(frames) == 1 else frames[0].union(frames[1])
+    return profile.select("col", "stratum", "n_rows", "present", "zeros", "constant")
 
 
 def class_gaps(profile: DataFrame) -> DataFrame:
     """Per column the spread over classes: `col, presence_gap, zero_gap, mixed_constancy`."""
-
-    def spread(part: str):
-        share = F.col(part) / F.col("n_rows")
-        return F.max(share) - F.min(share)
-
     return profile.groupBy("col").agg(
-        spread("present").alias("presence_gap"),
-        spread("zeros").alias("zero_gap"),
-        (F.bool_or("constant") & ~F.bool_and("constant")).alias("mixed_constancy"),
+        F.expr("max(present / n_rows) - min(present / n_rows) AS presence_gap"),
+        F.expr("max(zeros / n_rows) - min(zeros / n_rows) AS zero_gap"),
+        F.expr("bool_or(constant) AND NOT bool_and(constant) AS mixed_constancy"),
     )
 
 
@@ -144,13 +108,12 @@ def own_minimum_gaps(rows: DataFrame, target: str, columns: Sequence[str]) -> Da
     to a second scan that counts the rows equal to them. Only for gated targets.
     """
     labelled = rows.withColumnRenamed(target, "stratum")
-    at = {c: f"m{i}" for i, c in enumerate(columns)}
-    minima = labelled.groupBy("stratum").agg(*[F.min(col(c)).alias(m) for c, m in at.items()])
+    minima = labelled.groupBy("stratum").agg(
+        F.expr("struct(" + ", ".join(f"min({sql_name(c)}) AS {sql_name(c)}" for c in columns) + ") AS __minima")
+    )
     joined = labelled.join(F.broadcast(minima), "stratum")
-    shares = per_column(
-        joined, columns, {"at_minimum": lambda c: F.count_if(col(c) == F.col(at[c]))}, by=["stratum"]
-    ).withColumn("share", F.col("at_minimum") / F.col("n_rows"))
-    return shares.groupBy("col").agg((F.max("share") - F.min("share")).alias("minimum_gap"))
+    shares = per_column(joined, columns, {"share": "count_if({c} = __minima.{c}) / count(1)"}, by=["stratum"])
+    return shares.groupBy("col").agg(F.expr("max(share) - min(share) AS minimum_gap"))
 
 
 def category_profile(rows: DataFrame, columns: Sequence[str], target: str | None = None) -> DataFrame:
@@ -159,19 +122,19 @@ def category_profile(rows: DataFrame, columns: Sequence[str], target: str | None
     Partial aggregation reduces hot values before the shuffle. `one_target` says that all rows
     with the value share one target value.
     """
-    long = rows.select(
-        (col(target) if target else F.lit(None).cast("string")).alias("y"),
-        *[col(c).cast("string").alias(c) for c in columns],
-    ).unpivot("y", [col(c) for c in columns], "col", "value")
+    long = rows.selectExpr(
+        f"{sql_name(target) if target else 'CAST(NULL AS STRING)'} AS `target value`",
+        *[f"CAST({sql_name(c)} AS STRING) AS {sql_name(c)}" for c in columns],
+    ).unpivot("target value", [col(c) for c in columns], "col", "value")
     return long.groupBy("col", "value").agg(
-        F.count(F.lit(1)).alias("n_rows"), (F.min("y") == F.max("y")).alias("one_target")
+        F.expr("count(1) AS n_rows"), F.expr("min(`target value`) = max(`target value`) AS one_target")
     )
 
 
 def single_target_columns(profile: DataFrame) -> DataFrame:
     """`col, n_categories, n_mixed`: a column leaks when no category is mixed and one exists."""
     return (
-        profile.where(F.col("value").isNotNull())
+        profile.where("value IS NOT NULL")
         .groupBy("col")
-        .agg(F.count(F.lit(1)).alias("n_categories"), F.count_if(~F.col("one_target")).alias("n_mixed"))
+        .agg(F.expr("count(1) AS n_categories"), F.expr("count_if(NOT one_target) AS n_mixed"))
     )

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from sparring.functions.columns import col, numeric_columns, require_column
+from sparring.functions.columns import col, numeric_columns, per_column, require_column
 
 CLASSIFICATION = "classification"
 REGRESSION = "regression"
@@ -28,19 +27,19 @@ def infer_tasks(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     """Task per column, with one sketch pass and an exact count only where the sketch is small.
 
     An exact distinct count shuffles every distinct value; the sketch shuffles a few
-    kilobytes, and the columns it leaves over have few distinct values to shuffle.
+    kilobytes, and the columns it leaves over have a set of few values per task.
     """
     columns = df.columns if columns is None else columns
     numeric = [c for c in numeric_columns(df) if c in columns]
     tasks = {c: CLASSIFICATION for c in columns}
     if not numeric:
         return tasks
-    estimates = df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(numeric)]).first()
-    unsure = [c for i, c in enumerate(numeric) if estimates[i] <= CLEARLY_MANY]
+    estimates = per_column(df, numeric, {"n": "approx_count_distinct({c})"}).collect()
+    unsure = [r["col"] for r in estimates if r["n"] <= CLEARLY_MANY]
     tasks.update({c: REGRESSION for c in numeric if c not in unsure})
     if unsure:
-        exact = df.agg(*[F.count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(unsure)]).first()
-        tasks.update({c: REGRESSION for i, c in enumerate(unsure) if exact[i] > MAX_NUMERIC_CLASSES})
+        exact = per_column(df, unsure, {"n": "size(collect_set({c}))"}).collect()
+        tasks.update({r["col"]: REGRESSION for r in exact if r["n"] > MAX_NUMERIC_CLASSES})
     return tasks
 
 

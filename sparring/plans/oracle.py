@@ -264,11 +264,13 @@ def _vote(weights: list[float], decide: bool) -> str:
     SELECT o_orderkey, {shown}{decision} FROM voted"""
 
 
-PREDICTED = """WITH m1 AS (SELECT o_orderpriority AS g1, avg(o_totalprice) AS m1 FROM orders GROUP BY 1),
-    m2 AS (SELECT o_custkey % 7 AS g2, avg(o_totalprice) AS m2 FROM orders GROUP BY 1),
-    m3 AS (SELECT avg(o_totalprice) AS m3 FROM orders),
-    predicted AS (SELECT orders.*, m1, m2, m3 FROM orders JOIN m1 ON o_orderpriority = g1
-                  JOIN m2 ON o_custkey % 7 = g2, m3)"""
+PREDICTED = """WITH priced AS (SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice / 1000 AS o_totalprice
+      FROM orders),
+    m1 AS (SELECT o_orderpriority AS g1, avg(o_totalprice) AS m1 FROM priced GROUP BY 1),
+    m2 AS (SELECT o_custkey % 7 AS g2, avg(o_totalprice) AS m2 FROM priced GROUP BY 1),
+    m3 AS (SELECT o_custkey % 11 AS g3, avg(o_totalprice) AS m3 FROM priced GROUP BY 1),
+    predicted AS (SELECT priced.*, m1, m2, m3 FROM priced JOIN m1 ON o_orderpriority = g1
+                  JOIN m2 ON o_custkey % 7 = g2 JOIN m3 ON o_custkey % 11 = g3)"""
 RUNS = """(SELECT CAST(l_linenumber AS VARCHAR) AS model, round(sum(l_tax), 2) AS train_time,
       CAST(sum(l_orderkey) AS BIGINT) AS model_size FROM lineitem GROUP BY 1)"""
 

@@ -121,7 +121,7 @@ def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
     kinds = {c: "numeric" for c in numeric_columns(rows)} | {c: "categorical" for c in categorical_columns(rows)}
-    counts = per_column(rows, list(kinds), {"n_values": lambda c: F.count(col(c))})
+    counts = per_column(rows, list(kinds), {"n_values": "count({c})"})
     numeric = [c for c, k in kinds.items() if k == "numeric"]
     return counts.select("col", F.when(F.col("col").isin(numeric), "numeric").otherwise("categorical").alias("kind"),
                          "n_values")
@@ -471,8 +471,11 @@ def soft_vote_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predicted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
-    for output, group in (("m1", F.col("o_orderpriority")), ("m2", F.col("o_custkey") % 7), ("m3", F.lit(1))):
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", (F.col("o_totalprice") / 1000).alias("o_totalprice")
+    )
+    groups = {"m1": F.col("o_orderpriority"), "m2": F.col("o_custkey") % 7, "m3": F.col("o_custkey") % 11}
+    for output, group in groups.items():
         keyed = rows.withColumn("__g", group)
         model = keyed.groupBy("__g").agg(F.avg("o_totalprice").alias(output))
         rows = keyed.join(F.broadcast(model), "__g").drop("__g")

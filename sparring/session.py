@@ -23,6 +23,8 @@ def local_session(cpus: int = 8, memory: str = "8g", app: str = "sparring") -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Call-site capture costs more than building the plans does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparring.functions.columns import NUMBER_PATTERN, clean_missing, col, per_column
+from sparring.functions.columns import NUMBER_PATTERN, clean_missing, col, per_column, sql_name, sql_text
 
 # Texts that count as missing in a CSV file.
 NA_TOKENS = (
@@ -30,25 +30,21 @@ def read_csv_table(
     of reading each file in one task.
     """
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multiline, **options)
-    text = raw.select(*[F.when(~col(c).isin(list(na_tokens)), col(c)).alias(c) for c in raw.columns])
     if not raw.columns:
-        return text
-
-    def fits(pattern: str, kind: str | None = None):
-        def count(c: str):
-            ok = col(c).rlike(pattern)
-            return F.count_if(ok if kind is None else ok & F.trim(col(c)).try_cast(kind).isNotNull())
-
-        return count
-
+        return raw
+    tokens = ", ".join(sql_text(t) for t in na_tokens)
+    text = raw.selectExpr(*[f"CASE WHEN {n} NOT IN ({tokens}) THEN {n} END AS {n}" for n in map(sql_name, raw.columns)])
+    integer, number, infinity, boolean = (
+        sql_text(p) for p in (INTEGER_PATTERN, NUMBER_PATTERN, INFINITY_PATTERN, BOOLEAN_PATTERN)
+    )
     stats = per_column(
         text,
         text.columns,
         {
-            "n_values": lambda c: F.count(col(c)),
-            "integers": fits(INTEGER_PATTERN, "bigint"),
-            "numbers": lambda c: F.count_if(col(c).rlike(NUMBER_PATTERN) | col(c).rlike(INFINITY_PATTERN)),
-            "booleans": fits(BOOLEAN_PATTERN),
+            "n_values": "count({c})",
+            "integers": f"count_if({{c}} RLIKE {integer} AND try_cast(trim({{c}}) AS BIGINT) IS NOT NULL)",
+            "numbers": f"count_if({{c}} RLIKE {number} OR {{c}} RLIKE {infinity})",
+            "booleans": f"count_if({{c}} RLIKE {boolean})",
         },
     ).collect()
     kinds = {r["col"]: _kind(r) for r in stats}
