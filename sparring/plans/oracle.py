@@ -343,8 +343,8 @@ def _display() -> str:
       {_size_text('model_size')} AS size FROM board"""
 
 
-WIDE = f"""{PREDICTED} SELECT o_orderkey, round(o_totalprice, 4) AS "Actual", round(m1, 4) AS "By priority",
-    round((m1 + m2) / 2.0, 4) AS "By customer + priority" FROM predicted"""
+WIDE = f"""{PREDICTED} SELECT o_orderkey, round(o_totalprice, 6) AS "Actual", round(m1, 6) AS "By priority",
+    round((m1 + m2) / 2.0, 6) AS "By customer + priority" FROM predicted"""
 
 
 def _content_split() -> str:

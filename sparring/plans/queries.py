@@ -561,7 +561,7 @@ def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _predicted_orders(spark, sf_dir)
     models = {"By priority": F.col("m1"), "By customer + priority": mean_vote([F.col("m1"), F.col("m2")])}
-    return rounded(prediction_table(rows, "o_orderkey", "o_totalprice", models), 4)
+    return rounded(prediction_table(rows, "o_orderkey", "o_totalprice", models))
 
 
 @query
