@@ -86,7 +86,8 @@ def sql_text(value: str) -> str:
 
 
 def per_column(
-    df: DataFrame, columns: Sequence[str], stats: dict[str, str], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], stats: dict[str, str], by: Sequence[str] = (),
+    per_scan: int = AGGREGATES_PER_SCAN,
 ) -> DataFrame:
     """Aggregates of many columns as a long frame `by..., n_rows, col, <stats>`.
 
@@ -96,7 +97,7 @@ def per_column(
     however the group sizes are skewed.
     """
     frames = []
-    for chunk in chunks(columns, max(1, AGGREGATES_PER_SCAN // len(stats))):
+    for chunk in chunks(columns, max(1, per_scan // len(stats))):
         aggregates = [
             F.expr(f"{text.format(c=sql_name(name))} AS s{i}_{stat}")
             for i, name in enumerate(chunk)

@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from sparring.functions.columns import categorical_columns, col, numeric_columns, per_column, require_column
 from sparring.functions.keys import ROW_KEY
 from sparring.functions.linalg import fix_signs, top_eigenvectors
-from sparring.operators.leak import LeakThresholds, leak_report
-from sparring.operators.profile import category_profile
+from sparring.operators.leak import LeakThresholds, scan_leaks
 from sparring.operators.split import SPLIT, TRAIN
 from sparring.operators.task import CLASSIFICATION, check_task
+from sparring.session import local_frame
 
 ACTUAL = "actual"
 LABEL = "label"
@@ -32,8 +32,9 @@ HIGH_CARDINALITY = 1000
 HIGH_FRACTION = 0.05
 SVD_COMPONENTS = 200
 
-# Count tables up to this many values are broadcast; larger ones are joined by shuffle.
+# Count tables up to this many values and bytes are broadcast; larger ones are joined by shuffle.
 BROADCAST_VALUES = 200_000
+BROADCAST_BYTES = 32 * 1024**2
 # Values holding at least this share of the rows are joined apart; at most 1000 values can.
 HOT_SHARE = 0.001
 HOT_SALTS = 1024
@@ -46,28 +47,35 @@ MAX_CLASSES = 100_000
 
 def class_labels(df: DataFrame, target: str) -> list:
     """The distinct target values in their natural order: numbers by value, text by code point."""
-    rows = df.select(col(target)).distinct().limit(MAX_CLASSES + 1).collect()
+    return [value for value, _ in _labels_and_texts(df, target)]
+
+
+def _labels_and_texts(df: DataFrame, target: str) -> list[tuple]:
+    """Class values in order, each with its text as Spark renders it, which the indexer compares."""
+    rows = (
+        df.select(col(target).alias("value"), col(target).cast("string").alias("text"))
+        .distinct()
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes; treat it as a regression target")
-    return sorted(r[0] for r in rows)
+    return sorted(tuple(r) for r in rows)
 
 
-def _label_texts(df: DataFrame, target: str, classes: Sequence) -> list[str]:
-    """Class values as Spark renders them, which the indexer compares."""
+def label_encode(df: DataFrame, target: str, classes: Sequence, output: str = LABEL) -> DataFrame:
+    """Add the position of the target in `classes`. An unseen value is an error that names it."""
     kind = df.schema[target].dataType
     if isinstance(kind, T.StringType):
-        return list(classes)
-    if isinstance(kind, T.BooleanType):
-        return [str(c).lower() for c in classes]
-    local = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(classes)], T.StructType(
-        [T.StructField("i", T.IntegerType()), T.StructField("c", kind)]
+        return _index_labels(df, target, list(classes), output)
+    local = local_frame(df.sparkSession, list(enumerate(classes)), T.StructType(
+        [T.StructField("place", T.LongType()), T.StructField("value", kind)]
     ))
-    return [r[1] for r in local.select("i", F.col("c").cast("string")).orderBy("i").collect()]
+    texts = [r["text"] for r in local.selectExpr("place", "CAST(value AS STRING) AS text").orderBy("place").collect()]
+    return _index_labels(df, target, texts, output)
 
 
-def label_encode(df: DataFrame, target: str, classes: Sequence, output: str = LABEL) -> DataFrame:
-    """Add the position of the target in `classes`. An unseen value is an error that names it."""
-    texts = _label_texts(df, target, classes)
+def _index_labels(df: DataFrame, target: str, texts: list[str], output: str) -> DataFrame:
     indexer = StringIndexerModel.from_labels(
         texts, inputCol="__label_text", outputCol=output, handleInvalid="error"
     )
@@ -113,37 +121,42 @@ def frequency_counts(train: DataFrame, column: str) -> DataFrame:
     )
 
 
+def fits_broadcast(n_values: int, n_bytes: int) -> bool:
+    """Whether a count table is small enough, in rows and in bytes, to travel to every task."""
+    return n_values <= BROADCAST_VALUES and n_bytes <= BROADCAST_BYTES
+
+
 def frequency_encode(
-    df: DataFrame, column: str, counts: DataFrame, output: str, n_rows: int, n_values: int,
-    broadcast_values: int = BROADCAST_VALUES,
+    df: DataFrame, column: str, counts: DataFrame, output: str, n_rows: int, broadcast: bool
 ) -> DataFrame:
     """Replace a value by its training count; 0.0 for unseen values and NULL.
 
-    A small count table is broadcast. For a large one the values holding over HOT_SHARE of the
-    training rows (under 1/HOT_SHARE of them by arithmetic) are broadcast, and the rest is joined by
-    shuffle with hot rows scattered over salts that match nothing, so no task gets a hot value.
+    A count table that `fits_broadcast` is broadcast. Otherwise values are joined by their md5, which keeps
+    long texts out of the shuffle: those holding over HOT_SHARE of the training rows (fewer
+    than 1/HOT_SHARE by arithmetic, 32 characters each) are broadcast, and the rest is joined by
+    shuffle with the hot rows scattered over salts that match nothing, so no task gets a hot value.
     """
-    if n_values <= broadcast_values:
+    text = col(column).cast("string")
+    if broadcast:
         table = F.broadcast(counts.select(F.col("value").alias("__v"), F.col("n_rows").alias("__n")))
-        joined = df.join(table, col(column).cast("string") == F.col("__v"), "left")
+        joined = df.join(table, text == F.col("__v"), "left")
         return joined.withColumn(output, F.coalesce(F.col("__n"), F.lit(0)).cast("double")).drop("__v", "__n")
 
     edge = HOT_SHARE * n_rows
-    hot = counts.where(F.col("n_rows") > edge).select(F.col("value").alias("__hv"), F.col("n_rows").alias("__hn"))
-    cold = counts.where(F.col("n_rows") <= edge).select(
-        F.col("value").alias("__v"), F.lit(0).alias("__s"), F.col("n_rows").alias("__n")
-    )
-    text = col(column).cast("string")
-    apart = F.col("__hn").isNotNull() | text.isNull()
+    hashed = counts.select(F.md5("value").alias("__v"), F.col("n_rows").alias("__n"))
+    hot = hashed.where(F.col("__n") > edge).select(F.col("__v").alias("__hv"), F.col("__n").alias("__hn"))
+    cold = hashed.where(F.col("__n") <= edge).select("__v", F.lit(0).alias("__s"), "__n")
+    apart = F.col("__hn").isNotNull() | F.col("__k").isNull()
     salt = F.pmod(F.xxhash64(F.col(ROW_KEY)), F.lit(HOT_SALTS)).cast("int") + 1
     marked = (
-        df.join(F.broadcast(hot), text == F.col("__hv"), "left")
-        .withColumn("__cv", F.when(apart, "").otherwise(text))
+        df.withColumn("__k", F.md5(text))
+        .join(F.broadcast(hot), F.col("__k") == F.col("__hv"), "left")
+        .withColumn("__ck", F.when(apart, "").otherwise(F.col("__k")))
         .withColumn("__cs", F.when(apart, salt).otherwise(F.lit(0)))
     )
-    joined = marked.join(cold, (F.col("__cv") == F.col("__v")) & (F.col("__cs") == F.col("__s")), "left")
+    joined = marked.join(cold, (F.col("__ck") == F.col("__v")) & (F.col("__cs") == F.col("__s")), "left")
     value = F.coalesce(F.col("__hn"), F.col("__n"), F.lit(0)).cast("double")
-    return joined.withColumn(output, value).drop("__hv", "__hn", "__cv", "__cs", "__v", "__s", "__n")
+    return joined.withColumn(output, value).drop("__k", "__hv", "__hn", "__ck", "__cs", "__v", "__s", "__n")
 
 
 def scale_stats(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -287,15 +300,15 @@ class FittedPreprocessor:
     arrays: list[str]
     array_widths: list[int]
     counts: dict[str, DataFrame]
-    n_values: dict[str, int]
+    broadcast: dict[str, bool]
     n_train: int
     stats: dict[str, tuple[float, float]]
     onehot: OneHot | None
     vectors: np.ndarray | None
     singular_values: np.ndarray | None
     classes: list | None
+    class_texts: list[str] | None
     missing: str
-    broadcast_values: int
 
     @property
     def n_features(self) -> int:
@@ -318,8 +331,7 @@ class FittedPreprocessor:
         for i, name in enumerate(inputs):
             if i >= len(self.numeric):
                 out = frequency_encode(
-                    out, f"__x{i}", self.counts[name], f"__x{i}", self.n_train, self.n_values[name],
-                    self.broadcast_values,
+                    out, f"__x{i}", self.counts[name], f"__x{i}", self.n_train, self.broadcast[name]
                 )
         scaled = []
         for i, name in enumerate(inputs):
@@ -340,7 +352,7 @@ class FittedPreprocessor:
         out = VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="error").transform(out)
         out = out.select(*keep, FEATURES)
         if self.task == CLASSIFICATION:
-            out = label_encode(out, "__actual", self.classes)
+            out = _index_labels(out, "__actual", self.class_texts, LABEL)
         else:
             out = out.withColumn(LABEL, F.col("__actual").cast("double"))
         frame = out.select(ROW_KEY, SPLIT, F.col("__actual").alias(ACTUAL), LABEL, FEATURES)
@@ -358,7 +370,6 @@ class Preprocessor:
     missing: str = "error"
     key_cols: Sequence[str] = ()
     array_cols: Sequence[str] = ()
-    broadcast_values: int = BROADCAST_VALUES
 
     def fit(self, df: DataFrame, target: str, task: str) -> FittedPreprocessor:
         require_column(df, target)
@@ -368,7 +379,8 @@ class Preprocessor:
         train = df.where(F.col(SPLIT) == TRAIN)
         aside = {ROW_KEY, SPLIT, target, *self.key_cols}
         numeric, categorical = numeric_columns(df, aside), categorical_columns(df, aside)
-        report = leak_report(train, target, task, numeric + categorical, self.thresholds).collect()
+        scan = scan_leaks(train, target, task, numeric + categorical, self.thresholds)
+        report = scan.findings
         dropped = {r["col"] for r in report}
         numeric = [c for c in numeric if c not in dropped]
         categorical = [c for c in categorical if c not in dropped]
@@ -384,19 +396,23 @@ class Preprocessor:
             lacking = [r["col"] for r in rows if r["n_values"] < r["n_rows"]]
             if lacking and self.missing == "error":
                 raise ValueError(f"missing values in {lacking}; fill them or pass missing='mean'")
-        n_train = train.count() if n_train is None else n_train
+        if scan.classes is not None:
+            n_train = sum(r["n_rows"] for r in scan.classes)
+        elif n_train is None:
+            n_train = train.count()
 
-        frequency, counts, n_values, onehot, vectors, singular = [], {}, {}, None, None, None
+        frequency, counts, broadcast, onehot, vectors, singular = [], {}, {}, None, None, None
         if categorical:
-            profile = category_profile(train, categorical)
+            profile = scan.profile.where(col("col").isin(categorical))
             routing = cardinality_routing(profile, n_train, self.high_cardinality, self.high_fraction)
             routes = {r["col"]: r for r in routing.collect()}
             frequency = [c for c in categorical if routes[c]["route"] == "frequency"]
             normal = [c for c in categorical if routes[c]["route"] == "onehot"]
+            sums = _power_sums(profile.where(col("col").isin(frequency))) if frequency else {}
             for name in frequency:
-                counts[name] = frequency_counts(train, name)
-                n_values[name] = routes[name]["n_categories"]
-                stats[name] = _frequency_stats(counts[name], n_train)
+                stats[name] = _frequency_stats(sums[name], n_train)
+                broadcast[name] = fits_broadcast(routes[name]["n_categories"], sums[name]["n_bytes"])
+                counts[name] = profile.where((col("col") == name) & col("value").isNotNull()).select("value", "n_rows")
             if normal:
                 total = sum(routes[c]["n_categories"] for c in normal)
                 k = min(self.svd_components, max(2, total - 1))
@@ -405,18 +421,33 @@ class Preprocessor:
                     encoded = onehot.encode(onehot.index(train), "__block")
                     singular, vectors = fit_svd(encoded, "__block", onehot.width, k)
         widths = [train.select(F.max(F.size(col(a)))).first()[0] for a in self.array_cols]
-        classes = class_labels(train, target) if task == CLASSIFICATION else None
+        labels = None
+        if task == CLASSIFICATION:
+            known = scan.classes and [(r["value"], r["text"]) for r in scan.classes]
+            labels = sorted(known or _labels_and_texts(train, target))
         return FittedPreprocessor(
-            target, task, report, numeric, frequency, list(self.array_cols), widths, counts, n_values, n_train,
-            stats, onehot, vectors, singular, classes, self.missing, self.broadcast_values,
+            target, task, report, numeric, frequency, list(self.array_cols), widths, counts, broadcast, n_train,
+            stats, onehot, vectors, singular, labels and [v for v, _ in labels], labels and [t for _, t in labels],
+            self.missing,
         )
 
 
-def _frequency_stats(counts: DataFrame, n_train: int) -> tuple[float, float]:
-    """Mean and population deviation of the encoded training column, from its counts alone."""
-    mean = (counts.agg(F.sum(F.col("n_rows").cast("double") * F.col("n_rows"))).first()[0] or 0.0) / n_train
-    spread, covered = counts.agg(
-        F.sum(F.col("n_rows") * F.pow(F.col("n_rows") - mean, 2)), F.sum("n_rows")
-    ).first()
-    nulls = n_train - (covered or 0)
-    return mean, float(np.sqrt(((spread or 0.0) + nulls * mean**2) / n_train))
+def _power_sums(profile: DataFrame) -> dict:
+    """Per column the exact sums of n^2 and n^3 over its values' counts n, and the bytes of the values."""
+    n = "CAST(n_rows AS DECIMAL(12,0))"
+    sums = profile.where("value IS NOT NULL").groupBy("col").agg(
+        F.expr(f"sum({n} * {n}) AS s2"),
+        F.expr(f"sum({n} * {n} * {n}) AS s3"),
+        F.expr("sum(octet_length(value) + 16) AS n_bytes"),
+    )
+    return {r["col"]: r for r in sums.collect()}
+
+
+def _frequency_stats(sums, n_train: int) -> tuple[float, float]:
+    """Mean and population deviation of an encoded training column.
+
+    A value with count n is on n rows, so the first two moments are the sums of n^2 and n^3;
+    NULL rows add zeros. Whole numbers keep the variance exact before its root.
+    """
+    s2, s3 = int(sums["s2"]), int(sums["s3"])
+    return s2 / n_train, ((n_train * s3 - s2 * s2) / n_train**2) ** 0.5

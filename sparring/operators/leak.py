@@ -17,6 +17,7 @@ from sparring.functions.columns import (
     numeric_columns,
     per_column,
     require_column,
+    sql_name,
 )
 from sparring.operators.profile import (
     EXACT_ROWS,
@@ -29,7 +30,7 @@ from sparring.operators.profile import (
     uniqueness,
 )
 from sparring.operators.task import CLASSIFICATION, check_task
-from sparring.session import local_frame
+from sparring.session import local_frame, materialize
 
 # Rule names in the order in which they are tried.
 RULES = (
@@ -61,17 +62,24 @@ class LeakThresholds:
 FINDINGS = "col string, rule string, stat double, reason string"
 
 
-def class_counts(train: DataFrame, target: str, task: str, max_classes: int = 50) -> dict | None:
-    """Rows per class if the per-class rules apply: classification with at most `max_classes` classes."""
+def class_counts(train: DataFrame, target: str, task: str, max_classes: int = 50) -> list[Row] | None:
+    """`(value, text, n_rows)` per class if the per-class rules apply, else None.
+
+    They apply to classification targets with at most `max_classes` classes.
+    """
     if check_task(task) != CLASSIFICATION:
         return None
-    rows = train.groupBy(col(target)).count().limit(max_classes + 1).collect()
-    return {r[0]: r[1] for r in rows} if len(rows) <= max_classes else None
+    name = sql_name(target)
+    classes = train.groupBy(F.expr(f"{name} AS value"), F.expr(f"CAST({name} AS STRING) AS text"))
+    rows = classes.agg(F.expr("count(1) AS n_rows")).limit(max_classes + 1).collect()
+    return rows if len(rows) <= max_classes else None
 
 
-def _may_be_numeric(classes: dict | None) -> bool:
+def _may_be_numeric(classes: list[Row] | None) -> bool:
     """Whether a target with these classes has a value that reads as a number."""
-    return classes is None or any(not isinstance(c, str) or re.match(NUMBER_PATTERN, c) for c in classes)
+    return classes is None or any(
+        not isinstance(r["value"], str) or re.match(NUMBER_PATTERN, r["value"]) for r in classes
+    )
 
 
 def _findings(frame: DataFrame, rule: str, trips: str, stat: str, reason: str) -> DataFrame:
@@ -82,9 +90,9 @@ def _findings(frame: DataFrame, rule: str, trips: str, stat: str, reason: str) -
 
 
 def id_like(
-    train: DataFrame, columns: Sequence[str], t: LeakThresholds = LeakThresholds(), n_rows: int | None = None
+    train: DataFrame, columns: Sequence[str], t: LeakThresholds = LeakThresholds()
 ) -> DataFrame:
-    stats = uniqueness(train, columns, t.unique, t.exact_rows, n_rows)
+    stats = uniqueness(train, columns, t.unique, t.exact_rows)
     reason = "format_string('id_like (high_unique_frac=%.3f)', unique_frac)"
     return _findings(stats, RULES[0], f"unique_frac >= {t.unique}D", "unique_frac", reason)
 
@@ -137,17 +145,27 @@ def cat_single_target(profile: DataFrame) -> DataFrame:
     return _findings(single_target_columns(profile), RULES[7], "n_mixed = 0", "NULL", f"'{RULES[7]}'")
 
 
-def leak_report(
+@dataclass(frozen=True)
+class LeakScan:
+    """What the passes over the training rows found and can be used again."""
+
+    findings: list[Row]
+    classes: list[Row] | None
+    profile: DataFrame | None
+
+
+def scan_leaks(
     train: DataFrame,
     target: str,
     task: str,
     columns: Sequence[str] | None = None,
     thresholds: LeakThresholds = LeakThresholds(),
-) -> DataFrame:
-    """`col, rule, stat, reason` of every column to drop, each under the first rule it meets.
+) -> LeakScan:
+    """Apply the rules in order, pass by pass.
 
     A column that a rule names is left out of the later passes. ID-like columns go first, so the later
-    passes only shuffle per-class rows and the categories of columns with repeated values.
+    passes only shuffle per-class rows and the categories of columns with repeated values. The
+    category profile is written once and serves the encoders too.
     """
     require_column(train, target)
     spark = train.sparkSession
@@ -156,25 +174,24 @@ def leak_report(
     numeric = [c for c in numeric_columns(train) if c in columns]
     categorical = [c for c in categorical_columns(train) if c in columns]
     checked = [c for c in columns if c in categorical or (c in numeric and t.id_like_numeric)]
-
-    classes = class_counts(train, target, task, t.max_classes)
-    n_rows = train.count() if classes is None else sum(classes.values())
     found: list[Row] = []
 
     def left(names: Sequence[str]) -> list[str]:
-        return [c for c in names if c not in {r["col"] for r in found}]
+        dropped = {r["col"] for r in found}
+        return [c for c in names if c not in dropped]
 
     def apply(*rules: DataFrame) -> None:
         """Collect a few findings per column; a column keeps the first rule that names it."""
         for rule in rules:
-            found.extend(r for r in rule.collect() if r["col"] in left([r["col"]]))
+            found.extend(r for r in rule.collect() if left([r["col"]]))
 
     def collected(stats: DataFrame) -> DataFrame:
         """One row per column, computed once for all the rules that read it."""
         return local_frame(spark, [tuple(r) for r in stats.collect()], stats.schema)
 
+    classes = class_counts(train, target, task, t.max_classes)
     if checked:
-        apply(id_like(train, checked, t, n_rows))
+        apply(id_like(train, checked, t))
     gaps = None
     if classes is not None and (left(numeric) or left(categorical)):
         gaps = collected(class_gaps(class_profile(train, target, left(numeric), left(categorical))))
@@ -187,9 +204,24 @@ def leak_report(
         apply(zero_fraction_diff(gaps.where(col("col").isin(left(numeric))), t))
     if gaps is not None and left(numeric):
         apply(min_value_presence_diff(own_minimum_gaps(train, target, left(numeric)), t))
-    if classes is not None and left(categorical):
-        apply(cat_single_target(category_profile(train, left(categorical), target)))
-    return local_frame(spark, [tuple(r) for r in sorted(found, key=lambda r: r["col"])], FINDINGS)
+    profile = None
+    if left(categorical):
+        profile = materialize(category_profile(train, left(categorical), target), "categories")
+        if classes is not None:
+            apply(cat_single_target(profile))
+    return LeakScan(sorted(found, key=lambda r: r["col"]), classes, profile)
+
+
+def leak_report(
+    train: DataFrame,
+    target: str,
+    task: str,
+    columns: Sequence[str] | None = None,
+    thresholds: LeakThresholds = LeakThresholds(),
+) -> DataFrame:
+    """`col, rule, stat, reason` of every column to drop, each under the first rule it meets."""
+    findings = scan_leaks(train, target, task, columns, thresholds).findings
+    return local_frame(train.sparkSession, [tuple(r) for r in findings], FINDINGS)
 
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

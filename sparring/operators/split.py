@@ -6,7 +6,7 @@ import hashlib
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,9 @@ TEST = "test"
 # One cutoff row per stratum travels to every task; beyond this many strata Spark joins by shuffle.
 BROADCAST_STRATA = 50_000
 
+# Up to this many cutoffs are written into the expression instead of being joined.
+INLINE_STRATA = 16
+
 # Rows that one hash bucket should hold at most; decides how finely the hash is bucketed.
 ROWS_PER_BUCKET = 50_000
 
@@ -52,18 +55,19 @@ def split(
     )
     cutoffs = _cutoffs_for(keyed, stratified, test_size, seed, broadcast_strata)
     edges = cutoffs.limit(broadcast_strata + 1).collect()
-    h = seeded_hash(F.col(ROW_KEY), seed)
-    if len(edges) == 1 and not stratified:
-        return rows.withColumn(SPLIT, _side(h, F.lit(edges[0]["cut_h"]), F.lit(edges[0]["cut_key"])))
+    # The hash has a fixed length, so hash and key order like their concatenation.
+    place = F.concat(seeded_hash(F.col(ROW_KEY), seed), F.col(ROW_KEY))
+    if len(edges) <= min(INLINE_STRATA, broadcast_strata):
+        cut = F.lit(None).cast("string")
+        for e in edges:
+            mine = F.lit(True) if not stratified else col(target) == F.lit(e["stratum"])
+            cut = F.when(mine, F.lit(e["cut_h"] + e["cut_key"])).otherwise(cut)
+        return rows.withColumn(SPLIT, F.when(place <= cut, TEST).otherwise(TRAIN))
     if len(edges) <= broadcast_strata:
         cutoffs = F.broadcast(local_frame(df.sparkSession, edges, cutoffs.schema))
     marked = rows.join(cutoffs, col(target) == F.col("stratum"), "left")
-    return marked.withColumn(SPLIT, _side(h, F.col("cut_h"), F.col("cut_key"))).drop("stratum", "cut_h", "cut_key")
-
-
-def _side(h: Column, cut_h: Column, cut_key: Column) -> Column:
-    in_test = (h < cut_h) | ((h == cut_h) & (F.col(ROW_KEY) <= cut_key))
-    return F.when(in_test, TEST).otherwise(TRAIN)
+    in_test = place <= F.concat("cut_h", "cut_key")
+    return marked.withColumn(SPLIT, F.when(in_test, TEST).otherwise(TRAIN)).drop("stratum", "cut_h", "cut_key")
 
 
 def _cutoffs_for(

@@ -17,6 +17,10 @@ MAX_NUMERIC_CLASSES = 15
 CLEARLY_MANY = 20 * MAX_NUMERIC_CLASSES
 
 
+# The hash counts NULL as a value, which does not matter far from the limit.
+SKETCH = "hll_sketch_estimate(hll_sketch_agg(xxhash64({c}), 10))"
+
+
 def check_task(task: str) -> str:
     if task not in TASKS:
         raise ValueError(f"unknown task type {task!r}; expected one of {TASKS}")
@@ -34,7 +38,7 @@ def infer_tasks(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     tasks = {c: CLASSIFICATION for c in columns}
     if not numeric:
         return tasks
-    estimates = per_column(df, numeric, {"n": "approx_count_distinct({c})"}).collect()
+    estimates = per_column(df, numeric, {"n": SKETCH}).collect()
     unsure = [r["col"] for r in estimates if r["n"] <= CLEARLY_MANY]
     tasks.update({c: REGRESSION for c in numeric if c not in unsure})
     if unsure:

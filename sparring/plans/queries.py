@@ -208,7 +208,7 @@ LEAKY_NUMERIC = [
 @query
 def leak_id_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _leaky_lineitem(spark, sf_dir)
-    return rounded(profile.uniqueness(rows, [*LEAKY_NUMERIC, "l_linestatus", "flag_and_status"], 0.8))
+    return rounded(leak.id_like(rows, [*LEAKY_NUMERIC, "l_linestatus", "flag_and_status"]))
 
 
 def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +306,9 @@ def frequency_encode_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _part_split(spark, sf_dir)
     train_rows = rows.where(F.col(SPLIT) == TRAIN)
     counts = encode.frequency_counts(train_rows, "p_brand")
-    encoded = encode.frequency_encode(rows, "p_brand", counts, "frequency", train_rows.count(), counts.count())
+    n_values, n_bytes = counts.agg(F.count("value"), F.sum(F.octet_length("value"))).first()
+    broadcast = encode.fits_broadcast(n_values, n_bytes)
+    encoded = encode.frequency_encode(rows, "p_brand", counts, "frequency", train_rows.count(), broadcast)
     return encoded.select("p_partkey", "frequency")
 
 
@@ -318,9 +320,7 @@ def frequency_encode_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     train_rows = rows.where(F.col(SPLIT) == TRAIN)
     counts = encode.frequency_counts(train_rows, "word")
-    encoded = encode.frequency_encode(
-        rows, "word", counts, "frequency", train_rows.count(), counts.count(), broadcast_values=0
-    )
+    encoded = encode.frequency_encode(rows, "word", counts, "frequency", train_rows.count(), broadcast=False)
     return encoded.select("o_orderkey", "frequency")
 
 

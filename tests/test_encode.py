@@ -75,13 +75,12 @@ def test_frequency_paths_agree_with_hot_values(spark):
         F.when(i % 3 == 0, "hot").when(i % 31 == 0, None).otherwise((i % 1500).cast("string")).alias("v"),
     )
     counts = encode.frequency_counts(frame.where(i < 2000), "v")
-    n = counts.count()
 
-    def run(limit):
-        out = encode.frequency_encode(frame, "v", counts, "f", 2000, n, broadcast_values=limit)
+    def run(broadcast):
+        out = encode.frequency_encode(frame, "v", counts, "f", 2000, broadcast)
         return {r[0]: r[1] for r in out.select(ROW_KEY, "f").collect()}
 
-    shuffled, broadcast = run(0), run(10**6)
+    shuffled, broadcast = run(False), run(True)
     assert shuffled == broadcast and len(shuffled) == 3000
     assert set(frame.where("v is null").select(ROW_KEY).toPandas()[ROW_KEY]) <= {k for k, f in broadcast.items() if f == 0}
 
