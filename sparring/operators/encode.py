@@ -145,18 +145,18 @@ def frequency_encode(
     edge = HOT_SHARE * n_rows
     hashed = counts.select(F.md5("value").alias("__v"), F.col("n_rows").alias("__n"))
     hot = hashed.where(F.col("__n") > edge).select(F.col("__v").alias("__hv"), F.col("__n").alias("__hn"))
-    cold = hashed.where(F.col("__n") <= edge).select("__v", F.lit(0).alias("__s"), "__n")
+    cold = hashed.where(F.col("__n") <= edge)
+    # The salt is part of the key text: as a column of its own the optimizer would fold it out of the join key.
+    salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(F.col(ROW_KEY)), F.lit(HOT_SALTS)).cast("string"))
     apart = F.col("__hn").isNotNull() | F.col("__k").isNull()
-    salt = F.pmod(F.xxhash64(F.col(ROW_KEY)), F.lit(HOT_SALTS)).cast("int") + 1
     marked = (
         df.withColumn("__k", F.md5(text))
         .join(F.broadcast(hot), F.col("__k") == F.col("__hv"), "left")
-        .withColumn("__ck", F.when(apart, "").otherwise(F.col("__k")))
-        .withColumn("__cs", F.when(apart, salt).otherwise(F.lit(0)))
+        .withColumn("__ck", F.when(apart, salt).otherwise(F.col("__k")))
     )
-    joined = marked.join(cold, (F.col("__ck") == F.col("__v")) & (F.col("__cs") == F.col("__s")), "left")
+    joined = marked.join(cold, F.col("__ck") == F.col("__v"), "left")
     value = F.coalesce(F.col("__hn"), F.col("__n"), F.lit(0)).cast("double")
-    return joined.withColumn(output, value).drop("__k", "__hv", "__hn", "__ck", "__cs", "__v", "__s", "__n")
+    return joined.withColumn(output, value).drop("__k", "__hv", "__hn", "__ck", "__v", "__n")
 
 
 def scale_stats(train: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -243,8 +243,8 @@ def _shares(group: str, name: str) -> str:
     return f"{name} AS (SELECT {group} AS g_{name}, {shares} FROM orders GROUP BY 1)"
 
 
-SCORED = f"""WITH {_shares('o_orderpriority', 'a')}, {_shares('o_custkey % 7', 'b')}, {_shares('1', 'c')},
-    scored AS (SELECT * FROM orders JOIN a ON o_orderpriority = g_a JOIN b ON o_custkey % 7 = g_b JOIN c ON g_c = 1)"""
+SCORED = f"""WITH {_shares('o_orderpriority', 'a')}, {_shares('o_custkey % 7', 'b')}, {_shares('o_custkey % 11', 'c')},
+    scored AS (SELECT * FROM orders JOIN a ON o_orderpriority = g_a JOIN b ON o_custkey % 7 = g_b JOIN c ON o_custkey % 11 = g_c)"""
 
 
 def _argmax(name: str) -> str:

@@ -405,21 +405,18 @@ def sequence_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ensembles over models that SQL can replay: class shares and group means ---
 
 
-def _class_shares(rows: DataFrame, group: Column, output: str) -> DataFrame:
-    """A frequency model: P(status | group) of a group with few values, as an array in class order."""
-    shares = [F.count_if(F.col("o_orderstatus") == s) / F.count(F.lit(1)) for s in STATUSES]
-    keyed = rows.withColumn("__g", group)
-    model = keyed.groupBy("__g").agg(F.array(*shares).alias(output))
-    return keyed.join(F.broadcast(model), "__g").drop("__g")
-
-
 def _scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
-    )
-    rows = _class_shares(rows, F.col("o_orderpriority"), "a")
-    rows = _class_shares(rows, F.col("o_custkey") % 7, "b")
-    return _class_shares(rows, F.lit(1), "c")
+    """Orders with three frequency models: P(status | group) as arrays in class order.
+
+    The groups have 5, 7 and 11 values, so each model is a table of a few rows.
+    """
+    orders = table(spark, sf_dir, "orders")
+    shares = ", ".join(f"count_if(o_orderstatus = '{s}') / count(1)" for s in STATUSES)
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    for output, group in (("a", "o_orderpriority"), ("b", "o_custkey % 7"), ("c", "o_custkey % 11")):
+        model = orders.groupBy(F.expr(f"{group} AS g_{output}")).agg(F.expr(f"array({shares}) AS {output}"))
+        rows = rows.join(F.broadcast(model), F.expr(group) == F.col(f"g_{output}")).drop(f"g_{output}")
+    return rows
 
 
 def _wide(rows: DataFrame, scores: str, prefix: str) -> list[Column]:
@@ -474,11 +471,10 @@ def _predicted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", (F.col("o_totalprice") / 1000).alias("o_totalprice")
     )
-    groups = {"m1": F.col("o_orderpriority"), "m2": F.col("o_custkey") % 7, "m3": F.col("o_custkey") % 11}
-    for output, group in groups.items():
-        keyed = rows.withColumn("__g", group)
-        model = keyed.groupBy("__g").agg(F.avg("o_totalprice").alias(output))
-        rows = keyed.join(F.broadcast(model), "__g").drop("__g")
+    priced = rows
+    for output, group in (("m1", "o_orderpriority"), ("m2", "o_custkey % 7"), ("m3", "o_custkey % 11")):
+        model = priced.groupBy(F.expr(f"{group} AS g_{output}")).agg(F.expr(f"avg(o_totalprice) AS {output}"))
+        rows = rows.join(F.broadcast(model), F.expr(group) == F.col(f"g_{output}")).drop(f"g_{output}")
     return rows
 
 

@@ -81,6 +81,17 @@ def test_frequency_paths_agree_with_hot_values(spark):
         return {r[0]: r[1] for r in out.select(ROW_KEY, "f").collect()}
 
     shuffled, broadcast = run(False), run(True)
+    # Without broadcast joins and adaptive plans the hot rows are still spread over the partitions.
+    for setting, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(setting, value)
+    try:
+        out = encode.frequency_encode(frame, "v", counts, "f", 2000, False)
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert run(False) == broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 3000 and max(sizes) < 1000
     assert shuffled == broadcast and len(shuffled) == 3000
     assert set(frame.where("v is null").select(ROW_KEY).toPandas()[ROW_KEY]) <= {k for k, f in broadcast.items() if f == 0}
 
