@@ -373,6 +373,27 @@ def _scaled() -> str:
     return f"SELECT l_orderkey, l_linenumber, {cells} FROM lineitem, (SELECT {stats} FROM lineitem)"
 
 
+def _assembled() -> str:
+    source = """(SELECT o_orderkey, o_orderstatus, o_custkey,
+        CASE WHEN o_totalprice < 200000 THEN 'cheap' ELSE 'dear' END AS price FROM orders)"""
+    return f"""WITH seen AS ({stratified_split(source, 'o_orderkey', 'o_orderstatus')}),
+    fit AS (SELECT avg(o_custkey) AS m, stddev_pop(o_custkey) AS d FROM seen WHERE split = 'train')
+    SELECT o_orderkey, split, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS label,
+      round((o_custkey - m) / d, 6) + 0.0 AS f0,
+      CAST(CASE WHEN price = 'cheap' THEN 1 ELSE 0 END AS DOUBLE) AS f1,
+      CAST(CASE WHEN price = 'dear' THEN 1 ELSE 0 END AS DOUBLE) AS f2
+    FROM seen, fit"""
+
+
+def _ols_test_rows() -> str:
+    source = "(SELECT o_orderkey, o_totalprice / 1000 AS price, o_custkey % 100 AS customer FROM orders)"
+    return f"""WITH seen AS ({plain_split(source, 'o_orderkey')}),
+    fit AS (SELECT regr_slope(price, customer) AS slope, regr_intercept(price, customer) AS start
+            FROM seen WHERE split = 'train'),
+    tested AS (SELECT CAST(o_orderkey AS VARCHAR) AS row_key, price, start + slope * customer AS prediction
+               FROM seen, fit WHERE split = 'test')"""
+
+
 def oracle_sql() -> dict[str, str]:
     gaps, moments, minima = _gaps(), _moments(), _minimum_gaps()
     part_split = plain_split("part", "p_partkey")
@@ -441,6 +462,13 @@ def oracle_sql() -> dict[str, str]:
         "sequence_view": """SELECT vec_id, CAST(step - 1 AS INTEGER) AS step,
             round(CAST(embedding[step] AS DOUBLE), 6) + 0.0 AS value
             FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS step FROM embeddings)""",
+        "assembled_features": _assembled(),
+        "ols_predictions": f"""{_ols_test_rows()} SELECT row_key, round(price, 5) AS actual,
+            round(prediction, 5) AS prediction FROM tested""",
+        "ols_experiment": f"""{_ols_test_rows()} SELECT 'Linear Regression' AS model,
+            round(avg((price - prediction) ** 2), 4) AS mse, round(sqrt(avg((price - prediction) ** 2)), 4) AS rmse,
+            round(avg(abs(price - prediction)), 4) AS mae,
+            round(1 - avg((price - prediction) ** 2) / var_pop(price), 4) AS r2 FROM tested""",
         "hard_decision": f"""{SCORED} SELECT o_orderkey,
             CASE {_argmax('b')} WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS best,
             CASE WHEN b_O >= CAST(0.33 AS DOUBLE) THEN 1 ELSE 0 END AS from_threshold FROM scored""",

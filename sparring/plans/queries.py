@@ -402,6 +402,21 @@ def sequence_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(steps.withColumn("value", F.col("value").cast("double")))
 
 
+@query
+def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole preprocessor: a scaled number and a one-hot block, fitted on the training rows."""
+    price = F.when(F.col("o_totalprice") < 200_000, "cheap").otherwise("dear")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", price.alias("price"))
+    prepared, _ = prepare(rows, "o_orderstatus", CLASSIFICATION, ["o_orderkey"])
+    features = vector_to_array(FEATURES)
+    return rounded(
+        prepared.frame.select(
+            F.col(ROW_KEY).cast("long").alias("o_orderkey"), SPLIT, F.col(LABEL).cast("int").alias(LABEL),
+            *[features[i].alias(f"f{i}") for i in range(3)],
+        )
+    )
+
+
 # --- ensembles over models that SQL can replay: class shares and group means ---
 
 
@@ -586,6 +601,31 @@ def ols_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(local_frame(spark, fit, "slope double, intercept double, r2 double"), 4)
 
 
+def _priced_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_totalprice") / 1000).alias("price"), (F.col("o_custkey") % 100).alias("customer")
+    )
+
+
+@query
+def ols_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split, scale, fit and predict the test rows with one feature, which SQL can replay."""
+    options = Preprocessor(thresholds=leak.LeakThresholds(id_like_numeric=False))
+    result = run_experiment(
+        _priced_customers(spark, sf_dir), "price", ["Linear Regression"], key_cols=["o_orderkey"], preprocessor=options
+    )
+    return rounded(result.predictions.withColumnsRenamed({"Linear Regression": "prediction", "Actual": "actual"}), 5)
+
+
+@query
+def ols_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of that experiment."""
+    result = run_experiment(
+        _priced_customers(spark, sf_dir), "price", ["Linear Regression"], key_cols=["o_orderkey"]
+    )
+    return rounded(result.leaderboard.select("model", "mse", "rmse", "mae", "r2"), 4)
+
+
 def _classification_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled_documents(spark, sf_dir).drop("text", "toxic")
 
