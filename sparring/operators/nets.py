@@ -79,12 +79,14 @@ def partitions_for(n_rows: int) -> int:
     return max(1, min(n_rows // 2_000, max(8, math.ceil(n_rows / 100_000))))
 
 
-def _matrix(values: pa.Array) -> np.ndarray:
+def _matrix(values: pa.Array, width: int) -> np.ndarray:
     flat = values.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(values), -1).astype(np.float32, copy=False)
+    return flat.reshape(len(values), width).astype(np.float32, copy=False)
 
 
 def _chunked_forward(layers, params, x: np.ndarray) -> Iterator[np.ndarray]:
+    if not len(x):
+        yield np.zeros((0, layers[-1][1]), dtype=np.float32)
     for start in range(0, len(x), ROWS_PER_INFERENCE):
         yield L.forward(layers, params, x[start : start + ROWS_PER_INFERENCE])[0]
 
@@ -100,7 +102,7 @@ def _local_pass(plan: NetPlan, weights: np.ndarray, n_features: int, epoch: int,
         seen = held = 0
         loss_seen = loss_held = 0.0
         for batch in batches:
-            x, y = _matrix(batch.column("x")), batch.column("y").to_numpy()
+            x, y = _matrix(batch.column("x"), n_features), batch.column("y").to_numpy()
             held_out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             if held_out.any():
                 out = np.concatenate(list(_chunked_forward(plan.layers, start, x[held_out])))
@@ -168,7 +170,7 @@ class NetModel:
 
         def predict(x: pa.Array) -> np.ndarray:
             params = L.unflatten(weights, L.initial_params(plan.layers, n_features, plan.seed))
-            parts = [L.activate(plan.loss, out) for out in _chunked_forward(plan.layers, params, _matrix(x))]
+            parts = [L.activate(plan.loss, out) for out in _chunked_forward(plan.layers, params, _matrix(x, n_features))]
             return np.concatenate(parts).astype(np.float64)
 
         if plan.loss == "squared":
@@ -205,6 +207,8 @@ def train_net(prepared: Prepared, plan: NetPlan) -> NetModel:
     `tolerance` for `patience` epochs and keep the last weights. The held-out loss of an
     epoch's weights is measured by the next epoch's job, in the same scan.
     """
+    if plan.epochs < 1:
+        raise ValueError("at least one epoch is needed")
     frame = prepared.frame
     if plan.validate_on_test:
         held_out = F.col(SPLIT) != TRAIN
@@ -240,10 +244,9 @@ def train_net(prepared: Prepared, plan: NetPlan) -> NetModel:
         for epoch in range(1, plan.epochs + 1):
             result = run(weights, epoch)
             watched_held_out = bool(result["held"])
-            # With held-out rows this is the loss of the weights the epoch started from.
-            started_trained = epoch > 1
             loss = result["loss_held"] / result["held"] if watched_held_out else result["loss_seen"] / result["seen"]
-            if not watched_held_out or started_trained:
+            # The held-out loss is that of the weights the epoch started from, untrained ones in the first.
+            if epoch > 1 or not watched_held_out:
                 if loss < best_loss - plan.tolerance:
                     best, waited = weights, 0
                 else:

@@ -120,3 +120,10 @@ def test_partition_counts():
     assert nets.partitions_for(68) == 1
     assert nets.partitions_for(60_000) == 8
     assert nets.partitions_for(10**9) == math.ceil(10**9 / 100_000)
+
+
+def test_outputs_of_an_empty_batch():
+    layers = STACKS["conv"]
+    params = L.initial_params(layers, 9, 1)
+    parts = list(nets._chunked_forward(layers, params, np.zeros((0, 9), dtype=np.float32)))
+    assert L.activate("multi", np.concatenate(parts)).shape == (0, 3)
