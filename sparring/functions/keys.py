@@ -11,8 +11,9 @@ from sparring.functions.columns import col
 
 ROW_KEY = "row_key"
 
-# Copies of one row that a single task may number; larger groups are spread over several tasks.
-COPIES_PER_BLOCK = 10_000
+# A row with up to this many copies is expanded where it was counted; others in blocks, spread over all tasks.
+COPIES_IN_PLACE = 8
+COPIES_PER_BLOCK = 1_000
 
 
 def seeded_hash(key: Column, seed: object) -> Column:
@@ -30,36 +31,37 @@ def content_text(columns: Sequence[str]) -> Column:
 
 
 def with_row_key(
-    df: DataFrame, key_cols: Sequence[str] | None = None, copies_per_block: int = COPIES_PER_BLOCK
+    df: DataFrame, key_cols: Sequence[str] | None = None, in_place: int = COPIES_IN_PLACE,
+    per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
     """Add `row_key`. Given key columns are trusted to be unique; otherwise the content decides.
 
     Without keys, equal rows are counted (a partial aggregate absorbs any number of copies) and
     the counts are expanded again, numbering the copies 0, 1, 2, ...: copies are
-    interchangeable, so no row has to be ranked. A row with very many copies is
-    expanded block by block in many tasks.
+    interchangeable, so no row has to be ranked. Counts of many copies are small tables that expand a lot, so their
+    blocks are first spread by content and block over a fixed number of tasks.
     """
     if key_cols:
         text = col(key_cols[0]).cast("string") if len(key_cols) == 1 else content_text(key_cols)
         return df.withColumn(ROW_KEY, text)
 
     names = df.columns
-    counted = df.groupBy(*[col(c) for c in names]).agg(F.count(F.lit(1)).alias("__copies"))
-    few = counted.where(F.col("__copies") <= copies_per_block).select(
-        *[col(c) for c in names], F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)).alias("__copy")
+    columns = [col(c) for c in names]
+    n_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.groupBy(*columns).agg(F.expr("count(1) AS __copies"))
+    few = counted.where(F.col("__copies") <= in_place).select(
+        *columns, F.expr("explode(sequence(0L, __copies - 1)) AS __copy")
     )
-    last_block = F.floor((F.col("__copies") - 1) / copies_per_block)
-    start = F.col("__block") * copies_per_block
     many = (
-        counted.where(F.col("__copies") > copies_per_block)
-        .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-        .repartition(F.col("__block"), F.col("__copies"))
+        counted.where(F.col("__copies") > in_place)
+        .withColumn("__block", F.expr(f"explode(sequence(0L, (__copies - 1) div {per_block}))"))
+        .repartition(n_tasks, *columns, F.col("__block"))
         .select(
-            *[col(c) for c in names],
-            F.explode(
-                F.sequence(start, F.least(start + copies_per_block, F.col("__copies")) - 1)
-            ).alias("__copy"),
+            *columns,
+            F.expr(
+                f"explode(sequence(__block * {per_block}, least((__block + 1) * {per_block}, __copies) - 1)) AS __copy"
+            ),
         )
     )
     key = F.md5(F.concat_ws("#", content_text(names), F.col("__copy").cast("string")))
-    return few.union(many).select(*[col(c) for c in names], key.alias(ROW_KEY))
+    return few.union(many).select(*columns, key.alias(ROW_KEY))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from sparring.functions.columns import col, require_column
 from sparring.functions.keys import ROW_KEY, seeded_hash, with_row_key
 from sparring.operators.task import CLASSIFICATION, check_task
-from sparring.session import local_frame
+from sparring.session import local_frame, materialize
 
 SPLIT = "split"
 TRAIN = "train"
@@ -47,7 +47,8 @@ def split(
     """
     require_column(df, target)
     stratified = check_task(task) == CLASSIFICATION
-    rows = with_row_key(df, key_cols)
+    # Content keys cost a shuffle of whole rows, so they are made once.
+    rows = with_row_key(df, key_cols) if key_cols else materialize(with_row_key(df), "keyed")
     keyed = rows.select(
         (col(target) if stratified else F.lit(0)).alias("stratum"),
         F.col(ROW_KEY),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparring.functions.columns import clean_missing, col, require_column
-from sparring.functions.keys import ROW_KEY, with_row_key
+from sparring.functions.keys import ROW_KEY
 from sparring.operators.encode import ACTUAL, FittedPreprocessor, Prepared, Preprocessor, label_decode
 from sparring.operators.ensemble import align_scores, mean_vote, soft_vote, vote_decision
 from sparring.operators.leak import FINDINGS
@@ -51,12 +51,8 @@ def prepare(
     taken = {SPLIT, ROW_KEY} & set(df.columns)
     if taken:
         raise ValueError(f"rename the columns {sorted(taken)}; their names are used by the split")
-    if not key_cols:
-        # Content keys cost a shuffle of whole rows, so they are made once.
-        df = materialize(with_row_key(df), "keyed")
-        key_cols = [ROW_KEY]
     table = split(df, target, task, key_cols, test_size, seed)
-    preprocessor = replace(preprocessor or Preprocessor(), key_cols=tuple(key_cols))
+    preprocessor = replace(preprocessor or Preprocessor(), key_cols=tuple(key_cols or ()))
     fitted = preprocessor.fit(table, target, task)
     prepared = fitted.transform(table)
     frame = prepared.frame
