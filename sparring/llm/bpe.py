@@ -70,8 +70,8 @@ class Vocabulary:
         return np.where(self.keys[at] == pair, self.ranks[at], NONE)
 
 
-def merge_rows(words: list[bytes], size: int, vocabulary: Vocabulary) -> list[list[int]]:
-    """Tokens of words of at most `size` bytes (a power of two)."""
+def merge_rows(words: list[bytes], size: int, vocabulary: Vocabulary) -> list[bytes]:
+    """Tokens of words of at most `size` bytes (a power of two), as packed 32-bit ids."""
     n, lengths = len(words), np.fromiter(map(len, words), np.int64, len(words))
     raw = np.frombuffer(b"".join(w.ljust(size, b"\0") for w in words), np.uint8).reshape(n, size)
     column = np.arange(size)
@@ -116,13 +116,13 @@ def merge_rows(words: list[bytes], size: int, vocabulary: Vocabulary) -> list[li
         update(some, left, np.where(value < NONE, value * size + left, NONE * size))
         rows = rows[tree[rows, 1] < NONE * size]
     kept = (after != -2) & (column < lengths[:, None])
-    flat, ends = token[kept].tolist(), np.cumsum(kept.sum(1)).tolist()
+    flat, ends = token[kept].astype(np.int32).tobytes(), (4 * np.cumsum(kept.sum(1))).tolist()
     return [flat[s:e] for s, e in zip([0, *ends], ends)]
 
 
-def encode_words(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    """Tokens of each word, merged in lockstep by size class."""
-    out: list[list[int]] = [[]] * len(words)
+def encode_words(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """Tokens of each word, merged in lockstep by size class, as packed 32-bit ids."""
+    out = [b""] * len(words)
     classes: dict[int, list[int]] = {}
     for k, word in enumerate(words):
         if word:
@@ -152,15 +152,16 @@ class Encoder:
         parts = self.special.split(text)
         return [x for k, part in enumerate(parts) for x in ([self.vocabulary.special[part]] if k % 2 else self.pretoken.findall(part))]
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Tokens of each text, as packed 32-bit ids."""
         split = [self.pretokens(t) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set(chain.from_iterable(split)).difference(self.known))
         words = [w for w in new if isinstance(w, str)]
         self.known.update(zip(words, encode_words([w.encode() for w in words], self.vocabulary)))
-        self.known.update((w, [w]) for w in new if isinstance(w, int))
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in split]
+        self.known.update((w, np.int32(w).tobytes()) for w in new if isinstance(w, int))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -173,7 +174,10 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
         encoder = Encoder(sent.value)
         for batch in slices(batches, at):
             ids = encoder.encode(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, ids_col])
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids_col])
 
     return base.mapInArrow(run, base.select("*", F.lit(None).cast("array<int>").alias(ids_col)).schema)
 
@@ -187,9 +191,10 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_bytes = sent.value.token_bytes
         for batch in batches:
+            # One row's ids at a time become Python numbers.
             texts = [
-                b"".join(map(token_bytes.__getitem__, ids)).decode("utf-8", "replace") if ids else ""
-                for ids in batch.column(at).to_pylist()
+                b"".join(map(token_bytes.__getitem__, row.values.to_pylist())).decode("utf-8", "replace") if row.is_valid else ""
+                for row in batch.column(at)
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
 
