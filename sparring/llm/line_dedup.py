@@ -15,7 +15,7 @@ through, except those named like an output column (n_lines, n_dropped), which ar
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +63,11 @@ def unpacked(data: bytes, size: int) -> np.ndarray:
     return np.packbits(flags)
 
 
-def twice_filter(docs: DataFrame, text_col: str, id_col: str, min_chars: int, bits: int) -> bytes:
-    """The filter of keys seen twice, over all rows, as a bit map of 2**bits bits."""
+def twice_filter(rows: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int) -> bytes:
+    """The filter of hashes seen in two rows (id, text) or more, as a bit map of 2**bits bits.
+
+    `hashes_of` gives the distinct hashes of one text; rows of null id are left out.
+    """
     block_bits = min(BLOCK_BITS, bits - 3)
     size = 1 << block_bits
 
@@ -77,8 +80,8 @@ def twice_filter(docs: DataFrame, text_col: str, id_col: str, min_chars: int, bi
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice, seen = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool), 0
         for batch in slices(batches, 1):
-            found = [set(line_keys(t, min_chars)) - {None} for i, t in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))) if i is not None]
-            hashes, counts = np.unique(hash_keys([k for keys in found for k in keys]), return_counts=True)
+            found = [hashes_of(t) for i, t in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))) if i is not None]
+            hashes, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
             at = places(hashes, bits)
             again = once[at].all(0) | (counts > 1)
             twice[at[:, again]] = True
@@ -100,7 +103,7 @@ def twice_filter(docs: DataFrame, text_col: str, id_col: str, min_chars: int, bi
         for block in known:
             yield pa.record_batch([pa.array([block], pa.int32()), pa.array([known[block][1].tobytes()], pa.binary())], ["block", "twice"])
 
-    parts = docs.select(id_col, text_col).mapInArrow(fill, "block int, once binary, twice binary")
+    parts = rows.mapInArrow(fill, "block int, once binary, twice binary")
     merged = parts.repartition("block").mapInArrow(merge, "block int, twice binary")
     whole = bytearray((1 << bits) // 8)
     for row in merged.toLocalIterator():
@@ -109,25 +112,30 @@ def twice_filter(docs: DataFrame, text_col: str, id_col: str, min_chars: int, bi
     return bytes(whole)
 
 
+def in_filter(bitmap: bytes, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes a filter holds."""
+    at = places(hashes, bits)
+    return (np.frombuffer(bitmap, np.uint8)[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool).all(0)
+
+
 def as_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
 def suspects(docs: DataFrame, text_col: str, id_col: str, min_chars: int, bits: int) -> DataFrame:
     """(doc_id, key): the keys of each row that the second filter holds, as SHA-256."""
-    sent = docs.sparkSession.sparkContext.broadcast(twice_filter(docs, text_col, id_col, min_chars, bits))
+    hashes_of = lambda text: hash_keys(list(set(line_keys(text, min_chars)) - {None}))
+    sent = docs.sparkSession.sparkContext.broadcast(twice_filter(docs.select(id_col, text_col), hashes_of, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(sent.value, np.uint8)
+        bitmap = sent.value
         for batch in slices(batches, 1):
             ids, keys = [], []
             for i, text in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))):
                 own = list(set(line_keys(text, min_chars)) - {None}) if i is not None else []
                 ids += [i] * len(own)
                 keys += own
-            at = places(hash_keys(keys), bits)
-            hit = (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(0)
-            chosen = np.flatnonzero(hit).tolist()
+            chosen = np.flatnonzero(in_filter(bitmap, hash_keys(keys), bits)).tolist()
             yield pa.record_batch(
                 [pa.array([ids[k] for k in chosen], batch.schema.types[0]), pa.array([hashlib.sha256(keys[k]).digest() for k in chosen], pa.binary())],
                 ["doc_id", "key"],

@@ -7,16 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparring.llm import ann, bpe, chat_format, language_id, line_dedup, quality_crf, toxicity
+from sparring.llm import ann, bpe, chat_format, decontaminate, jaccard_join, language_id, line_dedup, quality_crf, substring_dedup, toxicity
 from sparring.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,6 +37,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.shingle_components(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -44,10 +56,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_decontamination,
         op2_toxicity,
+        op3_substring_dedup,
         op4_quality,
         op5_line_dedup,
         op6_chat_format,
+        op7_jaccard_join,
         op8_bpe,
         op9_nearest,
         op10_language_id,
@@ -73,6 +88,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+SUBSTRINGS = """
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents
+), windows AS (
+  SELECT doc_id, pos, array_to_string(words[pos : pos + 12], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM split)
+), first AS (
+  SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY run) AS first_doc FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos FROM first WHERE first_doc < doc_id
+), words AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split
+), kept AS (
+  SELECT w.doc_id, count(*) AS n_words, count(g.pos) AS n_removed,
+         string_agg(word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL) AS text
+  FROM words w LEFT JOIN gone g USING (doc_id, pos) GROUP BY w.doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept k USING (doc_id)
+"""
+
 CHATS = """
 WITH turns AS (
   SELECT conv_id, role, text, row_number() OVER w - 1 AS place,
@@ -93,7 +129,31 @@ SELECT conv_id, n_turns, place // 256 AS part, string_agg(one, '' ORDER BY place
 FROM turns JOIN kept USING (conv_id) GROUP BY ALL
 """
 
+COMPONENTS = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos : pos + 4], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS pos FROM split WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM reached r LEFT JOIN sizes s USING (doc_id) GROUP BY r.doc_id
+"""
+
 ORACLES = {
+    "op3_substring_dedup": SUBSTRINGS,
     "op5_line_dedup": LINES,
     "op6_chat_format": CHATS,
+    "op7_jaccard_join": COMPONENTS,
 }
