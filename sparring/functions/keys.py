@@ -11,6 +11,9 @@ from sparring.functions.columns import col
 
 ROW_KEY = "row_key"
 
+# The row key of a row whose only key column is NULL.
+NULL_KEY = "\x00null"
+
 # A row with up to this many copies is expanded where it was counted; others in blocks, spread over all tasks.
 COPIES_IN_PLACE = 8
 COPIES_PER_BLOCK = 1_000
@@ -34,7 +37,7 @@ def with_row_key(
     df: DataFrame, key_cols: Sequence[str] | None = None, in_place: int = COPIES_IN_PLACE,
     per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
-    """Add `row_key`. Given key columns are trusted to be unique; otherwise the content decides.
+    """Add `row_key`. Given key columns name the rows, NULL as `NULL_KEY`; otherwise the content decides.
 
     Without keys, equal rows are counted (a partial aggregate absorbs any number of copies) and
     the counts are expanded again, numbering the copies 0, 1, 2, ...: copies are
@@ -42,7 +45,8 @@ def with_row_key(
     blocks are first spread by content and block over a fixed number of tasks.
     """
     if key_cols:
-        text = col(key_cols[0]).cast("string") if len(key_cols) == 1 else content_text(key_cols)
+        one = F.coalesce(col(key_cols[0]).cast("string"), F.lit(NULL_KEY))
+        text = one if len(key_cols) == 1 else content_text(key_cols)
         return df.withColumn(ROW_KEY, text)
 
     names = df.columns

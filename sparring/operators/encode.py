@@ -39,9 +39,6 @@ BROADCAST_BYTES = 32 * 1024**2
 HOT_SHARE = 0.001
 HOT_SALTS = 1024
 
-# One-hot widths up to this have their Gram matrix decomposed on the driver (128 MB at most).
-DRIVER_GRAM = 4000
-
 MAX_CLASSES = 100_000
 
 
@@ -257,11 +254,8 @@ def _row_matrix(encoded: DataFrame, block: str) -> RowMatrix:
 
 
 def fit_svd(encoded: DataFrame, block: str, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Singular values and vectors of the uncentred one-hot block, `k` clamped to its width."""
-    k = min(k, width)
-    if width <= DRIVER_GRAM:
-        return top_eigenvectors(gram_matrix(encoded, block), k)
-    svd = _row_matrix(encoded, block).computeSVD(k, computeU=False)
+    """Singular values and vectors of the uncentred one-hot block: `k` clamped to its width, and those of rank only."""
+    svd = _row_matrix(encoded, block).computeSVD(min(k, width), computeU=False, rCond=1e-6)
     return svd.s.toArray(), fix_signs(svd.V.toArray())
 
 

@@ -20,7 +20,6 @@ from sparring.functions.columns import (
     sql_name,
 )
 from sparring.operators.profile import (
-    EXACT_ROWS,
     category_profile,
     class_gaps,
     class_profile,
@@ -56,7 +55,6 @@ class LeakThresholds:
     minimum_diff: float | None = None
     max_classes: int = 50
     id_like_numeric: bool = True
-    exact_rows: int = EXACT_ROWS
 
 
 FINDINGS = "col string, rule string, stat double, reason string"
@@ -92,7 +90,7 @@ def _findings(frame: DataFrame, rule: str, trips: str, stat: str, reason: str) -
 def id_like(
     train: DataFrame, columns: Sequence[str], t: LeakThresholds = LeakThresholds()
 ) -> DataFrame:
-    stats = uniqueness(train, columns, t.unique, t.exact_rows)
+    stats = uniqueness(train, columns, t.unique)
     reason = "format_string('id_like (high_unique_frac=%.3f)', unique_frac)"
     return _findings(stats, RULES[0], f"unique_frac >= {t.unique}D", "unique_frac", reason)
 
@@ -118,14 +116,14 @@ def constant_within_class(train: DataFrame, target: str, gaps: DataFrame) -> Dat
     if not names:
         return local_frame(train.sparkSession, [], FINDINGS)
     counts = per_column(
-        train.withColumnRenamed(target, "stratum"),
+        train.withColumnRenamed(target, "__stratum"),
         names,
         {"n_unique": "count(DISTINCT {c}) + max(CAST({c} IS NULL AS LONG))"},
-        by=["stratum"],
+        by=["__stratum"],
     )
     quote = "\\'" if isinstance(train.schema[target].dataType, T.StringType) else ""
     pairs = f"concat('{quote}', CAST(p.stratum AS STRING), '{quote}: ', CAST(p.n_unique AS STRING))"
-    text = f"array_join(transform(array_sort(collect_list(struct(stratum, n_unique))), p -> {pairs}), ', ')"
+    text = f"array_join(transform(array_sort(collect_list(struct(__stratum AS stratum, n_unique))), p -> {pairs}), ', ')"
     reason = f"concat('constant_within_class (per_class_nunique={{', {text}, '}})') AS reason"
     return _findings(counts.groupBy("col").agg(F.expr(reason)), RULES[4], "true", "1.0", "reason")
 

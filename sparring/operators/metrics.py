@@ -76,15 +76,16 @@ def _partition_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """Per model of a partition sorted by score: its area on its own, its totals and its lowest score."""
     totals: dict[str, list[float]] = {}
     for batch in batches:
-        models = batch.column("model").to_pylist()
+        coded = batch.column("model").dictionary_encode()
+        models, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         score, pos, neg = (
             batch.column(c).to_numpy().astype(np.float64) for c in ("score", "positives", "negatives")
         )
-        cuts = [0, *[i for i in range(1, len(models)) if models[i] != models[i - 1]], len(models)]
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
         for start, end in zip(cuts, cuts[1:]):
             if start == end:
                 continue
-            own = totals.setdefault(models[start], [score[start], 0.0, 0.0, 0.0])
+            own = totals.setdefault(models[codes[start]], [score[start], 0.0, 0.0, 0.0])
             p, n = pos[start:end], neg[start:end]
             below = own[3] + np.cumsum(n) - n
             own[1] += float((p * (below + n / 2)).sum())

@@ -22,12 +22,15 @@ from sparring.operators.split import SPLIT, TRAIN
 from sparring.operators.task import CLASSIFICATION, REGRESSION, check_task
 from sparring.sources.exports import saved_size
 
+# Trees without a depth limit grow as deep as the library allows.
+DEEPEST = 30
+
 # Default hyper-parameters of every model. `seed` is shared by all of them.
 DEFAULTS: dict[str, dict] = {
     "linear_regression": {"fit_intercept": True},
     "logistic_regression": {"max_iter": 1000},
-    "random_forest": {"n_estimators": 100, "max_depth": 15, "max_bins": 32},
-    "random_forest_regressor": {"n_estimators": 100, "max_depth": 15, "max_bins": 32},
+    "random_forest": {"n_estimators": 100, "max_depth": None, "max_bins": 32},
+    "random_forest_regressor": {"n_estimators": 100, "max_depth": None, "max_bins": 32},
     "mlp": {"hidden_layer_sizes": (100,), "max_iter": 200},
     "mlp_regressor": {
         "hidden_layer_sizes": (100,), "max_iter": 200, "learning_rate_init": 0.001, "batch_size": 200,
@@ -143,7 +146,7 @@ def _logistic(prepared: Prepared, rows: DataFrame, c: dict):
 
 def _forest(estimator, subset: str):
     def fit(prepared: Prepared, rows: DataFrame, c: dict):
-        depth = 30 if c["max_depth"] is None else c["max_depth"]
+        depth = DEEPEST if c["max_depth"] is None else c["max_depth"]
         return estimator(
             featuresCol=FEATURES, labelCol=LABEL, numTrees=c["n_estimators"], maxDepth=depth,
             maxBins=c["max_bins"], featureSubsetStrategy=subset, seed=c["seed"], maxMemoryInMB=1024,

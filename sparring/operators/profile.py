@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from sparring.functions.columns import col, per_column, sql_name, to_number
 from sparring.session import local_frame
 
-# Up to this many rows the share that the report shows is exact.
-EXACT_ROWS = 10_000_000
 # A HyperLogLog sketch of 2^12 registers has a standard error of 1.6 %; it is trusted when it is at
 # least six of them away from the threshold. The hash gives NULL a value of its own.
 SKETCH = "hll_sketch_estimate(hll_sketch_agg(xxhash64({c}), 12))"
@@ -20,20 +18,18 @@ SKETCH_BAND = 0.1
 HAS_NULL = "CAST(count_if({c} IS NULL) > 0 AS LONG)"
 
 
-def uniqueness(rows: DataFrame, columns: Sequence[str], threshold: float, exact_rows: int = EXACT_ROWS) -> DataFrame:
+def uniqueness(rows: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
     """`col, n_rows, n_unique, unique_frac`, NULL counting as one value.
 
     A sketch, which shuffles a few kilobytes per column, is enough for columns clearly below the
-    threshold. The others are counted exactly, unless the table is large and they are clearly
-    above it: exact counting shuffles every distinct value.
+    threshold, which no report shows. All others are counted exactly, whatever the size of the table.
     """
     sketch = per_column(rows, columns, {"n_unique": SKETCH})
     estimates = sketch.select("n_rows", "col", "n_unique").collect()
-    low, high = threshold * (1 - SKETCH_BAND), threshold * (1 + SKETCH_BAND)
+    low = threshold * (1 - SKETCH_BAND)
 
     def count(r) -> bool:
-        share = r["n_unique"] / max(r["n_rows"], 1)
-        return share >= low and (r["n_rows"] <= exact_rows or share <= high)
+        return r["n_unique"] / max(r["n_rows"], 1) >= low
 
     counted = local_frame(rows.sparkSession, [tuple(r) for r in estimates if not count(r)], sketch.schema)
     exact = [r["col"] for r in estimates if count(r)]
@@ -74,7 +70,7 @@ def class_profile(rows: DataFrame, target: str, numeric: Sequence[str], other: S
     counting as a value; minimum and maximum tell that without counting distinct values.
     `zeros` and `constant` are NULL for non-numeric columns.
     """
-    labelled = rows.withColumnRenamed(target, "stratum")
+    labelled = rows.withColumnRenamed(target, "__stratum")
     frames = []
     if numeric:
         stats = {
@@ -82,12 +78,12 @@ def class_profile(rows: DataFrame, target: str, numeric: Sequence[str], other: S
             "zeros": "count_if({c} = 0)",
             "constant": "count({c}) = 0 OR (count({c}) = count(1) AND min({c}) = max({c}))",
         }
-        frames.append(per_column(labelled, numeric, stats, by=["stratum"]))
+        frames.append(per_column(labelled, numeric, stats, by=["__stratum"]))
     if other:
         stats = {"present": "count({c})", "zeros": "CAST(NULL AS LONG)", "constant": "CAST(NULL AS BOOLEAN)"}
-        frames.append(per_column(labelled, other, stats, by=["stratum"]))
+        frames.append(per_column(labelled, other, stats, by=["__stratum"]))
     profile = frames[0] if len(frames) == 1 else frames[0].union(frames[1])
-    return profile.select("col", "stratum", "n_rows", "present", "zeros", "constant")
+    return profile.select("col", F.col("__stratum").alias("stratum"), "n_rows", "present", "zeros", "constant")
 
 
 def class_gaps(profile: DataFrame) -> DataFrame:
@@ -105,12 +101,12 @@ def own_minimum_gaps(rows: DataFrame, target: str, columns: Sequence[str]) -> Da
     The class minima (one row per class, and the class gate bounds the classes) are broadcast
     to a second scan that counts the rows equal to them. Only for gated targets.
     """
-    labelled = rows.withColumnRenamed(target, "stratum")
-    minima = labelled.groupBy("stratum").agg(
+    labelled = rows.withColumnRenamed(target, "__stratum")
+    minima = labelled.groupBy("__stratum").agg(
         F.expr("struct(" + ", ".join(f"min({sql_name(c)}) AS {sql_name(c)}" for c in columns) + ") AS __minima")
     )
-    joined = labelled.join(F.broadcast(minima), "stratum")
-    shares = per_column(joined, columns, {"share": "count_if({c} = __minima.{c}) / count(1)"}, by=["stratum"])
+    joined = labelled.join(F.broadcast(minima), "__stratum")
+    shares = per_column(joined, columns, {"share": "count_if({c} = __minima.{c}) / count(1)"}, by=["__stratum"])
     return shares.groupBy("col").agg(F.expr("max(share) - min(share) AS minimum_gap"))
 
 

@@ -47,8 +47,22 @@ def split(
     """
     require_column(df, target)
     stratified = check_task(task) == CLASSIFICATION
-    # Content keys cost a shuffle of whole rows, so they are made once.
-    rows = with_row_key(df, key_cols) if key_cols else materialize(with_row_key(df), "keyed")
+    if key_cols:
+        rows = with_row_key(df, key_cols)
+        marked = _marked(rows, target, stratified, test_size, seed, broadcast_strata)
+        if marked is not None:
+            return marked
+    # Content keys cost a shuffle of whole rows, so they are made once. They also decide between rows of one given
+    # key where the test rows would end among them.
+    rows = materialize(with_row_key(df), "keyed")
+    marked = _marked(rows, target, stratified, test_size, seed, broadcast_strata)
+    return with_row_key(marked.drop(ROW_KEY), key_cols).select(*rows.columns, SPLIT) if key_cols else marked
+
+
+def _marked(
+    rows: DataFrame, target: str, stratified: bool, test_size: float, seed: int, broadcast_strata: int
+) -> DataFrame | None:
+    """`rows` with their part, or None if a repeated key stands where the test rows end."""
     keyed = rows.select(
         (col(target) if stratified else F.lit(0)).alias("stratum"),
         F.col(ROW_KEY),
@@ -56,6 +70,9 @@ def split(
     )
     cutoffs = _cutoffs_for(keyed, stratified, test_size, seed, broadcast_strata)
     edges = cutoffs.limit(broadcast_strata + 1).collect()
+    few = len(edges) <= broadcast_strata
+    if any(e["tied"] for e in edges) or not few and not cutoffs.where("tied").isEmpty():
+        return None
     # The hash has a fixed length, so hash and key order like their concatenation.
     place = F.concat(seeded_hash(F.col(ROW_KEY), seed), F.col(ROW_KEY))
     if len(edges) <= min(INLINE_STRATA, broadcast_strata):
@@ -64,11 +81,11 @@ def split(
             mine = F.lit(True) if not stratified else col(target) == F.lit(e["stratum"])
             cut = F.when(mine, F.lit(e["cut_h"] + e["cut_key"])).otherwise(cut)
         return rows.withColumn(SPLIT, F.when(place <= cut, TEST).otherwise(TRAIN))
-    if len(edges) <= broadcast_strata:
-        cutoffs = F.broadcast(local_frame(df.sparkSession, edges, cutoffs.schema))
-    marked = rows.join(cutoffs, col(target) == F.col("stratum"), "left")
-    in_test = place <= F.concat("cut_h", "cut_key")
-    return marked.withColumn(SPLIT, F.when(in_test, TEST).otherwise(TRAIN)).drop("stratum", "cut_h", "cut_key")
+    if few:
+        cutoffs = F.broadcast(local_frame(rows.sparkSession, edges, cutoffs.schema))
+    cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), F.concat("cut_h", "cut_key").alias("__cut"))
+    marked = rows.join(cutoffs, col(target) == F.col("__stratum"), "left")
+    return marked.withColumn(SPLIT, F.when(place <= F.col("__cut"), TEST).otherwise(TRAIN)).drop("__stratum", "__cut")
 
 
 def _cutoffs_for(
@@ -121,7 +138,7 @@ def small_quotas(counts: dict, n: int, n_test: int, seed: int) -> dict:
 
 def hash_digits(n: int) -> int:
     """Hex digits of the hash to bucket by, so that a bucket holds about ROWS_PER_BUCKET rows."""
-    return max(1, min(5, int(math.log(max(n / ROWS_PER_BUCKET, 1), 16))))
+    return max(1, int(math.log(max(n / ROWS_PER_BUCKET, 1), 16)))
 
 
 def class_quotas(counts: DataFrame, n: int, n_test: int, seed: int) -> DataFrame:
@@ -164,7 +181,8 @@ def class_quotas(counts: DataFrame, n: int, n_test: int, seed: int) -> DataFrame
 
 
 def hash_cutoffs(rows: DataFrame, quotas: DataFrame, digits: int, broadcast: bool) -> DataFrame:
-    """For each stratum the `quota`-th row in (h, row_key) order, as `stratum, cut_h, cut_key`.
+    """For each stratum the `quota`-th row in (h, row_key) order, as `stratum, cut_h, cut_key`; `tied` if the next
+    row has the same key.
 
     A histogram of hash prefixes (at most 16^digits rows per stratum) names the bucket that
     holds the wanted row; only the rows of that bucket are ranked.
@@ -185,6 +203,7 @@ def hash_cutoffs(rows: DataFrame, quotas: DataFrame, digits: int, broadcast: boo
         rows.withColumn("bucket", bucket)
         .join(hint(last_bucket), ["stratum", "bucket"])
         .withColumn("rank", F.row_number().over(ranking))
+        .withColumn("tied", F.coalesce(F.lead(ROW_KEY).over(ranking) == F.col(ROW_KEY), F.lit(False)))
         .where(F.col("rank") == F.col("take"))
-        .select("stratum", F.col("h").alias("cut_h"), F.col(ROW_KEY).alias("cut_key"))
+        .select("stratum", F.col("h").alias("cut_h"), F.col(ROW_KEY).alias("cut_key"), "tied")
     )

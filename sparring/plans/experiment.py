@@ -23,9 +23,9 @@ from sparring.plans.report import leaderboard, prediction_table, totals
 from sparring.session import local_frame, materialize, staging_dir
 from sparring.sources.exports import save_ensemble, save_predictions
 
-# Inputs below this many rows often sit in fewer files than there are cores; they are spread once.
-SPREAD_ROWS = 5_000_000
-ROWS_PER_SPREAD_PARTITION = 1_000
+# Training rows of one partition of a prepared table. Fits sample by partition, so partitions and their order follow
+# from the rows alone: not from files, cores or a size limit.
+ROWS_PER_PARTITION = 20_000
 
 
 @dataclass
@@ -55,10 +55,8 @@ def prepare(
     preprocessor = replace(preprocessor or Preprocessor(), key_cols=tuple(key_cols or ()))
     fitted = preprocessor.fit(table, target, task)
     prepared = fitted.transform(table)
-    frame = prepared.frame
-    if fitted.n_train < SPREAD_ROWS:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        frame = frame.repartition(max(1, min(cores, fitted.n_train // ROWS_PER_SPREAD_PARTITION)), ROW_KEY)
+    parts = -(-max(1, fitted.n_train) // ROWS_PER_PARTITION)
+    frame = prepared.frame.repartition(parts, ROW_KEY).sortWithinPartitions(ROW_KEY)
     return replace(prepared, frame=materialize(frame, "prepared")), fitted
 
 

@@ -394,6 +394,23 @@ def _ols_test_rows() -> str:
                FROM seen, fit WHERE split = 'test')"""
 
 
+def _planted_classes() -> str:
+    """Seven selections that all find the rule."""
+    graded = "(SELECT p_partkey, CASE WHEN p_size % 10 < 5 THEN 'low' ELSE 'high' END AS grade FROM part)"
+    found = ", ".join(f"grade AS m{i}" for i in range(7))
+    rows = stratified_split(graded, "p_partkey", "grade")
+    return f"SELECT CAST(p_partkey AS VARCHAR) AS row_key, grade AS actual, {found} FROM ({rows}) WHERE split = 'test'"
+
+
+def _planted_values() -> str:
+    """Three selections that all find the sum."""
+    valued = """(SELECT p_partkey, CAST(10 + 3 * (p_size % 2) + CASE WHEN p_size % 3 = 0 THEN 5 ELSE 0 END AS DOUBLE)
+        AS worth FROM part)"""
+    found = ", ".join(f"worth AS m{i}" for i in range(3))
+    rows = plain_split(valued, "p_partkey")
+    return f"SELECT CAST(p_partkey AS VARCHAR) AS row_key, worth AS actual, {found} FROM ({rows}) WHERE split = 'test'"
+
+
 def oracle_sql() -> dict[str, str]:
     gaps, moments, minima = _gaps(), _moments(), _minimum_gaps()
     part_split = plain_split("part", "p_partkey")
@@ -457,6 +474,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT x.name AS first, y.name AS second, count(*) AS n FROM cells x JOIN cells y
             ON x.p_partkey = y.p_partkey AND (x.block < y.block OR (x.block = y.block AND x.v <= y.v))
             GROUP BY 1, 2""",
+        "svd_components": """SELECT p_partkey, CAST(2 AS DOUBLE) AS square_length,
+            CAST((SELECT 2 * count(*) FROM part) AS DOUBLE) AS square_sum FROM part""",
+        "planted_classes": _planted_classes(),
+        "planted_values": _planted_values(),
+        "model_save_size": "SELECT 'linear_regression' AS model, true AS size_is_listed",
         "label_encode_numbers": """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_nationkey) - 1 AS INTEGER)
             AS label, c_nationkey AS decoded FROM customer""",
         "sequence_view": """SELECT vec_id, CAST(step - 1 AS INTEGER) AS step,

@@ -55,16 +55,6 @@ TABLES = (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Small settings for the model queries, so that they check the whole path in seconds.
-QUICK = {
-    "random_forest": {"n_estimators": 20, "max_depth": 6},
-    "random_forest_regressor": {"n_estimators": 20, "max_depth": 6},
-    "logistic_regression": {"max_iter": 100},
-    "mlp": {"max_iter": 40},
-    "mlp_regressor": {"max_iter": 6},
-    "cnn": {"epochs": 4},
-    "lstm": {"epochs": 3},
-}
 STATUSES = ["F", "O", "P"]
 
 
@@ -373,12 +363,16 @@ def svd_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def svd_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part row projected on the first five singular vectors."""
+    """Every part row projected on all singular vectors that the width rule keeps, which loses nothing of a row."""
     onehot, encoded = _part_onehot(spark, sf_dir)
-    _, vectors = encode.fit_svd(encoded, "block", onehot.width, 5)
+    categories = profile.category_profile(table(spark, sf_dir, "part"), ["p_brand", "p_type"])
+    routed = encode.cardinality_routing(categories, encoded.count())
+    k = encode.svd_width(routed).first()["n_components"]
+    singular, vectors = encode.fit_svd(encoded, "block", onehot.width, k)
+    length = F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x)
     return rounded(
         encoded.withColumn("c", encode.project_one_hot(vectors, onehot.positions())).select(
-            "p_partkey", *[F.col("c")[i].alias(f"c{i}") for i in range(5)]
+            "p_partkey", length.alias("square_length"), F.lit(float((singular**2).sum())).alias("square_sum")
         )
     )
 
@@ -630,12 +624,12 @@ def _classification_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled_documents(spark, sf_dir).drop("text", "toxic")
 
 
-def _single(name: str, make_input, target: str, task: str, key: str, config=None, preprocessor=None):
+def _single(name: str, make_input, target: str, task: str, key: str):
     """Train one model; return its test-row outputs with the actual values."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prepared, _ = prepare(make_input(spark, sf_dir), target, task, [key], preprocessor=preprocessor)
-        model = train(name, prepared, config or QUICK)
+        prepared, _ = prepare(make_input(spark, sf_dir), target, task, [key])
+        model = train(name, prepared)
         scored = model.score(prepared.frame.where(F.col(SPLIT) == TEST), "output")
         if task == REGRESSION:
             return scored.select(ROW_KEY, "actual", F.col("output").alias("prediction"))
@@ -649,43 +643,66 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part")
 
 
-def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings")
-
-
 _DOCS = (_classification_input, "quality", CLASSIFICATION, "doc_id")
 _PART = (_parts, "p_retailprice", REGRESSION, "p_partkey")
-_VECTORS = (_embeddings, "label", CLASSIFICATION, "vec_id")
 QUERIES["logistic_regression_outputs"] = _single("logistic_regression", *_DOCS)
 QUERIES["random_forest_outputs"] = _single("random_forest", *_DOCS)
 QUERIES["mlp_outputs"] = _single("mlp", *_DOCS)
-QUERIES["cnn_outputs"] = _single("cnn", *_DOCS)
-QUERIES["lstm_outputs"] = _single("lstm", *_DOCS)
-QUERIES["cnn_sequence_outputs"] = _single("cnn", *_VECTORS, preprocessor=Preprocessor(array_cols=("embedding",)))
 QUERIES["linear_regression_outputs"] = _single("linear_regression", *_PART)
 QUERIES["random_forest_regressor_outputs"] = _single("random_forest_regressor", *_PART)
-QUERIES["mlp_regressor_outputs"] = _single("mlp_regressor", *_PART)
-QUERIES["cnn_regressor_outputs"] = _single("cnn", *_PART)
-QUERIES["lstm_regressor_outputs"] = _single("lstm", *_PART, config={"lstm": {"epochs": 2, "lstm_units": 16}})
+
+
+def _without_nets(models: dict[str, tuple[str, ...]]) -> list[str]:
+    """The selectable names whose components are all fitted by Spark's own library."""
+    return [name for name, parts in models.items() if not set(parts) & {"cnn", "lstm", "mlp_regressor"}]
+
+
+@query
+def planted_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifiers and their votes on a class that is a threshold on one feature: all must find it."""
+    digit = F.col("p_size") % 10
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", digit.cast("double").alias("digit"), F.when(digit < 5, "low").otherwise("high").alias("grade")
+    )
+    names = _without_nets(CLASSIFICATION_MODELS)
+    result = run_experiment(rows, "grade", names, key_cols=["p_partkey"], max_models=None)
+    return result.predictions.select(
+        "row_key", F.col("Actual").alias("actual"), *[col(m).alias(f"m{i}") for i, m in enumerate(names)]
+    )
+
+
+@query
+def planted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regressors and their mean on a sum of two flags, which each of them can represent."""
+    one, two = (F.col("p_size") % 2).cast("double"), (F.col("p_size") % 3 == 0).cast("double")
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", one.alias("one"), two.alias("two"), (10 + 3 * one + 5 * two).alias("worth")
+    )
+    names = _without_nets(REGRESSION_MODELS)
+    result = run_experiment(rows, "worth", names, task=REGRESSION, key_cols=["p_partkey"], max_models=None)
+    return rounded(
+        result.predictions.select(
+            "row_key", F.col("Actual").alias("actual"), *[col(m).alias(f"m{i}") for i, m in enumerate(names)]
+        ),
+        4,
+    )
 
 
 @query
 def all_classification_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The leaderboard of all singles and ensembles; five components are trained."""
-    rows = _classification_input(spark, sf_dir)
+    """The metrics of the singles and ensembles fitted by Spark's own library, on labelled documents."""
+    names = _without_nets(CLASSIFICATION_MODELS)
     result = run_experiment(
-        rows, "quality", list(CLASSIFICATION_MODELS), key_cols=["doc_id"], config=QUICK, max_models=None
+        _classification_input(spark, sf_dir), "quality", names, key_cols=["doc_id"], max_models=None
     )
-    return result.leaderboard
+    return result.leaderboard.drop("train_time", "model_size", "model_path", "extra")
 
 
 @query
 def all_regression_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = run_experiment(
-        _parts(spark, sf_dir), "p_retailprice", list(REGRESSION_MODELS), key_cols=["p_partkey"], config=QUICK,
-        max_models=None,
-    )
-    return result.leaderboard
+    names = _without_nets(REGRESSION_MODELS)
+    result = run_experiment(_parts(spark, sf_dir), "p_retailprice", names, key_cols=["p_partkey"], max_models=None)
+    return result.leaderboard.drop("train_time", "model_size", "model_path", "extra")
 
 
 @query
@@ -694,7 +711,8 @@ def model_save_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train("linear_regression", prepared)
     path = staging_path(spark, "model")
     size = model.save(prepared.frame, path)
-    return local_frame(spark, [(model.name, size, saved_size(spark, path))], "model string, size long, listed long")
+    same = size == saved_size(spark, path) and size > 0
+    return local_frame(spark, [(model.name, same)], "model string, size_is_listed boolean")
 
 
 @query

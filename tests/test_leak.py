@@ -93,10 +93,10 @@ def test_class_gate(spark, n_classes, expected):
 
 def test_sketches_only_decide_clear_cases(spark):
     rows = [("ab"[i % 2], float(i)) for i in range(3000)]
-    assert rule(spark, rows, exact_rows=10) == "id_like"
+    assert rule(spark, rows) == "id_like"
     near = [("ab"[i % 2], float(i % 2430)) for i in range(3000)]
-    assert report(spark, near, exact_rows=10)["x"]["stat"] == pytest.approx(0.81)
-    assert rule(spark, [("ab"[i % 2], float(i % 5)) for i in range(3000)], exact_rows=10) is None
+    assert report(spark, near)["x"]["stat"] == pytest.approx(0.81)
+    assert rule(spark, [("ab"[i % 2], float(i % 5)) for i in range(3000)]) is None
 
 
 def test_first_rule_wins_and_names_are_sorted(spark):

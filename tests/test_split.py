@@ -80,4 +80,24 @@ def test_bad_targets_are_refused(spark, rows):
 def test_hash_digits_grow_with_the_table():
     assert hash_digits(100) == 1
     assert hash_digits(10**8) == 2
-    assert hash_digits(10**13) == 5
+    assert hash_digits(10**13) == 6
+
+
+def test_repeated_and_null_keys_split_exactly(spark):
+    rows = [(i % 3, "ab"[i % 2], i) for i in range(1000)] + [(None, "ab"[i % 2], i) for i in range(50)]
+    frame = spark.createDataFrame(rows, "id long, y string, cut_h long")
+    for task in ("regression", "classification"):
+        marked = split(frame, "y", task, ["id"]).cache()
+        assert marked.count() == 1050
+        assert marked.where("split = 'test'").count() == 210
+        assert marked.select("row_key").distinct().count() == 4
+        assert sorted(r[0] for r in split(frame, "y", task, ["id"]).where("split = 'test'").select("cut_h").collect()) == sorted(
+            r[0] for r in marked.where("split = 'test'").select("cut_h").collect()
+        )
+
+
+def test_columns_may_be_called_like_the_joined_cutoffs(spark):
+    frame = spark.createDataFrame([(i, i % 5, i, i) for i in range(200)], "id long, y int, stratum int, cut_key int")
+    marked = split(frame, "y", "classification", ["id"], broadcast_strata=2)
+    assert marked.where("split = 'test'").count() == 40
+    assert marked.columns == ["id", "y", "stratum", "cut_key", "row_key", "split"]
