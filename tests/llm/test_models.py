@@ -1,0 +1,102 @@
+"""Language ID, quality and toxicity: held-out accuracy on the given tables and defined results for odd rows."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparring.llm import language_id, quality_crf, toxicity
+from sparring.llm.common import table
+
+FOLDER = "/root/testdata/sf0.01"
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "12 34 !!"), (None, "word"), (5, "x" * 200_000), (5, "again"), (5, "again")]
+
+
+def test_languages(spark, corpus):
+    docs = table(spark, FOLDER, "documents")
+    found = language_id.predict_languages(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    right, total = found.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert right / total > 0.95
+    odd = language_id.predict_languages(corpus([(*r, "en") for r in ODD])).collect()
+    assert len(odd) == len(ODD) and all(0 <= r["score"] <= 1 for r in odd)
+    assert {r["doc_id"]: r["lang_pred"] for r in odd if r["doc_id"] in (1, 2, 3, 4)} == dict.fromkeys((1, 2, 3, 4), "und")
+
+
+def test_languages_without_labels(corpus):
+    assert {r["lang_pred"] for r in language_id.predict_languages(corpus(ODD)).collect()} == {"und"}
+    assert language_id.predict_languages(corpus([])).count() == 0
+
+
+def test_presence_kernel_is_normalised():
+    marks = language_id.landmark_table(["the same text", "etwas anderes"])
+    k = language_id.kernel(["the same text", "etwas anderes"], marks)
+    assert np.allclose(np.diag(k), 1, atol=1e-6) and k[0, 1] < 0.3
+
+
+def balanced_accuracy(found, label):
+    parts = [np.mean([r["predicted"] == y for r in found if r[label] == y]) for y in (0, 1)]
+    return sum(parts) / 2
+
+
+@pytest.mark.parametrize("predict, label, least", [(quality_crf.predict_quality, "quality", 0.9), (toxicity.predict_toxicity, "toxic", 0.7)])
+def test_labels(spark, predict, label, least):
+    docs, labels = table(spark, FOLDER, "documents"), table(spark, FOLDER, "labels")
+    found = predict(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    assert balanced_accuracy(found, label) >= least
+
+
+@pytest.mark.parametrize("predict", [quality_crf.predict_quality, toxicity.predict_toxicity])
+def test_odd_rows(spark, corpus, predict):
+    kind = "doc_id long, quality int, toxic int"
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(40)] + [(None, 1, 1), (3, None, None), (3, 1, 1)], kind)
+    texts = [(k, f"some plain words here {k}" if k % 2 else "### $$$ idiot idiot | |") for k in range(10, 40)]
+    for rows in (ODD + texts, []):
+        found = predict(corpus(rows), labels).collect()
+        assert len(found) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) for r in found)
+    assert predict(corpus(ODD), labels.limit(0)).count() == len(ODD)
+
+
+def test_chain_marginals_match_enumeration():
+    rng = np.random.default_rng(1)
+    model = {"weights": rng.normal(size=quality_crf.FEATURES), "transition": rng.normal(size=(2, 2))}
+    x = rng.normal(size=(6, quality_crf.FEATURES)) / 3
+    unary, t = x @ model["weights"], model["transition"]
+    good = np.zeros(6)
+    total = 0.0
+    for code in range(64):
+        y = [(code >> k) & 1 for k in range(6)]
+        p = np.exp(sum(unary[k] * y[k] for k in range(6)) + sum(t[y[k], y[k + 1]] for k in range(5)))
+        total += p
+        good += p * np.array(y)
+    assert np.allclose(quality_crf.chain_marginals(x, model), good / total)
+    padded, pairs, log_z = quality_crf.marginals(unary[None], np.array([6]), t)
+    assert np.allclose(padded[0], good / total) and np.isclose(log_z, np.log(total)) and np.isclose(pairs.sum(), 5)
+
+
+def test_string_kernel_matches_plain_sum():
+    def features(word):
+        c, out = f"\x02{word}\x03", {}
+        for i in range(len(c)):
+            for j, k in toxicity.OFFSETS:
+                if i + k < len(c):
+                    key = (c[i], c[i + j], c[i + k])
+                    out[key] = out.get(key, 0) + toxicity.DECAY ** (k + 1)
+        return out
+
+    words = ["idiot", "id.iot", "banana", "it"]
+    index = toxicity.used_subsequences(words)
+    ours = toxicity.profiles(words, index)
+    norms = toxicity.Subsequences(words).norm
+    for a in range(4):
+        for b in range(4):
+            fa, fb = features(words[a]), features(words[b])
+            assert np.isclose(ours[a] @ ours[b] * norms[a] * norms[b], sum(v * fb.get(k, 0) for k, v in fa.items()))
+
+
+def test_inserted_characters(spark, corpus):
+    """Insults learned plainly are found with a character put in or letters set apart."""
+    bad = ["blorgnak", "vexitrop", "quandlef"]
+    texts = [(k, f"these are {k * 7} plain words for everyone number {k}" + (f" you {bad[k % 3]} of {k} the {bad[(k + 1) % 3]} end" if k % 2 else "")) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, toxic int")
+    hidden = [(1001, "you blor.gnak of it the vexi-trop end"), (1002, "so v e x i t r o p and q u a n d l e f here"), (1003, "these are plain words for everyone")]
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.predict_toxicity(corpus(texts + hidden), labels).collect()}
+    assert [found[k] for k in (1001, 1002, 1003)] == [1, 1, 0]
