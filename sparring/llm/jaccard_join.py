@@ -9,9 +9,9 @@ is. Sketches are compared per size band (powers of two; a document also joins th
 there). The few documents with too few non-empty blocks for the bound also join by single members.
 
 Equal sets are one node, so copies are never paired. In each group of a shared block, nodes are first compared with the
-smallest; groups that this leaves in several components are then compared further, each node with the next LAG nodes a
-round, until no pair of the group could add a link: no cap, and never all pairs of a group whose nodes are linked.
-Pairs are checked on a short sketch first and then exactly.
+smallest; groups that this leaves in several components are then compared further by short sketches, each node with
+nodes of other components up to LAG places on in the order of size, then four times as far, until no pair of a group
+could add a link: no cap, and no pairs among nodes that are linked already. Pairs that pass are checked exactly.
 
 Words are split at ASCII white space, A-Z lower-cased; with fewer than five words the whole sequence is the one member.
 Null and empty texts have an empty set and link with nothing; so do rows of null id, whose component is null. Rows of
@@ -35,8 +35,8 @@ from sparring.session import materialize
 WORDS = 5
 #: Counters of block frequencies and bits of the filter of nodes to fetch: 8 MB and 2 MB, whatever the input.
 COUNTER_BITS, FILTER_BITS = 20, 24
-#: Bits of the short sketch; fewest blocks of a band; nodes compared with each node in a round.
-SHORT_BITS, LEAST_BLOCKS, LAG = 10, 64, 64
+#: Bits of the short sketch; fewest blocks of a band; places between nodes compared in the first round.
+SHORT_BITS, LEAST_BLOCKS, LAG = 10, 64, 256
 CHUNK = 1 << 12
 SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -253,76 +253,98 @@ def plausible(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "short_a", "short_b").mapInArrow(run, "a long, b long")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: short sketches first, then whole sets."""
+def with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with columns of both sets, named by side."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+    return pairs
 
-    def with_sets(rows: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            rows = rows.join(sets.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
-        return rows
 
-    near = materialize(plausible(with_sets(pairs, "n", "short")), "near-pairs")
-    return agreeing(with_sets(near, "members"))
+def further_pairs(open_rows: DataFrame, low: int, high: int) -> DataFrame:
+    """(a, b): in each group, nodes of other components that stand low + 1 to high places apart in the order of size.
 
-
-def further_pairs(open_rows: DataFrame, lap: int) -> DataFrame:
-    """(a, b): in each group, nodes of other components that stand LAG * lap + 1 to LAG * (lap + 1) places apart."""
+    Only pairs whose short sketches could belong to a link are written.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 4), np.int64)
+        held, held_short = np.zeros((0, 4), np.int64), np.zeros((0, (1 << SHORT_BITS) // 64), np.uint64)
         for batch in batches:
-            rows = np.column_stack([batch.column(k).to_numpy() for k in range(4)])
-            rows = np.concatenate([held, rows])
-            for lag in range(LAG * lap + 1, LAG * (lap + 1) + 1):
+            if batch.num_rows == 0:
+                continue
+            rows = np.concatenate([held, np.column_stack([batch.column(k).to_numpy() for k in range(4)])])
+            packed = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            short = np.concatenate([held_short, packed])
+            for lag in range(low + 1, high + 1):
                 new = max(lag, len(held))
-                if new >= len(rows):
-                    continue
                 x, y = rows[new - lag : len(rows) - lag], rows[new:]
-                good = (x[:, 0] == y[:, 0]) & (x[:, 3] != y[:, 3]) & (4 * x[:, 2] >= 3 * y[:, 2])
-                if good.any():
-                    found = np.unique(np.sort(np.column_stack([x[good, 1], y[good, 1]]), 1), axis=0)
+                if not len(y) or not (x[:, 0] == y[:, 0]).any():
+                    break
+                good = np.flatnonzero((x[:, 0] == y[:, 0]) & (x[:, 3] != y[:, 3]) & (4 * x[:, 2] >= 3 * y[:, 2]))
+                apart = np.bitwise_count(short[good + new - lag] ^ short[good + new]).sum(1)
+                good = good[apart <= (x[good, 2] + y[good, 2]) // 7]
+                if len(good):
+                    found = np.sort(np.column_stack([x[good, 1], y[good, 1]]), 1)
                     yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-            held = rows[-LAG * (lap + 1) :]
+            # What later rows of the last group can still meet.
+            first = max(len(rows) - high, int(np.searchsorted(rows[:, 0], rows[-1, 0])))
+            held, held_short = rows[first:], short[first:]
 
     ordered = open_rows.repartition("block").sortWithinPartitions("block", "n", "node")
-    return ordered.select("block", "node", "n", "component").mapInArrow(run, "a long, b long").distinct()
+    return ordered.select("block", "node", "n", "component", "short").mapInArrow(run, "a long, b long").distinct()
+
+
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, component) after links (a, b) between components, or nodes that have no label yet."""
+    merged = components(links)
+    named = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = labels.join(named, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return materialize(old.union(merged.join(labels, "node", "left_anti").select("node", "component")), "labels")
+
+
+def labelled(rows: DataFrame, labels: DataFrame, column: str, output: str) -> DataFrame:
+    """`rows` with the component of the node in `column`, the node itself where it has none."""
+    named = labels.select(F.col("node").alias(column), F.col("component").alias("_component"))
+    return rows.join(named, column, "left").withColumn(output, F.coalesce("_component", column)).drop("_component")
 
 
-def node_links(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(a, b): links that join all nodes of each component."""
+def node_labels(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(node, component) of all nodes that have a link."""
     groups = materialize(shared_blocks(chosen_blocks(docs, levels)), "shared-blocks")
     used = groups.select("node").union(groups.select("hub")).distinct()
     first = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(fetched_sets(docs, wanted_filter(first.join(used, "node"))), "shingle-sets").dropDuplicates(["node"])
+    sets = materialize(fetched_sets(docs, wanted_filter(first.join(used, "node"))).dropDuplicates(["node"]), "shingle-sets")
     pairs = groups.where("4 * hub_n >= 3 * n").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    links = materialize(linked(pairs, sets), "links")
-    lap = 0
+    near = materialize(plausible(with_sets(pairs, sets, "n", "short")), "near-pairs")
+    labels = components(agreeing(with_sets(near, sets, "members")))
+    low, high = 0, LAG
     while True:
-        labels = components(links)
-        name = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
-        marked = groups.join(name("node"), "node", "left").join(name("hub"), "hub", "left")
-        marked = marked.withColumn("component", F.coalesce("node_component", "node")).withColumn("hub_component", F.coalesce("hub_component", "hub"))
-        # Only groups with several components besides the hub's tests have pairs left.
+        marked = labelled(labelled(groups, labels, "node", "component"), labels, "hub", "hub_component")
+        # Nodes were compared with the hub of their group; what is left are groups with several components besides.
         spread = marked.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        spread = spread.where((F.col("low") != F.col("high")) & (F.col("size") > LAG * lap + 1))
-        open_rows = materialize(marked.join(spread.select("block"), "block").select("block", "node", "n", "component"), "open-groups")
-        if open_rows.isEmpty():
-            return links
-        more = linked(further_pairs(open_rows, lap).join(pairs, ["a", "b"], "left_anti"), sets)
-        links = materialize(links.union(more), "links")
-        lap += 1
+        spread = spread.where((F.col("low") != F.col("high")) & (F.col("size") > low + 1)).select("block")
+        rows = marked.join(spread, "block").join(sets.select("node", "short"), "node")
+        rows = materialize(rows.select("block", "node", "n", "component", "short"), "open-groups")
+        if rows.isEmpty():
+            return labels
+        more = agreeing(with_sets(further_pairs(rows, low, high), sets, "members"))
+        more = materialize(labelled(labelled(more, labels, "a", "to_a"), labels, "b", "to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
+        if not more.isEmpty():
+            labels = joined_labels(labels, more)
+        low, high = high, 4 * high
 
 
 def component_table(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     scanned = materialize(first_scan(docs), "shingle-scan")
     nodes = scanned.where("chunk IS NULL").select("doc_id", "node", "n")
-    links = node_links(docs, nodes, block_levels(scanned))
+    labels = node_labels(docs, nodes, block_levels(scanned))
     # An id with several sets ties them together.
     several = nodes.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    ties = nodes.join(several, "doc_id").where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    labels = components(links.union(ties))
-    named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ties = nodes.join(several, "doc_id").where("node <> low").select("low", "node")
+    ties = labelled(labelled(ties, labels, "low", "a"), labels, "node", "b").select("a", "b")
+    if not several.isEmpty():
+        labels = joined_labels(labels, ties)
+    named = labelled(nodes, labels, "node", "component")
     smallest = materialize(named.where("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest")), "smallest")
     return named.join(smallest, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"))
 
