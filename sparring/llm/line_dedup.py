@@ -151,6 +151,7 @@ def drop_repeated_lines(
     base = docs.drop("n_lines", "n_dropped")
     found = materialize(suspects(docs, text_col, id_col, min_chars, filter_bits), "line-suspects")
     repeated = found.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
+    repeated = materialize(repeated, "repeated-lines")  # so that the join is one of plain shuffles, which Spark splits if skewed
     lost = found.join(repeated, "key").where(F.col("doc_id") != F.col("keeper"))
     # A document's own keys only: bounded by its text.
     per_doc = lost.groupBy(F.col("doc_id").alias("_lost_id")).agg(F.collect_set("key").alias("_lost"))
