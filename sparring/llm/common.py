@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text bytes that a step inside a task holds at once; a longer text makes a slice of its own.
@@ -65,5 +65,26 @@ def fold(doc_id: Column, of: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def hash_sample(rows: DataFrame, class_col: str, per_class: int | None = None, total: int = 0, classes: int = 200) -> DataFrame:
+    """At most `per_class` rows (or an equal share of `total`) of each class, with `turn`, their place in the class.
+
+    The order is that of a hash of doc_id. Rows are thinned by the hash to about twice the wanted number before they
+    are ranked, so that ranking a class never takes more. Only the `classes` most frequent classes are looked at.
+    """
+    spark, steps = rows.sparkSession, 1 << 20
+    counts = rows.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(classes).collect()
+    each = per_class or max(1, total // max(1, len(counts)))
+    cuts = [(r[class_col], min(steps, 2 * each * steps // r["count"] + 64)) for r in counts]
+    kind = rows.schema[class_col].dataType.simpleString()
+    few = F.broadcast(spark.createDataFrame(cuts, f"{class_col} {kind}, _cut int"))
+    kept = rows.join(few, class_col).where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(steps)) < F.col("_cut")).drop("_cut")
+    order = F.xxhash64(F.lit(5), "doc_id"), F.col("doc_id")
+    turn = F.row_number().over(Window.partitionBy(class_col).orderBy(F.pmod(order[0], F.lit(steps)), *order))
+    return kept.withColumn("turn", turn).where(F.col("turn") <= each)
+
+
+def labelled_ids(labels: DataFrame, label_col: str, learn: Column, per_class: int) -> DataFrame:
+    """At most `per_class` (doc_id, label) of each class 0 and 1; of several labels of one id the largest counts."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1) & learn)
+    one = known.groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
+    return hash_sample(one, "label", per_class).select("doc_id", "label")

@@ -25,10 +25,10 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparring.llm.common import fold, slices
+from sparring.llm.common import fold, labelled_ids, slices
 
 SPAN, DECAY, BITS = 6, 0.75, 18
 #: Bounds of the sample: labelled documents of each class, positive and negative strings, landmarks. Parameters of `fit`.
@@ -146,14 +146,6 @@ def context_counts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
 
 
-def labelled_ids(labels: DataFrame, learn: Column, per_class: int) -> DataFrame:
-    """At most `per_class` (doc_id, label) of each class, in the order of a hash of the id."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & learn)
-    one = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    turn = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    return one.withColumn("turn", turn).where(F.col("turn") <= per_class).select("doc_id", "label")
-
-
 def likelihood_ratio(toxic: Column, clean: Column, share: float) -> Column:
     """Log-likelihood ratio of a word's contexts against the share of toxic contexts overall."""
     n = toxic + clean
@@ -163,7 +155,7 @@ def likelihood_ratio(toxic: Column, clean: Column, share: float) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = SAMPLE_PER_CLASS, landmarks: int = LANDMARKS) -> dict | None:
     """The model, from at most `per_class` labelled documents of each class; None without both classes."""
-    sample = labelled_ids(labels, learn, per_class)
+    sample = labelled_ids(labels, "toxic", learn, per_class)
     ids = {r["doc_id"]: r["label"] for r in sample.collect()}
     if len(set(ids.values())) < 2:
         return None
