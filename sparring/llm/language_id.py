@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparring.llm.common import fold, slices
+from sparring.llm.common import fold, hash_sample, slices
 
 GRAMS = (2, 3, 4)
 BITS = 16
@@ -63,11 +63,9 @@ def landmark_table(texts: list[str]) -> dict:
 
 
 def labelled_sample(docs: DataFrame, learn: Column, rows: int) -> DataFrame:
-    """At most `rows` labelled (id, lang, turn): languages take turns, each in the order of a hash of the id."""
+    """At most `rows` labelled (doc_id, lang, turn), an equal share of each of the most frequent languages."""
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    turns = usable.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    return turns.where(F.col("turn") <= rows).orderBy("turn", "lang").limit(rows)
+    return hash_sample(usable, "lang", total=rows).orderBy("turn", "lang").limit(rows)
 
 
 def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS, ridge: float = 1e-3) -> dict | None:
