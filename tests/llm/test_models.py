@@ -1,5 +1,7 @@
 """Language ID, quality and toxicity: held-out accuracy on the given tables and defined results for odd rows."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -94,9 +96,17 @@ def test_string_kernel_matches_plain_sum():
 
 def test_inserted_characters(spark, corpus):
     """Insults learned plainly are found with a character put in or letters set apart."""
-    bad = ["blorgnak", "vexitrop", "quandlef"]
-    texts = [(k, f"these are {k * 7} plain words for everyone number {k}" + (f" you {bad[k % 3]} of {k} the {bad[(k + 1) % 3]} end" if k % 2 else "")) for k in range(200)]
+    bad, rng = ["blorgnak", "vexitrop", "quandlef"], random.Random(1)
+    plain = ["".join(rng.choice(("ta", "mo", "rin", "sel", "ku", "pa")) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+
+    def text(insults):
+        words = rng.choices(plain, k=30)
+        for insult in insults:
+            words.insert(rng.randrange(len(words)), insult)
+        return " ".join(words)
+
+    texts = [(k, text(rng.sample(bad, 2) if k % 2 else [])) for k in range(200)]
     labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, toxic int")
-    hidden = [(1001, "you blor.gnak of it the vexi-trop end"), (1002, "so v e x i t r o p and q u a n d l e f here"), (1003, "these are plain words for everyone")]
+    hidden = [(1001, text(["blor.gnak", "vexi-trop"])), (1002, text(["v e x i t r o p", "q u a n d l e f"])), (1003, text([]))]
     found = {r["doc_id"]: r["predicted"] for r in toxicity.predict_toxicity(corpus(texts + hidden), labels).collect()}
     assert [found[k] for k in (1001, 1002, 1003)] == [1, 1, 0]
