@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparring.functions.columns import categorical_columns, col, numeric_columns, per_column, require_column
-from sparring.functions.keys import ROW_KEY
-from sparring.functions.linalg import fix_signs, top_eigenvectors
+from sparring.functions.keys import ROW_KEY, with_row_key
+from sparring.functions.linalg import fix_signs
 from sparring.operators.leak import LeakThresholds, scan_leaks
 from sparring.operators.split import SPLIT, TRAIN
 from sparring.operators.task import CLASSIFICATION, check_task
@@ -303,6 +303,7 @@ class FittedPreprocessor:
     classes: list | None
     class_texts: list[str] | None
     missing: str
+    key_cols: tuple[str, ...] = ()
 
     @property
     def n_features(self) -> int:
@@ -310,18 +311,32 @@ class FittedPreprocessor:
         return len(self.numeric) + len(self.frequency) + sum(self.array_widths) + block
 
     def transform(self, df: DataFrame) -> Prepared:
+        """The split table, with its target, as features and labels."""
+        out = self._features(df, [F.col(SPLIT), col(self.target).alias("__actual")])
+        if self.task == CLASSIFICATION:
+            out = _index_labels(out, "__actual", self.class_texts, LABEL)
+        else:
+            out = out.withColumn(LABEL, F.col("__actual").cast("double"))
+        frame = out.select(ROW_KEY, SPLIT, F.col("__actual").alias(ACTUAL), LABEL, FEATURES)
+        return Prepared(frame, self.target, self.task, self.classes, self.n_features, self.n_train)
+
+    def transform_new(self, df: DataFrame) -> DataFrame:
+        """`row_key, features` of rows that have neither target nor split, for fitted models to score."""
+        return self._features(with_row_key(df, self.key_cols), [])
+
+    def _features(self, df: DataFrame, extra: list[Column]) -> DataFrame:
+        """`row_key`, the `extra` columns and the features."""
         # Inside, source columns go by position so that no column name can clash.
-        keep = [F.col(ROW_KEY), F.col(SPLIT), F.col("__actual")]
         inputs = [*self.numeric, *self.frequency]
         block = self.onehot.columns if self.onehot else []
         out = df.select(
             F.col(ROW_KEY),
-            F.col(SPLIT),
-            col(self.target).alias("__actual"),
+            *extra,
             *[col(c).alias(f"__x{i}") for i, c in enumerate(inputs)],
             *[array_to_vector(col(a).cast("array<double>")).alias(f"__a{i}") for i, a in enumerate(self.arrays)],
             *[col(c).alias(f"__c{i}") for i, c in enumerate(block)],
         )
+        keep = out.columns[: 1 + len(extra)]
         for i, name in enumerate(inputs):
             if i >= len(self.numeric):
                 out = frequency_encode(
@@ -344,13 +359,7 @@ class FittedPreprocessor:
                 )
             parts.append("__block")
         out = VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="error").transform(out)
-        out = out.select(*keep, FEATURES)
-        if self.task == CLASSIFICATION:
-            out = _index_labels(out, "__actual", self.class_texts, LABEL)
-        else:
-            out = out.withColumn(LABEL, F.col("__actual").cast("double"))
-        frame = out.select(ROW_KEY, SPLIT, F.col("__actual").alias(ACTUAL), LABEL, FEATURES)
-        return Prepared(frame, self.target, self.task, self.classes, self.n_features, self.n_train)
+        return out.select(*keep, FEATURES)
 
 
 @dataclass
@@ -422,7 +431,7 @@ class Preprocessor:
         return FittedPreprocessor(
             target, task, report, numeric, frequency, list(self.array_cols), widths, counts, broadcast, n_train,
             stats, onehot, vectors, singular, labels and [v for v, _ in labels], labels and [t for _, t in labels],
-            self.missing,
+            self.missing, tuple(self.key_cols),
         )
 
 

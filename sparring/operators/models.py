@@ -94,7 +94,7 @@ class Fitted:
     def decision(self, scores: Column) -> Column:
         """Predicted class index from probabilities: two-class nets take the second class from 0.5 on."""
         if isinstance(self.model, NetModel) and self.model.plan.loss == "binary":
-            return F.when(scores[1] >= 0.5, 1).otherwise(0)
+            return two_class_decision(scores)
         return best_class(scores)
 
     def save(self, df: DataFrame, path: str) -> int:
@@ -107,6 +107,11 @@ class Fitted:
         return saved_size(spark, path)
 
 
+def two_class_decision(scores: Column) -> Column:
+    """1 if the second class has a probability of 0.5 or more, else 0."""
+    return F.when(scores[1] >= 0.5, 1).otherwise(0)
+
+
 def best_class(scores: Column) -> Column:
     """Position of the highest probability; ties go to the first class."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")

@@ -418,7 +418,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan": """SELECT p_partkey, p_name, p_brand, p_type,
             CAST(CASE WHEN p_size % 10 <> 0 THEN p_size END AS DOUBLE) AS p_size, p_retailprice FROM part""",
         "catalog_scan": "SELECT * FROM supplier",
-        "preview_rows": "SELECT * FROM nation LIMIT 50",
+        "preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 50",
         "target_column": "SELECT o_orderstatus FROM orders",
         "feature_columns": "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer",
         "column_kinds": _column_kinds(),
@@ -478,6 +478,9 @@ def oracle_sql() -> dict[str, str]:
             CAST((SELECT 2 * count(*) FROM part) AS DOUBLE) AS square_sum FROM part""",
         "planted_classes": _planted_classes(),
         "planted_values": _planted_values(),
+        "score_new_rows": """SELECT CAST(p_partkey AS VARCHAR) AS row_key,
+            CAST(10 + 3 * (p_size % 2) + CASE WHEN p_size % 3 = 0 THEN 5 ELSE 0 END AS DOUBLE) AS prediction FROM part""",
+        "csv_multiline": """SELECT p_partkey, p_name || chr(10) || '"' || p_brand || '", ' || p_type AS words FROM part""",
         "model_save_size": "SELECT 'linear_regression' AS model, true AS size_is_listed",
         "label_encode_numbers": """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_nationkey) - 1 AS INTEGER)
             AS label, c_nationkey AS decoded FROM customer""",
@@ -493,7 +496,7 @@ def oracle_sql() -> dict[str, str]:
             round(1 - avg((price - prediction) ** 2) / var_pop(price), 4) AS r2 FROM tested""",
         "hard_decision": f"""{SCORED} SELECT o_orderkey,
             CASE {_argmax('b')} WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS best,
-            CASE WHEN b_O >= CAST(0.33 AS DOUBLE) THEN 1 ELSE 0 END AS from_threshold FROM scored""",
+            CASE WHEN b_O >= CAST(0.5 AS DOUBLE) THEN 1 ELSE 0 END AS from_threshold FROM scored""",
         "onehot_scores": f"""{SCORED} SELECT o_orderkey, s.c AS class,
             CAST(CASE WHEN {_argmax('b')} = s.c THEN 1 ELSE 0 END AS DOUBLE) AS proba
             FROM scored, (VALUES ('F'), ('O'), ('P')) s(c)""",

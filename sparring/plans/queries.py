@@ -32,7 +32,7 @@ from sparring.operators.ensemble import (
     vote_decision,
 )
 from sparring.operators.metrics import classification_metrics, regression_metrics, roc_auc
-from sparring.operators.models import best_class, train
+from sparring.operators.models import best_class, train, two_class_decision
 from sparring.operators.split import SPLIT, TEST, TRAIN, split
 from sparring.operators.task import CLASSIFICATION, REGRESSION, infer_tasks
 from sparring.plans.experiment import prepare, run_experiment
@@ -86,6 +86,15 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_table(spark, path)
 
 
+@query
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes and commas, written as CSV and read back."""
+    path = staging_path(spark, "csv")
+    words = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('", '), "p_type").alias("words")
+    table(spark, sf_dir, "part").select("p_partkey", words).write.option("header", True).option("escape", '"').csv(path)
+    return read_csv_table(spark, path)
+
+
 @query
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "supplier").createOrReplaceTempView("sparring_supplier")
@@ -94,7 +103,7 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(table(spark, sf_dir, "nation"))
+    return preview(table(spark, sf_dir, "customer"), order_by=["c_custkey"])
 
 
 @query
@@ -435,7 +444,7 @@ def _wide(rows: DataFrame, scores: str, prefix: str) -> list[Column]:
 @query
 def hard_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored_orders(spark, sf_dir)
-    two = F.when(F.col("b")[1] >= 0.33, 1).otherwise(0)
+    two = two_class_decision(F.array(1 - F.col("b")[1], F.col("b")[1]))
     return rows.select("o_orderkey", best_class(F.col("b")).alias("best"), two.alias("from_threshold"))
 
 
@@ -688,6 +697,17 @@ def planted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def score_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows without target and split, prepared and scored by what was fitted on the labelled ones."""
+    one, two = (F.col("p_size") % 2).cast("double"), (F.col("p_size") % 3 == 0).cast("double")
+    rows = table(spark, sf_dir, "part").select("p_partkey", one.alias("one"), two.alias("two"))
+    labelled = rows.withColumn("worth", 10 + 3 * F.col("one") + 5 * F.col("two"))
+    result = run_experiment(labelled, "worth", ["Linear Regression"], task=REGRESSION, key_cols=["p_partkey"])
+    features = result.preprocessor.transform_new(rows)
+    return rounded(result.fitted["linear_regression"].score(features, "prediction").select(ROW_KEY, "prediction"), 4)
+
+
 @query
 def all_classification_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics of the singles and ensembles fitted by Spark's own library, on labelled documents."""

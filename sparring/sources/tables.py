@@ -14,8 +14,6 @@ NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-# Every scan of a CSV file parses whole lines, so fewer and wider scans pay off.
-CSV_AGGREGATES_PER_SCAN = 400
 
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 BOOLEAN_PATTERN = r"^(True|False|TRUE|FALSE|true|false)$"
@@ -23,14 +21,14 @@ INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def read_csv_table(
-    spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = False, **options
+    spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = True, **options
 ) -> DataFrame:
     """A CSV file or folder with a header; types are inferred from all values.
 
     Columns become long, double, boolean or string. Dates stay text. Integers with missing
     values become doubles, and booleans with missing values stay text. One aggregation over the
-    text columns decides all types. `multiline` allows line breaks inside quotes, at the price
-    of reading each file in one task.
+    text columns decides all types. Line breaks inside quotes belong to the text, so each
+    file is read by one task; `multiline=False` cuts large files up if they are known to have none.
     """
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multiline, **options)
     if not raw.columns:
@@ -49,7 +47,6 @@ def read_csv_table(
             "numbers": f"count_if({{c}} RLIKE {number} OR {{c}} RLIKE {infinity})",
             "booleans": f"count_if({{c}} RLIKE {boolean})",
         },
-        per_scan=CSV_AGGREGATES_PER_SCAN,
     ).collect()
     kinds = {r["col"]: _kind(r) for r in stats}
     return text.select(
@@ -72,9 +69,9 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return clean_missing(spark.table(name))
 
 
-def preview(df: DataFrame, rows: int = 50) -> DataFrame:
-    """The first rows, for looking at a table before choosing a target."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 50, order_by: Sequence[str] = ()) -> DataFrame:
+    """The first rows, in the table's order or that of some columns, for looking at a table before choosing a target."""
+    return (df.orderBy(*map(col, order_by)) if order_by else df).limit(rows)
 
 
 def single_column(df: DataFrame, name: str) -> DataFrame:
