@@ -37,6 +37,7 @@ WORDS = 5
 COUNTER_BITS, FILTER_BITS = 20, 24
 #: Bits of the short sketch; fewest blocks of a band; places between nodes compared in the first round.
 SHORT_BITS, LEAST_BLOCKS, LAG = 10, 64, 256
+FILTER_SHIFTS = (64 - FILTER_BITS, 8)
 CHUNK = 1 << 12
 SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -179,49 +180,47 @@ def shared_blocks(chosen: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "block long, node long, n long, hub long, hub_n long")
 
 
-def wanted_filter(names: DataFrame) -> np.ndarray:
-    """Bits of the rows to fetch, one for each node, as 64-bit words; at most 2**(FILTER_BITS - 6) rows reach the driver."""
-    name = F.col("node").bitwiseXOR(F.col("doc_id")).bitwiseXOR(F.shiftleft("doc_id", 40))
-    places = F.array(F.shiftrightunsigned("name", 64 - FILTER_BITS), F.col("name").bitwiseAND((1 << FILTER_BITS) - 1))
-    bits = names.select(name.alias("name")).select(F.explode(places).alias("place"))
-    words = bits.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits"))
+def wanted_filter(doc_ids: DataFrame) -> np.ndarray:
+    """Bits of the documents to fetch, as 64-bit words; at most 2**(FILTER_BITS - 6) rows reach the driver."""
+    places = F.array(*(F.shiftrightunsigned(F.xxhash64("doc_id"), shift) for shift in FILTER_SHIFTS))
+    words = doc_ids.select(F.explode(places).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in words.toLocalIterator():
-        out[row["word"]] = row["bits"]
+    for row in words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")).toLocalIterator():
+        out[row["word"] & (len(out) - 1)] |= row["bits"]
     return out.view(np.uint64)
 
 
-def row_wanted(bits: np.ndarray, node: int, doc: int) -> bool:
-    """Whether `wanted_filter` holds the row."""
-    whole = (1 << 64) - 1
-    name = (node ^ doc ^ doc << 40) & whole
-    return all(int(bits[k >> 6]) >> (k & 63) & 1 for k in (name >> (64 - FILTER_BITS), name & ((1 << FILTER_BITS) - 1)))
+def fetched(docs: DataFrame, holders: DataFrame, nodes: DataFrame, members: bool) -> DataFrame:
+    """(node, n, short), and members if asked for, of `nodes`, each from the document that `holders` (node, doc_id) names.
 
-
-def fetched_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(node, n, short, members) of the wanted rows."""
-    sent = docs.sparkSession.sparkContext.broadcast(wanted)
+    A filter of fixed size keeps other texts from being read; what passes it by chance is more than asked, not wrong.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(wanted_filter(holders.join(nodes, "node").select("doc_id")))
+    fields = [("node", pa.int64()), ("n", pa.int64()), ("short", pa.binary())] + [("members", pa.binary())] * members
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = sent.value, set()
         for batch in slices(batches, 1):
+            names = batch.column(2).to_numpy().view(np.uint64)
+            wanted = np.ones(len(names), bool)
+            for shift in FILTER_SHIFTS:
+                place = (names >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
+                wanted &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
             out = []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                if name is None:
-                    continue
-                members = shingle_set(text)
-                if not len(members):
-                    continue
-                node = node_of(members)
-                if node in seen or not row_wanted(bits, node, name):
-                    continue
-                seen.add(node)
-                parity = np.bincount((members >> np.uint64(64 - SHORT_BITS)).astype(np.int64), minlength=1 << SHORT_BITS) & 1
-                out.append((node, len(members), np.packbits(parity.astype(bool)).tobytes(), members.tobytes()))
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["node", "n", "short", "members"])
+            for text in batch.column(1).filter(pa.array(wanted)).cast(pa.binary()).to_pylist():
+                found = shingle_set(text)
+                node = node_of(found) if len(found) else None
+                if node is not None and node not in seen:
+                    seen.add(node)
+                    parity = np.bincount((found >> np.uint64(64 - SHORT_BITS)).astype(np.int64), minlength=1 << SHORT_BITS) & 1
+                    out.append((node, len(found), np.packbits(parity.astype(bool)).tobytes(), *([found.tobytes()] * members)))
+            columns = list(zip(*out)) or [()] * len(fields)
+            yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [name for name, _ in fields])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "node long, n long, short binary, members binary")
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.select("doc_id", "text", F.xxhash64("doc_id").alias("name"))
+    found = rows.mapInArrow(run, "node long, n long, short binary" + ", members binary" * members)
+    return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def agreeing(pairs: DataFrame) -> DataFrame:
@@ -310,26 +309,34 @@ def labelled(rows: DataFrame, labels: DataFrame, column: str, output: str) -> Da
 def node_labels(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame:
     """(node, component) of all nodes that have a link."""
     groups = materialize(shared_blocks(chosen_blocks(docs, levels)), "shared-blocks")
+    holders = materialize(nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "holders")
     used = groups.select("node").union(groups.select("hub")).distinct()
-    first = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(fetched_sets(docs, wanted_filter(first.join(used, "node"))).dropDuplicates(["node"]), "shingle-sets")
+    sketches = materialize(fetched(docs, holders, used, False), "short-sketches")
+
+    def checked(near: DataFrame) -> DataFrame:
+        """The links among plausible pairs; whole sets are fetched for these only."""
+        both = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "node")
+        return agreeing(with_sets(near, materialize(fetched(docs, holders, both, True), "shingle-sets"), "members"))
+
     pairs = groups.where("4 * hub_n >= 3 * n").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    near = materialize(plausible(with_sets(pairs, sets, "n", "short")), "near-pairs")
-    labels = components(agreeing(with_sets(near, sets, "members")))
+    near = materialize(plausible(with_sets(pairs, sketches, "n", "short")), "near-pairs")
+    labels = components(checked(near))
     low, high = 0, LAG
     while True:
         marked = labelled(labelled(groups, labels, "node", "component"), labels, "hub", "hub_component")
         # Nodes were compared with the hub of their group; what is left are groups with several components besides.
         spread = marked.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         spread = spread.where((F.col("low") != F.col("high")) & (F.col("size") > low + 1)).select("block")
-        rows = marked.join(spread, "block").join(sets.select("node", "short"), "node")
+        rows = marked.join(spread, "block").join(sketches.select("node", "short"), "node")
         rows = materialize(rows.select("block", "node", "n", "component", "short"), "open-groups")
         if rows.isEmpty():
             return labels
-        more = agreeing(with_sets(further_pairs(rows, low, high), sets, "members"))
-        more = materialize(labelled(labelled(more, labels, "a", "to_a"), labels, "b", "to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
-        if not more.isEmpty():
-            labels = joined_labels(labels, more)
+        near = materialize(further_pairs(rows, low, high), "near-pairs")
+        if not near.isEmpty():
+            more = labelled(labelled(checked(near), labels, "a", "to_a"), labels, "b", "to_b")
+            more = materialize(more.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
+            if not more.isEmpty():
+                labels = joined_labels(labels, more)
         low, high = high, 4 * high
 
 
