@@ -47,7 +47,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives the text back."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    decoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, decoded_col="decoded")
     return decoded.select(
         "doc_id",
         "lang",

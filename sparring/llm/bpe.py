@@ -26,7 +26,9 @@ from sparring.llm.common import slices
 #: How byte-level vocabularies cut texts into pretokens.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct pretokens remembered by a task, and merged at once.
-REMEMBERED, AT_ONCE = 300_000, 20_000
+REMEMBERED, AT_ONCE = 200_000, 20_000
+#: Bytes of text that are cut into pretokens at once.
+TEXT_AT_ONCE = 2 << 20
 NONE = np.int64(1) << 40
 
 
@@ -164,22 +166,37 @@ class Encoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
-def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """`docs` with `ids_col`, the tokens of `text_col` as array<int>. The driver reads the vocabulary file and sends it."""
+def as_lists(ids: list[bytes]) -> pa.ListArray:
+    """Packed ids as an array<int> column."""
+    ends = np.cumsum([0, *map(len, ids)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+
+def decoded_text(ids: list[int], vocabulary: Vocabulary) -> str:
+    return b"".join(map(vocabulary.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+
+
+def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """`docs` with `ids_col`, the tokens of `text_col` as array<int>, and if named `decoded_col`, the text of those tokens.
+
+    The driver reads the vocabulary file and sends it.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
-    base = docs.drop(ids_col)
+    added = [ids_col, *([decoded_col] if decoded_col else [])]
+    base = docs.drop(*added)
     at = base.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, TEXT_AT_ONCE):
             ids = encoder.encode(batch.column(at).to_pylist())
-            ends = np.cumsum([0, *map(len, ids)]) // 4
-            values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids_col])
+            columns = [*batch.columns, as_lists(ids)]
+            if decoded_col:
+                columns.append(pa.array([decoded_text(np.frombuffer(x, np.int32).tolist(), sent.value) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added])
 
-    return base.mapInArrow(run, base.select("*", F.lit(None).cast("array<int>").alias(ids_col)).schema)
+    kinds = [F.lit(None).cast(t).alias(c) for c, t in zip(added, ("array<int>", "string"))]
+    return base.mapInArrow(run, base.select("*", *kinds).schema)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -189,13 +206,9 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_
     at = base.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = sent.value.token_bytes
         for batch in batches:
             # One row's ids at a time become Python numbers.
-            texts = [
-                b"".join(map(token_bytes.__getitem__, row.values.to_pylist())).decode("utf-8", "replace") if row.is_valid else ""
-                for row in batch.column(at)
-            ]
+            texts = [decoded_text(row.values.to_pylist(), sent.value) if row.is_valid else "" for row in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
 
     return base.mapInArrow(run, base.select("*", F.lit(None).cast("string").alias(text_col)).schema)
@@ -203,9 +216,9 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_
 
 def token_digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """Per document: doc_id, n_tokens, and SHA-256 of the decimal ids joined by commas and of the decoded text."""
-    encoded = encode(docs.select("doc_id", "text"), vocabulary_path).drop("text")
+    encoded = encode(docs.select("doc_id", "text"), vocabulary_path, decoded_col="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decode(encoded, vocabulary_path).select(
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),

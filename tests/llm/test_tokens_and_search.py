@@ -44,6 +44,8 @@ def test_encode_and_decode(spark, corpus, library):
     for text, row in zip(texts, rows):
         assert row["ids"] == library.encode(text or "", add_special_tokens=False).ids
         assert row["decoded"] == library.decode(row["ids"], skip_special_tokens=False) == (text or "")
+    both = bpe.encode(corpus([(k, t) for k, t in enumerate(texts)]), PATH, decoded_col="decoded")
+    assert sorted(map(tuple, both.select("doc_id", "ids", "decoded").collect())) == [tuple(r[c] for c in ("doc_id", "ids", "decoded")) for r in rows]
     broken = spark.createDataFrame([([128],), (None,)], "ids array<int>")
     assert [r["decoded"] for r in bpe.decode(broken, PATH).collect()] == [library.decode([128], skip_special_tokens=False), ""]
 
