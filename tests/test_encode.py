@@ -6,6 +6,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import functions as F
 
 from sparring.functions.keys import ROW_KEY
+from sparring.functions.linalg import top_eigenvectors
 from sparring.operators import encode, profile
 from sparring.operators.encode import OneHot, Preprocessor, label_encode
 from sparring.operators.split import SPLIT
@@ -46,7 +47,7 @@ def test_whole_preprocessor_against_numpy(spark, table):
         categories.pop(3)
     block = np.stack(categories, 1).astype(float)
     gram = block[local["split"] == "train"].T @ block[local["split"] == "train"]
-    _, vectors = encode.top_eigenvectors(gram, 4)
+    _, vectors = top_eigenvectors(gram, 4)
     expected = np.column_stack([*scaled, block @ vectors])
     prepared = fitted.transform(table)
     assert prepared.n_features == expected.shape[1]
