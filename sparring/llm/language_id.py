@@ -23,6 +23,8 @@ from sparring.llm.common import fold, hash_sample, slices
 GRAMS = (2, 3, 4)
 BITS = 16
 UNKNOWN = "und"
+#: Texts in one matrix product: at most 16 MB of presence flags.
+AT_ONCE = 64
 #: Bounds of the labelled sample; both are parameters of `fit`.
 SAMPLE_ROWS, LANDMARKS = 3000, 96
 
@@ -42,14 +44,17 @@ def gram_flags(text: str) -> np.ndarray:
 
 
 def kernel(texts: list[str], landmarks: dict) -> np.ndarray:
-    """Normalised kernel of each text with each landmark, by one matrix product."""
+    """Normalised kernel of each text with each landmark, by matrix products of AT_ONCE texts."""
     used, profile, norm = landmarks["used"], landmarks["profile"], landmarks["norm"]
-    present = np.empty((len(texts), len(used)), np.float32)
-    sizes = np.empty(len(texts))
-    for k, text in enumerate(texts):
-        flags = gram_flags(text)
-        present[k], sizes[k] = flags[used], np.count_nonzero(flags)
-    return (present @ profile) / np.sqrt(np.maximum(sizes, 1))[:, None] / norm
+    parts = [np.zeros((0, len(norm)))]
+    for start in range(0, len(texts), AT_ONCE):
+        some = texts[start : start + AT_ONCE]
+        present, sizes = np.empty((len(some), len(used)), np.float32), np.empty(len(some))
+        for k, text in enumerate(some):
+            flags = gram_flags(text)
+            present[k], sizes[k] = flags[used], np.count_nonzero(flags)
+        parts.append((present @ profile) / np.sqrt(np.maximum(sizes, 1))[:, None] / norm)
+    return np.concatenate(parts)
 
 
 def has_letter(text: str | None) -> bool:
