@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from sparring.llm.common import mixed, slices
 from sparring.session import materialize
 
-#: Bits of each filter: 16 MB, whatever the input. Each key sets two bits.
-FILTER_BITS = 27
+#: Bits of each filter: 8 MB, whatever the input. Each key sets two bits.
+FILTER_BITS = 26
 BLOCK_BITS = 16
 #: Keys hashed before a task hands its filters on, and then starts new ones.
 FLUSH_KEYS = 8 << 20
