@@ -26,9 +26,9 @@ from sparring.llm.common import slices
 #: How byte-level vocabularies cut texts into pretokens.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct pretokens remembered by a task, and merged at once.
-REMEMBERED, AT_ONCE = 200_000, 20_000
+REMEMBERED, AT_ONCE = 100_000, 10_000
 #: Bytes of text that are cut into pretokens at once.
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 20
 NONE = np.int64(1) << 40
 
 
