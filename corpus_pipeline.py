@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparring.llm import bpe, decontaminate, jaccard_join, language_id, line_dedup
-from sparring.llm.common import table
+from sparring.llm.common import bound_batches, table
 from sparring.session import staging_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,28 +24,33 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a missing `lang` is filled in. What has no letter goes."""
+    bound_batches(spark)
     named = language_id.identify(docs, language_id.fit(docs, F.col("doc_id").isNotNull())).where(F.col("lang_pred") != language_id.UNKNOWN)
     return named.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines repeated elsewhere; one that loses all its lines stays, with an empty text."""
+    bound_batches(spark)
     left = line_dedup.drop_repeated_lines(docs)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of smallest id."""
+    bound_batches(spark)
     return jaccard_join.keep_smallest(docs).select(*COLUMNS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that repeat no item of `benchmark`."""
+    bound_batches(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives the text back."""
+    bound_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     decoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, decoded_col="decoded")
     return decoded.select(

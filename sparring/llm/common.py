@@ -13,9 +13,19 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a step inside a task holds at once; a longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
+#: Rows of an Arrow batch between Spark and Python.
+ARROW_ROWS = 1024
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches at ARROW_ROWS rows in this session: whole texts are large, and each batch is buffered twice."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, ARROW_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
