@@ -81,6 +81,41 @@ def test_recall(spark):
     assert len(found & exact) >= 0.9 * len(exact)
 
 
+def recall(spark, x, **settings):
+    """Share of the 20 nearest of every tenth row that is found, and the fewest found for a query."""
+    asked = np.arange(0, len(x), 10)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    exact = {(int(q), int(i)) for q, best in zip(asked, np.argsort(-scores, axis=1)[:, :20]) for i in best}
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = [(r["query_id"], r["vec_id"]) for r in ann.nearest(frame, F.col("vec_id") % 10 == 0, **settings).collect()]
+    each = np.bincount([q for q, _ in found], minlength=len(x))[asked]
+    return len(set(found) & exact) / len(exact), int(each.min())
+
+
+@pytest.mark.parametrize("dimensions", [64, 100])
+def test_recall_of_unequal_lengths(spark, dimensions):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, dimensions))
+    x *= np.exp(0.5 * rng.normal(size=(3000, 1))) / np.sqrt((x * x).sum(1, keepdims=True))
+    share, fewest = recall(spark, x)
+    assert share >= 0.9 and fewest == 20
+
+
+def test_one_long_vector(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2500, 100))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    x[7] *= 100
+    share, fewest = recall(spark, x)
+    assert share >= 0.9 and fewest == 20
+
+
+def test_queries_that_find_too_few(spark):
+    x = np.random.default_rng(13).normal(size=(120, 8))
+    assert recall(spark, x, tables=1, probes=1, whole_rows=0)[1] == 20
+
+
 def test_decontamination(spark, corpus):
     rng = random.Random(3)
     vocabulary = [f"w{k}" for k in range(60)]
