@@ -30,6 +30,8 @@ REMEMBERED, AT_ONCE = 100_000, 10_000
 #: Bytes of text that are cut into pretokens at once.
 TEXT_AT_ONCE = 1 << 20
 NONE = np.int64(1) << 40
+#: An empty leaf of a segment tree, above every rank * size + position whatever the size.
+EMPTY = np.int64(np.iinfo(np.int64).max)
 
 
 def byte_letters() -> list[str]:
@@ -80,10 +82,10 @@ def merge_rows(words: list[bytes], size: int, vocabulary: Vocabulary) -> list[by
     token = vocabulary.byte_ids[raw]
     after = np.where(column + 1 < lengths[:, None], column + 1, -1)
     before = np.tile(column - 1, (n, 1))
-    tree = np.full((n, 2 * size), NONE * size, np.int64)
+    tree = np.full((n, 2 * size), EMPTY)
     if size > 1:
         ranks = np.where(after[:, :-1] >= 0, vocabulary.byte_pair_ranks[raw[:, :-1], raw[:, 1:]], NONE)
-        tree[:, size:-1] = np.where(ranks < NONE, ranks * size + column[:-1], NONE * size)
+        tree[:, size:-1] = np.where(ranks < NONE, ranks * size + column[:-1], EMPTY)
     level = size // 2
     while level:
         tree[:, level : 2 * level] = np.minimum(tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
@@ -96,7 +98,7 @@ def merge_rows(words: list[bytes], size: int, vocabulary: Vocabulary) -> list[by
             node >>= 1
             tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
 
-    rows = np.flatnonzero(tree[:, 1] < NONE * size)
+    rows = np.flatnonzero(tree[:, 1] < EMPTY)
     while len(rows):
         root = tree[rows, 1]
         at = root % size
@@ -105,18 +107,18 @@ def merge_rows(words: list[bytes], size: int, vocabulary: Vocabulary) -> list[by
         right = after[rows, gone]
         after[rows, at] = right
         after[rows, gone] = -2
-        update(rows, gone, np.full(len(rows), NONE * size))
+        update(rows, gone, np.full(len(rows), EMPTY))
         has = right >= 0
         before[rows[has], right[has]] = at[has]
         value = np.full(len(rows), NONE)
         value[has] = vocabulary.rank(token[rows[has], at[has]], token[rows[has], right[has]])
-        update(rows, at, np.where(value < NONE, value * size + at, NONE * size))
+        update(rows, at, np.where(value < NONE, value * size + at, EMPTY))
         left = before[rows, at]
         has = left >= 0
         some, left, at = rows[has], left[has], at[has]
         value = vocabulary.rank(token[some, left], token[some, at])
-        update(some, left, np.where(value < NONE, value * size + left, NONE * size))
-        rows = rows[tree[rows, 1] < NONE * size]
+        update(some, left, np.where(value < NONE, value * size + left, EMPTY))
+        rows = rows[tree[rows, 1] < EMPTY]
     kept = (after != -2) & (column < lengths[:, None])
     flat, ends = token[kept].astype(np.int32).tobytes(), (4 * np.cumsum(kept.sum(1))).tolist()
     return [flat[s:e] for s, e in zip([0, *ends], ends)]

@@ -50,6 +50,15 @@ def test_encode_and_decode(spark, corpus, library):
     assert [r["decoded"] for r in bpe.decode(broken, PATH).collect()] == [library.decode([128], skip_special_tokens=False), ""]
 
 
+def test_pretoken_above_four_mebibytes(library, encoder):
+    ranks = encoder.vocabulary.byte_pair_ranks
+    # A letter whose bytes don't merge keeps the number of merges small.
+    letter = next(c for c in map(chr, range(0x1400, 0x1680)) if c.isalpha() and all(ranks[a, b] == bpe.NONE for a, b in zip(c.encode() * 2, (c * 2).encode()[1:])))
+    text = "hello" + letter * ((4 << 20) // 3 + 10) + "there"
+    (ids,) = encoder.encode([text])
+    assert np.array_equal(np.frombuffer(ids, np.int32), library.encode(text, add_special_tokens=False).ids)
+
+
 def exact_neighbours(rows, k, queries):
     found = []
     for q, v in sorted(queries):
