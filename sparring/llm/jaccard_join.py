@@ -180,13 +180,19 @@ def shared_blocks(chosen: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "block long, node long, n long, hub long, hub_n long")
 
 
-def wanted_filter(doc_ids: DataFrame) -> np.ndarray:
-    """Bits of the documents to fetch, as 64-bit words; at most 2**(FILTER_BITS - 6) rows reach the driver."""
-    places = F.array(*(F.shiftrightunsigned(F.xxhash64("doc_id"), shift) for shift in FILTER_SHIFTS))
+def wanted_words(doc_ids: DataFrame) -> DataFrame:
+    """(word, bits): the bits of the documents to fetch, merged by executors; at most 2**(FILTER_BITS - 6) rows."""
+    mask = (1 << FILTER_BITS) - 1
+    places = F.array(*(F.shiftrightunsigned(F.xxhash64("doc_id"), shift).bitwiseAND(mask) for shift in FILTER_SHIFTS))
     words = doc_ids.select(F.explode(places).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
+    return words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits"))
+
+
+def wanted_filter(doc_ids: DataFrame) -> np.ndarray:
+    """Bits of the documents to fetch, as 64-bit words."""
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")).toLocalIterator():
-        out[row["word"] & (len(out) - 1)] |= row["bits"]
+    for row in wanted_words(doc_ids).toLocalIterator():
+        out[row["word"]] = row["bits"]
     return out.view(np.uint64)
 
 

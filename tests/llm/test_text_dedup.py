@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sparring.llm import jaccard_join, line_dedup, substring_dedup
 from sparring.llm.graph import components
@@ -131,3 +132,16 @@ def test_empty_tables(corpus):
     assert line_dedup.drop_repeated_lines(empty).count() == 0
     assert substring_dedup.remove_repeated_windows(empty).count() == 0
     assert jaccard_join.component_table(empty).count() == 0
+
+
+def test_filter_words_are_merged_before_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FILTER_BITS", 12)
+    sent = []
+    frame = type(spark.range(1))
+    rows = frame.toLocalIterator
+    monkeypatch.setattr(frame, "toLocalIterator", lambda self, *a: iter(sent.extend(rows(self, *a)) or sent))
+    bits = jaccard_join.wanted_filter(spark.range(3000).withColumnRenamed("id", "doc_id"))
+    assert len(sent) <= 1 << 6
+    hashes = [r[0] & (1 << 64) - 1 for r in spark.range(3000).select(F.xxhash64("id")).collect()]
+    places = {h >> shift & 4095 for h in hashes for shift in jaccard_join.FILTER_SHIFTS}
+    assert {w * 64 + b for w in range(64) for b in range(64) if int(bits[w]) >> b & 1} == places
