@@ -7,8 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparring.llm import ann, bpe, chat_format, decontaminate, jaccard_join, language_id, line_dedup, quality_crf, substring_dedup, toxicity
+from sparring.llm import (
+    ann,
+    bpe,
+    chat_format,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    phrases,
+    quality_crf,
+    substring_dedup,
+    toxicity,
+    url_rules,
+)
 from sparring.llm.common import table
+from sparring.session import local_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +67,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
+#: (host, path, action)
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = local_frame(spark, URL_RULES, "host string, path string, action string")
+    return url_rules.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -66,6 +98,8 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_nearest,
         op10_language_id,
+        op11_url_rules,
+        op13_phrases,
     )
 }
 
@@ -151,9 +185,64 @@ SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS comp
 FROM reached r LEFT JOIN sizes s USING (doc_id) GROUP BY r.doc_id
 """
 
+URLS = f"""
+WITH parts AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/'
+  END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
+PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces
+), sizes AS (
+  SELECT lang, sum(len(words)) AS n FROM split GROUP BY lang
+), starts AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM split
+), runs AS (
+  SELECT lang, size, array_to_string(words[pos : pos + size - 1], ' ') AS phrase
+  FROM starts, range(1, 5) AS s(size) WHERE pos + size - 1 <= len(words)
+), counts AS (
+  SELECT lang, phrase, size, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 30
+), covered AS (
+  SELECT c.lang, c.phrase FROM counts c JOIN counts d
+    ON c.lang = d.lang AND d.size > c.size AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.f >= 80 * c.f
+), cuts AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k
+  FROM counts WHERE size >= 2 AND (lang, phrase) NOT IN (SELECT (lang, phrase) FROM covered)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : c.k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.k + 1 :], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM best JOIN sizes USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER w <= 2000
+"""
+
 ORACLES = {
     "op3_substring_dedup": SUBSTRINGS,
     "op5_line_dedup": LINES,
     "op6_chat_format": CHATS,
     "op7_jaccard_join": COMPONENTS,
+    "op11_url_rules": URLS,
+    "op13_phrases": PHRASES,
 }
