@@ -39,7 +39,7 @@ MODULUS = 16
 #: Counters for the upper bounds; the filter made of them has one bit for each: 8 MB, whatever the input.
 COUNTER_BITS, BLOCK_BITS = 26, 16
 #: Bytes of chunks that a step inside a task counts at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Parts in which a language's phrases are ranked before the best of each part are ranked together.
 PARTS = 64
 SEPARATOR = b"."
