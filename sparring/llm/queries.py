@@ -18,6 +18,7 @@ from sparring.llm import (
     phrases,
     quality_crf,
     substring_dedup,
+    token_alignment,
     toxicity,
     url_rules,
 )
@@ -81,6 +82,11 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.alignment_digests(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
         op9_nearest,
         op10_language_id,
         op11_url_rules,
+        op12_token_alignment,
         op13_phrases,
     )
 }
