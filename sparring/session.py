@@ -66,4 +66,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the tables that `materialize` wrote for these frames; nothing may read them afterwards."""
+    for df in staged:
+        path = getattr(df, "_staged_path", None)
+        if path:
+            delete_path(df.sparkSession, path)
+            df._staged_path = None
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark can write to."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
