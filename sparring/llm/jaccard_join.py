@@ -9,8 +9,8 @@ is. Sketches are compared per size band (powers of two; a document also joins th
 there). The few documents with too few non-empty blocks for the bound also join by single members.
 
 Equal sets are one node, so copies are never paired. In each group of a shared block, nodes are first compared with the
-smallest; groups that this leaves in several components are then compared further by short sketches, each node with
-nodes of other components up to LAG places on in the order of size, then four times as far, until no pair of a group
+smallest; groups that this leaves in several components are then compared further by their sketches (bits by the low bits
+of each hash, at least two a member, folded where widths differ), each node with nodes of other components up to LAG places on in the order of size, then four times as far, until no pair of a group
 could add a link: no cap, and no pairs among nodes that are linked already. Pairs that pass are checked exactly.
 
 Words are split at ASCII white space, A-Z lower-cased; with fewer than five words the whole sequence is the one member.
@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from sparring.llm.common import mixed, slices, window_hashes, word_hashes
 from sparring.llm.graph import components
-from sparring.session import materialize
+from sparring.session import materialize, release
 
 WORDS = 5
 #: Counters of block frequencies and bits of the filter of nodes to fetch: 8 MB and 2 MB, whatever the input.
 COUNTER_BITS, FILTER_BITS = 20, 24
-#: Bits of the short sketch; fewest blocks of a band; places between nodes compared in the first round.
+#: Least width of a sketch, as a power of two; fewest blocks of a band; places between nodes compared in the first round.
 SHORT_BITS, LEAST_BLOCKS, LAG = 10, 64, 256
+SHORT_BYTES = (1 << SHORT_BITS) // 8
 FILTER_SHIFTS = (64 - FILTER_BITS, 8)
 CHUNK = 1 << 12
 SALT = np.uint64(0xA0761D6478BD642F)
@@ -56,6 +57,35 @@ def node_of(members: np.ndarray) -> int:
     return int(mixed(both).view(np.int64)[0])
 
 
+def parity_sketch(members: np.ndarray) -> bytes:
+    """A bit for each value of the members' low bits, toggled by each member; at least two bits a member.
+
+    Its first half XOR its second half is the sketch of half the width.
+    """
+    width = max(SHORT_BITS, len(members).bit_length() + 1)
+    parity = np.bincount((members & np.uint64((1 << width) - 1)).astype(np.int64), minlength=1 << width) & 1
+    return np.packbits(parity.astype(bool)).tobytes()
+
+
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """The sketches (of one length) at a width of `size` bytes, as rows of 64-bit words."""
+    out = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    while 8 * out.shape[1] > size:
+        out = out[:, : out.shape[1] // 2] ^ out[:, out.shape[1] // 2 :]
+    return out
+
+
+def distances(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """Unequal bits of each pair of sketches, at the width of the narrower one: no more than the sets' unequal members."""
+    out = np.zeros(len(one), np.int64)
+    sizes = np.array([(len(a), len(b)) for a, b in zip(one, two)], np.int64).reshape(len(one), 2)
+    for x, y in np.unique(sizes, axis=0).tolist():
+        at = np.flatnonzero((sizes[:, 0] == x) & (sizes[:, 1] == y))
+        a, b = (folded([s[k] for k in at.tolist()], min(x, y)) for s in (one, two))
+        out[at] = np.bitwise_count(a ^ b).sum(1)
+    return out
+
+
 def band_blocks(members: np.ndarray, band: int) -> np.ndarray:
     """Hash of band, place and content of each non-empty block."""
     bits = max(LEAST_BLOCKS, 1 << band).bit_length() - 1
@@ -83,32 +113,35 @@ def counter_place(blocks: np.ndarray) -> np.ndarray:
 
 
 def first_scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n) of each row, and chunks of block counts (chunk, counts) from each task."""
+    """(doc_id, node, n) of each row, with the sketch of a node that is new to its task, and from each task chunks of block counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << COUNTER_BITS, np.int64), set()
-        names = ["doc_id", "node", "n", "chunk", "counts"]
+        names = ["doc_id", "node", "n", "short", "chunk", "counts"]
         for batch in slices(batches, 1):
-            nodes, sizes, blocks = [], [], []
+            nodes, sizes, sketches, blocks = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 members = shingle_set(text)
                 node = node_of(members) if len(members) and doc is not None else None
                 nodes.append(node)
                 sizes.append(len(members))
+                sketches.append(None)
                 if node is not None and node not in seen:
                     seen.add(node)
                     blocks += block_sets(members)
+                    sketches[-1] = parity_sketch(members)
             if blocks:
                 counts += np.bincount(counter_place(np.concatenate(blocks)), minlength=len(counts))
             rows = len(nodes)
             nothing = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())]
-            yield pa.record_batch([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *nothing], names)
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.record_batch([*columns, *nothing], names)
         chunks = [k for k in range(len(counts) // CHUNK) if counts[k * CHUNK : (k + 1) * CHUNK].any()]
         data = [counts[k * CHUNK : (k + 1) * CHUNK].astype(np.uint32).tobytes() for k in chunks]
         empty = [pa.nulls(len(chunks), pa.int64()) for _ in range(3)]
-        yield pa.record_batch([*empty, pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names)
+        yield pa.record_batch([*empty, pa.nulls(len(chunks), pa.binary()), pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, n long, chunk int, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, n long, short binary, chunk int, counts binary")
 
 
 def block_levels(scanned: DataFrame) -> np.ndarray:
@@ -196,13 +229,12 @@ def wanted_filter(doc_ids: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def fetched(docs: DataFrame, holders: DataFrame, nodes: DataFrame, members: bool) -> DataFrame:
-    """(node, n, short), and members if asked for, of `nodes`, each from the document that `holders` (node, doc_id) names.
+def fetched(docs: DataFrame, holders: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, members) of `nodes`, each from the document that `holders` (node, doc_id) names.
 
     A filter of fixed size keeps other texts from being read; what passes it by chance is more than asked, not wrong.
     """
     sent = docs.sparkSession.sparkContext.broadcast(wanted_filter(holders.join(nodes, "node").select("doc_id")))
-    fields = [("node", pa.int64()), ("n", pa.int64()), ("short", pa.binary())] + [("members", pa.binary())] * members
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = sent.value, set()
@@ -218,14 +250,13 @@ def fetched(docs: DataFrame, holders: DataFrame, nodes: DataFrame, members: bool
                 node = node_of(found) if len(found) else None
                 if node is not None and node not in seen:
                     seen.add(node)
-                    parity = np.bincount((found >> np.uint64(64 - SHORT_BITS)).astype(np.int64), minlength=1 << SHORT_BITS) & 1
-                    out.append((node, len(found), np.packbits(parity.astype(bool)).tobytes(), *([found.tobytes()] * members)))
-            columns = list(zip(*out)) or [()] * len(fields)
-            yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [name for name, _ in fields])
+                    out.append((node, found.tobytes()))
+            columns = list(zip(*out)) or [(), ()]
+            yield pa.record_batch([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], ["node", "members"])
 
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.select("doc_id", "text", F.xxhash64("doc_id").alias("name"))
-    found = rows.mapInArrow(run, "node long, n long, short binary" + ", members binary" * members)
+    found = rows.mapInArrow(run, "node long, members binary")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -245,13 +276,12 @@ def agreeing(pairs: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame) -> DataFrame:
-    """Pairs whose short sketches differ in no more bits than a seventh of both sizes."""
+    """Pairs whose sketches differ in no more bits than a seventh of both sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5))
-                apart = np.bitwise_count(one ^ two).sum(1)
+                apart = distances(*(batch.column(k).to_pylist() for k in (4, 5)))
                 most = (batch.column(2).to_numpy() + batch.column(3).to_numpy()) // 7
                 yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(apart <= most))
 
@@ -268,17 +298,18 @@ def with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
 def further_pairs(open_rows: DataFrame, low: int, high: int) -> DataFrame:
     """(a, b): in each group, nodes of other components that stand low + 1 to high places apart in the order of size.
 
-    Only pairs whose short sketches could belong to a link are written.
+    Only pairs whose sketches could belong to a link are written: all are folded to the least width and compared first.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_short = np.zeros((0, 4), np.int64), np.zeros((0, (1 << SHORT_BITS) // 64), np.uint64)
+        held, held_short, held_whole = np.zeros((0, 4), np.int64), np.zeros((0, SHORT_BYTES // 8), np.uint64), []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             rows = np.concatenate([held, np.column_stack([batch.column(k).to_numpy() for k in range(4)])])
-            packed = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            short = np.concatenate([held_short, packed])
+            added = batch.column(4).to_pylist()
+            whole = held_whole + added
+            short = np.concatenate([held_short, *(folded([w], SHORT_BYTES) for w in added)])
             for lag in range(low + 1, high + 1):
                 new = max(lag, len(held))
                 x, y = rows[new - lag : len(rows) - lag], rows[new:]
@@ -287,12 +318,15 @@ def further_pairs(open_rows: DataFrame, low: int, high: int) -> DataFrame:
                 good = np.flatnonzero((x[:, 0] == y[:, 0]) & (x[:, 3] != y[:, 3]) & (4 * x[:, 2] >= 3 * y[:, 2]))
                 apart = np.bitwise_count(short[good + new - lag] ^ short[good + new]).sum(1)
                 good = good[apart <= (x[good, 2] + y[good, 2]) // 7]
+                wide = [(whole[k + new - lag], whole[k + new]) for k in good.tolist()]
+                if wide and max(len(b) for _, b in wide) > SHORT_BYTES:
+                    good = good[distances(*map(list, zip(*wide))) <= (x[good, 2] + y[good, 2]) // 7]
                 if len(good):
                     found = np.sort(np.column_stack([x[good, 1], y[good, 1]]), 1)
                     yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
             # What later rows of the last group can still meet.
             first = max(len(rows) - high, int(np.searchsorted(rows[:, 0], rows[-1, 0])))
-            held, held_short = rows[first:], short[first:]
+            held, held_short, held_whole = rows[first:], short[first:], whole[first:]
 
     ordered = open_rows.repartition("block").sortWithinPartitions("block", "n", "node")
     return ordered.select("block", "node", "n", "component", "short").mapInArrow(run, "a long, b long").distinct()
@@ -303,7 +337,9 @@ def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
     merged = components(links)
     named = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
     old = labels.join(named, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-    return materialize(old.union(merged.join(labels, "node", "left_anti").select("node", "component")), "labels")
+    joined = materialize(old.union(merged.join(labels, "node", "left_anti").select("node", "component")), "labels")
+    release(merged, labels)
+    return joined
 
 
 def labelled(rows: DataFrame, labels: DataFrame, column: str, output: str) -> DataFrame:
@@ -312,21 +348,27 @@ def labelled(rows: DataFrame, labels: DataFrame, column: str, output: str) -> Da
     return rows.join(named, column, "left").withColumn(output, F.coalesce("_component", column)).drop("_component")
 
 
-def node_labels(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFrame:
+def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> DataFrame:
     """(node, component) of all nodes that have a link."""
     groups = materialize(shared_blocks(chosen_blocks(docs, levels)), "shared-blocks")
-    holders = materialize(nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "holders")
+    holders = materialize(scanned.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "holders")
     used = groups.select("node").union(groups.select("hub")).distinct()
-    sketches = materialize(fetched(docs, holders, used, False), "short-sketches")
+    sketches = scanned.where("short IS NOT NULL").select("node", "n", "short").join(used, "node", "left_semi")
+    sketches = materialize(sketches.dropDuplicates(["node"]), "sketches")
 
     def checked(near: DataFrame) -> DataFrame:
         """The links among plausible pairs; whole sets are fetched for these only."""
         both = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "node")
-        return agreeing(with_sets(near, materialize(fetched(docs, holders, both, True), "shingle-sets"), "members"))
+        sets = materialize(fetched(docs, holders, both), "shingle-sets")
+        links = materialize(agreeing(with_sets(near, sets, "members")), "links")
+        release(sets, near)
+        return links
 
     pairs = groups.where("4 * hub_n >= 3 * n").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     near = materialize(plausible(with_sets(pairs, sketches, "n", "short")), "near-pairs")
-    labels = components(checked(near))
+    links = checked(near)
+    labels = components(links)
+    release(links)
     low, high = 0, LAG
     while True:
         marked = labelled(labelled(groups, labels, "node", "component"), labels, "hub", "hub_component")
@@ -336,13 +378,17 @@ def node_labels(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFr
         rows = marked.join(spread, "block").join(sketches.select("node", "short"), "node")
         rows = materialize(rows.select("block", "node", "n", "component", "short"), "open-groups")
         if rows.isEmpty():
+            release(rows, groups, holders, sketches)
             return labels
         near = materialize(further_pairs(rows, low, high), "near-pairs")
+        release(rows)
         if not near.isEmpty():
-            more = labelled(labelled(checked(near), labels, "a", "to_a"), labels, "b", "to_b")
+            links = checked(near)
+            more = labelled(labelled(links, labels, "a", "to_a"), labels, "b", "to_b")
             more = materialize(more.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
             if not more.isEmpty():
                 labels = joined_labels(labels, more)
+            release(links, more)
         low, high = high, 4 * high
 
 
@@ -350,7 +396,7 @@ def component_table(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     scanned = materialize(first_scan(docs), "shingle-scan")
     nodes = scanned.where("chunk IS NULL").select("doc_id", "node", "n")
-    labels = node_labels(docs, nodes, block_levels(scanned))
+    labels = node_labels(docs, scanned, block_levels(scanned))
     # An id with several sets ties them together.
     several = nodes.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     ties = nodes.join(several, "doc_id").where("node <> low").select("low", "node")
