@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparring.llm.common import mixed, slices
+from sparring.llm.common import mixed, slices, unused_name
 from sparring.session import materialize
 
 #: Bits of each filter: 8 MB, whatever the input. Each key sets two bits.
@@ -31,6 +31,9 @@ FILTER_BITS = 26
 BLOCK_BITS = 16
 #: Keys hashed before a task hands its filters on, and then starts new ones.
 FLUSH_KEYS = 8 << 20
+#: Counts of one row between tasks.
+CELLS = 4096
+NOTHING = np.zeros(0, np.uint64)
 
 
 def line_keys(text: bytes, min_chars: int) -> list[bytes | None]:
@@ -63,10 +66,11 @@ def unpacked(data: bytes, size: int) -> np.ndarray:
     return np.packbits(flags)
 
 
-def twice_filter(rows: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits: int) -> bytes:
-    """The filter of hashes seen in two rows (id, text) or more, as a bit map of 2**bits bits.
+def twice_filter(rows: DataFrame, hashes_of: Callable[[bytes], tuple[np.ndarray, np.ndarray]], bits: int, cell_bits: int = 0) -> tuple[bytes, np.ndarray]:
+    """The filter of hashes seen in two rows (id, text) or more, as a bit map of 2**bits bits, and counts by first bits.
 
-    `hashes_of` gives the distinct hashes of one text; rows of null id are left out.
+    `hashes_of` gives the distinct hashes of one text, and hashes that are counted by their first `cell_bits` bits. Rows
+    of null id are left out.
     """
     block_bits = min(BLOCK_BITS, bits - 3)
     size = 1 << block_bits
@@ -78,10 +82,13 @@ def twice_filter(rows: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits
             yield pa.record_batch([pa.array(some, pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], ["block", "once", "twice"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice, seen = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool), 0
+        once, twice, seen, cells = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool), 0, np.zeros(1 << cell_bits, np.int64)
         for batch in slices(batches, 1):
             found = [hashes_of(t) for i, t in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))) if i is not None]
-            hashes, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+            hashes, counts = np.unique(np.concatenate([*(f for f, _ in found), np.zeros(0, np.uint64)]), return_counts=True)
+            if cell_bits:
+                counted = np.concatenate([*(c for _, c in found), np.zeros(0, np.uint64)]) >> np.uint64(64 - cell_bits)
+                cells += np.bincount(counted.astype(np.int64), minlength=len(cells))
             at = places(hashes, bits)
             again = once[at].all(0) | (counts > 1)
             twice[at[:, again]] = True
@@ -91,25 +98,39 @@ def twice_filter(rows: DataFrame, hashes_of: Callable[[bytes], np.ndarray], bits
                 yield from blocks(once, twice)
                 once[:], twice[:], seen = False, False, 0
         yield from blocks(once, twice)
+        # Counts travel as blocks of numbers below zero.
+        some = [k for k in range(0, len(cells), CELLS) if cells[k : k + CELLS].any()]
+        counted = [pa.array([-1 - k for k in some], pa.int32()), pa.array([cells[k : k + CELLS].tobytes() for k in some], pa.binary())]
+        yield pa.record_batch([*counted, pa.nulls(len(some), pa.binary())], ["block", "once", "twice"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, list[np.ndarray]] = {}
+        counts: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, once, twice in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if block < 0:
+                    counts[block] = counts.get(block, 0) + np.frombuffer(once, np.int64)
+                    continue
                 new = [unpacked(once, size), unpacked(twice, size)]
                 if old := known.get(block):
                     new = [old[0] | new[0], old[1] | new[1] | (old[0] & new[0])]
                 known[block] = new
         for block in known:
             yield pa.record_batch([pa.array([block], pa.int32()), pa.array([known[block][1].tobytes()], pa.binary())], ["block", "twice"])
+        for block in counts:
+            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([counts[block].tobytes()], pa.binary())], ["block", "twice"])
 
     parts = rows.mapInArrow(fill, "block int, once binary, twice binary")
     merged = parts.repartition("block").mapInArrow(merge, "block int, twice binary")
-    whole = bytearray((1 << bits) // 8)
+    whole, total = bytearray((1 << bits) // 8), np.zeros(1 << cell_bits, np.int64)
     for row in merged.toLocalIterator():
-        start = row["block"] * (size // 8)
-        whole[start : start + size // 8] = row["twice"]
-    return bytes(whole)
+        if row["block"] < 0:
+            start = -1 - row["block"]
+            total[start : start + CELLS] = np.frombuffer(bytes(row["twice"]), np.int64)
+        else:
+            start = row["block"] * (size // 8)
+            whole[start : start + size // 8] = row["twice"]
+    return bytes(whole), total
 
 
 def in_filter(bitmap: bytes, hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -124,8 +145,8 @@ def as_texts(column: pa.Array) -> list[bytes]:
 
 def suspects(docs: DataFrame, text_col: str, id_col: str, min_chars: int, bits: int) -> DataFrame:
     """(doc_id, key): the keys of each row that the second filter holds, as SHA-256."""
-    hashes_of = lambda text: hash_keys(list(set(line_keys(text, min_chars)) - {None}))
-    sent = docs.sparkSession.sparkContext.broadcast(twice_filter(docs.select(id_col, text_col), hashes_of, bits))
+    hashes_of = lambda text: (hash_keys(list(set(line_keys(text, min_chars)) - {None})), NOTHING)
+    sent = docs.sparkSession.sparkContext.broadcast(twice_filter(docs.select(id_col, text_col), hashes_of, bits)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = sent.value
@@ -155,7 +176,7 @@ def drop_repeated_lines(
     lost = found.join(repeated, "key").where(F.col("doc_id") != F.col("keeper"))
     # A document's own keys only: bounded by its text.
     per_doc = lost.groupBy(F.col("doc_id").alias("_lost_id")).agg(F.collect_set("key").alias("_lost"))
-    joined = base.join(per_doc.hint("shuffle_hash"), base[id_col] == per_doc["_lost_id"], "left").select(base["*"], "_lost")
+    joined = base.join(per_doc, base[id_col] == per_doc["_lost_id"], "left").select(base["*"], per_doc["_lost"].alias(unused_name(base, "_lost")))
     names, at = base.columns, base.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

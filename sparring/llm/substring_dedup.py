@@ -5,8 +5,8 @@ consecutive windows that share a minimiser are one super-k-mer and travel as one
 of the minimiser. There the windows are coded exactly, sorted, and each gets the smallest document id that holds it.
 Strings with a window that another, smaller id holds are joined back to the documents by a 128-bit hash.
 
-Before that, two scans of the minimisers plan the shuffle: a filter of fixed size keeps back windows whose minimiser
-stands in one document only (they repeat nowhere else), and counts per cell of minimisers give buckets of about
+Before that, a scan of the minimisers plans the shuffle: a filter of fixed size keeps back windows whose minimiser
+stands in one document only (they repeat nowhere else), and counts per cell of minimisers give buckets of at most about
 BUCKET_WINDOWS windows. A cell far above the mean (one very common minimiser) sends its windows one by one, to buckets
 by the hash of the window, so that only equal windows have to meet. Equal strings of one slice of texts travel once.
 
@@ -28,12 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparring.llm.common import mixed, slices, window_hashes, word_hashes
+from sparring.llm.common import mixed, slices, unused_name, window_hashes, word_hashes
 from sparring.llm.line_dedup import as_texts, in_filter, twice_filter
 from sparring.session import materialize
 
 WINDOW, MINIMISER = 13, 3
 FILTER_BITS, CELL_BITS = 26, 16
+#: Bits of the filter of answered strings, and the bytes of a key at which its two places stand.
+KEY_BITS, KEY_STARTS = 24, (1, 4)
 BUCKET_WINDOWS = 250_000
 #: A cell is split window by window if it has so many times the mean.
 UNEVEN = 8
@@ -55,27 +57,10 @@ def cell(minimiser: np.ndarray) -> np.ndarray:
     return (minimiser >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def minimiser_set(text: bytes) -> np.ndarray:
-    return np.unique(minimisers(word_hashes(text.split())))
-
-
-def cell_loads(rows: DataFrame, bitmap: object) -> np.ndarray:
-    """Windows of each cell that pass the filter; the driver gets one number for each cell."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in slices(batches, 1):
-            for doc, text in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))):
-                least = minimisers(word_hashes(text.split())) if doc is not None else ()
-                if len(least):
-                    counts += np.bincount(cell(least[in_filter(bitmap.value, least, FILTER_BITS)]), minlength=len(counts))
-        full = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(full), pa.array(counts[full])], ["cell", "windows"])
-
-    out = np.zeros(1 << CELL_BITS, np.int64)
-    for row in rows.mapInArrow(run, "cell long, windows long").groupBy("cell").agg(F.sum("windows").alias("windows")).toLocalIterator():
-        out[row["cell"]] = row["windows"]
-    return out
+def minimiser_set(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct minimisers of a text, and those of all its windows."""
+    least = minimisers(word_hashes(text.split()))
+    return np.unique(least), least
 
 
 def bucket_plan(loads: np.ndarray, size: int) -> dict:
@@ -86,26 +71,29 @@ def bucket_plan(loads: np.ndarray, size: int) -> dict:
     # Cells of one bucket share buckets; the others have their own, numbered after those.
     shared = np.cumsum(np.where(large, 0, loads)) // size
     own = shared.max() + 1 + np.cumsum(np.where(large, ways, 0)) - np.where(large, ways, 0)
-    return {"first": np.where(large, own, shared), "ways": ways, "alone": alone}
+    return {"first": np.where(large, own, shared), "ways": ways, "alone": alone if alone.any() else None}
 
 
-def super_kmers(text: bytes, bitmap: bytes, plan: dict) -> Iterator[tuple[int, int, bytes]]:
-    """(bucket, first word, packed words) of each super-k-mer of a text that may be repeated."""
-    words = text.split()
-    hashes = word_hashes(words)
+def super_kmers(hashes: np.ndarray, bitmap: bytes, plan: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, minimiser) of the super-k-mers of a text that may be repeated, in windows."""
     least = minimisers(hashes)
     if not len(least):
-        return
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), least
+    edge = least[1:] != least[:-1]
+    if plan["alone"] is not None:
+        edge |= plan["alone"][cell(least[1:])]
+    starts = np.concatenate([[0], np.flatnonzero(edge) + 1])
+    passed = in_filter(bitmap, least[starts], FILTER_BITS)
+    return starts[passed], np.append(starts[1:], len(least))[passed], least[starts[passed]]
+
+
+def buckets(hashes: np.ndarray, starts: np.ndarray, least: np.ndarray, plan: dict) -> np.ndarray:
+    """The bucket of each super-k-mer; those of cells that are split window by window go by their words."""
     place = cell(least)
-    passed = in_filter(bitmap, least, FILTER_BITS)
-    alone = plan["alone"][place]
-    choice = np.where(alone, window_hashes(hashes, WINDOW, 7), mixed(least))
-    bucket = plan["first"][place] + (choice % plan["ways"][place].astype(np.uint64)).astype(np.int64)
-    edge = np.concatenate([[True], (least[1:] != least[:-1]) | alone[1:], [True]])
-    starts = np.flatnonzero(edge)
-    for start, end in zip(starts.tolist(), starts[1:].tolist()):
-        if passed[start]:
-            yield int(bucket[start]), start, b" ".join(words[start : end + WINDOW - 1])
+    choice = mixed(least)
+    if plan["alone"] is not None and (alone := plan["alone"][place]).any():
+        choice[alone] = window_hashes(hashes, WINDOW, 7)[starts[alone]]
+    return plan["first"][place] + (choice % plan["ways"][place].astype(np.uint64)).astype(np.int64)
 
 
 def packed_rows(rows: DataFrame, bitmap: object, plan: object) -> DataFrame:
@@ -116,7 +104,12 @@ def packed_rows(rows: DataFrame, bitmap: object, plan: object) -> DataFrame:
             found: dict[bytes, list[int]] = {}
             for doc, text in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))):
                 if doc is not None:
-                    for bucket, _, packed in super_kmers(text, bitmap.value, plan.value):
+                    words = text.split()
+                    hashes = word_hashes(words)
+                    starts, ends, least = super_kmers(hashes, bitmap.value, plan.value)
+                    places = buckets(hashes, starts, least, plan.value).tolist()
+                    for bucket, start, end in zip(places, starts.tolist(), (ends + WINDOW - 1).tolist()):
+                        packed = b" ".join(words[start:end])
                         old = found.get(packed)
                         if old is None:
                             found[packed] = [bucket, doc, doc]
@@ -165,18 +158,45 @@ def first_holders(bucket: pa.Table) -> pa.Table:
     return pa.table([pa.array(keys, pa.binary()), lists], ["key", "firsts"])
 
 
-def string_places(rows: DataFrame, bitmap: object, plan: object) -> DataFrame:
-    """(doc_id, text_hash, key, start): where each document has its super-k-mers."""
+def named_strings(firsts: DataFrame) -> np.ndarray:
+    """Two bits for each key of `firsts`, merged by executors; the driver gets at most 2**(KEY_BITS - 6) words of 64 bits."""
+    places = F.array(*(F.conv(F.hex(F.substring("key", start, KEY_BITS // 8)), 16, 10).cast("long") for start in KEY_STARTS))
+    words = firsts.select(F.explode(places).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
+    out = np.zeros(1 << (KEY_BITS - 6), np.int64)
+    for row in words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")).toLocalIterator():
+        out[row["word"]] = row["bits"]
+    return out.view(np.uint64)
+
+
+def may_be_named(keys: list[bytes], bits: np.ndarray) -> np.ndarray:
+    data = np.frombuffer(b"".join(keys), np.uint8).reshape(len(keys), -1).astype(np.int64)
+    known = np.ones(len(keys), bool)
+    for start in KEY_STARTS:
+        place = data[:, start - 1] << 16 | data[:, start] << 8 | data[:, start + 1]
+        known &= (bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+    return known
+
+
+def string_places(rows: DataFrame, bitmap: object, plan: object, named: object) -> DataFrame:
+    """(doc_id, text_hash, key, start): where each document has super-k-mers that `named` may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            out: list[tuple[int, int, bytes, int]] = []
+            docs, codes, at, counts, keys = [], [], [], [], []
             for doc, text, code in zip(batch.column(0).to_pylist(), as_texts(batch.column(1)), batch.column(2).to_pylist()):
                 if doc is not None:
-                    out += [(doc, code, xxhash.xxh3_128_digest(packed), start) for _, start, packed in super_kmers(text, bitmap.value, plan.value)]
-            columns = list(zip(*out)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "text_hash", "key", "start"])
+                    words = text.split()
+                    starts, ends, _ = super_kmers(word_hashes(words), bitmap.value, plan.value)
+                    keys += [xxhash.xxh3_128_digest(b" ".join(words[s:e])) for s, e in zip(starts.tolist(), (ends + WINDOW - 1).tolist())]
+                    docs.append(doc)
+                    codes.append(code)
+                    at.append(starts)
+                    counts.append(len(starts))
+            if keys:
+                good = np.flatnonzero(may_be_named(keys, named.value))
+                columns = [np.repeat(np.array(c, np.int64), counts)[good] for c in (docs, codes)]
+                names = ["doc_id", "text_hash", "key", "start"]
+                yield pa.record_batch([*map(pa.array, columns), pa.array([keys[k] for k in good.tolist()], pa.binary()), pa.array(np.concatenate(at)[good])], names)
 
     return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, key binary, start long")
 
@@ -186,18 +206,18 @@ def remove_repeated_windows(docs: DataFrame, text_col: str = "text", id_col: str
     context = docs.sparkSession.sparkContext
     base = docs.drop("n_words", "n_removed")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    bitmap = context.broadcast(twice_filter(rows, minimiser_set, FILTER_BITS))
-    plan = context.broadcast(bucket_plan(cell_loads(rows, bitmap), bucket_windows))
+    repeated, loads = twice_filter(rows, minimiser_set, FILTER_BITS, CELL_BITS)
+    bitmap, plan = context.broadcast(repeated), context.broadcast(bucket_plan(loads, bucket_windows))
     firsts = packed_rows(rows, bitmap, plan).groupBy("bucket").applyInArrow(first_holders, "key binary, firsts array<long>")
     # A string that several slices sent is answered once for each; the answers are equal.
     firsts = materialize(firsts.dropDuplicates(["key"]), "first-holders")
-    found = string_places(rows, bitmap, plan).join(firsts, "key")
+    found = string_places(rows, bitmap, plan, context.broadcast(named_strings(firsts))).join(firsts, "key")
     gone = F.filter(F.transform("firsts", lambda x, k: F.when(x < F.col("doc_id"), F.col("start") + k)), lambda x: x.isNotNull())
     lost = found.select("doc_id", "text_hash", gone.alias("gone")).where(F.size("gone") > 0)
     # A document's own windows only: bounded by its text.
     per_doc = lost.groupBy(F.col("doc_id").alias("_lost_id"), F.col("text_hash").alias("_lost_hash")).agg(F.flatten(F.collect_list("gone")).alias("_lost"))
     same = (base[id_col].cast("long") == per_doc["_lost_id"]) & (F.xxhash64(base[text_col]) == per_doc["_lost_hash"])
-    joined = base.join(per_doc.hint("shuffle_hash"), same, "left").select(base["*"], "_lost")
+    joined = base.join(per_doc, same, "left").select(base["*"], per_doc["_lost"].alias(unused_name(base, "_lost")))
     names, at = base.columns, base.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

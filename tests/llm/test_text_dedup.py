@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +146,43 @@ def test_filter_words_are_merged_before_the_driver(spark, monkeypatch):
     hashes = [r[0] & (1 << 64) - 1 for r in spark.range(3000).select(F.xxhash64("id")).collect()]
     places = {h >> shift & 4095 for h in hashes for shift in jaccard_join.FILTER_SHIFTS}
     assert {w * 64 + b for w in range(64) for b in range(64) if int(bits[w]) >> b & 1} == places
+
+
+def test_columns_named_like_inner_ones_pass_through(spark):
+    line = "a line that stands in many documents"
+    rows = [(k, line + "\n" + " ".join(f"w{j}" for j in range(20)), k + 0.5, "x") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _lost double, _LOST_ID string")
+    lines = line_dedup.drop_repeated_lines(docs).orderBy("doc_id").collect()
+    assert [r["n_dropped"] for r in lines] == [2, 2, 2, 0] and [r["_lost"] for r in lines] == [0.5, 1.5, 2.5, 3.5]
+    windows = substring_dedup.remove_repeated_windows(docs).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in windows] == [0, 27, 27, 27] and [r["_LOST_ID"] for r in windows] == ["x"] * 4
+
+
+def test_sketches_of_long_sets_are_told_apart(spark):
+    """Unrelated sets of 4,000 members are not plausible pairs; similar ones of unequal widths are."""
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64)) for _ in range(30)]
+    near = np.unique(np.concatenate([sets[0][:3990], rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))  # of the next width
+    assert len(jaccard_join.parity_sketch(near)) == 2 * len(jaccard_join.parity_sketch(sets[0]))
+    sets.append(near)
+    rows = [(i, j, len(a), len(b), jaccard_join.parity_sketch(a), jaccard_join.parity_sketch(b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j]
+    pairs = spark.createDataFrame(rows, "a long, b long, n_a long, n_b long, short_a binary, short_b binary")
+    assert jaccard_join.plausible(pairs).collect() == [(0, 30)]
+    for one, two in ((sets[0], near), (sets[1], sets[2])):
+        apart = jaccard_join.distances([jaccard_join.parity_sketch(one)], [jaccard_join.parity_sketch(two)])[0]
+        assert apart <= len(np.setxor1d(one, two))
+
+
+def test_long_sets_in_further_laps(corpus, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LAG", 1)
+    rng = random.Random(6)
+    common = [f"c{k}" for k in range(900)]
+    tails = [[f"t{g}x{j}" for j in range(1200)] for g in range(3)]
+    rows = []
+    for k in range(12):
+        words = common + tails[k % 3]
+        for _ in range(8):
+            words[rng.randrange(900, 2100)] = f"z{rng.randint(0, 99)}"
+        rows.append((k, " ".join(words)))
+    got = jaccard_join.component_table(corpus(rows))
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == components_by_rule(rows)

@@ -69,7 +69,7 @@ def exact_neighbours(rows, k, queries):
 
 def test_neighbours(spark):
     rng = np.random.default_rng(5)
-    rows = [(k, rng.normal(size=6).round(3).tolist()) for k in range(200)] + [(300 + k, [1.0, 2, 0, 0, 0, 1]) for k in range(40)]
+    rows = [(k, rng.normal(size=6).round(3).tolist()) for k in range(200)] + [(300 + k, [1.0, 2.0, 0.0, 0.0, 0.0, 1.0]) for k in range(40)]
     odd = [(400, None), (401, []), (402, [0.0] * 6), (403, [1.0] * 5), (404, [float("nan")] + [1.0] * 5), (405, [None] + [1.0] * 5), (None, [1.0] * 6), (0, rows[0][1])]
     frame = spark.createDataFrame([(i, v, "x") for i, v in rows + odd], "vec_id long, embedding array<double>, rank string")
     # All axes visited: the answers must be exact, whatever the blocks.
