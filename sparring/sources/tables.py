@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparring.functions.columns import NUMBER_PATTERN, clean_missing, col, per_column, sql_name, sql_text
+from sparring.sources.csv_records import read_text_columns
 
 # Texts that count as missing in a CSV file.
 NA_TOKENS = (
@@ -21,16 +22,16 @@ INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def read_csv_table(
-    spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS, multiline: bool = True, **options
+    spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS, **options
 ) -> DataFrame:
     """A CSV file or folder with a header; types are inferred from all values.
 
     Columns become long, double, boolean or string. Dates stay text. Integers with missing
     values become doubles, and booleans with missing values stay text. One aggregation over the
-    text columns decides all types. Line breaks inside quotes belong to the text, so each
-    file is read by one task; `multiline=False` cuts large files up if they are known to have none.
+    text columns decides all types. Line breaks inside quotes belong to the text; large files are cut
+    up all the same, see `csv_records`.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multiline, **options)
+    raw = read_text_columns(spark, path, **options)
     if not raw.columns:
         return raw
     tokens = ", ".join(sql_text(t) for t in na_tokens)
