@@ -42,7 +42,6 @@ class Result:
     preprocessor: FittedPreprocessor
     ensembles: list[dict]
 
-
 def prepare(
     df: DataFrame, target: str, task: str, key_cols: Sequence[str] | None = None,
     test_size: float = 0.2, seed: int = 42, preprocessor: Preprocessor | None = None,

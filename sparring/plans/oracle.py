@@ -480,6 +480,10 @@ def oracle_sql() -> dict[str, str]:
         "planted_values": _planted_values(),
         "score_new_rows": """SELECT CAST(p_partkey AS VARCHAR) AS row_key,
             CAST(10 + 3 * (p_size % 2) + CASE WHEN p_size % 3 = 0 THEN 5 ELSE 0 END AS DOUBLE) AS prediction FROM part""",
+        "reload_predictions": """SELECT CAST(p_partkey AS VARCHAR) AS row_key, worth AS worth_0, worth AS worth_1,
+            true AS same_worth, grade AS grade_0, grade AS grade_1, true AS same_grade
+            FROM (SELECT p_partkey, CAST(10 + 3 * (p_size % 2) + CASE WHEN p_size % 3 = 0 THEN 5 ELSE 0 END AS DOUBLE) AS worth,
+                    CASE WHEN p_size % 10 < 5 THEN 'low' ELSE 'high' END AS grade FROM part)""",
         "csv_multiline": """SELECT p_partkey, p_name || chr(10) || '"' || p_brand || '", ' || p_type AS words FROM part""",
         "model_save_size": "SELECT 'linear_regression' AS model, true AS size_is_listed",
         "label_encode_numbers": """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_nationkey) - 1 AS INTEGER)

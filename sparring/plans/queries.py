@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -36,6 +36,7 @@ from sparring.operators.models import best_class, train, two_class_decision
 from sparring.operators.split import SPLIT, TEST, TRAIN, split
 from sparring.operators.task import CLASSIFICATION, REGRESSION, infer_tasks
 from sparring.plans.experiment import prepare, run_experiment
+from sparring.plans.pipeline_store import Pipeline, load_pipeline, save_pipeline
 from sparring.plans.registry import CLASSIFICATION_MODELS, REGRESSION_MODELS
 from sparring.plans.report import display, leaderboard, prediction_table, totals
 from sparring.session import local_frame, staging_path
@@ -375,7 +376,8 @@ def svd_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part row projected on all singular vectors that the width rule keeps, which loses nothing of a row."""
     onehot, encoded = _part_onehot(spark, sf_dir)
     categories = profile.category_profile(table(spark, sf_dir, "part"), ["p_brand", "p_type"])
-    routed = encode.cardinality_routing(categories, encoded.count())
+    # Both columns are in the block, so both count for its width.
+    routed = encode.cardinality_routing(categories, encoded.count(), high_fraction=1.0)
     k = encode.svd_width(routed).first()["n_components"]
     singular, vectors = encode.fit_svd(encoded, "block", onehot.width, k)
     length = F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x)
@@ -708,6 +710,36 @@ def score_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(result.fitted["linear_regression"].score(features, "prediction").select(ROW_KEY, "prediction"), 4)
 
 
+@query
+def reload_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipelines of both tasks are saved and loaded; all rows are scored without target, and compared with the saved ones."""
+    one, two = (F.col("p_size") % 2).cast("double"), (F.col("p_size") % 3 == 0).cast("double")
+    rows = table(spark, sf_dir, "part").select("p_partkey", one.alias("one"), two.alias("two"), "p_brand")
+    worth = rows.withColumn("worth", 10 + 3 * F.col("one") + 5 * F.col("two"))
+    digit = F.col("p_size") % 10
+    grade = table(spark, sf_dir, "part").select("p_partkey", digit.cast("double").alias("digit"), F.when(digit < 5, "low").otherwise("high").alias("grade"))
+    runs = (
+        (worth, "worth", ["Linear Regression", "Random Forest Regressor"]),
+        (grade, "grade", ["Logistic Regression", "Random Forest Classifier"]),
+    )
+    out = None
+    for labelled, target, names in runs:
+        options = Preprocessor(high_cardinality=10)  # brands go by frequency
+        result = run_experiment(labelled, target, names, key_cols=["p_partkey"], preprocessor=options, task=REGRESSION if target == "worth" else CLASSIFICATION)
+        path = staging_path(spark, "pipeline")
+        saved = Pipeline(result.preprocessor, result.fitted)
+        save_pipeline(spark, saved, path)
+        loaded, new = load_pipeline(spark, path), labelled.drop(target)
+        before, after = saved.scores(new), loaded.scores(new)
+        outputs = [c for c in after.columns if c != ROW_KEY]
+        same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in outputs]
+        compared = before.alias("x").join(after.alias("y"), ROW_KEY).select(ROW_KEY, reduce(Column.__and__, same).alias(f"same_{target}"))
+        predicted = loaded.predict(new, names).join(compared, ROW_KEY)
+        renamed = predicted.select(ROW_KEY, *[col(m).alias(f"{target}_{i}") for i, m in enumerate(names)], f"same_{target}")
+        out = renamed if out is None else out.join(renamed, ROW_KEY)
+    return rounded(out, 4)
+
+
 @query
 def all_classification_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics of the singles and ensembles fitted by Spark's own library, on labelled documents."""

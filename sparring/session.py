@@ -80,6 +80,12 @@ def release(*staged: DataFrame) -> None:
             df._staged_path = None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark can read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of any file system that Spark can write to."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
