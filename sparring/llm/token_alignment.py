@@ -4,6 +4,8 @@ Both tokenizers cut the same bytes (a space and the text); where tokens of both
 tokens of a group are linked with all B tokens of it. The count of an id pair is the number of documents that hold it
 linked.
 
+Texts are cut at spaces where tokens of both always end; in a run of texts each distinct unit is aligned once.
+
 The first pass aligns all documents and gives each task's distinct pairs with their document counts, dealt into SHARDS
 by hash. The keys of a shard are united (in two levels) and get a minimal perfect hash: a cascade of bit arrays in
 which each key owns the first bit that no other key of its level hits, its slot being the rank of that bit. The keys
@@ -26,6 +28,7 @@ tokens are plain text in a text. A's vocabulary must be byte-level BPE whose ids
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -45,11 +48,14 @@ SHARDS = 1 << SHARD_BITS
 #: Branches of tasks whose counts are summed before those of a shard are.
 BRANCHES = 16
 #: Text bytes aligned at once; links above which a group is counted by distinct ids; keys of a row between tasks.
-TEXT_BYTES, BIG, PIECE = 1 << 20, 256, 1 << 14
+TEXT_BYTES, BIG, PIECE = 2 << 20, 256, 1 << 14
+#: Units that are encoded as one text.
+TOGETHER = 256
 #: Pairs that a task holds before it hands them on.
 HELD_PAIRS = 4 << 20
 #: Bytes of hash, keys and counts that are broadcast at once.
 PART_BYTES = 128 << 20
+SPACE_RUN, CUT = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -71,6 +77,8 @@ class Encoders:
         )
         self.a_sizes = np.array([len(t) for t in vocabulary.token_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
+        # No piece of B reaches over a space that follows another character, so texts may be cut there.
+        self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
         # Each id followed by what stands behind it: A inside and at the end of a group, then B.
         self.written = np.array([f"{k}{sign}" for n, signs in ((self.n_a, ",|"), (self.n_b, ",;")) for sign in signs for k in range(n)], object)
 
@@ -80,62 +88,137 @@ def encoders(a_path: str, b_path: str) -> Encoders:
     return Encoders(a_path, b_path)
 
 
-class Aligned:
-    """The tokens, groups and links of a run of texts; `doc` numbers the texts."""
+def units(text: str) -> list[str]:
+    """A space and the text, cut before each space that follows a character other than white space.
 
-    def __init__(self, texts: list[str | None], both: Encoders):
-        self.both, self.size = both, len(texts)
-        docs = [k for k, t in enumerate(texts) if t]
-        b_ids = both.b.encode([texts[k] for k in docs], num_threads=1) if docs else []
-        sizes = np.fromiter(map(len, b_ids), np.int64, len(b_ids))
-        b = np.fromiter(chain.from_iterable(b_ids), np.int64, int(sizes.sum()))
-        pieces, ends = both.b_bytes[b], np.cumsum(sizes)
-        good = [b"".join(pieces[e - n : e]) == b" " + texts[k].encode() for k, n, e in zip(docs, sizes.tolist(), ends.tolist())]
-        self.b = b[np.repeat(np.array(good, bool), sizes)]
-        docs = [k for k, g in zip(docs, good) if g]
-        a_ids = [both.a.encode_to_numpy(" " + texts[k]) for k in docs]
-        a_sizes = np.fromiter(map(len, a_ids), np.int64, len(a_ids))
-        self.a = np.concatenate([np.zeros(0, np.int64), *a_ids]).astype(np.int64)
-        self.a_doc = np.repeat(np.array(docs, np.int64), a_sizes)
-        self.b_doc = np.repeat(np.array(docs, np.int64), sizes[np.array(good, bool)])
+    Tokens of both vocabularies end at such a place, whatever stands around it.
+    """
+    if SPACE_RUN.search(" " + text):
+        return CUT.split(" " + text)
+    return [" " + piece for piece in text.split(" ")]
+
+
+class Units:
+    """The tokens, groups and links of distinct units; `good` says which ones both tokenizers give back byte by byte."""
+
+    def __init__(self, found: list[str], both: Encoders):
+        self.both, self.size = both, len(found)
+        # Units that end with another character than white space are put together to texts, the others encoded by themselves.
+        alone = [k for k, u in enumerate(found) if u[-1].isspace()]
+        left = set(alone)
+        joined = [k for k in range(len(found)) if k not in left] if left else list(range(len(found)))
+        texts = ["".join([found[k] for k in joined[s : s + TOGETHER]]) for s in range(0, len(joined), TOGETHER)]
+        b = list(chain.from_iterable(both.b.encode([t[1:] for t in texts], num_threads=1))) if texts else []
+        b = np.array(b, np.int64)
+        if b"".join(both.b_bytes[b]) != "".join(texts).encode():
+            joined, alone, texts = [], list(range(len(found))), []
+            b = b[:0]
+        a = np.concatenate([np.zeros(0, np.int64), *map(both.a.encode_to_numpy, texts)]).astype(np.int64)
+        ends = np.cumsum([len(found[k].encode()) for k in joined], dtype=np.int64)
+        place = np.array(joined, np.int64)
+        a_unit, b_unit = (place[np.searchsorted(ends, np.cumsum(n[x]))] for n, x in ((both.a_sizes, a), (both.b_sizes, b)))
+        self.good = np.ones(len(found), bool)
+        a_parts, b_parts, a_units, b_units = [a], [b], [a_unit], [b_unit]
+        for k in alone:
+            # Behind another unit, as the encoder gives nothing for an empty text.
+            one = np.array(both.b.encode("a" + found[k])[len(both.b.encode("a")) :], np.int64)
+            self.good[k] = b"".join(both.b_bytes[one]) == found[k].encode()
+            if self.good[k]:
+                two = both.a.encode_to_numpy(found[k]).astype(np.int64)
+                a_parts.append(two)
+                b_parts.append(one)
+                a_units.append(np.full(len(two), k))
+                b_units.append(np.full(len(one), k))
+        self.a, self.b, self.a_unit, self.b_unit = (np.concatenate(x) for x in (a_parts, b_parts, a_units, b_units))
         a_ends, b_ends = np.cumsum(both.a_sizes[self.a]), np.cumsum(both.b_sizes[self.b])
         total = int(a_ends[-1]) if len(a_ends) else 0
         at = np.zeros((2, total + 1), bool)
         at[0, a_ends], at[1, b_ends] = True, True
         self.a_last, self.b_last = at[1, a_ends], at[0, b_ends]
         self.a_group, self.b_group = (np.cumsum(x) - x for x in (self.a_last, self.b_last))
-        self.group_doc = self.a_doc[self.a_last]
-        self.in_a, self.in_b = (np.bincount(g, minlength=len(self.group_doc)) for g in (self.a_group, self.b_group))
+        self.group_unit = self.a_unit[self.a_last]
+        self.in_a, self.in_b = (np.bincount(g, minlength=len(self.group_unit)) for g in (self.a_group, self.b_group))
         self.links = self.in_a * self.in_b
 
-    def per_doc(self, docs: np.ndarray, values: np.ndarray | int = 1) -> np.ndarray:
-        out = np.zeros(self.size, np.int64)
-        np.add.at(out, docs, values)
-        return out
+    def numbers(self) -> list[np.ndarray]:
+        """n_a, n_b, n_groups and n_links of each unit."""
+        links = np.zeros(self.size, np.int64)
+        np.add.at(links, self.group_unit, self.links)
+        return [*(np.bincount(x, minlength=self.size) for x in (self.a_unit, self.b_unit, self.group_unit)), links]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(doc, key, times) of the links; in small groups each link by itself."""
+        """(unit, key, times) of the links, by unit; in small groups each link by itself."""
         first_a, first_b = np.cumsum(self.in_a) - self.in_a, np.cumsum(self.in_b) - self.in_b
         times = np.where(self.links <= BIG, self.in_b, 0)[self.a_group]
         a = np.repeat(np.arange(len(self.a)), times)
         b = first_b[self.a_group[a]] + np.arange(len(a)) - np.repeat(np.cumsum(times) - times, times)
-        found = [(self.a_doc[a], self.a[a] * self.both.n_b + self.b[b], np.ones(len(a), np.int64))]
+        found = [(self.a_unit[a], self.a[a] * self.both.n_b + self.b[b], np.ones(len(a), np.int64))]
         for g in np.flatnonzero(self.links > BIG).tolist():
             one, n_one = np.unique(self.a[first_a[g] : first_a[g] + self.in_a[g]], return_counts=True)
             two, n_two = np.unique(self.b[first_b[g] : first_b[g] + self.in_b[g]], return_counts=True)
             keys = (one[:, None] * self.both.n_b + two).ravel()
-            found.append((np.full(len(keys), self.group_doc[g]), keys, (n_one[:, None] * n_two).ravel()))
-        return tuple(map(np.concatenate, zip(*found)))
+            found.append((np.full(len(keys), self.group_unit[g]), keys, (n_one[:, None] * n_two).ravel()))
+        unit, key, times = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(unit, kind="stable")
+        return unit[order], key[order], times[order]
 
-    def groups(self) -> list[str]:
-        """`a1,a2|b1;a3|b2,b3` of each text."""
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each unit's groups as places in `written`, and where the unit begins and ends there."""
         first_a, first_b = np.cumsum(self.in_a) - self.in_a, np.cumsum(self.in_b) - self.in_b
         line = np.empty(len(self.a) + len(self.b), np.int64)
-        line[np.arange(len(self.a)) + first_b[self.a_group]] = self.a + self.both.n_a * self.a_last
-        line[np.arange(len(self.b)) + (first_a + self.in_a)[self.b_group]] = 2 * self.both.n_a + self.b + self.both.n_b * self.b_last
-        ends = np.cumsum(self.per_doc(self.a_doc) + self.per_doc(self.b_doc)).tolist()
-        words = self.both.written[line]
-        return ["".join(words[s:e])[:-1] for s, e in zip([0, *ends], ends)]
+        place = np.arange(len(self.a)) + first_b[self.a_group], np.arange(len(self.b)) + (first_a + self.in_a)[self.b_group]
+        line[place[0]] = self.a + self.both.n_a * self.a_last
+        line[place[1]] = 2 * self.both.n_a + self.b + self.both.n_b * self.b_last
+        unit = np.empty(len(line), np.int64)
+        unit[place[0]], unit[place[1]] = self.a_unit, self.b_unit
+        edges = np.flatnonzero(np.diff(unit, prepend=-1, append=-1))
+        first, last = np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
+        first[unit[edges[:-1]]], last[unit[edges[:-1]]] = edges[:-1], edges[1:]
+        return line, first, last
+
+
+class Aligned:
+    """The alignments of a run of texts; each distinct unit is aligned once. `doc` numbers the texts."""
+
+    def __init__(self, texts: list[str | None], both: Encoders):
+        self.size = len(texts)
+        cut = [(units(t) if both.separable else [" " + t]) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        coded = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+        self.units = Units(coded.dictionary.to_pylist(), both)
+        unit, doc = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(cut)), sizes)
+        lost = np.zeros(len(cut), bool)
+        lost[doc[~self.units.good[unit]]] = True
+        self.unit, self.doc = unit[~lost[doc]], doc[~lost[doc]]
+
+    def numbers(self) -> list[np.ndarray]:
+        """n_a, n_b, n_groups and n_links of each text."""
+        return [self.per_doc(n[self.unit]) for n in self.units.numbers()]
+
+    def per_doc(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.size, np.int64)
+        np.add.at(out, self.doc, values)
+        return out
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, key, times) of the links; a key may come several times for a text."""
+        held, many = np.unique(self.doc * self.units.size + self.unit, return_counts=True)
+        doc, unit = np.divmod(held, max(1, self.units.size))
+        owner, key, times = self.units.pairs()
+        first = np.searchsorted(owner, np.arange(self.units.size + 1))
+        count = np.diff(first)[unit]
+        at = np.repeat(first[unit] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.repeat(doc, count), key[at], times[at] * np.repeat(many, count)
+
+    def groups(self) -> list[str]:
+        """`a1,a2|b1;a3|b2,b3` of each text."""
+        line, first, last = self.units.lines()
+        count = (last - first)[self.unit]
+        ends = np.cumsum(count)
+        at = np.repeat(first[self.unit] - ends + count, count) + np.arange(count.sum())
+        words = self.units.both.written[line[at]].tolist()
+        edges = np.append(0, ends)[np.searchsorted(self.doc, np.arange(self.size + 1))].tolist()
+        return ["".join(words[s:e])[:-1] for s, e in zip(edges, edges[1:])]
 
 
 def shard_of(keys: np.ndarray) -> np.ndarray:
@@ -426,7 +509,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", par
                 edges = np.searchsorted(pair >> 32, np.arange(rows + 1)).tolist()
                 spans = list(zip(edges, edges[1:]))
                 kept = [pa.array([x[s:e].tobytes() for s, e in spans], pa.binary()) for x in ((pair & 0xFFFFFFFF).astype(np.uint32), total)]
-            numbers = [found.per_doc(found.a_doc), found.per_doc(found.b_doc), found.per_doc(found.group_doc), found.per_doc(found.group_doc, found.links), *sums]
+            numbers = [*found.numbers(), *sums]
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, numbers), pa.array(found.groups(), pa.string()), *kept], names)
 
     def lookup(part: object) -> Callable:

@@ -108,18 +108,42 @@ def test_long_groups_and_an_empty_table(spark, monkeypatch):
     monkeypatch.setattr(token_alignment, "BIG", 2)
     both = token_alignment.encoders(A_PATH, B_PATH)
     texts = ["antidisestablishmentarianism " * 3, "the"]
-    small = token_alignment.Aligned(texts, both)
-    doc, key, times = small.pairs()
+    small = token_alignment.Aligned(texts, both).pairs()
     monkeypatch.undo()
     plain = token_alignment.Aligned(texts, both).pairs()
-    total = Counter()
-    for d, k, t in zip(doc.tolist(), key.tolist(), times.tolist()):
-        total[d, k] += t
-    assert total == Counter(zip(plain[0].tolist(), plain[1].tolist()))
+    totals = [Counter(), Counter()]
+    for total, found in zip(totals, (small, plain)):
+        for d, k, t in zip(*(x.tolist() for x in found)):
+            total[d, k] += t
+    assert totals[0] == totals[1] and sum(totals[0].values()) > 20
     empty = token_alignment.alignment_digests(spark.createDataFrame([], "doc_id long, text string"), A_PATH, B_PATH)
     assert empty.collect() == []
 
 
+def test_units_are_encoded_like_whole_texts():
+    """Cutting at spaces changes no id, whatever characters stand around the spaces."""
+    both = token_alignment.encoders(A_PATH, B_PATH)
+    assert both.separable
+    rng = random.Random(8)
+    odd = [chr(c) for c in (*range(1, 48), 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x205F, 0x3000, 0x301, 0x200D, 0x2581, 0xFB01, 0x1F600, 0x4E2D)]
+    letters = [*odd, *" " * 40, *"aetns1.'é" * 3]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(4000)]
+    found = token_alignment.Aligned(texts, both)
+    n_a, n_b = found.numbers()[:2]
+    whole = both.b.encode(texts, num_threads=1)
+    written = found.groups()
+    valid = 0
+    for k, text in enumerate(texts):
+        if b"".join(both.b_bytes[whole[k]]) != b" " + text.encode():
+            assert n_a[k] == n_b[k] == 0
+            continue
+        valid += 1
+        sides = [g.split("|") for g in written[k].split(";")]
+        one, two = ([int(i) for g in sides for i in g[s].split(",")] for s in (0, 1))
+        assert one == both.a.encode_ordinary(" " + text) and two == whole[k]
+    assert valid > 2000
+
+
 def test_alignment_digest(spark, corpus):
     rows = {r["doc_id"]: r for r in token_alignment.alignment_digests(corpus([(1, "a word"), (2, None)]), A_PATH, B_PATH).collect()}
     groups = aligned_by_hand(["a word"])[0][-1]
