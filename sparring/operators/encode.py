@@ -393,7 +393,7 @@ class Preprocessor:
         stats = {}
         n_train = None
         if numeric:
-            rows = scale_stats(train, numeric).collect()
+            rows = [scan.moments[c] for c in numeric]
             n_train = rows[0]["n_rows"]
             stats = {r["col"]: (r["mean"], r["std"]) for r in rows}
             lacking = [r["col"] for r in rows if r["n_values"] < r["n_rows"]]

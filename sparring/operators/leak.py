@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row
@@ -18,14 +18,14 @@ from sparring.functions.columns import (
     per_column,
     require_column,
     sql_name,
+    to_number,
 )
 from sparring.operators.profile import (
     category_profile,
     class_gaps,
-    class_profile,
     numeric_moments,
-    own_minimum_gaps,
     single_target_columns,
+    summaries,
     uniqueness,
 )
 from sparring.operators.task import CLASSIFICATION, check_task
@@ -76,10 +76,18 @@ def class_counts(train: DataFrame, target: str, task: str, max_classes: int = 50
 def _may_be_numeric(classes: list[Row] | None) -> bool:
     """Whether a target with these classes has a value that reads as a number."""
     return classes is None or any(
-        not isinstance(r["value"], str) or re.match(NUMBER_PATTERN, r["value"]) for r in classes
+        r["value"] is not None and (not isinstance(r["value"], str) or re.match(NUMBER_PATTERN, r["value"]))
+        for r in classes
     )
 
 
+def _has_numbers(train: DataFrame, target: str, classes: list[Row] | None, moments: Mapping[str, Row]) -> bool:
+    """Whether the target reads as a number in some row."""
+    if classes is not None:
+        return _may_be_numeric(classes)
+    return any(r["n_pairs"] for r in moments.values()) or not train.where(to_number(train, target).isNotNull()).isEmpty()
+
+
 def _findings(frame: DataFrame, rule: str, trips: str, stat: str, reason: str) -> DataFrame:
     """Rows of `frame` that trip a rule; the arguments after `rule` are SQL text."""
     return frame.where(trips).selectExpr(
@@ -101,8 +109,7 @@ def presence_diff(gaps: DataFrame, t: LeakThresholds = LeakThresholds()) -> Data
 
 
 def constant_overall(moments: DataFrame) -> DataFrame:
-    constant = "n_target > 0 AND (n_values = 0 OR low = high)"
-    return _findings(moments, RULES[2], constant, "NULL", "'constant_overall'")
+    return _findings(moments, RULES[2], "constant", "NULL", "'constant_overall'")
 
 
 def high_corr(moments: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
@@ -133,10 +140,10 @@ def zero_fraction_diff(gaps: DataFrame, t: LeakThresholds = LeakThresholds()) ->
     return _findings(gaps, RULES[5], f"zero_gap >= {t.zero_diff}D", "zero_gap", reason)
 
 
-def min_value_presence_diff(minimum_gaps: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
+def min_value_presence_diff(gaps: DataFrame, t: LeakThresholds = LeakThresholds()) -> DataFrame:
     limit = t.zero_diff if t.minimum_diff is None else t.minimum_diff
     reason = "format_string('min_value_presence_diff (min_fraction_diff=%.3f)', minimum_gap)"
-    return _findings(minimum_gaps, RULES[6], f"minimum_gap >= {limit}D", "minimum_gap", reason)
+    return _findings(gaps, RULES[6], f"minimum_gap >= {limit}D", "minimum_gap", reason)
 
 
 def cat_single_target(profile: DataFrame) -> DataFrame:
@@ -150,6 +157,7 @@ class LeakScan:
     findings: list[Row]
     classes: list[Row] | None
     profile: DataFrame | None
+    moments: dict[str, Row]
 
 
 def scan_leaks(
@@ -159,11 +167,12 @@ def scan_leaks(
     columns: Sequence[str] | None = None,
     thresholds: LeakThresholds = LeakThresholds(),
 ) -> LeakScan:
-    """Apply the rules in order, pass by pass.
+    """Apply the rules in order.
 
-    A column that a rule names is left out of the later passes. ID-like columns go first, so the later
-    passes only shuffle per-class rows and the categories of columns with repeated values. The
-    category profile is written once and serves the encoders too.
+    One pass of summaries by class serves all rules but the first and the last, and the scaling of numbers. A column that
+    a rule names is left out of the later passes. ID-like columns go first, so the later passes only shuffle
+    per-class rows and the categories of columns with repeated values. The category profile is written once
+    and serves the encoders too.
     """
     require_column(train, target)
     spark = train.sparkSession
@@ -190,24 +199,29 @@ def scan_leaks(
     classes = class_counts(train, target, task, t.max_classes)
     if checked:
         apply(id_like(train, checked, t))
-    gaps = None
-    if classes is not None and (left(numeric) or left(categorical)):
-        gaps = collected(class_gaps(class_profile(train, target, left(numeric), left(categorical))))
-        apply(presence_diff(gaps, t))
-    if left(numeric) and _may_be_numeric(classes):
-        moments = collected(numeric_moments(train, target, left(numeric)))
-        apply(constant_overall(moments), high_corr(moments, t))
-    if gaps is not None and left(numeric):
-        apply(constant_within_class(train, target, gaps.where(col("col").isin(left(numeric)))))
-        apply(zero_fraction_diff(gaps.where(col("col").isin(left(numeric))), t))
-    if gaps is not None and left(numeric):
-        apply(min_value_presence_diff(own_minimum_gaps(train, target, left(numeric)), t))
+    moments: dict[str, Row] = {}
+    if left(numeric) or (classes is not None and left(categorical)):
+        other = left(categorical) if classes is not None else []
+        numbers = target if _may_be_numeric(classes) else None
+        summary = collected(summaries(train, left(numeric), other, target if classes is not None else None, numbers))
+        overall = collected(numeric_moments(summary))
+        moments = {r["col"]: r for r in overall.collect()}
+        gaps = collected(class_gaps(summary)) if classes is not None else None
+        if gaps is not None:
+            apply(presence_diff(gaps, t))
+        # Without a single number in the target these two rules do not apply.
+        if numbers and _has_numbers(train, target, classes, moments):
+            apply(constant_overall(overall), high_corr(overall, t))
+        if gaps is not None and left(numeric):
+            apply(constant_within_class(train, target, gaps.where(col("col").isin(left(numeric)))))
+            apply(zero_fraction_diff(gaps.where(col("col").isin(left(numeric))), t))
+            apply(min_value_presence_diff(gaps.where(col("col").isin(left(numeric))), t))
     profile = None
     if left(categorical):
         profile = materialize(category_profile(train, left(categorical), target), "categories")
         if classes is not None:
             apply(cat_single_target(profile))
-    return LeakScan(sorted(found, key=lambda r: r["col"]), classes, profile)
+    return LeakScan(sorted(found, key=lambda r: r["col"]), classes, profile, moments)
 
 
 def leak_report(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparring.functions.columns import col, per_column, sql_name, to_number
 from sparring.session import local_frame
@@ -38,76 +42,171 @@ def uniqueness(rows: DataFrame, columns: Sequence[str], threshold: float) -> Dat
     return counted.selectExpr("col", "n_rows", "n_unique", "n_unique / n_rows AS unique_frac")
 
 
-def numeric_moments(rows: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
-    """`col, n_rows, n_values, low, high, n_target, corr`: correlation with the target as a number.
-
-    The correlation uses the rows where both sides are present and is NULL, not an error, when
-    either side is constant there.
+#: Sums of one (class, column): all of them add up when summaries are merged. Those from `pairs` on are over rows
+#: where the column and the target number are both present; values are shifted by about their mean.
+SUMS = ("present", "zeros", "s1", "s2", "pairs", "px", "py", "pxx", "pyy", "pxy")
+SUMMARY = (
+    ", n_rows long, col string, low struct<d: double, l: long>, n_low long, high struct<d: double, l: long>, "
+    "shift double, present long, zeros long, s1 double, s2 double, pairs long, px double, py double, pxx double, "
+    "pyy double, pxy double"
+)
+#: Rows from which the shift of each column is taken.
+SHIFT_ROWS = 100
+
+
+class Accumulator:
+    """Summaries of the rows of one task, by class and column; a class's rows of a batch are one segment."""
+
+    def __init__(self, names: Sequence[str], n_numeric: int, shifts: Sequence[float], y_shift: float):
+        self.names, self.n_numeric, self.shifts, self.y_shift = names, n_numeric, shifts, y_shift
+        self.classes: dict = {}
+        self.rows: list[int] = []
+        self.cells: list[list[dict]] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        coded = batch.column(0).dictionary_encode(null_encoding="encode")
+        codes = coded.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+        sizes = np.diff([*starts, len(order)])
+        values = coded.dictionary.to_pylist()
+        owners = [self._class(values[c]) for c in codes[order][starts].tolist()]
+        for owner, size in zip(owners, sizes.tolist()):
+            self.rows[owner] += size
+        y, y_valid = self._numbers(batch.column(1), order, 0.0)
+        y = np.where(y_valid, y - self.y_shift, 0.0)
+        add = lambda x: np.add.reduceat(x, starts).tolist()
+        for k in range(len(self.names)):
+            column = batch.column(2 + k)
+            if k >= self.n_numeric:
+                for owner, present in zip(owners, add(column.is_valid().to_numpy(zero_copy_only=False)[order].astype(np.int64))):
+                    self.cells[owner][k]["present"] += present
+                continue
+            x, valid = self._numbers(column, order, 0)
+            whole = x.dtype.kind == "i"
+            top, bottom = (np.iinfo(np.int64).max, np.iinfo(np.int64).min) if whole else (np.inf, -np.inf)
+            low = np.minimum.reduceat(np.where(valid, x, top), starts)
+            high = np.maximum.reduceat(np.where(valid, x, bottom), starts)
+            at_low = add((valid & (x == np.repeat(low, sizes))).astype(np.int64))
+            moved = np.where(valid, x - self.shifts[k], 0.0)
+            both = valid & y_valid
+            px, py = np.where(both, moved, 0.0), np.where(both, y, 0.0)
+            sums = (valid.astype(np.int64), (valid & (x == 0)).astype(np.int64), moved, moved * moved, both.astype(np.int64), px, py, px * px, py * py, px * py)
+            for place, totals in enumerate(zip(*map(add, sums))):
+                if totals[0]:
+                    self._merge(self.cells[owners[place]][k], low[place].item(), at_low[place], high[place].item(), totals)
+
+    def _class(self, value) -> int:
+        if value not in self.classes:
+            self.classes[value] = len(self.classes)
+            self.rows.append(0)
+            self.cells.append([{"low": None, "n_low": 0, "high": None, **dict.fromkeys(SUMS, 0)} for _ in self.names])
+        return self.classes[value]
+
+    @staticmethod
+    def _numbers(column: pa.Array, order: np.ndarray, nothing: float) -> tuple[np.ndarray, np.ndarray]:
+        """Values (of 64 bits) and whether each is there; NaN is not."""
+        valid = column.is_valid().to_numpy(zero_copy_only=False)
+        x = column.fill_null(nothing).to_numpy(zero_copy_only=False)
+        x = x.astype(np.int64 if x.dtype.kind in "iu" else np.float64)
+        if x.dtype.kind == "f":
+            valid, x = valid & ~np.isnan(x), np.nan_to_num(x, nan=0.0, posinf=np.inf, neginf=-np.inf)
+        return x[order], valid[order]
+
+    @staticmethod
+    def _merge(cell: dict, low, n_low: int, high, totals: tuple) -> None:
+        """The smaller minimum wins, equal ones add up."""
+        if cell["low"] is None or low < cell["low"]:
+            cell["low"], cell["n_low"] = low, 0
+        if low == cell["low"]:
+            cell["n_low"] += n_low
+        cell["high"] = high if cell["high"] is None else max(high, cell["high"])
+        for name, total in zip(SUMS, totals):
+            cell[name] += total
+
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        # A double decides the order; the whole number tells large ones apart that are the same double.
+        edge = lambda v: None if v is None else {"d": float(v), "l": v if isinstance(v, int) else None}
+        rows = [
+            {"stratum": value, "n_rows": self.rows[c], "col": name, **cell, "low": edge(cell["low"]), "high": edge(cell["high"]), "shift": shift}
+            for value, c in self.classes.items()
+            for name, cell, shift in zip(self.names, self.cells[c], [*self.shifts, *[None] * len(self.names)])
+        ]
+        return pa.RecordBatch.from_pylist(rows, schema)
+
+
+def summaries(rows: DataFrame, numeric: Sequence[str], other: Sequence[str] = (), strata: str | None = None, target: str | None = None) -> DataFrame:
+    """One row for each column and class of `strata` (one class if None) with everything that the rules need to know.
+
+    `stratum, n_rows, col, low, n_low (rows at the minimum), high, shift` and the SUMS. One scan: each task sums up its
+    rows, and only a row for each task, class and column is shuffled. For other than numeric columns all but `present`
+    stays empty. The sums with the target are over `target` as a number.
     """
-    stats = per_column(
-        rows.withColumn("__y", to_number(rows, target)),
-        columns,
-        {
-            "n_values": "count({c})",
-            "low": "CAST(min({c}) AS DOUBLE)",
-            "high": "CAST(max({c}) AS DOUBLE)",
-            "n_target": "count(__y)",
-            "covariance": "covar_pop(CAST({c} AS DOUBLE), __y)",
-            "var_x": "var_pop(CASE WHEN __y IS NOT NULL THEN CAST({c} AS DOUBLE) END)",
-            "var_y": "var_pop(CASE WHEN {c} IS NOT NULL THEN __y END)",
-        },
-    )
-    return stats.selectExpr(
-        "col", "n_rows", "n_values", "low", "high", "n_target",
-        "try_divide(covariance, sqrt(var_x) * sqrt(var_y)) AS corr",
+    y = to_number(rows, target) if target else F.lit(None).cast("double")
+    stratum = col(strata) if strata else F.lit(None).cast("string")
+    names = [*numeric, *other]
+    chosen = rows.select(stratum.alias("stratum"), y.alias("y"), *[col(c).alias(f"x{i}") for i, c in enumerate(names)])
+    means = [F.avg(f"x{i}").alias(f"m{i}") for i in range(len(numeric))]
+    some = chosen.select("y", *[F.col(f"x{i}").cast("double").alias(f"x{i}") for i in range(len(numeric))]).limit(SHIFT_ROWS)
+    first = some.agg(F.avg("y").alias("y"), *means).first()
+    shift = [v if v is not None and np.isfinite(v) else 0.0 for v in first]
+    kind = chosen.schema["stratum"].dataType
+    schema = T.StructType([T.StructField("stratum", kind)] + T.StructType.fromDDL(SUMMARY.removeprefix(", ")).fields)
+    arrow, n_numeric = to_arrow_schema(schema), len(numeric)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Accumulator(names, n_numeric, shift[1:], shift[0])
+        for batch in batches:
+            if batch.num_rows:
+                found.add(batch)
+        yield found.batch(arrow)
+
+    parts = chosen.mapInArrow(run, schema)
+    # Equal minima add up first, then the smallest one wins.
+    sums = [F.sum(c).alias(c) for c in ("n_rows", *SUMS)]
+    by_low = parts.groupBy("stratum", "col", "low").agg(F.sum("n_low").alias("n_low"), F.max("high").alias("high"), F.max("shift").alias("shift"), *sums)
+    return by_low.groupBy("stratum", "col").agg(
+        F.min("low").alias("low"), F.min_by("n_low", "low").alias("n_low"), F.max("high").alias("high"), F.max("shift").alias("shift"), *sums
     )
 
 
-def class_profile(rows: DataFrame, target: str, numeric: Sequence[str], other: Sequence[str] = ()) -> DataFrame:
-    """One row per column and class: `col, stratum, n_rows, present, zeros, constant`.
+def numeric_moments(summary: DataFrame) -> DataFrame:
+    """`col, n_rows, n_values, low, high, constant, mean, std, n_target, corr` of numeric columns, over all classes.
 
-    `constant` says that the column has exactly one distinct value in the class, NULL
-    counting as a value; minimum and maximum tell that without counting distinct values.
-    `zeros` and `constant` are NULL for non-numeric columns.
+    The correlation uses the rows where column and target number are both present and is NULL, not an error, when either
+    side is constant there.
     """
-    labelled = rows.withColumnRenamed(target, "__stratum")
-    frames = []
-    if numeric:
-        stats = {
-            "present": "count({c})",
-            "zeros": "count_if({c} = 0)",
-            "constant": "count({c}) = 0 OR (count({c}) = count(1) AND min({c}) = max({c}))",
-        }
-        frames.append(per_column(labelled, numeric, stats, by=["__stratum"]))
-    if other:
-        stats = {"present": "count({c})", "zeros": "CAST(NULL AS LONG)", "constant": "CAST(NULL AS BOOLEAN)"}
-        frames.append(per_column(labelled, other, stats, by=["__stratum"]))
-    profile = frames[0] if len(frames) == 1 else frames[0].union(frames[1])
-    return profile.select("col", F.col("__stratum").alias("stratum"), "n_rows", "present", "zeros", "constant")
-
-
-def class_gaps(profile: DataFrame) -> DataFrame:
-    """Per column the spread over classes: `col, presence_gap, zero_gap, mixed_constancy`."""
-    return profile.groupBy("col").agg(
-        F.expr("max(present / n_rows) - min(present / n_rows) AS presence_gap"),
-        F.expr("max(zeros / n_rows) - min(zeros / n_rows) AS zero_gap"),
-        F.expr("bool_or(constant) AND NOT bool_and(constant) AS mixed_constancy"),
+    sums = [F.sum(c).alias(c) for c in ("n_rows", *SUMS)]
+    merged = summary.where("shift IS NOT NULL").groupBy("col").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("shift").alias("shift"), *sums)
+    # What is left of a sum of squares after rounding counts as nothing.
+    spread = lambda squares, s: f"CASE WHEN {squares} - {s} * {s} / nullif(pairs, 0) > 1e-12D * {squares} THEN {squares} - {s} * {s} / nullif(pairs, 0) END"
+    return merged.selectExpr(
+        "col", "n_rows", "present AS n_values", "low.d AS low", "high.d AS high", "present = 0 OR low = high AS constant",
+        "shift + try_divide(s1, present) AS mean",
+        "CASE WHEN present = 0 THEN NULL WHEN low = high THEN 0.0D ELSE sqrt(greatest(0.0D, s2 / present - pow(s1 / present, 2))) END AS std",
+        "pairs AS n_pairs",
+        f"try_divide(pxy - px * py / nullif(pairs, 0), sqrt({spread('pxx', 'px')}) * sqrt({spread('pyy', 'py')})) AS corr",
     )
 
 
-def own_minimum_gaps(rows: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
-    """`col, minimum_gap`: spread over classes of the share of rows at the class's own minimum.
+def class_gaps(summary: DataFrame) -> DataFrame:
+    """Per column the spread over classes: `col, presence_gap, zero_gap, minimum_gap, mixed_constancy`.
 
-    The class minima (one row per class, and the class gate bounds the classes) are broadcast
-    to a second scan that counts the rows equal to them. Only for gated targets.
+    A column is constant in a class if it has exactly one distinct value there, NULL counting as a value; minimum and
+    maximum tell that. `minimum_gap` is about the share of rows at the class's own minimum. NULL for other columns.
     """
-    labelled = rows.withColumnRenamed(target, "__stratum")
-    minima = labelled.groupBy("__stratum").agg(
-        F.expr("struct(" + ", ".join(f"min({sql_name(c)}) AS {sql_name(c)}" for c in columns) + ") AS __minima")
+    numeric = "shift IS NOT NULL"
+    constant = "present = 0 OR (present = n_rows AND low = high)"
+    shares = summary.selectExpr(
+        "col", "present / n_rows AS presence", f"CASE WHEN {numeric} THEN zeros / n_rows END AS zeros",
+        f"CASE WHEN {numeric} THEN n_low / n_rows END AS minimum", f"CASE WHEN {numeric} THEN {constant} END AS constant",
+    )
+    return shares.groupBy("col").agg(
+        F.expr("max(presence) - min(presence) AS presence_gap"),
+        F.expr("max(zeros) - min(zeros) AS zero_gap"),
+        F.expr("max(minimum) - min(minimum) AS minimum_gap"),
+        F.expr("bool_or(constant) AND NOT bool_and(constant) AS mixed_constancy"),
     )
-    joined = labelled.join(F.broadcast(minima), "__stratum")
-    shares = per_column(joined, columns, {"share": "count_if({c} = __minima.{c}) / count(1)"}, by=["__stratum"])
-    return shares.groupBy("col").agg(F.expr("max(share) - min(share) AS minimum_gap"))
 
 
 def category_profile(rows: DataFrame, columns: Sequence[str], target: str | None = None) -> DataFrame:

@@ -213,7 +213,11 @@ def leak_id_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _leaky_lineitem(spark, sf_dir)
-    return profile.class_gaps(profile.class_profile(rows, "l_returnflag", LEAKY_NUMERIC, ["l_linestatus"]))
+    return profile.class_gaps(profile.summaries(rows, LEAKY_NUMERIC, ["l_linestatus"], strata="l_returnflag"))
+
+
+def _moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.numeric_moments(profile.summaries(_leaky_lineitem(spark, sf_dir), LEAKY_NUMERIC[1:], target="l_quantity"))
 
 
 @query
@@ -223,20 +227,17 @@ def leak_presence_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def leak_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _leaky_lineitem(spark, sf_dir)
-    return leak.constant_overall(profile.numeric_moments(rows, "l_quantity", LEAKY_NUMERIC[1:])).select("col", "rule")
+    return leak.constant_overall(_moments(spark, sf_dir)).select("col", "rule")
 
 
 @query
 def leak_high_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _leaky_lineitem(spark, sf_dir)
-    return rounded(leak.high_corr(profile.numeric_moments(rows, "l_quantity", LEAKY_NUMERIC[1:])))
+    return rounded(leak.high_corr(_moments(spark, sf_dir)))
 
 
 @query
 def target_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _leaky_lineitem(spark, sf_dir)
-    moments = profile.numeric_moments(rows, "l_quantity", LEAKY_NUMERIC[1:])
+    moments = _moments(spark, sf_dir)
     return rounded(moments.select("col", "n_values", "low", "high", "corr"))
 
 
@@ -253,13 +254,12 @@ def leak_zero_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def class_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_gaps(spark, sf_dir))
+    return rounded(_gaps(spark, sf_dir).drop("minimum_gap"))
 
 
 @query
 def leak_min_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _leaky_lineitem(spark, sf_dir)
-    return rounded(leak.min_value_presence_diff(profile.own_minimum_gaps(rows, "l_returnflag", LEAKY_NUMERIC)))
+    return rounded(leak.min_value_presence_diff(_gaps(spark, sf_dir)))
 
 
 @query
