@@ -9,9 +9,11 @@ is. Sketches are compared per size band (powers of two; a document also joins th
 there). The few documents with too few non-empty blocks for the bound also join by single members.
 
 Equal sets are one node, so copies are never paired. In each group of a shared block, nodes are first compared with the
-smallest; groups that this leaves in several components are then compared further by their sketches (bits by the low bits
-of each hash, at least two a member, folded where widths differ), each node with nodes of other components up to LAG places on in the order of size, then four times as far, until no pair of a group
-could add a link: no cap, and no pairs among nodes that are linked already. Pairs that pass are checked exactly.
+smallest; groups that this leaves in several components are then compared further by their sketches (bits by the low
+bits of each hash, at least two a member, folded where widths differ), each node with nodes of other components up to
+LAG places on in the order of size, then four times as far, until no pair of a group could add a link: no cap, and no
+pairs among nodes that are linked already. Pairs that pass are checked exactly, first only those that a group needs to
+become connected; where such a pair turns out to be no link, all others of its group between different components.
 
 Words are split at ASCII white space, A-Z lower-cased; with fewer than five words the whole sequence is the one member.
 Null and empty texts have an empty set and link with nothing; so do rows of null id, whose component is null. Rows of
@@ -295,41 +297,82 @@ def with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def further_pairs(open_rows: DataFrame, low: int, high: int) -> DataFrame:
-    """(a, b): in each group, nodes of other components that stand low + 1 to high places apart in the order of size.
+class Forest:
+    """What the rows of a block are connected to, by their components, if all pairs found so far are links."""
+
+    def __init__(self):
+        self.ids: dict[tuple[int, int], int] = {}
+        self.parent = np.zeros(0, np.int64)
+
+    def places(self, blocks: np.ndarray, components: np.ndarray) -> np.ndarray:
+        """A number for each pair of block and component; those of other blocks than the first one are new."""
+        keys = list(zip(blocks.tolist(), components.tolist()))
+        self.ids = {k: v for k, v in self.ids.items() if k[0] == keys[0][0]}
+        first = len(self.parent)
+        out = [self.ids.setdefault(k, first + n) for n, k in enumerate(keys)]
+        self.parent = np.concatenate([self.parent, np.arange(first, first + len(keys))])
+        return np.array(out, np.int64)
+
+    def roots(self, at: np.ndarray) -> np.ndarray:
+        up = self.parent[at]
+        while not np.array_equal(further := self.parent[up], up):
+            up = further
+        self.parent[at] = up
+        return up
+
+    def join(self, one: int, two: int) -> bool:
+        """Connects two numbers; False if they are connected already."""
+        ends = []
+        for k in (one, two):
+            while self.parent[k] != k:
+                k = int(self.parent[k])
+            ends.append(k)
+        self.parent[ends[1]] = ends[0]
+        return ends[0] != ends[1]
+
+
+def further_pairs(open_rows: DataFrame, low: int, high: int, forest: bool) -> DataFrame:
+    """(block, a, b): in each group, nodes of other components that stand low + 1 to high places apart in the order of size.
 
     Only pairs whose sketches could belong to a link are written: all are folded to the least width and compared first.
+    With `forest` no pair is written that earlier pairs of the group connect, so a group has fewer pairs than nodes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_short, held_whole = np.zeros((0, 4), np.int64), np.zeros((0, SHORT_BYTES // 8), np.uint64), []
+        held, held_short, held_whole = np.zeros((0, 5), np.int64), np.zeros((0, SHORT_BYTES // 8), np.uint64), []
+        connected = Forest()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rows = np.concatenate([held, np.column_stack([batch.column(k).to_numpy() for k in range(4)])])
-            added = batch.column(4).to_pylist()
-            whole = held_whole + added
-            short = np.concatenate([held_short, *(folded([w], SHORT_BYTES) for w in added)])
+            added = [batch.column(k).to_numpy() for k in range(4)]
+            rows = np.concatenate([held, np.column_stack([*added, connected.places(added[0], added[3])])])
+            packed = batch.column(4).to_pylist()
+            whole = held_whole + packed
+            short = np.concatenate([held_short, *(folded([w], SHORT_BYTES) for w in packed)])
             for lag in range(low + 1, high + 1):
                 new = max(lag, len(held))
                 x, y = rows[new - lag : len(rows) - lag], rows[new:]
                 if not len(y) or not (x[:, 0] == y[:, 0]).any():
                     break
-                good = np.flatnonzero((x[:, 0] == y[:, 0]) & (x[:, 3] != y[:, 3]) & (4 * x[:, 2] >= 3 * y[:, 2]))
-                apart = np.bitwise_count(short[good + new - lag] ^ short[good + new]).sum(1)
-                good = good[apart <= (x[good, 2] + y[good, 2]) // 7]
+                apart = connected.roots(rows[:, 4]) if forest else rows[:, 3]
+                good = np.flatnonzero((x[:, 0] == y[:, 0]) & (apart[new - lag : len(rows) - lag] != apart[new:]) & (4 * x[:, 2] >= 3 * y[:, 2]))
+                most = (x[good, 2] + y[good, 2]) // 7
+                keep = np.bitwise_count(short[good + new - lag] ^ short[good + new]).sum(1) <= most
+                good, most = good[keep], most[keep]
                 wide = [(whole[k + new - lag], whole[k + new]) for k in good.tolist()]
                 if wide and max(len(b) for _, b in wide) > SHORT_BYTES:
-                    good = good[distances(*map(list, zip(*wide))) <= (x[good, 2] + y[good, 2]) // 7]
+                    good = good[distances(*map(list, zip(*wide))) <= most]
+                if forest:
+                    good = good[[connected.join(a, b) for a, b in zip(x[good, 4].tolist(), y[good, 4].tolist())]]
                 if len(good):
                     found = np.sort(np.column_stack([x[good, 1], y[good, 1]]), 1)
-                    yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+                    yield pa.record_batch([pa.array(x[good, 0]), pa.array(found[:, 0]), pa.array(found[:, 1])], ["block", "a", "b"])
             # What later rows of the last group can still meet.
             first = max(len(rows) - high, int(np.searchsorted(rows[:, 0], rows[-1, 0])))
             held, held_short, held_whole = rows[first:], short[first:], whole[first:]
 
     ordered = open_rows.repartition("block").sortWithinPartitions("block", "n", "node")
-    return ordered.select("block", "node", "n", "component", "short").mapInArrow(run, "a long, b long").distinct()
+    return ordered.select("block", "node", "n", "component", "short").mapInArrow(run, "block long, a long, b long")
 
 
 def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -370,25 +413,41 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
     labels = components(links)
     release(links)
     low, high = 0, LAG
-    while True:
-        marked = labelled(labelled(groups, labels, "node", "component"), labels, "hub", "hub_component")
+
+    def open_rows(blocks: DataFrame | None = None) -> DataFrame:
+        """The rows of groups (of `blocks`) that hold several components and have pairs more than `low` places apart."""
+        some = groups.join(blocks, "block", "left_semi") if blocks else groups
+        marked = labelled(labelled(some, labels, "node", "component"), labels, "hub", "hub_component")
         # Nodes were compared with the hub of their group; what is left are groups with several components besides.
         spread = marked.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         spread = spread.where((F.col("low") != F.col("high")) & (F.col("size") > low + 1)).select("block")
         rows = marked.join(spread, "block").join(sketches.select("node", "short"), "node")
-        rows = materialize(rows.select("block", "node", "n", "component", "short"), "open-groups")
+        return materialize(rows.select("block", "node", "n", "component", "short"), "open-groups")
+
+    def tried(near: DataFrame) -> DataFrame:
+        """The blocks of pairs (block, a, b) that are no links; the others join their labels."""
+        nonlocal labels
+        links = checked(near.select("a", "b").distinct())
+        failed = materialize(near.join(links, ["a", "b"], "left_anti").select("block").distinct(), "disputed")
+        more = labelled(labelled(links, labels, "a", "to_a"), labels, "b", "to_b")
+        more = materialize(more.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
+        if not more.isEmpty():
+            labels = joined_labels(labels, more)
+        release(links, more, near)
+        return failed
+
+    while True:
+        rows = open_rows()
         if rows.isEmpty():
             release(rows, groups, holders, sketches)
             return labels
-        near = materialize(further_pairs(rows, low, high), "near-pairs")
+        # First as few pairs as connect what may be linked. Where one of them is no link, all pairs between components.
+        disputed = tried(materialize(further_pairs(rows, low, high, True), "near-pairs"))
         release(rows)
-        if not near.isEmpty():
-            links = checked(near)
-            more = labelled(labelled(links, labels, "a", "to_a"), labels, "b", "to_b")
-            more = materialize(more.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
-            if not more.isEmpty():
-                labels = joined_labels(labels, more)
-            release(links, more)
+        if not disputed.isEmpty():
+            rows = open_rows(disputed)
+            release(tried(materialize(further_pairs(rows, low, high, False), "near-pairs")), rows)
+        release(disputed)
         low, high = high, 4 * high
 
 
