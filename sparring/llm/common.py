@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparring.session import materialize
+
 #: Text bytes that a step inside a task holds at once; a longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
 #: Rows of an Arrow batch between Spark and Python.
@@ -83,19 +85,22 @@ def fold(doc_id: Column, of: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 
 
-def hash_sample(rows: DataFrame, class_col: str, per_class: int | None = None, total: int = 0, classes: int = 200) -> DataFrame:
-    """At most `per_class` rows (or an equal share of `total`) of each class, with `turn`, their place in the class.
+#: Classes up to which their counts are broadcast.
+BROADCAST_CLASSES = 100_000
+
+
+def hash_sample(rows: DataFrame, class_col: str, per_class: int | None = None, total: int = 0, least: int = 1) -> DataFrame:
+    """At most `per_class` rows (or an equal share of `total`, but `least`) of each class, with `turn`, their place in the class.
 
     The order is that of a hash of doc_id. Rows are thinned by the hash to about twice the wanted number before they
-    are ranked, so that ranking a class never takes more. Only the `classes` most frequent classes are looked at.
+    are ranked, so that ranking a class never takes more. Every class takes part.
     """
-    spark, steps = rows.sparkSession, 1 << 20
-    counts = rows.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(classes).collect()
-    each = per_class or max(1, total // max(1, len(counts)))
-    cuts = [(r[class_col], min(steps, 2 * each * steps // r["count"] + 64)) for r in counts]
-    kind = rows.schema[class_col].dataType.simpleString()
-    few = F.broadcast(spark.createDataFrame(cuts, f"{class_col} {kind}, _cut int"))
-    kept = rows.join(few, class_col).where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(steps)) < F.col("_cut")).drop("_cut")
+    steps = 1 << 20
+    counts = materialize(rows.groupBy(class_col).count(), "class-counts")
+    classes = counts.count()
+    each = per_class or max(least, total // max(1, classes))
+    cuts = counts.select(class_col, F.least(F.lit(steps), F.expr(f"{2 * each * steps} div count + 64")).alias("_cut"))
+    kept = rows.join(F.broadcast(cuts) if classes <= BROADCAST_CLASSES else cuts, class_col).where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(steps)) < F.col("_cut")).drop("_cut")
     order = F.xxhash64(F.lit(5), "doc_id"), F.col("doc_id")
     turn = F.row_number().over(Window.partitionBy(class_col).orderBy(F.pmod(order[0], F.lit(steps)), *order))
     return kept.withColumn("turn", turn).where(F.col("turn") <= each)

@@ -7,10 +7,10 @@ a few substituted words. The masks find every such window: some mask avoids any
 one in 8.
 
 Words are split at ASCII white space, A-Z lower-cased, ASCII punctuation at their ends dropped, and empty ones left
-out. Items of under LEAST_WORDS words are too short to tell a leak and are not searched; null and empty texts have no
+out. Items of under LEAST_WORDS words are searched as whole runs without substitutions; null and empty texts have no
 words. Texts are read whole. Repeated rows of documents give the same findings once; rows of a null id are searched
-like others and reported under null. Of items that share a passage the smallest id is reported. Empty tables give
-empty results. Other columns are ignored, or pass through `decontaminate` untouched.
+like others and reported under null. Surroundings that several items share are compared once and reported for each of
+them. Empty tables give empty results. Other columns are ignored, or pass through `decontaminate` untouched.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparring.llm.common import mixed, slices, word_hashes
+from sparring.llm.common import mixed, slices, window_hashes, word_hashes
+from sparring.session import materialize
 
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7), (0, 1, 3, 5, 6, 7))
 WINDOW, LEAST_WORDS = 13, 8
@@ -35,7 +36,7 @@ FILTER_BITS = 24
 
 def substitutions(words: int) -> int:
     """Substituted words that a window of so many words may have."""
-    return 2 if words >= WINDOW else 1
+    return 2 if words >= WINDOW else 1 if words >= LEAST_WORDS else 0
 
 
 def normal_words(text: bytes | None) -> list[bytes]:
@@ -57,6 +58,11 @@ def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found), np.concatenate(places)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
+def whole_run(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The seed of each run of `width` words, fewer than a mask needs."""
+    return window_hashes(hashes, width, len(MASKS) + width)
+
+
 def contexts(hashes: np.ndarray, places: np.ndarray, outside: int) -> np.ndarray:
     """Word hashes around each place, `outside` beyond the ends."""
     padded = np.concatenate([np.full(BEFORE, outside, np.uint64), hashes, np.full(AFTER, outside, np.uint64)])
@@ -72,14 +78,14 @@ def binaries(rows: np.ndarray) -> pa.Array:
 
 
 def item_seeds(benchmark: DataFrame) -> DataFrame:
-    """(seed, item_around, item_before, item_after, width, item_id), equal contexts once with the smallest id."""
+    """(seed, item_around, item_before, item_after, width, item_id): every seed of the items with its surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 hashes = word_hashes(normal_words(text))
-                if len(hashes) >= LEAST_WORDS:
-                    value, place = seeds(hashes)
+                if len(hashes):
+                    value, place = seeds(hashes) if len(hashes) >= LEAST_WORDS else (whole_run(hashes, len(hashes)), np.zeros(1, np.int64))
                     n = len(value)
                     yield pa.record_batch(
                         [
@@ -97,7 +103,8 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(
         run, "seed long, item_around binary, item_before int, item_after int, width int, item_id long"
     )
-    return rows.groupBy("seed", "item_around", "item_before", "item_after", "width").agg(F.min("item_id").alias("item_id"))
+    key = F.concat_ws("|", "seed", F.hex("item_around"), "item_before", "item_after", "width")
+    return rows.withColumn("context", F.md5(key)).distinct()
 
 
 def seed_filter(items: DataFrame) -> np.ndarray:
@@ -114,6 +121,7 @@ def seed_filter(items: DataFrame) -> np.ndarray:
 
 def document_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(seed, doc_id, text_hash, place, around) of documents' seeds that pass the filter."""
+    short = [r["width"] for r in items.where(F.col("width") < LEAST_WORDS).select("width").distinct().collect()]  # at most 7
     sent = docs.sparkSession.sparkContext.broadcast(seed_filter(items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,6 +131,10 @@ def document_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
             for doc, text, code in zip(ids, batch.column(1).cast(pa.binary()).to_pylist(), codes):
                 hashes = word_hashes(normal_words(text))
                 value, place = seeds(hashes)
+                for width in short:
+                    # The first of equal runs is enough.
+                    run_hash, first = np.unique(whole_run(hashes, width), return_index=True)
+                    value, place = np.concatenate([value, run_hash]), np.concatenate([place, first])
                 at = bit_places(value)
                 hit = (bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool).all(0)
                 value, place = value[hit], place[hit]
@@ -144,7 +156,7 @@ def document_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id, start, width): the windows around hits that agree."""
+    """(doc_id, text_hash, context, start, width): the windows around hits that agree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,23 +175,25 @@ def verified(pairs: DataFrame) -> DataFrame:
                 fits = (first >= BEFORE - before) & (end <= BEFORE + after) & (end <= size)
                 end = np.minimum(end, size)
                 wrong = differ[rows, end] - differ[:, first]
-                allowed = np.where(width >= WINDOW, substitutions(WINDOW), substitutions(LEAST_WORDS))
+                allowed = np.where(width >= WINDOW, substitutions(WINDOW), np.where(width >= LEAST_WORDS, substitutions(LEAST_WORDS), 0))
                 good = fits & (wrong <= allowed) & (outside[rows, end] == outside[:, first])
                 start = np.where((start < 0) & good, first, start)
             chosen = start >= 0
             at = columns["place"].to_numpy() - BEFORE + start
-            out = [columns["doc_id"], columns["text_hash"], columns["item_id"], pa.array(at), pa.array(width.astype(np.int64))]
-            yield pa.record_batch(out, ["doc_id", "text_hash", "item_id", "start", "width"]).filter(pa.array(chosen))
+            out = [columns["doc_id"], columns["text_hash"], columns["context"], pa.array(at), pa.array(width.astype(np.int64))]
+            yield pa.record_batch(out, ["doc_id", "text_hash", "context", "start", "width"]).filter(pa.array(chosen))
 
-    return pairs.mapInArrow(run, "doc_id long, text_hash long, item_id long, start long, width long")
+    return pairs.mapInArrow(run, "doc_id long, text_hash long, context string, start long, width long")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, first_word, end_word, n_hits): where documents repeat benchmark items."""
-    items = item_seeds(benchmark)
-    pairs = document_hits(docs, items).join(items, "seed")
+    items = materialize(item_seeds(benchmark), "item-seeds")
+    distinct = items.drop("item_id").distinct()
+    pairs = document_hits(docs, items).join(distinct, "seed")
     return (
         verified(pairs)
+        .join(items.select("context", "item_id"), "context")
         .groupBy("doc_id", "text_hash", "item_id")
         .agg(F.min("start").alias("first_word"), F.max(F.col("start") + F.col("width")).alias("end_word"), F.count("*").alias("n_hits"))
     )

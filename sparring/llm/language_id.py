@@ -25,8 +25,8 @@ BITS = 16
 UNKNOWN = "und"
 #: Texts in one matrix product: at most 16 MB of presence flags.
 AT_ONCE = 64
-#: Bounds of the labelled sample; both are parameters of `fit`.
-SAMPLE_ROWS, LANDMARKS = 3000, 96
+#: Bounds of the labelled sample and least rows of each language; parameters of `fit`. There is a landmark for each language.
+SAMPLE_ROWS, LANDMARKS, LEAST_ROWS = 3000, 96, 8
 
 
 def gram_flags(text: str) -> np.ndarray:
@@ -67,21 +67,32 @@ def landmark_table(texts: list[str]) -> dict:
     return {"used": used, "profile": flags[:, used].T.astype(np.float32), "norm": np.sqrt(np.maximum(flags.sum(1), 1))}
 
 
-def labelled_sample(docs: DataFrame, learn: Column, rows: int) -> DataFrame:
-    """At most `rows` labelled (doc_id, lang, turn), an equal share of each of the most frequent languages."""
-    usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    return hash_sample(usable, "lang", total=rows).orderBy("turn", "lang").limit(rows)
+def labelled_sample(docs: DataFrame, learn: Column, rows: int, least: int) -> DataFrame:
+    """Labelled (doc_id, lang, turn): an equal share of `rows` of each language, `least` where that is fewer."""
+    usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang").distinct()
+    return hash_sample(usable, "lang", total=rows, least=least).orderBy("turn", "lang", "doc_id")
 
 
-def fit(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS, ridge: float = 1e-3) -> dict | None:
-    """The model, learned from `text` and `lang` of at most `sample_rows` rows for which `learn` holds; None if there are none."""
-    sample = labelled_sample(docs, learn, sample_rows).collect()
-    turns = {r["doc_id"]: r["turn"] for r in sample}
+def fit(
+    docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS, ridge: float = 1e-3, least_rows: int = LEAST_ROWS
+) -> dict | None:
+    """The model, learned from `text` and `lang` of rows for which `learn` holds; None if there are none.
+
+    Of each language at most its share of `sample_rows`, or `least_rows` if that is more, is learned from; there are
+    `landmarks` landmarks, or one for each language if there are more languages. Of an id with unlike rows the
+    smallest language and text count.
+    """
+    sample = labelled_sample(docs, learn, sample_rows, least_rows).collect()
+    turns: dict[int, int] = {}
+    for r in sample:
+        turns.setdefault(r["doc_id"], r["turn"])
     langs = sorted({r["lang"] for r in sample})
     if not langs:
         return None
+    landmarks = max(landmarks, len(langs))
     chosen = docs.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in turns], "doc_id long")), "doc_id", "left_semi")
-    chosen = chosen.where(learn & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    chosen = chosen.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    chosen = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.text", "r.lang")
     most = sorted(turns.values())[min(landmarks, len(turns)) - 1]
     first = [i for i, turn in turns.items() if turn <= most][:landmarks]
     texts = {r["doc_id"]: r["text"] for r in chosen.where(F.col("doc_id").isin(first)).collect() if r["text"] is not None}

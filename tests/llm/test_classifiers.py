@@ -28,6 +28,62 @@ def test_languages_without_labels(corpus):
     assert language_id.predict_languages(corpus([])).count() == 0
 
 
+def test_every_language_can_be_predicted(corpus):
+    """More languages than landmarks; each has its own syllables."""
+    rng = random.Random(9)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    words = {f"l{k}": ["".join(rng.choices(letters, k=rng.randint(3, 7))) for _ in range(12)] for k in range(250)}
+    rows = [(k, " ".join(rng.choices(words[f"l{k % 250}"], k=25)), f"l{k % 250}") for k in range(2500)]
+    found = language_id.predict_languages(corpus(rows)).where("held_out").collect()
+    right = [r["lang_pred"] == f"l{r['doc_id'] % 250}" for r in found]
+    assert np.mean(right) > 0.97 and len({r["lang_pred"] for r in found}) > 240
+
+
+def test_scores_are_those_of_the_ridge_regression(spark, corpus):
+    """The whole fit by plain sets and one least-squares problem; ids that stand twice with unlike texts are settled."""
+    rng = random.Random(2)
+    words = {"a": ["und", "der", "ist"], "b": ["the", "and", "is"], "c": ["le", "est", "et"]}
+    rows = [(k, " ".join(rng.choices(words["abc"[k % 3]] + ["x", "y"], k=9)), "abc"[k % 3]) for k in range(60)]
+    rows += [(3, "zzz another text", "c"), (3, "aaa text", "b")]
+    docs = corpus(rows)
+    learn = F.col("doc_id") < 40
+    first = {r["doc_id"]: r for r in language_id.identify(docs, language_id.fit(docs, learn, landmarks=12)).where("doc_id >= 40").collect()}
+    again = language_id.fit(docs.repartition(5), learn, landmarks=12)
+    second = {r["doc_id"]: r for r in language_id.identify(docs, again).where("doc_id >= 40").collect()}
+    assert {k: (r["lang_pred"], round(r["score"], 9)) for k, r in first.items()} == {k: (r["lang_pred"], round(r["score"], 9)) for k, r in second.items()}
+
+    known = {}
+    for i, text, lang in rows:
+        if i < 40:
+            known[i] = min(known.get(i, ("~", "")), (lang, text))
+    flags = {t: set(np.flatnonzero(language_id.gram_flags(t)).tolist()) for _, t, _ in rows}
+    sample = language_id.labelled_sample(docs, learn, language_id.SAMPLE_ROWS, language_id.LEAST_ROWS).collect()
+    marks = []
+    for r in sample:
+        if r["doc_id"] not in marks:
+            marks.append(r["doc_id"])
+    marks = [known[i][1] for i in marks[:12]]
+
+    def k(x, y):
+        return len(flags[x] & flags[y]) / np.sqrt(len(flags[x]) * len(flags[y]))
+
+    among = np.array([[k(x, y) for y in marks] for x in marks])
+    values, vectors = np.linalg.eigh(among)
+    half = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    ids = sorted(known)
+    z = np.array([[k(known[i][1], m) for m in marks] for i in ids]) @ half
+    ones, n = np.ones((len(ids), 1)), len(ids)
+    y = np.array([[float(known[i][0] == lang) for lang in "abc"] for i in ids])
+    penalty = np.sqrt(1e-3 * n) * np.eye(z.shape[1] + 1)
+    penalty[-1, -1] *= 1e-3
+    weights = np.linalg.lstsq(np.vstack([np.hstack([z, ones]), penalty]), np.vstack([y, np.zeros((len(penalty), 3))]), rcond=None)[0]
+    for i, text, _ in rows:
+        if i >= 40:
+            scores = np.append(np.array([k(text, m) for m in marks]) @ half, 1) @ weights
+            assert first[i]["lang_pred"] == "abc"[scores.argmax()]
+            assert np.isclose(first[i]["score"], np.clip(scores.max(), 0, 1), atol=1e-5)
+
+
 def test_presence_kernel_is_normalised():
     marks = language_id.landmark_table(["the same text", "etwas anderes"])
     k = language_id.kernel(["the same text", "etwas anderes"], marks)
