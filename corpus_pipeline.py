@@ -23,10 +23,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; a missing `lang` is filled in. What has no letter goes."""
+    """Documents whose language is recognised, with `lang` as predicted from all labelled ones. What has no letter goes."""
     bound_batches(spark)
     named = language_id.identify(docs, language_id.fit(docs, F.col("doc_id").isNotNull())).where(F.col("lang_pred") != language_id.UNKNOWN)
-    return named.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    return named.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
