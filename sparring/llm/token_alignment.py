@@ -51,6 +51,8 @@ BRANCHES = 16
 TEXT_BYTES, BIG, PIECE = 2 << 20, 256, 1 << 14
 #: Units that are encoded as one text.
 TOGETHER = 256
+#: Units that a process remembers.
+KNOWN_UNITS = 300_000
 #: Pairs that a task holds before it hands them on.
 HELD_PAIRS = 4 << 20
 #: Bytes of hash, keys and counts that are broadcast at once.
@@ -79,6 +81,7 @@ class Encoders:
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
         # No piece of B reaches over a space that follows another character, so texts may be cut there.
         self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.memory = Memory(self)
         # Each id followed by what stands behind it: A inside and at the end of a group, then B.
         self.written = np.array([f"{k}{sign}" for n, signs in ((self.n_a, ",|"), (self.n_b, ",;")) for sign in signs for k in range(n)], object)
 
@@ -98,38 +101,82 @@ def units(text: str) -> list[str]:
     return [" " + piece for piece in text.split(" ")]
 
 
+def encoded_units(found: list[str], both: Encoders) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A ids, B ids, numbers of both for each unit, and whether both tokenizers give the unit back byte by byte."""
+    # Units that end with another character than white space are put together to texts, the others encoded by themselves.
+    alone = [k for k, u in enumerate(found) if u[-1].isspace()]
+    left = set(alone)
+    joined = [k for k in range(len(found)) if k not in left] if left else list(range(len(found)))
+    texts = ["".join([found[k] for k in joined[s : s + TOGETHER]]) for s in range(0, len(joined), TOGETHER)]
+    b = list(chain.from_iterable(both.b.encode([t[1:] for t in texts], num_threads=1))) if texts else []
+    b = np.array(b, np.int64)
+    if b"".join(both.b_bytes[b]) != "".join(texts).encode():
+        joined, alone, texts = [], list(range(len(found))), []
+        b = b[:0]
+    a = np.concatenate([np.zeros(0, np.int64), *map(both.a.encode_to_numpy, texts)]).astype(np.int64)
+    ends = np.cumsum([len(found[k].encode()) for k in joined], dtype=np.int64)
+    place = np.array(joined, np.int64)
+    a_unit, b_unit = (place[np.searchsorted(ends, np.cumsum(n[x]))] for n, x in ((both.a_sizes, a), (both.b_sizes, b)))
+    good = np.ones(len(found), bool)
+    a_parts, b_parts, a_units, b_units = [a], [b], [a_unit], [b_unit]
+    for k in alone:
+        # Behind another unit, as the encoder gives nothing for an empty text.
+        one = np.array(both.b.encode("a" + found[k])[len(both.b.encode("a")) :], np.int64)
+        good[k] = b"".join(both.b_bytes[one]) == found[k].encode()
+        if good[k]:
+            two = both.a.encode_to_numpy(found[k]).astype(np.int64)
+            a_parts.append(two)
+            b_parts.append(one)
+            a_units.append(np.full(len(two), k))
+            b_units.append(np.full(len(one), k))
+    a, b, a_unit, b_unit = (np.concatenate(x) for x in (a_parts, b_parts, a_units, b_units))
+    a, b = a[np.argsort(a_unit, kind="stable")], b[np.argsort(b_unit, kind="stable")]
+    return a, b, np.bincount(a_unit, minlength=len(found)), np.bincount(b_unit, minlength=len(found)), good
+
+
+def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places from `first` on, `count` of them for each entry."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+class Memory:
+    """The ids of units seen before by this process, at most about KNOWN_UNITS of them."""
+
+    def __init__(self, both: Encoders):
+        self.both = both
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.good = np.zeros(0, bool)
+
+    def encoded(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `encoded_units`, whose work is done for units that are new."""
+        if len(self.places) > KNOWN_UNITS:
+            self.clear()
+        new = [u for u in found if u not in self.places]
+        if new:
+            *ids, n_a, n_b, good = encoded_units(new, self.both)
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            for k, n in enumerate((n_a, n_b)):
+                self.ids[k] = np.concatenate([self.ids[k], ids[k].astype(np.int32)])
+                self.first[k] = np.concatenate([self.first[k], self.first[k][-1] + np.cumsum(n)])
+            self.good = np.concatenate([self.good, good])
+        at = np.fromiter(map(self.places.__getitem__, found), np.int64, len(found))
+        counts = [(f[1:] - f[:-1])[at] for f in self.first]
+        ids = [x[spans(f[at], n)].astype(np.int64) for x, f, n in zip(self.ids, self.first, counts)]
+        return (*ids, *counts, self.good[at])
+
+
 class Units:
     """The tokens, groups and links of distinct units; `good` says which ones both tokenizers give back byte by byte."""
 
     def __init__(self, found: list[str], both: Encoders):
         self.both, self.size = both, len(found)
-        # Units that end with another character than white space are put together to texts, the others encoded by themselves.
-        alone = [k for k, u in enumerate(found) if u[-1].isspace()]
-        left = set(alone)
-        joined = [k for k in range(len(found)) if k not in left] if left else list(range(len(found)))
-        texts = ["".join([found[k] for k in joined[s : s + TOGETHER]]) for s in range(0, len(joined), TOGETHER)]
-        b = list(chain.from_iterable(both.b.encode([t[1:] for t in texts], num_threads=1))) if texts else []
-        b = np.array(b, np.int64)
-        if b"".join(both.b_bytes[b]) != "".join(texts).encode():
-            joined, alone, texts = [], list(range(len(found))), []
-            b = b[:0]
-        a = np.concatenate([np.zeros(0, np.int64), *map(both.a.encode_to_numpy, texts)]).astype(np.int64)
-        ends = np.cumsum([len(found[k].encode()) for k in joined], dtype=np.int64)
-        place = np.array(joined, np.int64)
-        a_unit, b_unit = (place[np.searchsorted(ends, np.cumsum(n[x]))] for n, x in ((both.a_sizes, a), (both.b_sizes, b)))
-        self.good = np.ones(len(found), bool)
-        a_parts, b_parts, a_units, b_units = [a], [b], [a_unit], [b_unit]
-        for k in alone:
-            # Behind another unit, as the encoder gives nothing for an empty text.
-            one = np.array(both.b.encode("a" + found[k])[len(both.b.encode("a")) :], np.int64)
-            self.good[k] = b"".join(both.b_bytes[one]) == found[k].encode()
-            if self.good[k]:
-                two = both.a.encode_to_numpy(found[k]).astype(np.int64)
-                a_parts.append(two)
-                b_parts.append(one)
-                a_units.append(np.full(len(two), k))
-                b_units.append(np.full(len(one), k))
-        self.a, self.b, self.a_unit, self.b_unit = (np.concatenate(x) for x in (a_parts, b_parts, a_units, b_units))
+        self.a, self.b, n_a, n_b, self.good = both.memory.encoded(found)
+        self.a_unit, self.b_unit = (np.repeat(np.arange(self.size), n) for n in (n_a, n_b))
         a_ends, b_ends = np.cumsum(both.a_sizes[self.a]), np.cumsum(both.b_sizes[self.b])
         total = int(a_ends[-1]) if len(a_ends) else 0
         at = np.zeros((2, total + 1), bool)
@@ -207,7 +254,7 @@ class Aligned:
         owner, key, times = self.units.pairs()
         first = np.searchsorted(owner, np.arange(self.units.size + 1))
         count = np.diff(first)[unit]
-        at = np.repeat(first[unit] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        at = spans(first[unit], count)
         return np.repeat(doc, count), key[at], times[at] * np.repeat(many, count)
 
     def groups(self) -> list[str]:
@@ -215,8 +262,7 @@ class Aligned:
         line, first, last = self.units.lines()
         count = (last - first)[self.unit]
         ends = np.cumsum(count)
-        at = np.repeat(first[self.unit] - ends + count, count) + np.arange(count.sum())
-        words = self.units.both.written[line[at]].tolist()
+        words = self.units.both.written[line[spans(first[self.unit], count)]].tolist()
         edges = np.append(0, ends)[np.searchsorted(self.doc, np.arange(self.size + 1))].tolist()
         return ["".join(words[s:e])[:-1] for s, e in zip(edges, edges[1:])]
 
