@@ -24,6 +24,11 @@ def seeded_hash(key: Column, seed: object) -> Column:
     return F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
 
 
+def value_hash(value: Column) -> Column:
+    """128 bits that stand for a value's text in joins and groups; NULL stays NULL."""
+    return F.unhex(F.md5(value.cast("string").cast("binary")))
+
+
 def content_text(columns: Sequence[str]) -> Column:
     """All column values as one text; lengths keep neighbouring values from running together."""
     parts = []

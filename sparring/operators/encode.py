@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparring.functions.columns import categorical_columns, col, numeric_columns, per_column, require_column
-from sparring.functions.keys import ROW_KEY, with_row_key
+from sparring.functions.keys import ROW_KEY, value_hash, with_row_key
 from sparring.functions.linalg import fix_signs
 from sparring.operators.leak import LeakThresholds, scan_leaks
+from sparring.operators.profile import category_texts
 from sparring.operators.split import SPLIT, TRAIN
 from sparring.operators.task import CLASSIFICATION, check_task
-from sparring.session import local_frame
+from sparring.session import local_frame, materialize, release
 
 ACTUAL = "actual"
 LABEL = "label"
@@ -31,10 +30,11 @@ FEATURES = "features"
 HIGH_CARDINALITY = 1000
 HIGH_FRACTION = 0.05
 SVD_COMPONENTS = 200
+# Directions beyond those asked for, and when the range finder stops.
+SVD_OVERSAMPLE, SVD_TOLERANCE = 10, 1e-10
 
-# Count tables up to this many values and bytes are broadcast; larger ones are joined by shuffle.
+# Count tables up to this many values (of 16 bytes and a count) are broadcast; larger ones are joined by shuffle.
 BROADCAST_VALUES = 200_000
-BROADCAST_BYTES = 32 * 1024**2
 # Values holding at least this share of the rows are joined apart; at most 1000 values can.
 HOT_SHARE = 0.001
 HOT_SALTS = 1024
@@ -92,7 +92,7 @@ def cardinality_routing(
     wide = (F.col("n_unique") > high_cardinality) | (F.col("n_unique") > high_fraction * n_train)
     return (
         profile.groupBy("col")
-        .agg(n_unique.alias("n_unique"), F.count("value").alias("n_categories"))
+        .agg(n_unique.alias("n_unique"), F.count("hash").alias("n_categories"))
         .withColumn("route", F.when(wide, "frequency").otherwise("onehot"))
     )
 
@@ -110,17 +110,17 @@ def svd_width(routing: DataFrame, svd_components: int = SVD_COMPONENTS) -> DataF
 
 
 def frequency_counts(train: DataFrame, column: str) -> DataFrame:
-    """`value, n_rows` of the non-NULL values in the training rows."""
+    """`hash, n_rows` of the non-NULL values in the training rows."""
     return (
         train.where(col(column).isNotNull())
-        .groupBy(col(column).cast("string").alias("value"))
+        .groupBy(value_hash(col(column)).alias("hash"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
 
-def fits_broadcast(n_values: int, n_bytes: int) -> bool:
-    """Whether a count table is small enough, in rows and in bytes, to travel to every task."""
-    return n_values <= BROADCAST_VALUES and n_bytes <= BROADCAST_BYTES
+def fits_broadcast(n_values: int) -> bool:
+    """Whether a count table is small enough to travel to every task; its rows have a fixed size."""
+    return n_values <= BROADCAST_VALUES
 
 
 def frequency_encode(
@@ -128,26 +128,26 @@ def frequency_encode(
 ) -> DataFrame:
     """Replace a value by its training count; 0.0 for unseen values and NULL.
 
-    A count table that `fits_broadcast` is broadcast. Otherwise values are joined by their md5, which keeps
-    long texts out of the shuffle: those holding over HOT_SHARE of the training rows (fewer
-    than 1/HOT_SHARE by arithmetic, 32 characters each) are broadcast, and the rest is joined by
-    shuffle with the hot rows scattered over salts that match nothing, so no task gets a hot value.
+    Values are joined by their 128-bit hash, which keeps long texts out of the shuffle. A count table that
+    `fits_broadcast` is broadcast. Otherwise values holding over HOT_SHARE of the training rows (fewer
+    than 1/HOT_SHARE by arithmetic) are broadcast, and the rest is joined by shuffle
+    with the hot rows scattered over salts that match nothing, so no task gets a hot value.
     """
-    text = col(column).cast("string")
+    key = value_hash(col(column))
     if broadcast:
-        table = F.broadcast(counts.select(F.col("value").alias("__v"), F.col("n_rows").alias("__n")))
-        joined = df.join(table, text == F.col("__v"), "left")
+        table = F.broadcast(counts.select(F.col("hash").alias("__v"), F.col("n_rows").alias("__n")))
+        joined = df.join(table, key == F.col("__v"), "left")
         return joined.withColumn(output, F.coalesce(F.col("__n"), F.lit(0)).cast("double")).drop("__v", "__n")
 
     edge = HOT_SHARE * n_rows
-    hashed = counts.select(F.md5("value").alias("__v"), F.col("n_rows").alias("__n"))
+    hashed = counts.select(F.col("hash").alias("__v"), F.col("n_rows").alias("__n"))
     hot = hashed.where(F.col("__n") > edge).select(F.col("__v").alias("__hv"), F.col("__n").alias("__hn"))
     cold = hashed.where(F.col("__n") <= edge)
     # The salt is part of the key text: as a column of its own the optimizer would fold it out of the join key.
-    salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(F.col(ROW_KEY)), F.lit(HOT_SALTS)).cast("string"))
+    salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(F.col(ROW_KEY)), F.lit(HOT_SALTS)).cast("string")).cast("binary")
     apart = F.col("__hn").isNotNull() | F.col("__k").isNull()
     marked = (
-        df.withColumn("__k", F.md5(text))
+        df.withColumn("__k", key)
         .join(F.broadcast(hot), F.col("__k") == F.col("__hv"), "left")
         .withColumn("__ck", F.when(apart, salt).otherwise(F.col("__k")))
     )
@@ -196,18 +196,12 @@ class OneHot:
         return sum(self.widths)
 
     @staticmethod
-    def fit(profile: DataFrame, columns: Sequence[str]) -> OneHot:
-        """From the category profile; routing bounds the categories of each column."""
-        found = (
-            profile.where(F.col("col").isin(list(columns)))
-            .groupBy("col")
-            .agg(F.array_sort(F.collect_set("value")).alias("values"), F.bool_or(F.col("value").isNull()).alias("null"))
-            .collect()
-        )
-        by_name = {r["col"]: r for r in found}
-        return OneHot(
-            list(columns), [list(by_name[c]["values"]) for c in columns], [by_name[c]["null"] for c in columns]
-        )
+    def fit(rows: DataFrame, columns: Sequence[str]) -> OneHot:
+        """From the training rows; routing bounds the categories of each column."""
+        found: dict[str, set] = {c: set() for c in columns}
+        for r in category_texts(rows, columns).collect():
+            found[r["col"]].add(r["value"])
+        return OneHot(list(columns), [sorted(found[c] - {None}) for c in columns], [None in found[c] for c in columns])
 
     def _index_names(self) -> list[str]:
         return [f"__i{i}" for i in range(len(self.columns))]
@@ -244,19 +238,67 @@ class OneHot:
         assembled = VectorAssembler(inputCols=outputs, outputCol=output).transform(self._encoder.transform(indexed))
         return assembled.drop(*outputs)
 
-def gram_matrix(encoded: DataFrame, block: str) -> np.ndarray:
-    """The category co-occurrence counts: a sum of sparse outer products, reduced in a tree."""
-    return _row_matrix(encoded, block).computeGramianMatrix().toArray()
 
+def co_occurrences(positions: Sequence[Column], width: int, indexed: DataFrame) -> DataFrame:
+    """`i, j, n`: how many rows hold the categories at two positions of the block (i <= j); unseen values hold none.
+
+    The Gram matrix of the block, of which only cells that occur exist; pairs are counted before the shuffle.
+    """
+    places = F.filter(F.array(*positions), lambda p: p < width)
+    after = lambda x, k: F.transform(F.slice(places, k + 1, F.size(places)), lambda y: F.struct(x.alias("i"), y.alias("j")))
+    pairs = indexed.select(F.explode(F.flatten(F.transform(places, after))).alias("p"))
+    return pairs.groupBy("p.i", "p.j").agg(F.count(F.lit(1)).alias("n"))
 
-def _row_matrix(encoded: DataFrame, block: str) -> RowMatrix:
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(encoded.select(block), block))
 
+def fit_svd(
+    indexed: DataFrame, positions: Sequence[Column], width: int, k: int, oversample: int = SVD_OVERSAMPLE, tolerance: float = SVD_TOLERANCE, seed: int = 42
+) -> tuple[np.ndarray, np.ndarray]:
+    """Singular values and vectors of the uncentred one-hot block: `k` clamped to its width, and those of rank only.
+
+    A randomized range finder: a block of k + `oversample` directions is multiplied by the Gram matrix and made orthonormal by
+    a tall-skinny QR again and again, until the sum of the k largest Ritz values stays the same to `tolerance`. The Gram
+    matrix is a table of its non-empty cells, made in one scan of the rows; the driver and each task hold width times
+    block numbers. If the block is as wide as the matrix, one product gives the exact result.
+    """
+    spark, k = indexed.sparkSession, min(k, width)
+    size = min(width, k + oversample)
+    cells = co_occurrences(positions, width, indexed)
+    both = cells.select("i", F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))).alias("c"), "n")
+    # A row of the matrix has at most `width` cells.
+    lines = both.groupBy("c.i").agg(F.collect_list(F.struct("c.j", F.col("n").cast("double").alias("n"))).alias("cells"))
+    lines = materialize(lines.select("i", F.col("cells.j").alias("js"), F.col("cells.n").alias("ns")), "gram")
+
+    def product(block: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [
+                    (np.frombuffer(ns.values.buffers()[1], np.float64)[ns.values.offset :][: len(ns.values)] @ sent.value[js.values.to_numpy()]).tobytes()
+                    for js, ns in zip(batch.column(1), batch.column(2))
+                ]
+                yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["i", "z"])
+
+        out = np.zeros((width, block.shape[1]))
+        for row in lines.mapInArrow(run, "i int, z binary").toLocalIterator():
+            out[row["i"]] = np.frombuffer(bytes(row["z"]))
+        sent.unpersist()
+        return out
 
-def fit_svd(encoded: DataFrame, block: str, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Singular values and vectors of the uncentred one-hot block: `k` clamped to its width, and those of rank only."""
-    svd = _row_matrix(encoded, block).computeSVD(min(k, width), computeU=False, rCond=1e-6)
-    return svd.s.toArray(), fix_signs(svd.V.toArray())
+    block, last = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, size)))[0], -1.0
+    while True:
+        moved = product(block)
+        ritz = block.T @ moved
+        values, turned = np.linalg.eigh((ritz + ritz.T) / 2)
+        total = float(values[::-1][:k].sum())
+        if size == width or abs(total - last) <= tolerance * abs(total):
+            break
+        last, block = total, np.linalg.qr(moved)[0]
+    release(lines)
+    values, vectors = np.sqrt(np.maximum(values[::-1][:k], 0.0)), (block @ turned)[:, ::-1][:, :k]
+    known = values > 1e-6 * values.max(initial=0.0)
+    return values[known], fix_signs(vectors[:, known])
 
 
 def project_one_hot(vectors: np.ndarray, positions: Sequence[Column]) -> Column:
@@ -414,15 +456,14 @@ class Preprocessor:
             sums = _power_sums(profile.where(col("col").isin(frequency))) if frequency else {}
             for name in frequency:
                 stats[name] = _frequency_stats(sums[name], n_train)
-                broadcast[name] = fits_broadcast(routes[name]["n_categories"], sums[name]["n_bytes"])
-                counts[name] = profile.where((col("col") == name) & col("value").isNotNull()).select("value", "n_rows")
+                broadcast[name] = fits_broadcast(routes[name]["n_categories"])
+                counts[name] = profile.where((col("col") == name) & col("hash").isNotNull()).select("hash", "n_rows")
             if normal:
                 total = sum(routes[c]["n_categories"] for c in normal)
                 k = min(self.svd_components, max(2, total - 1))
-                onehot = OneHot.fit(profile, normal)
+                onehot = OneHot.fit(train, normal)
                 if total > k:
-                    encoded = onehot.encode(onehot.index(train), "__block")
-                    singular, vectors = fit_svd(encoded, "__block", onehot.width, k)
+                    singular, vectors = fit_svd(onehot.index(train), onehot.positions(), onehot.width, k)
         widths = [train.select(F.max(F.size(col(a)))).first()[0] for a in self.array_cols]
         labels = None
         if task == CLASSIFICATION:
@@ -436,12 +477,10 @@ class Preprocessor:
 
 
 def _power_sums(profile: DataFrame) -> dict:
-    """Per column the exact sums of n^2 and n^3 over its values' counts n, and the bytes of the values."""
+    """Per column the exact sums of n^2 and n^3 over its values' counts n."""
     n = "CAST(n_rows AS DECIMAL(12,0))"
-    sums = profile.where("value IS NOT NULL").groupBy("col").agg(
-        F.expr(f"sum({n} * {n}) AS s2"),
-        F.expr(f"sum({n} * {n} * {n}) AS s3"),
-        F.expr("sum(octet_length(value) + 16) AS n_bytes"),
+    sums = profile.where("hash IS NOT NULL").groupBy("col").agg(
+        F.expr(f"sum({n} * {n}) AS s2"), F.expr(f"sum({n} * {n} * {n}) AS s3")
     )
     return {r["col"]: r for r in sums.collect()}
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sparring.functions.columns import col, per_column, sql_name, to_number
+from sparring.functions.columns import col, per_column, to_number
+from sparring.functions.keys import value_hash
 from sparring.session import local_frame
 
 # A HyperLogLog sketch of 2^12 registers has a standard error of 1.6 %; it is trusted when it is at
@@ -210,24 +211,34 @@ def class_gaps(summary: DataFrame) -> DataFrame:
 
 
 def category_profile(rows: DataFrame, columns: Sequence[str], target: str | None = None) -> DataFrame:
-    """`col, value, n_rows, one_target` for every value (NULL included) of categorical columns.
+    """`col, hash, n_rows, one_target` for every value (NULL included) of categorical columns.
 
-    Partial aggregation reduces hot values before the shuffle. `one_target` says that all rows
-    with the value share one target value.
+    Values go by 128 bits, however long their texts are; texts are looked up only for the columns that need
+    them. Partial aggregation reduces hot values before the shuffle. `one_target` says that all
+    rows with the value share one target value (NULL counting as one).
     """
-    long = rows.selectExpr(
-        f"{sql_name(target) if target else 'CAST(NULL AS STRING)'} AS `target value`",
-        *[f"CAST({sql_name(c)} AS STRING) AS {sql_name(c)}" for c in columns],
-    ).unpivot("target value", [col(c) for c in columns], "col", "value")
-    return long.groupBy("col", "value").agg(
-        F.expr("count(1) AS n_rows"), F.expr("min(`target value`) = max(`target value`) AS one_target")
+    owner = F.xxhash64(col(target)) if target else F.lit(None).cast("long")
+    hashes = [value_hash(col(c)).alias(f"h{i}") for i, c in enumerate(columns)]
+    long = rows.select(owner.alias("owner"), *hashes).unpivot("owner", [f"h{i}" for i in range(len(columns))], "place", "hash")
+    counted = long.groupBy("place", "hash").agg(
+        F.expr("count(1) AS n_rows"), F.expr("min(owner) = max(owner) AS one_target")
     )
+    names = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (f"h{i}", c)])
+    return counted.select(names[F.col("place")].alias("col"), "hash", "n_rows", "one_target")
+
+
+def category_texts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`col, value`: the distinct values (NULL included) of columns that are known to have few."""
+    texts = [col(c).cast("string").alias(f"v{i}") for i, c in enumerate(columns)]
+    long = rows.select(*texts).unpivot([], [f"v{i}" for i in range(len(columns))], "place", "value").distinct()
+    names = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (f"v{i}", c)])
+    return long.select(names[F.col("place")].alias("col"), "value")
 
 
 def single_target_columns(profile: DataFrame) -> DataFrame:
     """`col, n_categories, n_mixed`: a column leaks when no category is mixed and one exists."""
     return (
-        profile.where("value IS NOT NULL")
+        profile.where("hash IS NOT NULL")
         .groupBy("col")
         .agg(F.expr("count(1) AS n_categories"), F.expr("count_if(NOT one_target) AS n_mixed"))
     )

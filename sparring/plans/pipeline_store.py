@@ -107,7 +107,7 @@ def save_pipeline(spark: SparkSession, pipeline: Pipeline, path: str, settings:
     put(local_frame(spark, _column_rows(p), COLUMNS), "columns")
     put(local_frame(spark, [tuple(r) for r in p.report], FINDINGS), "leak_report")
     for i, name in enumerate(p.frequency):
-        put(p.counts[name].select("value", "n_rows"), f"counts/place={i}")
+        put(p.counts[name].select("hash", "n_rows"), f"counts/place={i}")
     if p.onehot:
         cells = [(i, j, v) for i, values in enumerate(p.onehot.categories) for j, v in enumerate(values)]
         put(local_frame(spark, cells, "place int, slot int, value string"), "categories")

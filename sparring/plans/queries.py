@@ -306,8 +306,7 @@ def frequency_encode_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _part_split(spark, sf_dir)
     train_rows = rows.where(F.col(SPLIT) == TRAIN)
     counts = encode.frequency_counts(train_rows, "p_brand")
-    n_values, n_bytes = counts.agg(F.count("value"), F.sum(F.octet_length("value"))).first()
-    broadcast = encode.fits_broadcast(n_values, n_bytes)
+    broadcast = encode.fits_broadcast(counts.count())
     encoded = encode.frequency_encode(rows, "p_brand", counts, "frequency", train_rows.count(), broadcast)
     return encoded.select("p_partkey", "frequency")
 
@@ -341,7 +340,7 @@ def onehot_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority")
     )
     rows = _orders_split(spark, sf_dir).withColumn("priority", value)
-    onehot = OneHot.fit(profile.category_profile(rows.where(F.col(SPLIT) == TRAIN), ["priority"]), ["priority"])
+    onehot = OneHot.fit(rows.where(F.col(SPLIT) == TRAIN), ["priority"])
     encoded = onehot.encode(onehot.index(rows), "block").withColumn("block", vector_to_array("block"))
     return encoded.select("o_orderkey", *[F.col("block")[i].cast("int").alias(f"c{i}") for i in range(onehot.width)])
 
@@ -355,34 +354,31 @@ def svd_width_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _part_onehot(spark: SparkSession, sf_dir: str) -> tuple[OneHot, DataFrame]:
     rows = table(spark, sf_dir, "part")
-    onehot = OneHot.fit(profile.category_profile(rows, ["p_brand", "p_type"]), ["p_brand", "p_type"])
-    return onehot, onehot.encode(onehot.index(rows), "block")
+    onehot = OneHot.fit(rows, ["p_brand", "p_type"])
+    return onehot, onehot.index(rows)
 
 
 @query
 def svd_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    onehot, encoded = _part_onehot(spark, sf_dir)
+    onehot, indexed = _part_onehot(spark, sf_dir)
     names = [f"{c}={v}" for c, values in zip(onehot.columns, onehot.categories) for v in values]
-    gram = encode.gram_matrix(encoded, "block")
-    cells = [
-        (names[i], names[j], int(gram[i, j]))
-        for i in range(len(names)) for j in range(i, len(names)) if gram[i, j] != 0
-    ]
-    return local_frame(spark, cells, "first string, second string, n long")
+    place = {side: local_frame(spark, list(enumerate(names)), f"{side} int, {name} string") for side, name in (("i", "first"), ("j", "second"))}
+    cells = encode.co_occurrences(onehot.positions(), onehot.width, indexed)
+    return cells.join(place["i"], "i").join(place["j"], "j").select("first", "second", "n")
 
 
 @query
 def svd_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part row projected on all singular vectors that the width rule keeps, which loses nothing of a row."""
-    onehot, encoded = _part_onehot(spark, sf_dir)
+    onehot, indexed = _part_onehot(spark, sf_dir)
     categories = profile.category_profile(table(spark, sf_dir, "part"), ["p_brand", "p_type"])
     # Both columns are in the block, so both count for its width.
-    routed = encode.cardinality_routing(categories, encoded.count(), high_fraction=1.0)
+    routed = encode.cardinality_routing(categories, indexed.count(), high_fraction=1.0)
     k = encode.svd_width(routed).first()["n_components"]
-    singular, vectors = encode.fit_svd(encoded, "block", onehot.width, k)
+    singular, vectors = encode.fit_svd(indexed, onehot.positions(), onehot.width, k)
     length = F.aggregate("c", F.lit(0.0), lambda a, x: a + x * x)
     return rounded(
-        encoded.withColumn("c", encode.project_one_hot(vectors, onehot.positions())).select(
+        indexed.withColumn("c", encode.project_one_hot(vectors, onehot.positions())).select(
             "p_partkey", length.alias("square_length"), F.lit(float((singular**2).sum())).alias("square_sum")
         )
     )

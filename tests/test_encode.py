@@ -58,13 +58,13 @@ def test_whole_preprocessor_against_numpy(spark, table):
 
 def test_onehot_null_and_unseen(spark):
     train = spark.createDataFrame([("b",), ("a",), (None,)], "v string")
-    onehot = OneHot.fit(profile.category_profile(train, ["v"]), ["v"])
+    onehot = OneHot.fit(train, ["v"])
     seen = spark.createDataFrame([("a",), ("b",), (None,), ("new",), ("n",)], "v string")
     rows = onehot.encode(onehot.index(seen), "block").select("v", vector_to_array("block")).collect()
     assert {r[0]: r[1] for r in rows} == {
         "a": [1, 0, 0], "b": [0, 1, 0], None: [0, 0, 1], "new": [0, 0, 0], "n": [0, 0, 0],
     }
-    without = OneHot.fit(profile.category_profile(train.na.drop(), ["v"]), ["v"])
+    without = OneHot.fit(train.na.drop(), ["v"])
     rows = without.encode(without.index(seen), "block").select("v", vector_to_array("block")).collect()
     assert {r[0]: r[1] for r in rows}[None] == [0, 0]
 
@@ -97,6 +97,20 @@ def test_frequency_paths_agree_with_hot_values(spark):
     assert set(frame.where("v is null").select(ROW_KEY).toPandas()[ROW_KEY]) <= {k for k, f in broadcast.items() if f == 0}
 
 
+def test_no_text_is_shuffled_for_the_profile(spark):
+    """Only names of columns, hashes and counts stand in the exchanges; equal texts of two columns stay apart."""
+    rows = spark.range(200).selectExpr("repeat('long text ', 50) || id % 70 AS a", "IF(id % 3 = 0, NULL, 'long text ' || id % 2) AS b", "id % 2 AS y")
+    found = profile.category_profile(rows, ["a", "b"], "y")
+    routing = encode.cardinality_routing(found, 200)
+    assert sorted(tuple(r) for r in routing.collect()) == [("a", 70, 70, "frequency"), ("b", 3, 2, "onehot")]
+    plan = routing._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchanges = [part.split("Input", 1)[1].split("\n")[0] for part in plan.split("\n\n") if ") Exchange" in part]
+    names = {name.split("#")[0].strip() for line in exchanges for name in line.split(": [", 1)[1].split("]")[0].split(",")}
+    assert names <= {"place", "hash", "count", "min", "max", "col", "n_unique", "n_categories"} and len(exchanges) >= 2
+
+
+
+
 def test_scaling_of_constant_and_missing(spark):
     frame = spark.createDataFrame([(1.0, 2.0), (1.0, None), (1.0, 4.0)], "a double, b double")
     stats = {r["col"]: r for r in encode.scale_stats(frame, ["a", "b"]).collect()}
@@ -119,15 +133,32 @@ def test_no_usable_feature(table):
 
 def test_svd_matches_the_distributed_decomposition(spark, table):
     train = table.where("split = 'train'")
-    onehot = OneHot.fit(profile.category_profile(train, ["word", "color"]), ["word", "color"])
+    onehot = OneHot.fit(train, ["word", "color"])
     encoded = onehot.encode(onehot.index(train), "block")
-    values, vectors = encode.fit_svd(encoded, "block", onehot.width, 6)
+    values, vectors = encode.fit_svd(onehot.index(train), onehot.positions(), onehot.width, 6)
     matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(encoded.select("block"), "block"))
     # The remaining values are equal to each other, where the iterative solver is not reliable.
     assert np.allclose(values[:3], matrix.computeSVD(3).s.toArray())
     assert np.allclose(vectors.T @ vectors, np.eye(6), atol=1e-8)
 
 
+def test_svd_of_many_categories(spark):
+    """Of one column the squared singular values are the counts, whatever the width; nothing of the width squared exists."""
+    counts = [20_000 // (r + 1) + 1 for r in range(20_000)]
+    rows = spark.createDataFrame([(f"c{r:05d}", c) for r, c in enumerate(counts)], "word string, c int").selectExpr("word", "explode(sequence(1, c)) AS k")
+    onehot = OneHot.fit(rows, ["word"])
+    values, vectors = encode.fit_svd(onehot.index(rows), onehot.positions(), onehot.width, 20)
+    assert onehot.width == 20_000 and vectors.shape == (20_000, 20)
+    assert np.isclose((values**2).sum(), sum(counts[:20]), rtol=1e-7)
+    assert np.allclose(values**2, counts[:20], rtol=1e-3)
+    assert np.allclose(vectors.T @ vectors, np.eye(20), atol=1e-8)
+    # Two columns: the first direction is shared, and all squares together are two for each row.
+    both = rows.limit(3000).selectExpr("word", "CAST(k % 3 AS STRING) AS third")
+    onehot = OneHot.fit(both, ["word", "third"])
+    values, _ = encode.fit_svd(onehot.index(both), onehot.positions(), onehot.width, onehot.width)
+    assert np.isclose((values**2).sum(), 2 * 3000)
+
+
 def test_labels_follow_numbers_not_text(spark):
     frame = spark.createDataFrame([(10,), (2,), (33,)], "y long")
     classes = encode.class_labels(frame, "y")
