@@ -20,7 +20,19 @@ from sparring.session import local_frame
 SKETCH = "hll_sketch_estimate(hll_sketch_agg(xxhash64({c}), 12))"
 SKETCH_BAND = 0.1
 
-HAS_NULL = "CAST(count_if({c} IS NULL) > 0 AS LONG)"
+
+def distinct_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`col, n_unique`: distinct values of many columns, NULL counting as one, in one aggregation over (column, hash).
+
+    Values go by 128 bits, so that rows are not copied for each column; tasks drop their own repeats before the shuffle.
+    """
+    cells = [
+        F.struct(F.lit(i).alias("place"), F.xxhash64(col(c)).alias("one"), F.xxhash64(F.lit(1), col(c)).alias("two"))
+        for i, c in enumerate(columns)
+    ]
+    distinct = rows.select(F.explode(F.array(*cells)).alias("c")).select("c.*").distinct()
+    names = local_frame(rows.sparkSession, list(enumerate(columns)), "place int, col string")
+    return distinct.groupBy("place").agg(F.count(F.lit(1)).alias("n_unique")).join(F.broadcast(names), "place").select("col", "n_unique")
 
 
 def uniqueness(rows: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
@@ -37,9 +49,10 @@ def uniqueness(rows: DataFrame, columns: Sequence[str], threshold: float) -> Dat
         return r["n_unique"] / max(r["n_rows"], 1) >= low
 
     counted = local_frame(rows.sparkSession, [tuple(r) for r in estimates if not count(r)], sketch.schema)
-    exact = [r["col"] for r in estimates if count(r)]
+    exact = {r["col"]: r["n_rows"] for r in estimates if count(r)}
     if exact:
-        counted = counted.union(per_column(rows, exact, {"n_unique": f"count(DISTINCT {{c}}) + {HAS_NULL}"}))
+        known = local_frame(rows.sparkSession, [(n, c) for c, n in exact.items()], "n_rows long, col string")
+        counted = counted.union(known.join(distinct_counts(rows, list(exact)), "col").select(counted.columns))
     return counted.selectExpr("col", "n_rows", "n_unique", "n_unique / n_rows AS unique_frac")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparring.functions.columns import NUMBER_PATTERN, clean_missing, col, per_column, sql_name, sql_text
 from sparring.sources.csv_records import read_text_columns
@@ -16,6 +17,16 @@ NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+Condition = tuple[str, str, object]
+COMPARISONS = {
+    "=": lambda c, v: c == v,
+    "<": lambda c, v: c < v,
+    "<=": lambda c, v: c <= v,
+    ">": lambda c, v: c > v,
+    ">=": lambda c, v: c >= v,
+    "in": lambda c, v: c.isin(list(v)),
+}
+
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 BOOLEAN_PATTERN = r"^(True|False|TRUE|FALSE|true|false)$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
@@ -62,12 +73,35 @@ def _kind(stat) -> str:
     return "boolean" if complete and n == stat["booleans"] else "string"
 
 
-def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    return clean_missing(spark.read.parquet(path))
+def read_parquet_table(spark: SparkSession, path: str, where: Sequence[Condition] = ()) -> DataFrame:
+    """A Parquet table with one notion of missing, and only the rows that meet all conditions (see `where_all`)."""
+    return where_all(spark.read.parquet(path), where)
+
+
+def read_catalog_table(spark: SparkSession, name: str, where: Sequence[Condition] = ()) -> DataFrame:
+    return where_all(spark.table(name), where)
 
 
-def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    return clean_missing(spark.table(name))
+def where_all(raw: DataFrame, where: Sequence[Condition]) -> DataFrame:
+    """`raw` with NaN as NULL, and the rows for which each (column, operator, value) holds.
+
+    Operators are =, <, <=, >, >= and `in`; missing values meet none. A comparison of a cleaned column could not reach the
+    file reader, so it is also made on the raw one, where it keeps the same rows and, for > and >=, those of NaN, which
+    go afterwards: `x > 10` becomes x > 10 in the reader and x > 10 AND NOT isnan(x) above it. Decimals, which are
+    cleaned to doubles, are compared afterwards only.
+    """
+    unknown = [w for w in where if w[1] not in COMPARISONS]
+    if unknown:
+        raise ValueError(f"unknown conditions {unknown}; operators are {sorted(COMPARISONS)}")
+    kinds = {f.name: f.dataType for f in raw.schema}
+    for name, operator, value in where:
+        if not isinstance(kinds[name], T.DecimalType):
+            raw = raw.where(COMPARISONS[operator](col(name), value))
+    table = clean_missing(raw)
+    for name, operator, value in where:
+        if isinstance(kinds[name], (T.DecimalType, T.DoubleType, T.FloatType)):
+            table = table.where(COMPARISONS[operator](col(name), value))
+    return table
 
 
 def preview(df: DataFrame, rows: int = 50, order_by: Sequence[str] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from sparring.operators import profile
 from sparring.operators.leak import LeakThresholds, leak_report
 
 
@@ -104,3 +105,10 @@ def test_first_rule_wins_and_names_are_sorted(spark):
     frame = spark.createDataFrame(rows, "y string, z string, `a.b c` string")
     found = leak_report(frame, "y", "classification").collect()
     assert [(r["col"], r["rule"]) for r in found] == [("a.b c", "cat_value_maps_to_single_target"), ("z", "id_like")]
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    rows = spark.range(1000).selectExpr("id AS a", "IF(id % 10 = 0, NULL, id % 7) AS b", "CAST(id % 3 AS STRING) AS c", "IF(id % 2 = 0, 0.0D, -0.0D) AS d", "NULL AS e")
+    counts = profile.distinct_counts(rows, rows.columns)
+    assert {r["col"]: r["n_unique"] for r in counts.collect()} == {"a": 1000, "b": 8, "c": 3, "d": 1, "e": 1}
+    assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()

@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from sparring.functions.columns import to_number
 from sparring.sources import csv_records
 from sparring.sources.exports import save_ensemble, saved_size
-from sparring.sources.tables import preview, read_csv_table
+from sparring.sources.tables import preview, read_csv_table, read_parquet_table
 
 CSV = '''id,share,flag,gap,word,day,huge,gap flag,"a.b",empty
 1,.5,True,3,x,2024-01-01,99999999999999999999,True,inf,
@@ -115,3 +116,21 @@ def test_states_compose_over_splits(spark):
 
 def test_names_of_columns():
     assert csv_records.column_names('a,"b, ""c""",,A', ",", '"') == ["a0", 'b, "c"', "_c2", "A3"]
+
+
+def test_conditions_reach_the_reader_and_leave_nan_out(spark, tmp_path):
+    path, nan = str(tmp_path / "t"), float("nan")
+    rows = [(1, 5.0, 1.5, "a", Decimal("1.10")), (2, 20.0, nan, "b", Decimal("2.20")), (3, nan, 2.5, "a", None), (4, None, None, None, Decimal("3.30"))]
+    spark.createDataFrame(rows, "k long, x double, y float, s string, d decimal(10,2)").write.parquet(path)
+
+    def keys(*where):
+        return sorted(r["k"] for r in read_parquet_table(spark, path, where).collect())
+
+    assert keys(("x", ">", 10)) == [2] and keys(("x", ">=", 5.0), ("s", "=", "a")) == [1]
+    assert keys(("y", "<", 2)) == [1] and keys(("y", ">=", 2.0)) == [3] and keys(("d", ">", 1.2)) == [2, 4]
+    assert keys(("x", "in", [5.0, 20.0])) == [1, 2] and keys(("x", "=", nan)) == [] and keys() == [1, 2, 3, 4]
+    plan = read_parquet_table(spark, path, [("x", ">", 10), ("s", "in", ["a", "b"])])._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [", 1)[1].split("ReadSchema")[0]
+    assert "GreaterThan(x,10.0)" in pushed and "In(s, [a,b])" in pushed
+    with pytest.raises(ValueError, match="operators"):
+        keys(("x", "like", "a"))
