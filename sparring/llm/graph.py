@@ -25,7 +25,9 @@ def components(links: DataFrame) -> DataFrame:
         points = materialize(points, "points")
         while True:
             ahead = points.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            further = materialize(points.join(ahead, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")), "points")
+            once = points.join(ahead, "to").select("node", F.col("next").alias("to"))
+            further = once.join(ahead, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved"))
+            further = materialize(further, "points")
             release(points)
             points = further
             if further.where("moved").isEmpty():

@@ -375,6 +375,14 @@ def further_pairs(open_rows: DataFrame, low: int, high: int, forest: bool) -> Da
     return ordered.select("block", "node", "n", "component", "short").mapInArrow(run, "block long, a long, b long")
 
 
+def unlike_groups(groups: DataFrame) -> DataFrame:
+    """(block, node, n) of the groups, hubs aside: of groups of the same nodes (by two sums of hashes) one stays."""
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"mark{seed}") for seed in range(2)]
+    each = groups.groupBy("block").agg(F.count("*").alias("size"), *marks).where("size > 1")
+    kept = each.groupBy("size", "mark0", "mark1").agg(F.min("block").alias("block")).select("block")
+    return groups.join(kept, "block", "left_semi").select("block", "node", "n")
+
+
 def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (node, component) after links (a, b) between components, or nodes that have no label yet."""
     merged = components(links)
@@ -412,22 +420,25 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
     links = checked(near)
     labels = components(links)
     release(links)
+    # From here on only groups of unlike nodes: each pair of a group was compared if any group of the same nodes was.
+    unlike = materialize(unlike_groups(groups), "unlike-groups")
+    release(groups)
     low, high = 0, LAG
 
-    def open_rows(blocks: DataFrame | None = None) -> DataFrame:
-        """The rows of groups (of `blocks`) that hold several components and have pairs more than `low` places apart."""
-        some = groups.join(blocks, "block", "left_semi") if blocks else groups
-        marked = labelled(labelled(some, labels, "node", "component"), labels, "hub", "hub_component")
-        # Nodes were compared with the hub of their group; what is left are groups with several components besides.
+    def open_groups(some: DataFrame) -> DataFrame:
+        """(block, node, n, component) of groups that hold several components and have pairs more than `low` places apart."""
+        marked = labelled(some.select("block", "node", "n"), labels, "node", "component")
         spread = marked.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
         spread = spread.where((F.col("low") != F.col("high")) & (F.col("size") > low + 1)).select("block")
-        rows = marked.join(spread, "block").join(sketches.select("node", "short"), "node")
-        return materialize(rows.select("block", "node", "n", "component", "short"), "open-groups")
+        return materialize(marked.join(spread, "block", "left_semi"), "open-groups")
+
+    def with_sketches(some: DataFrame) -> DataFrame:
+        return some.join(sketches.select("node", "short"), "node").select("block", "node", "n", "component", "short")
 
     def tried(near: DataFrame) -> DataFrame:
         """The blocks of pairs (block, a, b) that are no links; the others join their labels."""
         nonlocal labels
-        links = checked(near.select("a", "b").distinct())
+        links = checked(materialize(near.select("a", "b").distinct(), "tried-pairs"))
         failed = materialize(near.join(links, ["a", "b"], "left_anti").select("block").distinct(), "disputed")
         more = labelled(labelled(links, labels, "a", "to_a"), labels, "b", "to_b")
         more = materialize(more.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
@@ -437,16 +448,17 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
         return failed
 
     while True:
-        rows = open_rows()
-        if rows.isEmpty():
-            release(rows, groups, holders, sketches)
+        left = open_groups(unlike)
+        release(unlike)
+        unlike = left
+        if unlike.isEmpty():
+            release(unlike, holders, sketches)
             return labels
         # First as few pairs as connect what may be linked. Where one of them is no link, all pairs between components.
-        disputed = tried(materialize(further_pairs(rows, low, high, True), "near-pairs"))
-        release(rows)
+        disputed = tried(materialize(further_pairs(with_sketches(unlike), low, high, True), "near-pairs"))
         if not disputed.isEmpty():
-            rows = open_rows(disputed)
-            release(tried(materialize(further_pairs(rows, low, high, False), "near-pairs")), rows)
+            again = open_groups(unlike.join(disputed, "block", "left_semi"))
+            release(tried(materialize(further_pairs(with_sketches(again), low, high, False), "near-pairs")), again)
         release(disputed)
         low, high = high, 4 * high
 
