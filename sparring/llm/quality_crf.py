@@ -2,7 +2,7 @@
 
 Each line of a text is good or bad. A line's features describe it and its neighbours; two transition weights tie
 adjacent labels. The field is trained on a bounded sample of labelled documents, whose lines all carry the document's
-label. A document's quality is the mean of its lines' forward-backward marginals weighted by length, mapped to a
+label; executors sum the gradients, so the lines of the sample may be any number. A document's quality is the mean of its lines' forward-backward marginals weighted by length, mapped to a
 probability by logistic regression on the same sample.
 
 Null and empty texts have one empty line. Very long texts are read whole; nothing is shared between rows, so repeated
@@ -22,9 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparring.llm.common import fold, labelled_ids, slices
+from sparring.session import materialize, release
 
 #: Labelled documents of each class that are learned from, at most; a parameter of `fit`.
 SAMPLE_PER_CLASS = 1500
+#: Parts in which the sample is kept, and lines of it that a task works on at once (a longer document is a run of its own).
+SAMPLE_PARTS, BLOCK_LINES = 8, 16_384
 OWN = 16
 FEATURES = 3 * OWN + 4
 
@@ -77,80 +80,128 @@ def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return x, np.array([max(1.0, len(line)) for line in lines])
 
 
+def scanned(steps: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each place the product of the 2x2 matrices (logarithms, [places, 2, 2]) from the last end on, in log space.
+
+    A prefix scan by doubling: each round joins a place's product with the one before it, until it reaches an end.
+    """
+    out, whole, reach = steps.copy(), ends.copy(), 1
+    while not whole.all():
+        at = np.flatnonzero(~whole)
+        before = at - reach
+        left, right = out[before], out[at]
+        joined = np.logaddexp(left[:, :, :1] + right[:, :1, :], left[:, :, 1:] + right[:, 1:, :])
+        done = whole[before]
+        out[at], whole[at] = joined, done
+        reach *= 2
+    return out
+
+
 def marginals(unary: np.ndarray, lengths: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Forward-backward over padded chains: P(good) of each line, expected pair counts, summed log-likelihood term log Z.
+    """Forward-backward over chains that follow each other: P(good) of each line, expected pair counts, summed log Z.
 
-    `unary` [chains, lines] scores label good against bad; `transition` [2, 2] scores adjacent labels (bad 0, good 1).
+    `unary` scores label good against bad for every line; `transition` [2, 2] scores adjacent labels (bad 0, good 1). Takes
+    rounds with the logarithm of the longest chain, and memory with the lines.
     """
-    chains, longest = unary.shape
-    score = np.stack([np.zeros_like(unary), unary], 2)
-    alpha, beta = np.zeros((longest, chains, 2)), np.zeros((longest, chains, 2))
-    alpha[0] = score[:, 0]
-    for t in range(1, longest):
-        alpha[t] = np.logaddexp(alpha[t - 1, :, :1] + transition[0], alpha[t - 1, :, 1:] + transition[1]) + score[:, t]
-    for t in range(longest - 2, -1, -1):
-        ahead = score[:, t + 1] + beta[t + 1]
-        step = np.logaddexp(transition[:, 0] + ahead[:, :1], transition[:, 1] + ahead[:, 1:])
-        beta[t] = np.where((t + 1 < lengths)[:, None], step, 0)
-    last = alpha[lengths - 1, np.arange(chains)]
-    log_z = np.logaddexp(last[:, 0], last[:, 1])
-    good = np.exp(alpha[:, :, 1] + beta[:, :, 1] - log_z).T
-    pairs = np.zeros((2, 2))
-    inside = np.arange(1, longest)[:, None] < lengths
-    for a in range(2):
-        for b in range(2):
-            joint = alpha[:-1, :, a] + transition[a, b] + score[:, 1:, b].T + beta[1:, :, b] - log_z
-            pairs[a, b] = np.exp(joint[inside]).sum() if longest > 1 else 0
-    return good, pairs, float(log_z.sum())
-
-
-def chain_marginals(x: np.ndarray, model: dict) -> np.ndarray:
-    """P(good) of each line of one document, in log-odds form; linear in the number of lines."""
-    unary = (x @ model["weights"]).tolist()
-    t = model["transition"].tolist()
     n = len(unary)
+    last = np.cumsum(lengths) - 1
+    first = last - lengths + 1
+    starts, ends = np.zeros(n, bool), np.zeros(n, bool)
+    starts[first], ends[last] = True, True
+    score = np.stack([np.zeros(n), unary], 1)
+    steps = np.where(starts[:, None, None], 0.0, transition) + score[:, None, :]
+    alpha = scanned(steps, starts)[:, 0, :]
+    # From the end: the step from each line to the next, transposed so that products run the same way.
+    back = np.zeros((n, 2, 2))
+    back[:-1] = (transition + score[1:, None, :]).transpose(0, 2, 1)
+    # The end of a chain passes on what it gets.
+    back[last] = np.where(np.eye(2, dtype=bool), 0.0, -np.inf)
+    products = scanned(back[::-1], ends[::-1])[::-1]
+    beta = np.logaddexp(products[:, 0, :], products[:, 1, :])
+    both = alpha + beta
+    log_z = np.logaddexp(both[:, 0], both[:, 1])
+    good = np.exp(both[:, 1] - log_z)
+    inner = np.flatnonzero(~starts)
+    joint = alpha[inner - 1][:, :, None] + transition + (score[inner] + beta[inner])[:, None, :] - log_z[inner][:, None, None]
+    return good, np.exp(joint).sum(0), float(log_z[last].sum())
+
+
+def evaluated(x: np.ndarray, lengths: np.ndarray, labels: np.ndarray, weights: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """Gradient of the log-likelihood by weights and transition, the log-likelihood and the lines, of chains of one label each."""
+    unary = x @ weights
+    good, pairs, log_z = marginals(unary, lengths, transition)
+    y = np.repeat(labels, lengths)
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (labels, labels), lengths - 1)
+    value = float((y * unary).sum() + (seen * transition).sum() - log_z)
+    return np.concatenate([(y - good) @ x, (seen - pairs).ravel(), [value, len(unary)]])
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(features, lengths, labels, line weights) of runs of sampled documents, of about BLOCK_LINES lines."""
+    for batch in batches:
+        held, size = [], 0
+        for label, x, weight in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            held.append((label, np.frombuffer(x, np.float32).reshape(-1, FEATURES), np.frombuffer(weight, np.float32)))
+            size += len(held[-1][1])
+            if size >= BLOCK_LINES:
+                yield together(held)
+                held, size = [], 0
+        if held:
+            yield together(held)
+
+
+def together(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    labels, xs, weights = zip(*held)
+    return np.concatenate(xs).astype(float), np.array([len(x) for x in xs]), np.array(labels), np.concatenate(weights).astype(float)
+
+
+def train_field(sample: DataFrame, rounds: int = 40, penalty: float = 1e-2, tolerance: float = 1e-6) -> dict:
+    """Weights that maximise the penalised likelihood of the lines of `sample` (label, x, weight).
+
+    Each step is one job: tasks sum the gradient over their own chains, the driver gets FEATURES + 6 numbers from
+    each and makes a quasi-Newton step (L-BFGS), halved until the likelihood grows.
+    """
 
-    def passed(odds: float, a: float, b: float, c: float, d: float) -> float:
-        """Log-odds of a label given the log-odds of its neighbour: log (e^c + e^(d+odds)) - log (e^a + e^(b+odds))."""
-        return float(np.logaddexp(c, d + odds) - np.logaddexp(a, b + odds))
-
-    forward, backward = [0.0] * n, [0.0] * n
-    for k in range(1, n):
-        forward[k] = passed(forward[k - 1] + unary[k - 1], t[0][0], t[1][0], t[0][1], t[1][1])
-    for k in range(n - 2, -1, -1):
-        backward[k] = passed(backward[k + 1] + unary[k + 1], t[0][0], t[0][1], t[1][0], t[1][1])
-    odds = np.array(forward) + np.array(unary) + np.array(backward)
-    return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-
-
-def train_field(xs: list[np.ndarray], labels: np.ndarray, rounds: int = 150, penalty: float = 1e-2) -> dict:
-    """Weights that maximise the penalised likelihood, classes weighted alike, by gradient steps with adaptive scale."""
-    order = np.argsort([len(x) for x in xs], kind="stable")
-    groups = [order[s : s + 256] for s in range(0, len(order), 256)]
-    lines = sum(map(len, xs))
-    weights, transition = np.zeros(FEATURES), np.zeros((2, 2))
-    mean, square = np.zeros(FEATURES + 4), np.zeros(FEATURES + 4)
-    padded = []
-    for g in groups:
-        lengths = np.array([len(xs[k]) for k in g])
-        block = np.zeros((len(g), lengths.max(), FEATURES))
-        for row, k in enumerate(g):
-            block[row, : lengths[row]] = xs[k]
-        padded.append((block, lengths, labels[g]))
-    for step in range(1, rounds + 1):
-        gradient, pair_gradient = np.zeros(FEATURES), np.zeros((2, 2))
-        for block, lengths, y in padded:
-            inside = np.arange(block.shape[1]) < lengths[:, None]
-            good, pairs, _ = marginals(block @ weights, lengths, transition)
-            gradient += np.einsum("ij,ijk->k", np.where(inside, y[:, None] - good, 0), block)
-            seen = np.zeros((2, 2))
-            np.add.at(seen, (y.astype(int), y.astype(int)), lengths - 1)
-            pair_gradient += seen - pairs
-        g = np.concatenate([gradient, pair_gradient.ravel()]) / lines - penalty * np.concatenate([weights, transition.ravel()]) / 10
-        mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
-        move = 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
-        weights, transition = weights + move[:FEATURES], transition + move[FEATURES:].reshape(2, 2)
-    return {"weights": weights, "transition": transition}
+    def objective(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        weights, transition = theta[:FEATURES], theta[FEATURES:].reshape(2, 2)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(FEATURES + 6)
+            for x, lengths, labels, _ in blocks(batches):
+                total += evaluated(x, lengths, labels, weights, transition)
+            yield pa.record_batch([pa.array([total.tolist()], pa.list_(pa.float64()))], ["total"])
+
+        total = np.sum([r["total"] for r in sample.mapInArrow(run, "total array<double>").collect()], 0)
+        return -total[-2] / total[-1] + penalty / 20 * theta @ theta, -total[:-2] / total[-1] + penalty / 10 * theta
+
+    theta = np.zeros(FEATURES + 4)
+    value, gradient = objective(theta)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        step, factors = gradient.copy(), []
+        for s, y in reversed(past):
+            factors.append((s @ step) / (s @ y))
+            step -= factors[-1] * y
+        if past:
+            s, y = past[-1]
+            step *= (s @ y) / (y @ y)
+        for (s, y), factor in zip(past, reversed(factors)):
+            step += s * (factor - (y @ step) / (s @ y))
+        size = 1.0 if past else min(1.0, 1.0 / np.abs(gradient).sum())
+        while True:
+            new = theta - size * step
+            new_value, new_gradient = objective(new)
+            if new_value <= value - 1e-4 * size * (gradient @ step) or size < 1e-6:
+                break
+            size /= 2
+        moved, turned = new - theta, new_gradient - gradient
+        if moved @ turned > 1e-12:
+            past = [*past[-9:], (moved, turned)]
+        gained, theta, value, gradient = value - new_value, new, new_value, new_gradient
+        if gained <= tolerance * abs(value):
+            break
+    return {"weights": theta[:FEATURES], "transition": theta[FEATURES:].reshape(2, 2)}
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
@@ -163,36 +214,45 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
     return w
 
 
-def document_value(text: str | None, model: dict) -> float:
-    x, weight = document_features(text)
-    return float((chain_marginals(x, model) * weight).sum() / weight.sum())
+def document_values(x: np.ndarray, lengths: np.ndarray, weight: np.ndarray, model: dict) -> np.ndarray:
+    """The length-weighted mean of each document's line marginals."""
+    good = marginals(x @ model["weights"], lengths, model["transition"])[0]
+    first = np.cumsum(lengths) - lengths
+    return np.add.reduceat(good * weight, first) / np.add.reduceat(weight, first)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = SAMPLE_PER_CLASS) -> dict | None:
-    """The model, learned from at most `per_class` labelled documents of each class; None without both classes."""
+    """The model, learned from at most `per_class` labelled documents of each class; None without both classes.
+
+    The features of their lines, however many, are written to the staging folder and stay on the executors.
+    """
     ids = labelled_ids(labels, "quality", learn, per_class)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
-            parts = [document_features(t) for t in batch.column(2).to_pylist()]
+        for batch in slices(batches, 1):
+            parts = [document_features(t) for t in batch.column(1).to_pylist()]
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), *(pa.array([p[k].astype(np.float32).tobytes() for p in parts], pa.binary()) for k in (0, 1))],
-                ["doc_id", "label", "x", "weight"],
+                [batch.column(0), *(pa.array([p[k].astype(np.float32).tobytes() for p in parts], pa.binary()) for k in (0, 1))],
+                ["label", "x", "weight"],
             )
 
-    sample = chosen.mapInArrow(rows, "doc_id long, label int, x binary, weight binary").collect()
-    sample = sorted(sample, key=lambda r: (r["doc_id"], bytes(r["x"])))
-    y = np.array([r["label"] for r in sample])
-    if len(set(y.tolist())) < 2:
+    sample = chosen.mapInArrow(rows, "label int, x binary, weight binary")
+    # In an order of their own, so that sums do not depend on files or cores.
+    sample = materialize(sample.repartition(SAMPLE_PARTS).sortWithinPartitions(F.xxhash64("x"), "label"), "quality-sample")
+    if sample.select("label").distinct().count() < 2:
+        release(sample)
         return None
-    xs = [np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, FEATURES).astype(float) for r in sample]
-    model = train_field(xs, y)
-    values = []
-    for x, r in zip(xs, sample):
-        weight = np.frombuffer(bytes(r["weight"]), np.float32)
-        values.append(float((chain_marginals(x, model) * weight).sum() / weight.sum()))
-    return model | {"scale": logistic(np.array(values), y)}
+    model = train_field(sample)
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, lengths, labels, weight in blocks(batches):
+            yield pa.record_batch([pa.array(labels, pa.int32()), pa.array(document_values(x, lengths, weight, model))], ["label", "value"])
+
+    # One number for each document of the sample.
+    found = sample.mapInArrow(values, "label int, value double").orderBy("value", "label").collect()
+    release(sample)
+    return model | {"scale": logistic(np.array([r["value"] for r in found]), np.array([r["label"] for r in found]))}
 
 
 def score_quality(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
@@ -202,9 +262,10 @@ def score_quality(docs: DataFrame, model: dict | None, text_col: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at):
-            score = [0.5] * batch.num_rows
+            score = np.full(batch.num_rows, 0.5)
             if model:
-                values = np.array([document_value(t, model) for t in batch.column(at).to_pylist()])
+                xs, weights = zip(*map(document_features, batch.column(at).to_pylist()))
+                values = document_values(np.concatenate(xs), np.array([len(x) for x in xs]), np.concatenate(weights), model)
                 score = 1 / (1 + np.exp(-np.clip(values * model["scale"][0] + model["scale"][1], -40, 40)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, "score"])
 

@@ -125,9 +125,57 @@ def test_chain_marginals_match_enumeration():
         p = np.exp(sum(unary[k] * y[k] for k in range(6)) + sum(t[y[k], y[k + 1]] for k in range(5)))
         total += p
         good += p * np.array(y)
-    assert np.allclose(quality_crf.chain_marginals(x, model), good / total)
-    padded, pairs, log_z = quality_crf.marginals(unary[None], np.array([6]), t)
-    assert np.allclose(padded[0], good / total) and np.isclose(log_z, np.log(total)) and np.isclose(pairs.sum(), 5)
+    found, pairs, log_z = quality_crf.marginals(unary, np.array([6]), t)
+    assert np.allclose(found, good / total) and np.isclose(log_z, np.log(total)) and np.isclose(pairs.sum(), 5)
+    # Chains that follow each other don't touch.
+    more = np.concatenate([rng.normal(size=3), unary, rng.normal(size=1), unary])
+    several, pairs, _ = quality_crf.marginals(more, np.array([3, 6, 1, 6]), t)
+    assert np.allclose(several[3:9], good / total) and np.allclose(several[10:], good / total) and np.isclose(pairs.sum(), 12)
+    value = quality_crf.document_values(x, np.array([6]), np.arange(1.0, 7.0), model)
+    assert np.isclose(value[0], (good / total * np.arange(1, 7)).sum() / 21)
+
+
+def test_gradient_matches_differences():
+    rng = np.random.default_rng(2)
+    x, lengths, labels = rng.normal(size=(9, quality_crf.FEATURES)), np.array([4, 1, 4]), np.array([1, 0, 0])
+    theta = rng.normal(size=quality_crf.FEATURES + 4) / 3
+
+    def value(t):
+        return quality_crf.evaluated(x, lengths, labels, t[: quality_crf.FEATURES], t[quality_crf.FEATURES :].reshape(2, 2))
+
+    step = 1e-6 * np.eye(len(theta))
+    slopes = [(value(theta + d)[-2] - value(theta - d)[-2]) / 2e-6 for d in step]
+    assert np.allclose(value(theta)[:-2], slopes, atol=1e-6) and value(theta)[-1] == 9
+
+
+def test_a_very_long_document_in_the_sample(spark, corpus):
+    """Its 100,000 lines are learned from without padding, and the fit is that of plain gradient ascent."""
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    rows = [(k, "\n".join(["A good plain sentence stands here."] * (k % 5 + 1)) if k % 2 else "||| ### 1 2 3\nBUY buy BUY") for k in range(60)]
+    rows[1] = (1, "\n".join(f"Another good sentence number {k % 50} stands here." for k in range(100_000)))
+    learn = F.col("doc_id") % 4 != 2
+    model = quality_crf.fit(corpus(rows), labels, learn)
+    found = {r["doc_id"]: r["score"] for r in quality_crf.score_quality(corpus(rows), model).collect()}
+    assert found[1] > 0.5 and all(0 <= v <= 1 for v in found.values())
+
+    small = [r for r in rows if r[0] != 1]
+    model = quality_crf.fit(corpus(small), labels, learn)
+    parts = [(quality_crf.document_features(t), k % 2) for k, t in small if k % 4 != 2]
+    x, lengths = np.concatenate([p[0] for p, _ in parts]), np.array([len(p[0]) for p, _ in parts])
+    y = np.array([label for _, label in parts])
+    theta = np.zeros(quality_crf.FEATURES + 4)
+    for _ in range(3000):
+        g = quality_crf.evaluated(x, lengths, y, theta[: quality_crf.FEATURES], theta[quality_crf.FEATURES :].reshape(2, 2))
+        theta += 0.3 * (g[:-2] / g[-1] - 1e-3 * theta)
+    ours = np.concatenate([model["weights"], model["transition"].ravel()])
+    found = {r["doc_id"]: r["score"] for r in quality_crf.score_quality(corpus(small), model).collect()}
+    assert all((found[k] > 0.5) == bool(k % 2) for k in found)
+
+    def worth(t):
+        g = quality_crf.evaluated(x, lengths, y, t[: quality_crf.FEATURES], t[quality_crf.FEATURES :].reshape(2, 2))
+        return g[-2] / g[-1] - 1e-2 / 20 * t @ t
+
+    assert worth(ours) > worth(theta) - 1e-4
 
 
 def test_string_kernel_matches_plain_sum():
