@@ -9,9 +9,12 @@ A text (whole texts are read) is judged by its two most toxic strings. Training
 sample of labelled documents: strings whose distinct contexts lie almost only in toxic documents are the positive
 examples and give the landmarks, with copies of them that have characters put in; strings of clean documents are the
 negative ones, with the worst of them added in a second round. The support vector machine (squared hinge loss) over Nyström features folds into one weight for each
-hashed subsequence, so that a string is scored with one lookup for each of its subsequences.
+hashed subsequence, so that a string is scored with one lookup for each of its subsequences. Strings are words; where no
+word passes the rule (toxic texts made of ordinary words) they are runs of two words, then of three, and where no run
+passes either, the words that speak most for toxic documents are the positive examples.
 
-Null and empty texts hold no string and get the lowest score. Without labels of both classes every score is 0.
+Null and empty texts hold no string and get the lowest score. Without labels of both classes, or if the learned texts of
+one class hold no string at all, every score is 0.
 Repeated rows and ids get repeated results, an empty table an empty one. Null labels don't count; of several labels of
 one id the largest counts. Columns of the input pass through; one named like an output column is replaced.
 """
@@ -35,12 +38,21 @@ SPAN, DECAY, BITS = 6, 0.75, 18
 SAMPLE_PER_CLASS, POSITIVES, NEGATIVES, LANDMARKS = 4000, 1500, 20_000, 256
 #: A string is a positive example if so many distinct contexts of it are toxic, at this log-likelihood ratio or more.
 LEAST_CONTEXTS, LEAST_RATIO = 3, 20.0
+#: Strings that are learned from where none passes that rule.
+LIKELIEST = 50
 AROUND = "!?.,;:'\"()[]{}<>|#&%$*"
 OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
-def strings(text: str | None) -> list[str]:
-    """Lower-cased words; neighbouring words of one character are put together."""
+def strings(text: str | None, run: int = 1) -> list[str]:
+    """Lower-cased words, neighbouring words of one character put together; or runs of `run` such words."""
+    words = single_strings(text)
+    if run == 1 or not words:
+        return words
+    return [" ".join(words[k : k + run]) for k in range(max(1, len(words) - run + 1))]
+
+
+def single_strings(text: str | None) -> list[str]:
     words = [w.strip(AROUND) or w for w in text.lower().split()] if text else []
     if not any(len(w) == 1 for w in words):
         return words
@@ -126,18 +138,17 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int =
     return w
 
 
-def context_counts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(word, toxic, clean): in how many distinct contexts (words before and after) it stands in documents of each label."""
+def context_counts(docs: DataFrame, ids: DataFrame, run_words: int) -> DataFrame:
+    """(word, toxic, clean): in how many distinct contexts (words before and after) a string stands in documents of each label."""
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             word, context, label = [], [], []
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = strings(text)
-                around = ["", *words, ""]
+                words, around = strings(text, run_words), ["", *strings(text), ""]
                 word += words
-                context += [xxhash.xxh3_64_intdigest(f"{a} {b}") for a, b in zip(around, around[2:])]
+                context += [xxhash.xxh3_64_intdigest(f"{around[k]} {around[min(k + run_words + 1, len(around) - 1)]}") for k in range(len(words))]
                 label += [y] * len(words)
             frame = pa.table([word, pa.array(context, pa.uint64()).view(pa.int64()), pa.array(label, pa.int32())], ["word", "context", "label"])
             yield from frame.group_by(["word", "context", "label"]).aggregate([]).select(["word", "context", "label"]).to_batches()
@@ -153,31 +164,44 @@ def likelihood_ratio(toxic: Column, clean: Column, share: float) -> Column:
     return 2 * (part(toxic, n * share) + part(clean, n * (1 - share)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = SAMPLE_PER_CLASS, landmarks: int = LANDMARKS) -> dict | None:
-    """The model, from at most `per_class` labelled documents of each class; None without both classes."""
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    per_class: int = SAMPLE_PER_CLASS,
+    landmarks: int = LANDMARKS,
+    positives: int = POSITIVES,
+    negatives: int = NEGATIVES,
+) -> dict | None:
+    """The model, from at most `per_class` labelled documents of each class; None without strings of both classes.
+
+    At most `positives` strings are positive examples, and about `negatives` are negative ones.
+    """
     sample = labelled_ids(labels, "toxic", learn, per_class)
     ids = {r["doc_id"]: r["label"] for r in sample.collect()}
     if len(set(ids.values())) < 2:
         return None
     spark = docs.sparkSession
     sample = spark.createDataFrame(list(ids.items()), "doc_id long, label int")
-    counts = context_counts(docs, sample).persist()
-    total = counts.agg(F.sum("toxic"), F.sum("clean")).first()
-    if not total[0] or not total[1]:
+    for run_words in (1, 2, 3, 1):
+        counts = context_counts(docs, sample, run_words).persist()
+        total = counts.agg(F.sum("toxic"), F.sum("clean")).first()
+        if not total[0] or not total[1]:
+            counts.unpersist()
+            return None
+        share = total[0] / (total[0] + total[1])
+        ratio = likelihood_ratio(F.col("toxic"), F.col("clean"), share)
+        ranked = counts.where(F.col("toxic") > F.col("clean") * share / (1 - share)).withColumn("ratio", ratio).orderBy(F.desc("ratio"), "word")
+        surely = (F.col("toxic") >= LEAST_CONTEXTS) & (F.col("toxic") > 19 * F.col("clean") * share / (1 - share)) & (F.col("ratio") >= LEAST_RATIO)
+        toxic = ranked.where(surely).limit(positives).collect()
+        if toxic:
+            break
         counts.unpersist()
-        return None
-    share = total[0] / (total[0] + total[1])
-    ratio = likelihood_ratio(F.col("toxic"), F.col("clean"), share)
-    toxic = (
-        counts.where((F.col("toxic") >= LEAST_CONTEXTS) & (F.col("toxic") > 19 * F.col("clean") * share / (1 - share)))
-        .withColumn("ratio", ratio)
-        .where(F.col("ratio") >= LEAST_RATIO)
-        .orderBy(F.desc("ratio"), "word")
-        .limit(POSITIVES)
-        .collect()
-    )
-    clean = counts.where("clean > 0").orderBy(F.xxhash64("word"), "word").limit(NEGATIVES).collect()
-    often = counts.where("clean > 0").orderBy(F.desc("clean"), "word").limit(NEGATIVES // 10).collect()
+    else:
+        counts.persist()
+        toxic = ranked.limit(LIKELIEST).collect()
+    clean = counts.where("clean > 0").orderBy(F.xxhash64("word"), "word").limit(negatives).collect()
+    often = counts.where("clean > 0").orderBy(F.desc("clean"), "word").limit(negatives // 10).collect()
     if not toxic or not clean:
         counts.unpersist()
         return None
@@ -203,12 +227,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = SAMP
         weights = np.append(basis @ w[:-1], 0.0)[index]
         if last:
             break
-        hard = worst_strings(counts.where("clean > 0").select("word"), weights, NEGATIVES // 4)
+        hard = worst_strings(counts.where("clean > 0").select("word"), weights, negatives // 4)
         extra = sorted(set(hard) - set(negative) - set(positive))
         if extra:
             x_clean = np.vstack([x_clean, features(extra)])
     counts.unpersist()
-    model = {"weights": weights, "offset": float(w[-1]), "scale": np.array([1.0, 1.0, 0.0])}
+    model = {"weights": weights, "offset": float(w[-1]), "run": run_words, "scale": np.array([1.0, 1.0, 0.0])}
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = SAMP
 
 def top_scores(texts: list[str | None], model: dict) -> np.ndarray:
     """The two highest values of strings in each text, cut to -1.5..3; the lowest where there is none."""
-    words = [strings(t) for t in texts]
+    words = [strings(t, model["run"]) for t in texts]
     distinct = list(set().union(*words))
     value = dict(zip(distinct, (string_scores(distinct, model["weights"]) + model["offset"]).tolist()))
     best = [[*nlargest(2, map(value.__getitem__, w)), -1.5, -1.5][:2] for w in words]

@@ -214,3 +214,27 @@ def test_inserted_characters(spark, corpus):
     hidden = [(1001, text(["blor.gnak", "vexi-trop"])), (1002, text(["v e x i t r o p", "q u a n d l e f"])), (1003, text([]))]
     found = {r["doc_id"]: r["predicted"] for r in toxicity.predict_toxicity(corpus(texts + hidden), labels).collect()}
     assert [found[k] for k in (1001, 1002, 1003)] == [1, 1, 0]
+
+
+def test_toxic_phrases_of_ordinary_words(spark, corpus):
+    """No single word tells toxic texts; a phrase does, or nothing surely does and the model is still defined."""
+    rng = random.Random(5)
+    ordinary = ["green", "table", "sings", "loud", "river", "stone", "walks", "over", "small", "house", "never", "reads"]
+
+    def text(toxic):
+        words = rng.choices(ordinary, k=40)
+        words = [w for k, w in enumerate(words) if not (w == "table" and k and words[k - 1] == "green")]
+        if toxic:
+            for _ in range(2):
+                at = rng.randrange(len(words))
+                words[at:at] = ["green", "table"]
+        return " ".join(words)
+
+    rows = [(k, text(k % 2)) for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
+    found = toxicity.predict_toxicity(corpus(rows), labels).where("held_out").collect()
+    accuracy = [np.mean([r["predicted"] == y for r in found if r["doc_id"] % 2 == y]) for y in (0, 1)]
+    assert min(accuracy) > 0.8
+    same = [(k, " ".join(rng.choices(ordinary, k=6))) for k in range(60)]
+    found = toxicity.predict_toxicity(corpus(same), labels).collect()
+    assert len({r["score"] for r in found}) > 1 and all(0 <= r["score"] <= 1 for r in found)
