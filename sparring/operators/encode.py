@@ -346,6 +346,11 @@ class FittedPreprocessor:
     class_texts: list[str] | None
     missing: str
     key_cols: tuple[str, ...] = ()
+    staged: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Delete the staged tables that `counts` reads; only for one that is stored elsewhere."""
+        release(*self.staged)
 
     @property
     def n_features(self) -> int:
@@ -472,7 +477,7 @@ class Preprocessor:
         return FittedPreprocessor(
             target, task, report, numeric, frequency, list(self.array_cols), widths, counts, broadcast, n_train,
             stats, onehot, vectors, singular, labels and [v for v, _ in labels], labels and [t for _, t in labels],
-            self.missing, tuple(self.key_cols),
+            self.missing, tuple(self.key_cols), (scan.profile,) if scan.profile is not None else (),
         )
 
 

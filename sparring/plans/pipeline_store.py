@@ -1,50 +1,27 @@
 """Fitted pipelines as folders: everything that scoring needs, to be loaded again by another session.
 
-A folder holds the models in their own format, the preprocessor as Parquet tables (columns, frequency counts,
-categories, singular vectors, classes, leak report) and a manifest, which is written last: a folder without one is not
-complete and cannot be loaded. Numbers are stored in binary or as their shortest exact text, so scores of a loaded
-pipeline equal those of the one that was saved.
+A folder holds the models in their own format, the preprocessor as tables and a manifest, which is written last: a
+folder without one is not complete and cannot be loaded. Scores of a loaded pipeline equal those of the one that was saved.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.ml.classification import (
-    LogisticRegressionModel,
-    MultilayerPerceptronClassificationModel,
-    RandomForestClassificationModel,
-)
-from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionModel
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from sparring.functions.keys import ROW_KEY
-from sparring.operators.encode import FittedPreprocessor, OneHot
-from sparring.operators.leak import FINDINGS
+from sparring.operators.encode import FittedPreprocessor
 from sparring.operators.models import Fitted
 from sparring.plans.experiment import combined_outputs, score_models
+from sparring.plans.model_store import READERS, load_preprocessor, read_note, save_preprocessor, write_note
 from sparring.plans.registry import models_for
-from sparring.session import local_frame, path_exists
+from sparring.session import path_exists
 
 FORMAT_VERSION = 1
 MANIFEST = "manifest"
 
-#: The class that reads each kind of model; the network models are not stored.
-READERS = {
-    "linear_regression": LinearRegressionModel,
-    "logistic_regression": LogisticRegressionModel,
-    "random_forest": RandomForestClassificationModel,
-    "random_forest_regressor": RandomForestRegressionModel,
-    "mlp": MultilayerPerceptronClassificationModel,
-}
-
-COLUMNS = "kind string, place int, name string, mean double, std double, broadcast boolean, width int, null_seen boolean"
-
 
 @dataclass
 class Pipeline:
@@ -75,113 +52,38 @@ class Pipeline:
         return self.scores(df).select(ROW_KEY, *[o.alias(m) for o, m in zip(outputs, selection)])
 
 
-def _value_frame(spark: SparkSession, values: Sequence, texts: Sequence[str]) -> DataFrame:
-    """(place, value, text), values in their own type."""
-    kinds = {bool: T.BooleanType(), int: T.LongType(), float: T.DoubleType(), str: T.StringType()}
-    kind = kinds[type(values[0])] if values else T.StringType()
-    schema = T.StructType([T.StructField("place", T.LongType()), T.StructField("value", kind), T.StructField("text", T.StringType())])
-    return local_frame(spark, [(i, v, t) for i, (v, t) in enumerate(zip(values, texts))], schema)
-
-
-def _column_rows(p: FittedPreprocessor) -> list[tuple]:
-    rows = [("numeric", i, c, *p.stats[c], None, None, None) for i, c in enumerate(p.numeric)]
-    rows += [("frequency", i, c, *p.stats[c], p.broadcast[c], None, None) for i, c in enumerate(p.frequency)]
-    rows += [("array", i, c, None, None, None, w, None) for i, (c, w) in enumerate(zip(p.arrays, p.array_widths))]
-    if p.onehot:
-        rows += [("onehot", i, c, None, None, None, len(v), n) for i, (c, v, n) in enumerate(zip(p.onehot.columns, p.onehot.categories, p.onehot.null_seen))]
-    return rows
-
-
 def save_pipeline(spark: SparkSession, pipeline: Pipeline, path: str, settings: Mapping | None = None) -> None:
     """Write a pipeline below `path`, which must not exist. `settings` are kept in the manifest as they are."""
-    path, p = path.rstrip("/"), pipeline.preprocessor
+    path = path.rstrip("/")
     unknown = sorted(set(pipeline.fitted) - set(READERS))
     if unknown:
         raise ValueError(f"{unknown} cannot be stored; only {sorted(READERS)} can")
     if path_exists(spark, path):
         raise ValueError(f"{path} exists; a pipeline is written to a new folder")
-
-    def put(frame: DataFrame, name: str) -> None:
-        frame.write.parquet(f"{path}/{name}")
-
-    put(local_frame(spark, _column_rows(p), COLUMNS), "columns")
-    put(local_frame(spark, [tuple(r) for r in p.report], FINDINGS), "leak_report")
-    for i, name in enumerate(p.frequency):
-        put(p.counts[name].select("hash", "n_rows"), f"counts/place={i}")
-    if p.onehot:
-        cells = [(i, j, v) for i, values in enumerate(p.onehot.categories) for j, v in enumerate(values)]
-        put(local_frame(spark, cells, "place int, slot int, value string"), "categories")
-    if p.vectors is not None:
-        put(local_frame(spark, [(-1, p.singular_values.tolist()), *enumerate(p.vectors.tolist())], "slot int, loadings array<double>"), "vectors")
-    if p.classes is not None:
-        put(_value_frame(spark, p.classes, p.class_texts), "classes")
+    save_preprocessor(spark, pipeline.preprocessor, f"{path}/preprocessor")
     for name, model in pipeline.fitted.items():
         model.model.write().save(f"{path}/models/{name}")
     manifest = {
         "format_version": FORMAT_VERSION,
-        "target": p.target,
-        "task": p.task,
-        "missing": p.missing,
-        "key_cols": list(p.key_cols),
-        "n_train": p.n_train,
         "models": {n: {"train_time": m.train_time, "extra": m.extra} for n, m in pipeline.fitted.items()},
         "settings": dict(settings or {}),
     }
-    text = json.dumps(manifest, default=str)
-    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(f"{path}/{MANIFEST}")
+    write_note(spark, manifest, f"{path}/{MANIFEST}")
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict:
     """The manifest of a stored pipeline; an error if the folder is incomplete or of another format."""
-    if not path_exists(spark, f"{path}/{MANIFEST}/_SUCCESS") and not path_exists(spark, f"{path}/{MANIFEST}"):
-        raise ValueError(f"{path} holds no complete pipeline")
-    manifest = json.loads(spark.read.text(f"{path}/{MANIFEST}", wholetext=True).first()[0])
+    manifest = read_note(spark, f"{path.rstrip('/')}/{MANIFEST}")
     if manifest["format_version"] != FORMAT_VERSION:
         raise ValueError(f"{path} has format {manifest['format_version']}; this library reads {FORMAT_VERSION}")
     return manifest
 
 
 def load_pipeline(spark: SparkSession, path: str, models: Sequence[str] | None = None) -> Pipeline:
-    """A stored pipeline, with all of its models or the named ones. Counts stay tables; small tables are read here."""
+    """A stored pipeline, with all of its models or the named ones."""
     path = path.rstrip("/")
     manifest = read_manifest(spark, path)
-
-    def got(name: str, *order: str) -> list[Row]:
-        return spark.read.parquet(f"{path}/{name}").orderBy(*order).collect()
-
-    columns = got("columns", "kind", "place")
-    of = {kind: [r for r in columns if r["kind"] == kind] for kind in ("numeric", "frequency", "array", "onehot")}
-    counts = {r["name"]: spark.read.parquet(f"{path}/counts/place={r['place']}") for r in of["frequency"]}
-    onehot = vectors = singular = None
-    if of["onehot"]:
-        values: list[list[str]] = [[] for _ in of["onehot"]]
-        for r in got("categories", "place", "slot"):
-            values[r["place"]].append(r["value"])
-        onehot = OneHot([r["name"] for r in of["onehot"]], values, [r["null_seen"] for r in of["onehot"]])
-        if path_exists(spark, f"{path}/vectors"):
-            rows = got("vectors", "slot")
-            singular, vectors = np.array(rows[0]["loadings"]), np.array([r["loadings"] for r in rows[1:]])
-    classes = got("classes", "place") if path_exists(spark, f"{path}/classes") else None
-    preprocessor = FittedPreprocessor(
-        target=manifest["target"],
-        task=manifest["task"],
-        report=got("leak_report", "col"),
-        numeric=[r["name"] for r in of["numeric"]],
-        frequency=[r["name"] for r in of["frequency"]],
-        arrays=[r["name"] for r in of["array"]],
-        array_widths=[r["width"] for r in of["array"]],
-        counts=counts,
-        broadcast={r["name"]: r["broadcast"] for r in of["frequency"]},
-        n_train=manifest["n_train"],
-        stats={r["name"]: (r["mean"], r["std"]) for kind in ("numeric", "frequency") for r in of[kind]},
-        onehot=onehot,
-        vectors=vectors,
-        singular_values=singular,
-        classes=classes and [r["value"] for r in classes],
-        class_texts=classes and [r["text"] for r in classes],
-        missing=manifest["missing"],
-        key_cols=tuple(manifest["key_cols"]),
-    )
+    preprocessor = load_preprocessor(spark, f"{path}/preprocessor")
     wanted = list(manifest["models"]) if models is None else list(models)
     lacking = sorted(set(wanted) - set(manifest["models"]))
     if lacking:

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sparring import Preprocessor, read_csv_table, run_experiment
+from sparring import Preprocessor, read_csv_table, run_experiment, session
 from sparring.operators.task import infer_task
 from sparring.plans import experiment, registry
 from sparring.plans.report import display, human_size, totals
@@ -110,3 +110,47 @@ def test_human_sizes(spark):
     assert shown == ["-", "5 B", "1023 B", "1.00 KB", "1.50 KB", "1.00 MB", "3.00 GB", "1.00 PB", "7168.00 PB"]
     empty = spark.createDataFrame([], "train_time double, model_size long")
     assert tuple(totals(empty).first()) == (0.0, 0, "-")
+
+
+def files_below(folder):
+    return sorted(p.name for p in folder.rglob("*") if p.is_file() and not p.name.startswith("."))
+
+
+@pytest.mark.parametrize("task, target, names", [
+    ("regression", "score", ["Linear Regression", "Linear Regression + Random Forest Regressor"]),
+    ("classification", "kind", ["Logistic Regression", "Random Forest Classifier"]),
+])
+def test_a_stopped_run_goes_on(spark, sweets, tmp_path, monkeypatch, task, target, names):
+    """A run that dies after `prepare`, and again after its first model, ends as one that never stopped."""
+    folder, staged = str(tmp_path / "run"), tmp_path / "staged"
+    monkeypatch.setattr(session, "_local_scratch", lambda: str(staged))
+    arguments = dict(task=task, key_cols=["name"], config=QUICK)
+    whole = run_experiment(sweets, target, names, **arguments)
+    train, fit, calls = experiment.train, Preprocessor.fit, []
+
+    def dies(after):
+        def run(name, *rest):
+            calls.append(name)
+            if len(calls) > after:
+                raise RuntimeError("the driver is gone")
+            return train(name, *rest)
+
+        return run
+
+    for after in (0, 1):
+        calls.clear()
+        monkeypatch.setattr(experiment, "train", dies(after))
+        with pytest.raises(RuntimeError, match="gone"):
+            run_experiment(sweets, target, names, run_dir=folder, **arguments)
+        monkeypatch.setattr(Preprocessor, "fit", lambda *a: pytest.fail("the preprocessor is stored already"))
+    calls.clear()
+    monkeypatch.setattr(experiment, "train", dies(1))
+    result = run_experiment(sweets, target, names, run_dir=folder, **arguments)
+    assert len(calls) == 1  # only the second model
+    monkeypatch.setattr(Preprocessor, "fit", fit)
+    assert sorted(map(tuple, result.predictions.collect())) == sorted(map(tuple, whole.predictions.collect()))
+    with pytest.raises(ValueError, match="other"):
+        run_experiment(sweets, target, names[:1], run_dir=folder, **arguments)
+    result.release()
+    whole.release()
+    assert not (tmp_path / "run").exists() and files_below(staged) == []
