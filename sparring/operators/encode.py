@@ -39,7 +39,25 @@ BROADCAST_VALUES = 200_000
 HOT_SHARE = 0.001
 HOT_SALTS = 1024
 
-MAX_CLASSES = 100_000
+
+def class_table(df: DataFrame, target: str) -> DataFrame:
+    """`place, value, text`: the distinct target values in their natural order, numbers by value, text by code point.
+
+    Values are range-partitioned and numbered within their range; one count for each range passes through the driver.
+    """
+    value = col(target)
+    found = df.select(value.alias("value"), value.cast("string").alias("text")).where(F.col("value").isNotNull()).distinct()
+    ordered = found.repartitionByRange("value").sortWithinPartitions("value")
+    numbered = materialize(
+        ordered.select("value", "text", F.spark_partition_id().alias("part"), F.expr("monotonically_increasing_id() & 8589934591").alias("inner")), "classes"
+    )
+    counts = sorted((r["part"], r["count"]) for r in numbered.groupBy("part").count().collect())
+    first, rows = 0, []
+    for part, count in counts:
+        rows.append((part, first))
+        first += count
+    starts = F.broadcast(local_frame(df.sparkSession, rows, "part int, first long"))
+    return numbered.join(starts, "part").select((F.col("first") + F.col("inner")).alias("place"), "value", "text")
 
 
 def class_labels(df: DataFrame, target: str) -> list:
@@ -49,19 +67,13 @@ def class_labels(df: DataFrame, target: str) -> list:
 
 def _labels_and_texts(df: DataFrame, target: str) -> list[tuple]:
     """Class values in order, each with its text as Spark renders it, which the indexer compares."""
-    rows = (
-        df.select(col(target).alias("value"), col(target).cast("string").alias("text"))
-        .distinct()
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes; treat it as a regression target")
-    return sorted(tuple(r) for r in rows)
+    return [(r["value"], r["text"]) for r in class_table(df, target).orderBy("place").collect()]
 
 
-def label_encode(df: DataFrame, target: str, classes: Sequence, output: str = LABEL) -> DataFrame:
-    """Add the position of the target in `classes`. An unseen value is an error that names it."""
+def label_encode(df: DataFrame, target: str, classes: Sequence | DataFrame, output: str = LABEL) -> DataFrame:
+    """Add the position of the target in `classes`, a list or a class table. An unseen value is an error that names it."""
+    if isinstance(classes, DataFrame):
+        return _joined_labels(df, target, classes, output)
     kind = df.schema[target].dataType
     if isinstance(kind, T.StringType):
         return _index_labels(df, target, list(classes), output)
@@ -72,6 +84,19 @@ def label_encode(df: DataFrame, target: str, classes: Sequence, output: str = LA
     return _index_labels(df, target, texts, output)
 
 
+def _joined_labels(df: DataFrame, target: str, classes: DataFrame, output: str) -> DataFrame:
+    table = classes.select(F.col("place").alias("__place"), F.col("value").alias("__value"))
+    joined = df.join(table, col(target) == F.col("__value"), "left")
+    unseen = F.raise_error(F.concat(F.lit("no class "), F.coalesce(col(target).cast("string"), F.lit("NULL")))).cast("double")
+    return joined.withColumn(output, F.coalesce(F.col("__place").cast("double"), unseen)).drop("__place", "__value")
+
+
+def label_decode_table(df: DataFrame, index: str, classes: DataFrame, output: str) -> DataFrame:
+    """Add the class at the position in column `index`, by a join with the class table; NULL beyond it."""
+    table = classes.select(F.col("place").alias("__place"), F.col("value").alias(output))
+    return df.join(table, col(index).cast("long") == F.col("__place"), "left").drop("__place")
+
+
 def _index_labels(df: DataFrame, target: str, texts: list[str], output: str) -> DataFrame:
     indexer = StringIndexerModel.from_labels(
         texts, inputCol="__label_text", outputCol=output, handleInvalid="error"

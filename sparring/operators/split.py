@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparring.functions.columns import col, require_column
-from sparring.functions.keys import ROW_KEY, seeded_hash, with_row_key
+from sparring.functions.keys import ROW_KEY, seeded_hash, value_hash, with_row_key
 from sparring.operators.task import CLASSIFICATION, check_task
-from sparring.session import local_frame, materialize
+from sparring.session import local_frame, materialize, release
 
 SPLIT = "split"
 TRAIN = "train"
@@ -28,6 +28,10 @@ INLINE_STRATA = 16
 # Rows that one hash bucket should hold at most; decides how finely the hash is bucketed.
 ROWS_PER_BUCKET = 50_000
 
+# Classes with at least this share of the rows (at most 1000) are joined apart; salts over which their rows are scattered.
+HOT_SHARE = 0.001
+HOT_SALTS = 1024
+
 
 def split(
     df: DataFrame,
@@ -68,7 +72,7 @@ def _marked(
         F.col(ROW_KEY),
         seeded_hash(F.col(ROW_KEY), seed).alias("h"),
     )
-    cutoffs = _cutoffs_for(keyed, stratified, test_size, seed, broadcast_strata)
+    cutoffs, hot = _cutoffs_for(keyed, stratified, test_size, seed, broadcast_strata)
     edges = cutoffs.limit(broadcast_strata + 1).collect()
     few = len(edges) <= broadcast_strata
     if any(e["tied"] for e in edges) or not few and not cutoffs.where("tied").isEmpty():
@@ -83,14 +87,29 @@ def _marked(
         return rows.withColumn(SPLIT, F.when(place <= cut, TEST).otherwise(TRAIN))
     if few:
         cutoffs = F.broadcast(local_frame(rows.sparkSession, edges, cutoffs.schema))
-    cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), F.concat("cut_h", "cut_key").alias("__cut"))
-    marked = rows.join(cutoffs, col(target) == F.col("__stratum"), "left")
-    return marked.withColumn(SPLIT, F.when(place <= F.col("__cut"), TEST).otherwise(TRAIN)).drop("__stratum", "__cut")
+        cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), F.concat("cut_h", "cut_key").alias("__cut"))
+        marked = rows.join(cutoffs, col(target) == F.col("__stratum"), "left")
+        return marked.withColumn(SPLIT, F.when(place <= F.col("__cut"), TEST).otherwise(TRAIN)).drop("__stratum", "__cut")
+    # Classes go by hash. The few that hold many rows are broadcast, and their rows scattered over salts that match nothing.
+    cutoffs = materialize(cutoffs.select(value_hash(F.col("stratum")).alias("__v"), F.concat("cut_h", "cut_key").alias("__cut")), "cutoffs")
+    hashes = local_frame(rows.sparkSession, [(h,) for h in hot], "__v binary")
+    often = cutoffs.join(F.broadcast(hashes), "__v", "left_semi").select(F.col("__v").alias("__hv"), F.col("__cut").alias("__hcut"))
+    seldom = cutoffs.join(F.broadcast(hashes), "__v", "left_anti")
+    salt = F.concat(F.lit("~"), F.pmod(F.xxhash64(F.col(ROW_KEY)), F.lit(HOT_SALTS)).cast("string")).cast("binary")
+    joined = (
+        rows.withColumn("__k", value_hash(col(target)))
+        .join(F.broadcast(often), F.col("__k") == F.col("__hv"), "left")
+        .withColumn("__ck", F.when(F.col("__hv").isNotNull(), salt).otherwise(F.col("__k")))
+        .join(seldom, F.col("__ck") == F.col("__v"), "left")
+    )
+    part = F.when(place <= F.coalesce("__hcut", "__cut"), TEST).otherwise(TRAIN)
+    return joined.withColumn(SPLIT, part).drop("__k", "__hv", "__hcut", "__ck", "__v", "__cut")
 
 
 def _cutoffs_for(
     keyed: DataFrame, stratified: bool, test_size: float, seed: int, broadcast_strata: int
-) -> DataFrame:
+) -> tuple[DataFrame, list[bytes]]:
+    """The last test row of each stratum, and the hashes of strata with over HOT_SHARE of the rows if there are many strata."""
     counts = keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_rows"))
     head = counts.limit(broadcast_strata + 1).collect()
     few = len(head) <= broadcast_strata
@@ -99,7 +118,7 @@ def _cutoffs_for(
         n, strata, smallest = sum(sizes), len(sizes), min(sizes, default=0)
         has_null = any(r["stratum"] is None for r in head)
     else:
-        counts = counts.persist()
+        counts = materialize(counts, "class-sizes")
         n, strata, smallest, has_null = counts.agg(
             F.sum("n_rows"), F.count(F.lit(1)), F.min("n_rows"), F.bool_or(F.col("stratum").isNull())
         ).first()
@@ -117,9 +136,11 @@ def _cutoffs_for(
         quotas = small_quotas({r["stratum"]: r["n_rows"] for r in head}, n, n_test, seed)
         schema = T.StructType([keyed.schema["stratum"], T.StructField("quota", T.LongType())])
         wanted = local_frame(keyed.sparkSession, list(quotas.items()), schema)
-    else:
-        wanted = class_quotas(counts, n, n_test, seed)
-    return hash_cutoffs(keyed, wanted, hash_digits(n), few)
+        return hash_cutoffs(keyed, wanted, hash_digits(n), few), []
+    hot = counts.where(F.col("n_rows") > HOT_SHARE * n).select(value_hash(F.col("stratum")).alias("h")).collect()
+    cutoffs = materialize(hash_cutoffs(keyed, class_quotas(counts, n, n_test, seed), hash_digits(n), few), "cutoffs")
+    release(counts)
+    return cutoffs, [bytes(r["h"]) for r in hot]
 
 
 def small_quotas(counts: dict, n: int, n_test: int, seed: int) -> dict:

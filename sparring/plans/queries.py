@@ -387,10 +387,10 @@ def svd_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def label_encode_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer")
-    classes = encode.class_labels(rows, "c_nationkey")
+    classes = encode.class_table(rows, "c_nationkey")
     encoded = label_encode(rows, "c_nationkey", classes)
-    decoded = encode.label_decode(F.col(LABEL), classes)
-    return encoded.select("c_custkey", F.col(LABEL).cast("int").alias("label"), decoded.alias("decoded"))
+    decoded = encode.label_decode_table(encoded, LABEL, classes, "decoded")
+    return decoded.select("c_custkey", F.col(LABEL).cast("int").alias("label"), "decoded")
 
 
 @query

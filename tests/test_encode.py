@@ -166,3 +166,20 @@ def test_labels_follow_numbers_not_text(spark):
     assert {r["y"]: r["label"] for r in label_encode(frame, "y", classes).collect()} == {2: 0, 10: 1, 33: 2}
     with pytest.raises(Exception, match="33"):
         label_encode(frame, "y", [2, 10]).collect()
+
+
+def test_a_table_of_many_classes(spark):
+    """150,000 classes are numbered in their order, encoded and decoded by joins."""
+    rows = spark.range(300_000).select(((F.col("id") * 7919) % 150_000 - 75_000).alias("y"))
+    classes = encode.class_table(rows, "y")
+    edges = classes.where("place IN (0, 1, 149999)").orderBy("place").collect()
+    assert [(r["place"], r["value"]) for r in edges] == [(0, -75_000), (1, -74_999), (149_999, 74_999)]
+    encoded = encode.label_encode(rows, "y", classes)
+    decoded = encode.label_decode_table(encoded, "label", classes, "again")
+    assert decoded.where("y = again AND label = y + 75000").count() == 300_000
+    texts = spark.createDataFrame([("b",), ("é",), ("B",), (None,), ("b",)], "y string")
+    table = encode.class_table(texts, "y")
+    assert [r["value"] for r in table.orderBy("place").collect()] == ["B", "b", "é"]
+    with pytest.raises(Exception, match="no class"):
+        encode.label_encode(texts, "y", table).collect()
+    assert encode.class_table(texts.limit(0), "y").count() == 0

@@ -101,3 +101,23 @@ def test_columns_may_be_called_like_the_joined_cutoffs(spark):
     marked = split(frame, "y", "classification", ["id"], broadcast_strata=2)
     assert marked.where("split = 'test'").count() == 40
     assert marked.columns == ["id", "y", "stratum", "cut_key", "row_key", "split"]
+
+
+def test_many_classes_of_which_one_holds_half_of_the_rows(spark):
+    """60,000 classes: quotas are exact, and no task gets the rows of the large one."""
+    i = F.col("id")
+    frame = spark.range(400_000).select("id", F.when(i % 2 == 0, -1).otherwise((i - 1) / 2 % 60_000).cast("long").alias("y"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false"), ("spark.sql.shuffle.partitions", "16")):
+        spark.conf.set(name, value)
+    try:
+        found = split(frame, "y", "classification", ["id"])
+        sizes = sorted(r[1] for r in found.groupBy(F.spark_partition_id()).count().collect())
+        tests = counts(found.where("split = 'test'"), "y")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sum(tests.values()) == 80_000 and tests[-1,] in (40_000, 40_001)
+    assert sum(sizes) == 400_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert max(n for (y,), n in tests.items() if y >= 0) <= 1
