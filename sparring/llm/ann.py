@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from sparring.session import materialize
 
 #: Tables, rows of a block, rows of a band that is searched whole, cells of a table as long as they fit a block.
-TABLES, BLOCK_ROWS, WHOLE_ROWS, GROUPS = 8, 16_384, 1024, 8
+TABLES, BLOCK_ROWS, WHOLE_ROWS, GROUPS = 8, 16_384, 64, 8
 
 
 def probe_count(dimensions: int) -> int:

@@ -83,6 +83,7 @@ def test_neighbours(spark):
 
 
 def test_recall(spark):
+    """500 rows of one band: all of them are found by hashing."""
     rows = table(spark, "/root/testdata/sf0.01", "embeddings")
     every = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in rows.collect()]
     exact = {(q, i) for q, _, i, _ in exact_neighbours(every, 20, [r for r in every if r[0] % 20 == 0])}
