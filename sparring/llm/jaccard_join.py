@@ -11,7 +11,7 @@ there). The few documents with too few non-empty blocks for the bound also join
 Equal sets are one node, so copies are never paired. In each group of a shared block, nodes are first compared with the
 smallest; groups that this leaves in several components are then compared further by their sketches (bits by the low
 bits of each hash, at least two a member, folded where widths differ), each node with nodes of other components up to
-LAG places on in the order of size, then four times as far, until no pair of a group could add a link: no cap, and no
+LAG places on in the order of size, then FURTHER times as far, until no pair of a group could add a link: no cap, and no
 pairs among nodes that are linked already. Pairs that pass are checked exactly, first only those that a group needs to
 become connected; where such a pair turns out to be no link, all others of its group between different components.
 
@@ -40,6 +40,8 @@ COUNTER_BITS, FILTER_BITS = 20, 24
 #: Least width of a sketch, as a power of two; fewest blocks of a band; places between nodes compared in the first round.
 SHORT_BITS, LEAST_BLOCKS, LAG = 10, 64, 256
 SHORT_BYTES = (1 << SHORT_BITS) // 8
+#: How much farther each further round goes.
+FURTHER = 64
 FILTER_SHIFTS = (64 - FILTER_BITS, 8)
 CHUNK = 1 << 12
 SALT = np.uint64(0xA0761D6478BD642F)
@@ -159,7 +161,7 @@ def block_levels(scanned: DataFrame) -> np.ndarray:
 
     total = np.zeros(1 << COUNTER_BITS, np.int64)
     merged = scanned.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         total[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(row["counts"]), np.int64)
     return np.log2(1 + total).astype(np.uint8)
 
@@ -226,7 +228,7 @@ def wanted_words(doc_ids: DataFrame) -> DataFrame:
 def wanted_filter(doc_ids: DataFrame) -> np.ndarray:
     """Bits of the documents to fetch, as 64-bit words."""
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in wanted_words(doc_ids).toLocalIterator():
+    for row in wanted_words(doc_ids).collect():
         out[row["word"]] = row["bits"]
     return out.view(np.uint64)
 
@@ -460,7 +462,7 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
             again = open_groups(unlike.join(disputed, "block", "left_semi"))
             release(tried(materialize(further_pairs(with_sketches(again), low, high, False), "near-pairs")), again)
         release(disputed)
-        low, high = high, 4 * high
+        low, high = high, FURTHER * high
 
 
 def component_table(docs: DataFrame) -> DataFrame:

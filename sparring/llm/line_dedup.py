@@ -123,7 +123,7 @@ def twice_filter(rows: DataFrame, hashes_of: Callable[[bytes], tuple[np.ndarray,
     parts = rows.mapInArrow(fill, "block int, once binary, twice binary")
     merged = parts.repartition("block").mapInArrow(merge, "block int, twice binary")
     whole, total = bytearray((1 << bits) // 8), np.zeros(1 << cell_bits, np.int64)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         if row["block"] < 0:
             start = -1 - row["block"]
             total[start : start + CELLS] = np.frombuffer(bytes(row["twice"]), np.int64)

@@ -181,7 +181,7 @@ def frequent_filter(dictionary: DataFrame, min_count: int, bits: int) -> bytes:
 
     parts = dictionary.mapInArrow(count, "block int, cells binary, weights binary")
     whole = bytearray((1 << bits) // 8)
-    for row in parts.repartition("block").mapInArrow(add, "block int, flags binary").toLocalIterator():
+    for row in parts.repartition("block").mapInArrow(add, "block int, flags binary").collect():
         start = row["block"] * (size // 8)
         whole[start : start + size // 8] = row["flags"]
     return bytes(whole)

@@ -163,7 +163,7 @@ def named_strings(firsts: DataFrame) -> np.ndarray:
     places = F.array(*(F.conv(F.hex(F.substring("key", start, KEY_BITS // 8)), 16, 10).cast("long") for start in KEY_STARTS))
     words = firsts.select(F.explode(places).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
     out = np.zeros(1 << (KEY_BITS - 6), np.int64)
-    for row in words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")).toLocalIterator():
+    for row in words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 AS int))")).alias("bits")).collect():
         out[row["word"]] = row["bits"]
     return out.view(np.uint64)
 

@@ -479,7 +479,7 @@ def highest_counts(index: DataFrame, n_a: int, n_b: int) -> np.ndarray:
             yield pa.record_batch([pa.array(some), pa.array(most[some])], ["a", "most"])
 
     out = np.zeros(n_a, np.int64)
-    for row in index.select("keys", "counts").mapInArrow(run, "a long, most long").groupBy("a").agg(F.max("most").alias("most")).toLocalIterator():
+    for row in index.select("keys", "counts").mapInArrow(run, "a long, most long").groupBy("a").agg(F.max("most").alias("most")).collect():
         out[row["a"]] = row["most"]
     return out
 

@@ -139,9 +139,10 @@ def test_filter_words_are_merged_before_the_driver(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "FILTER_BITS", 12)
     sent = []
     frame = type(spark.range(1))
-    rows = frame.toLocalIterator
-    monkeypatch.setattr(frame, "toLocalIterator", lambda self, *a: iter(sent.extend(rows(self, *a)) or sent))
+    rows = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: sent.extend(rows(self)) or sent)
     bits = jaccard_join.wanted_filter(spark.range(3000).withColumnRenamed("id", "doc_id"))
+    monkeypatch.setattr(frame, "collect", rows)
     assert len(sent) <= 1 << 6
     hashes = [r[0] & (1 << 64) - 1 for r in spark.range(3000).select(F.xxhash64("id")).collect()]
     places = {h >> shift & 4095 for h in hashes for shift in jaccard_join.FILTER_SHIFTS}
