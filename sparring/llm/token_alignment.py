@@ -52,7 +52,7 @@ TEXT_BYTES, BIG, PIECE = 2 << 20, 256, 1 << 14
 #: Units that are encoded as one text.
 TOGETHER = 256
 #: Units that a process remembers.
-KNOWN_UNITS = 300_000
+KNOWN_UNITS = 600_000
 #: Pairs that a task holds before it hands them on.
 HELD_PAIRS = 4 << 20
 #: Bytes of hash, keys and counts that are broadcast at once.
@@ -152,19 +152,24 @@ class Memory:
         self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.good = np.zeros(0, bool)
 
-    def encoded(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """As `encoded_units`, whose work is done for units that are new."""
+    def known(self, found: list[str]) -> np.ndarray:
+        """The numbers under which the units stand here; new ones are encoded."""
         if len(self.places) > KNOWN_UNITS:
             self.clear()
-        new = [u for u in found if u not in self.places]
-        if new:
+        at = list(map(self.places.get, found))
+        if None in at:
+            new = list(dict.fromkeys(u for u, k in zip(found, at) if k is None))
             *ids, n_a, n_b, good = encoded_units(new, self.both)
             self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
             for k, n in enumerate((n_a, n_b)):
                 self.ids[k] = np.concatenate([self.ids[k], ids[k].astype(np.int32)])
                 self.first[k] = np.concatenate([self.first[k], self.first[k][-1] + np.cumsum(n)])
             self.good = np.concatenate([self.good, good])
-        at = np.fromiter(map(self.places.__getitem__, found), np.int64, len(found))
+            at = list(map(self.places.__getitem__, found))
+        return np.array(at, np.int64)
+
+    def encoded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `encoded_units`, of the units of these numbers."""
         counts = [(f[1:] - f[:-1])[at] for f in self.first]
         ids = [x[spans(f[at], n)].astype(np.int64) for x, f, n in zip(self.ids, self.first, counts)]
         return (*ids, *counts, self.good[at])
@@ -173,9 +178,9 @@ class Memory:
 class Units:
     """The tokens, groups and links of distinct units; `good` says which ones both tokenizers give back byte by byte."""
 
-    def __init__(self, found: list[str], both: Encoders):
-        self.both, self.size = both, len(found)
-        self.a, self.b, n_a, n_b, self.good = both.memory.encoded(found)
+    def __init__(self, known: np.ndarray, both: Encoders):
+        self.both, self.size = both, len(known)
+        self.a, self.b, n_a, n_b, self.good = both.memory.encoded(known)
         self.a_unit, self.b_unit = (np.repeat(np.arange(self.size), n) for n in (n_a, n_b))
         a_ends, b_ends = np.cumsum(both.a_sizes[self.a]), np.cumsum(both.b_sizes[self.b])
         total = int(a_ends[-1]) if len(a_ends) else 0
@@ -231,9 +236,9 @@ class Aligned:
         self.size = len(texts)
         cut = [(units(t) if both.separable else [" " + t]) if t else [] for t in texts]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        coded = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
-        self.units = Units(coded.dictionary.to_pylist(), both)
-        unit, doc = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(cut)), sizes)
+        known, unit = np.unique(both.memory.known(list(chain.from_iterable(cut))), return_inverse=True)
+        self.units = Units(known, both)
+        doc = np.repeat(np.arange(len(cut)), sizes)
         lost = np.zeros(len(cut), bool)
         lost[doc[~self.units.good[unit]]] = True
         self.unit, self.doc = unit[~lost[doc]], doc[~lost[doc]]
@@ -257,6 +262,16 @@ class Aligned:
         at = spans(first[unit], count)
         return np.repeat(doc, count), key[at], times[at] * np.repeat(many, count)
 
+    def pair_documents(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs and how many of the texts hold each."""
+        doc, key, _ = self.pairs()
+        return np.unique(np.unique(doc << 32 | key) & 0xFFFFFFFF, return_counts=True)
+
+    def sums(self, table: PairCounts, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(n_best, count_sum) of each text, over the links whose pair stands in `table`."""
+        best, total = found_counts(*self.units.pairs(), table, most, self.units.both.n_b, self.units.size)
+        return self.per_doc(best[self.unit]), self.per_doc(total[self.unit])
+
     def groups(self) -> list[str]:
         """`a1,a2|b1;a3|b2,b3` of each text."""
         line, first, last = self.units.lines()
@@ -359,8 +374,7 @@ def counted_pairs(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
         both, held, size, branch = encoders(a_path, b_path), [], 0, 0
         for batch in slices(batches, 0, TEXT_BYTES):
             branch = batch.column(1)[0].as_py()
-            doc, key, _ = Aligned(batch.column(0).to_pylist(), both).pairs()
-            keys, counts = np.unique(np.unique(doc << 32 | key) & 0xFFFFFFFF, return_counts=True)
+            keys, counts = Aligned(batch.column(0).to_pylist(), both).pair_documents()
             held.append((keys, counts))
             size += len(keys)
             if size > HELD_PAIRS:
@@ -543,12 +557,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", par
         for batch in slices(batches, at, TEXT_BYTES):
             rows = batch.num_rows
             found = Aligned(batch.column(at).to_pylist(), both)
-            doc, key, times = found.pairs()
             if only is not None:
-                sums = found_counts(doc, key, times, only.value, most.value, n_b, rows)
+                sums = found.sums(only.value, most.value)
                 kept = [pa.nulls(rows, pa.binary())] * 2
             else:
                 sums = [np.zeros(rows, np.int64)] * 2
+                doc, key, times = found.pairs()
                 pair, place = np.unique(doc << 32 | key, return_inverse=True)
                 total = np.zeros(len(pair), np.int64)
                 np.add.at(total, place, times)
