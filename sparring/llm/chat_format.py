@@ -4,7 +4,7 @@ Logs hold cumulative snapshots: a conversation that was logged again, longer. A
 prefix of a conversation a hash; a conversation whose whole hash is a proper prefix of another is anti-joined away, and
 of equal conversations the smallest id stays. What remains is rendered turn by turn.
 
-The rolling hash is a sum of (turn hash * weight of its place), in two 61-bit lanes, so prefixes of a long conversation
+The rolling hash is a sum of hashes of turn and place, in three lanes of 42 bits, so prefixes of a long conversation
 are summed in blocks of BLOCK turns by many tasks. Turns are in the order of turn, role, text, nulls first; repeated
 rows are turns of their own. Null roles render as `user`, null texts as empty text; for comparison a null differs from
 an empty text. Rows without a conv_id belong to no conversation and are left out. Other columns are ignored. An empty

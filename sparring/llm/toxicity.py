@@ -40,6 +40,8 @@ SAMPLE_PER_CLASS, POSITIVES, NEGATIVES, LANDMARKS = 4000, 1500, 20_000, 256
 LEAST_CONTEXTS, LEAST_RATIO = 3, 20.0
 #: Strings that are learned from where none passes that rule.
 LIKELIEST = 50
+#: Places of a long word at which a character is put in for training.
+PLACES = 64
 AROUND = "!?.,;:'\"()[]{}<>|#&%$*"
 OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
@@ -63,8 +65,9 @@ def single_strings(text: str | None) -> list[str]:
 
 
 def with_insertions(word: str) -> list[str]:
-    """The word with a character between all letters, and with one put in at each place."""
-    return [*(mark.join(word) for mark in ".-*"), *(word[:k] + ".-*x"[k % 4] + word[k:] for k in range(1, len(word)))]
+    """The word with a character between all letters, and with one put in at each place (of long words at PLACES of them)."""
+    places = range(1, len(word), max(1, len(word) // PLACES))
+    return [*(mark.join(word) for mark in ".-*"), *(word[:k] + ".-*x"[k % 4] + word[k:] for k in places)]
 
 
 class Subsequences:
