@@ -38,7 +38,7 @@ WORDS = 5
 #: Counters of block frequencies and bits of the filter of nodes to fetch: 8 MB and 2 MB, whatever the input.
 COUNTER_BITS, FILTER_BITS = 20, 24
 #: Least width of a sketch, as a power of two; fewest blocks of a band; places between nodes compared in the first round.
-SHORT_BITS, LEAST_BLOCKS, LAG = 10, 64, 256
+SHORT_BITS, LEAST_BLOCKS, LAG = 9, 64, 256
 SHORT_BYTES = (1 << SHORT_BITS) // 8
 #: How much farther each further round goes.
 FURTHER = 64
@@ -62,11 +62,14 @@ def node_of(members: np.ndarray) -> int:
 
 
 def parity_sketch(members: np.ndarray) -> bytes:
-    """A bit for each value of the members' low bits, toggled by each member; at least two bits a member.
+    """A bit for each value of the members' low bits, toggled by each member; one to two bits a member.
+
+    Sketches are most of what is shuffled besides blocks, so they are no wider than it takes: at one bit a member unrelated
+    sets of n members differ in about 0.49 n bits, of which a link allows 0.29 n.
 
     Its first half XOR its second half is the sketch of half the width.
     """
-    width = max(SHORT_BITS, len(members).bit_length() + 1)
+    width = max(SHORT_BITS, len(members).bit_length())
     parity = np.bincount((members & np.uint64((1 << width) - 1)).astype(np.int64), minlength=1 << width) & 1
     return np.packbits(parity.astype(bool)).tobytes()
 

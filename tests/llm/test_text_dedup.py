@@ -174,6 +174,16 @@ def test_sketches_of_long_sets_are_told_apart(spark):
         assert apart <= len(np.setxor1d(one, two))
 
 
+def test_sketches_are_no_wider_than_it_takes():
+    """At most two bits a member beyond the least width, and unrelated sets still differ in more bits than a link allows."""
+    rng = np.random.default_rng(2)
+    for n in (200, 511, 512, 700, 1023, 1024, 3000):
+        one, two = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(2))
+        sketches = [jaccard_join.parity_sketch(s) for s in (one, two)]
+        assert all(n < 8 * len(s) <= max(512, 2 * n) for s in sketches)
+        assert 2 * n // 7 < jaccard_join.distances(sketches[:1], sketches[1:])[0] <= 2 * n
+
+
 def test_long_sets_in_further_laps(corpus, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LAG", 1)
     rng = random.Random(6)
