@@ -10,10 +10,11 @@ there). The few documents with too few non-empty blocks for the bound also join
 
 Equal sets are one node, so copies are never paired. In each group of a shared block, nodes are first compared with the
 smallest; groups that this leaves in several components are then compared further by their sketches (bits by the low
-bits of each hash, at least two a member, folded where widths differ), each node with nodes of other components up to
+bits of each hash, at least one a member, folded where widths differ), each node with nodes of other components up to
 LAG places on in the order of size, then FURTHER times as far, until no pair of a group could add a link: no cap, and no
 pairs among nodes that are linked already. Pairs that pass are checked exactly, first only those that a group needs to
-become connected; where such a pair turns out to be no link, all others of its group between different components.
+become connected; where such a pair turns out to be no link, all others of its group between different components, by
+sketches four times as wide, which few pairs pass that are no links.
 
 Words are split at ASCII white space, A-Z lower-cased; with fewer than five words the whole sequence is the one member.
 Null and empty texts have an empty set and link with nothing; so do rows of null id, whose component is null. Rows of
@@ -40,6 +41,8 @@ COUNTER_BITS, FILTER_BITS = 20, 24
 #: Least width of a sketch, as a power of two; fewest blocks of a band; places between nodes compared in the first round.
 SHORT_BITS, LEAST_BLOCKS, LAG = 9, 64, 256
 SHORT_BYTES = (1 << SHORT_BITS) // 8
+#: How much wider the sketches of disputed groups are, as a power of two.
+WIDER_BITS = 2
 #: How much farther each further round goes.
 FURTHER = 64
 FILTER_SHIFTS = (64 - FILTER_BITS, 8)
@@ -61,15 +64,16 @@ def node_of(members: np.ndarray) -> int:
     return int(mixed(both).view(np.int64)[0])
 
 
-def parity_sketch(members: np.ndarray) -> bytes:
-    """A bit for each value of the members' low bits, toggled by each member; one to two bits a member.
+def parity_sketch(members: np.ndarray, wider: int = 0) -> bytes:
+    """A bit for each value of the members' low bits, toggled by each member; one to two bits a member, times 2**wider.
 
     Sketches are most of what is shuffled besides blocks, so they are no wider than it takes: at one bit a member unrelated
-    sets of n members differ in about 0.49 n bits, of which a link allows 0.29 n.
+    sets of n members differ in about 0.49 n bits, of which a link allows 0.29 n, and sets pass from a similarity of about
+    0.65 on; at four bits a member from 0.73 on.
 
     Its first half XOR its second half is the sketch of half the width.
     """
-    width = max(SHORT_BITS, len(members).bit_length())
+    width = max(SHORT_BITS, len(members).bit_length()) + wider
     parity = np.bincount((members & np.uint64((1 << width) - 1)).astype(np.int64), minlength=1 << width) & 1
     return np.packbits(parity.astype(bool)).tobytes()
 
@@ -120,35 +124,39 @@ def counter_place(blocks: np.ndarray) -> np.ndarray:
 
 
 def first_scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n) of each row, with the sketch of a node that is new to its task, and from each task chunks of block counts."""
+    """(doc_id, node, n) of each row, with both sketches of a node that is new to its task, and from each task chunks of block counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << COUNTER_BITS, np.int64), set()
-        names = ["doc_id", "node", "n", "short", "chunk", "counts"]
+        names = ["doc_id", "node", "n", "short", "wide", "chunk", "counts"]
         for batch in slices(batches, 1):
-            nodes, sizes, sketches, blocks = [], [], [], []
+            nodes, sizes, sketches, wider, blocks = [], [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 members = shingle_set(text)
                 node = node_of(members) if len(members) and doc is not None else None
                 nodes.append(node)
                 sizes.append(len(members))
                 sketches.append(None)
+                wider.append(None)
                 if node is not None and node not in seen:
                     seen.add(node)
                     blocks += block_sets(members)
-                    sketches[-1] = parity_sketch(members)
+                    sketches[-1], wider[-1] = parity_sketch(members), parity_sketch(members, WIDER_BITS)
             if blocks:
                 counts += np.bincount(counter_place(np.concatenate(blocks)), minlength=len(counts))
             rows = len(nodes)
             nothing = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())]
-            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())]
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
+            columns += [pa.array(s, pa.binary()) for s in (sketches, wider)]
             yield pa.record_batch([*columns, *nothing], names)
         chunks = [k for k in range(len(counts) // CHUNK) if counts[k * CHUNK : (k + 1) * CHUNK].any()]
         data = [counts[k * CHUNK : (k + 1) * CHUNK].astype(np.uint32).tobytes() for k in chunks]
         empty = [pa.nulls(len(chunks), pa.int64()) for _ in range(3)]
-        yield pa.record_batch([*empty, pa.nulls(len(chunks), pa.binary()), pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names)
+        empty += [pa.nulls(len(chunks), pa.binary()) for _ in range(2)]
+        yield pa.record_batch([*empty, pa.array(chunks, pa.int32()), pa.array(data, pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, n long, short binary, chunk int, counts binary")
+    schema = "doc_id long, node long, n long, short binary, wide binary, chunk int, counts binary"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def block_levels(scanned: DataFrame) -> np.ndarray:
@@ -409,7 +417,7 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
     groups = materialize(shared_blocks(chosen_blocks(docs, levels)), "shared-blocks")
     holders = materialize(scanned.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "holders")
     used = groups.select("node").union(groups.select("hub")).distinct()
-    sketches = scanned.where("short IS NOT NULL").select("node", "n", "short").join(used, "node", "left_semi")
+    sketches = scanned.where("short IS NOT NULL").select("node", "n", "short", "wide").join(used, "node", "left_semi")
     sketches = materialize(sketches.dropDuplicates(["node"]), "sketches")
 
     def checked(near: DataFrame) -> DataFrame:
@@ -437,20 +445,20 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
         spread = spread.where((F.col("low") != F.col("high")) & (F.col("size") > low + 1)).select("block")
         return materialize(marked.join(spread, "block", "left_semi"), "open-groups")
 
-    def with_sketches(some: DataFrame) -> DataFrame:
-        return some.join(sketches.select("node", "short"), "node").select("block", "node", "n", "component", "short")
+    def with_sketches(some: DataFrame, sketch: str) -> DataFrame:
+        named = sketches.select("node", F.col(sketch).alias("short"))
+        return some.join(named, "node").select("block", "node", "n", "component", "short")
 
     def tried(near: DataFrame) -> DataFrame:
-        """The blocks of pairs (block, a, b) that are no links; the others join their labels."""
+        """The links among pairs; they join the labels of their ends."""
         nonlocal labels
         links = checked(materialize(near.select("a", "b").distinct(), "tried-pairs"))
-        failed = materialize(near.join(links, ["a", "b"], "left_anti").select("block").distinct(), "disputed")
         more = labelled(labelled(links, labels, "a", "to_a"), labels, "b", "to_b")
         more = materialize(more.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")), "links")
         if not more.isEmpty():
             labels = joined_labels(labels, more)
-        release(links, more, near)
-        return failed
+        release(more)
+        return links
 
     while True:
         left = open_groups(unlike)
@@ -460,10 +468,13 @@ def node_labels(docs: DataFrame, scanned: DataFrame, levels: np.ndarray) -> Data
             release(unlike, holders, sketches)
             return labels
         # First as few pairs as connect what may be linked. Where one of them is no link, all pairs between components.
-        disputed = tried(materialize(further_pairs(with_sketches(unlike), low, high, True), "near-pairs"))
+        near = materialize(further_pairs(with_sketches(unlike, "short"), low, high, True), "near-pairs")
+        links = tried(near)
+        disputed = materialize(near.join(links, ["a", "b"], "left_anti").select("block").distinct(), "disputed")
+        release(links, near)
         if not disputed.isEmpty():
             again = open_groups(unlike.join(disputed, "block", "left_semi"))
-            release(tried(materialize(further_pairs(with_sketches(again), low, high, False), "near-pairs")), again)
+            release(tried(further_pairs(with_sketches(again, "wide"), low, high, False)), again)
         release(disputed)
         low, high = high, FURTHER * high
 

@@ -197,3 +197,25 @@ def test_long_sets_in_further_laps(corpus, monkeypatch):
         rows.append((k, " ".join(words)))
     got = jaccard_join.component_table(corpus(rows))
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == components_by_rule(rows)
+
+
+def test_disputed_groups_write_no_pair_for_each_block(corpus, monkeypatch):
+    """Texts that are nearly similar enough share many blocks; only pairs that could connect a group are written with them."""
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(330)]
+    rows = [(k, " ".join(common + [f"t{rng.randint(0, 1 << 30)}" for _ in range(62 + k % 4)])) for k in range(24)]
+    rows.append((50, rows[3][1] + " end"))
+    made = {}
+
+    def counted(df, label):
+        out = materialize(df, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+
+    materialize = jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    got = jaccard_join.component_table(corpus(rows))
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == components_by_rule(rows)
+    written = made["near-pairs"][1:]  # the first are pairs with the smallest of a group, before any search
+    assert sum(written) < made["unlike-groups"][0]
+    assert made["tried-pairs"][0] > 0 and made["tried-pairs"][1] < 24 * 23 // 2 // 4
