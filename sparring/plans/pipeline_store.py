@@ -62,7 +62,7 @@ def save_pipeline(spark: SparkSession, pipeline: Pipeline, path: str, settings:
         raise ValueError(f"{path} exists; a pipeline is written to a new folder")
     save_preprocessor(spark, pipeline.preprocessor, f"{path}/preprocessor")
     for name, model in pipeline.fitted.items():
-        model.model.write().save(f"{path}/models/{name}")
+        model.write(spark, f"{path}/models/{name}")
     manifest = {
         "format_version": FORMAT_VERSION,
         "models": {n: {"train_time": m.train_time, "extra": m.extra} for n, m in pipeline.fitted.items()},
