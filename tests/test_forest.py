@@ -68,10 +68,13 @@ def test_a_fit_without_depth_limit_has_few_jobs(spark):
 def test_forests_are_saved_and_loaded(spark, tmp_path):
     rows, width = table(spark, tmp_path, 300)
     own = fit_forest(rows, "label", "features", width, 3, 30, 32, 1, 100)
-    before, staged = predictions(own.transform(rows, "features", "p"), "p"), own.path
+    early, staged = own.transform(rows, "features", "p"), own.path
+    before = predictions(early, "p")
     for path in (str(tmp_path / "a"), str(tmp_path / "b")):
         own.save(spark, path)
         assert predictions(ForestModel.load(path).transform(rows, "features", "p"), "p") == before
+    assert predictions(early, "p") == before
+    own.stand_at(spark, str(tmp_path / "b"))
     assert not path_exists(spark, staged)
     assert predictions(own.transform(rows, "features", "p"), "p") == before
     old = RandomForestRegressor(numTrees=2, maxDepth=3, seed=1).fit(rows)  # as saved by older versions
